@@ -52,10 +52,12 @@ def compare(df, con, sql):
         names, left = rows_of(ours)
         _, right = rows_of(theirs)
         if left != right:
-            only_left = [r for r in left if r not in set(right)][:3]
-            only_right = [r for r in right if r not in set(left)][:3]
-            n = len(set(left) ^ set(right))
-            problems.append(f"{names}: {len(left)} / {len(right)} rows, {n} differ: {only_left} / {only_right}")
+            only_left, only_right = set(left) - set(right), set(right) - set(left)
+            few = [sorted(s, key=repr)[:3] for s in (only_left, only_right)]
+            problems.append(
+                f"{names}: {len(left)} / {len(right)} rows, "
+                f"{len(only_left)} / {len(only_right)} differ: {few[0]} / {few[1]}"
+            )
     return problems
 
 
