@@ -28,7 +28,7 @@ def peak_thresholds(panel, quantiles=TOP_OF_QUANTILES):
     )
 
 
-def flag_peaks(panel, thresholds, rise=PEAK_RISE):
+def flag_peaks(panel, thresholds, rise=PEAK_RISE, value="value"):
     """Adds ``peak`` (0/1): at least the threshold, at least ``rise`` of it gained
     since the previous row, and not the continuation of such a rise.
 
@@ -36,12 +36,12 @@ def flag_peaks(panel, thresholds, rise=PEAK_RISE):
     panel's shuffle.
     """
     w = by_date()
-    gained = F.try_divide(F.col("value") - F.lag("value").over(w), F.col("value"))
+    gained = F.try_divide(F.col(value) - F.lag(value).over(w), F.col(value))
     return (
         panel.join(thresholds, "series", "left")
         .withColumn(
             "_raw",
-            F.coalesce((gained >= rise) & (F.col("value") >= F.col("threshold")), F.lit(False)),
+            F.coalesce((gained >= rise) & (F.col(value) >= F.col("threshold")), F.lit(False)),
         )
         .withColumn("_again", F.coalesce(F.lag("_raw").over(w), F.lit(False)))
         .withColumn("peak", (F.col("_raw") & ~F.col("_again")).cast("int"))

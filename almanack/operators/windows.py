@@ -41,17 +41,19 @@ def skip_first(df, k, keys=("series",)):
     return df.withColumn("_row", F.row_number().over(w)).where(F.col("_row") > k).drop("_row")
 
 
-def with_cluster_lag(df, clusters, keys=("series",)):
-    """Yesterday's day-of-year cluster, 0 where the day belongs to none.
+def with_code_lag(df, code="year_type_for_doy", keys=("series",)):
+    """Replace a looked-up code by the previous row's, 0 where it had none.
 
-    ``clusters`` is ``(series, year, DoY, year_type_for_doy)``.  The same-day code
-    would leak the outcome, so only the lag is kept.
+    The same-day code would leak the outcome, so only the lag is kept.
     """
     w = by_date(*keys)
-    code = F.coalesce(F.col("year_type_for_doy"), F.lit(0))
     return (
-        df.join(clusters, [*keys, "year", "DoY"], "left")
-        .withColumn("year_type_for_doy", code)
-        .withColumn("year_type_for_doy_lag1", F.lag("year_type_for_doy").over(w))
-        .drop("year_type_for_doy")
+        df.withColumn(code, F.coalesce(F.col(code), F.lit(0)))
+        .withColumn(f"{code}_lag1", F.lag(code).over(w))
+        .drop(code)
     )
+
+
+def with_cluster_lag(df, clusters, keys=("series",)):
+    """Join ``(series, year, DoY, year_type_for_doy)`` and keep yesterday's code."""
+    return with_code_lag(df.join(clusters, [*keys, "year", "DoY"], "left"), keys=keys)

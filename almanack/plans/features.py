@@ -7,10 +7,9 @@ from almanack.functions.angles import direction_class
 from almanack.functions.dates import bucket_by_dates, with_calendar_parts
 from almanack.functions.numeric import growing_degree_days
 from almanack.operators.neighbours import with_other_counts, with_other_sum
-from almanack.operators.panel import without_groups
 from almanack.operators.peaks import flag_peaks, peak_thresholds
 from almanack.operators.seasons import season_dates, season_summary, trim_season
-from almanack.operators.windows import skip_first, with_cluster_lag, with_lags, with_run_lengths
+from almanack.operators.windows import skip_first, with_code_lag, with_lags, with_run_lengths
 
 
 def feature_panel(panel, weather, thresholds, clusters, excluded, cut, lags=3,
@@ -20,35 +19,48 @@ def feature_panel(panel, weather, thresholds, clusters, excluded, cut, lags=3,
     """Assemble the features of every series in one plan.
 
     ``panel`` is the imputed ``(series, date, value)``, ``weather`` one row per day,
-    ``thresholds`` one row per series.  Peak thresholds and season dates come from
-    the days before ``cut`` without the excluded (series, year) groups; peaks and
-    the other series' counts from the untouched panel.  Weather lags are taken
-    before the season is trimmed, run lengths and the other series' lags after it,
-    on the rows that remain.
+    ``thresholds`` one row per series.  It is read by four branches (thresholds,
+    seasons, day totals, the rows themselves), so pass a table, not a long plan.
+
+    Excluded (series, year) groups lose their values before ``cut`` but keep their
+    rows, so lags and runs still step through them.  Peak thresholds and season
+    dates come from what is left before ``cut``; peaks and the other series' sums
+    from the untouched values.  Weather lags are taken before the season is
+    trimmed, run lengths and the other series' lags after it, on the rows that
+    remain.  The lookups by year and day come first, while rows are narrow; after
+    the join by series every window reuses its partitioning.
     """
-    cut = F.lit(cut)
     panel = panel.select("series", "date", "value")
-    years = panel.withColumn("year", F.year("date"))
-    clean_train = without_groups(years.where(F.col("date") < cut), excluded)
-    kept = clean_train.unionByName(years.where(F.col("date") >= cut)).drop("year")
-    peaks = flag_peaks(panel, peak_thresholds(clean_train)).select("series", "date", "peak")
+    dropped = excluded.select("series", "year").distinct().withColumn("_excluded", F.lit(True))
+    untouched = panel.withColumnRenamed("value", "_untouched").withColumns(
+        {"year": F.year("date"), "DoY": F.dayofyear("date")}
+    )
+    usable = F.col("_excluded").isNull() | (F.col("date") >= F.lit(cut))
+    rows = (
+        untouched.join(dropped, ["series", "year"], "left")
+        .withColumn("value", F.when(usable, F.col("_untouched")))
+        .drop("_excluded")
+    )
+    clean_train = rows.where(F.col("date") < F.lit(cut)).select("series", "date", "value")
     season = season_summary(season_dates(clean_train, share))
 
+    df = rows.join(clusters, ["series", "year", "DoY"], "left")
+    df = df.join(thresholds, "series", "left")
+    df = flag_peaks(df, peak_thresholds(clean_train), value="_untouched").drop("_untouched")
+    df = with_code_lag(df)
+    # one weather row per calendar day bounds this broadcast
+    df = with_calendar_parts(df).join(F.broadcast(weather), "date", "left")
     directions = [c for c in S.WEATHER_DIRECTIONS if c in weather.columns]
-    df = with_calendar_parts(kept)
     df = df.withColumns(
-        {"site": bucket_by_dates(F.col("date"), site_cuts),
-         "decade_cat": bucket_by_dates(F.col("date"), decade_cuts)}
-    )
-    # one weather row per calendar day bounds this broadcast
-    df = df.join(F.broadcast(weather), "date", "left")
-    df = df.withColumns({f"{c}_class": direction_class(F.col(c)) for c in directions})
-    df = df.join(peaks, ["series", "date"], "left").join(thresholds, "series", "left")
-    df = df.withColumn(
-        "c_gdd",
-        growing_degree_days(F.col("c_max_air_temp"), F.col("c_min_air_temp"), F.col("temp_threshold")),
+        {
+            "site": bucket_by_dates(F.col("date"), site_cuts),
+            "decade_cat": bucket_by_dates(F.col("date"), decade_cuts),
+            "c_gdd": growing_degree_days(
+                F.col("c_max_air_temp"), F.col("c_min_air_temp"), F.col("temp_threshold")
+            ),
+            **{f"{c}_class": direction_class(F.col(c)) for c in directions},
+        }
     )
-    df = with_cluster_lag(df, clusters)
     df = with_lags(df, [c for c in lagged_weather if c in df.columns], lags)
     df = trim_season(df, season)
     df = with_run_lengths(
