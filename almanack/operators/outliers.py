@@ -30,16 +30,19 @@ def zscore_outliers(features, limit=OUTLIER_Z, keys=("series", "feature")):
     )
 
 
-def without_empty_periods(features):
-    """Leave out periods without variation (spectral entropy 0)."""
-    empty = features.where("feature = 'entropy' AND value = 0").select("series", "period")
-    return features.join(empty, ["series", "period"], "left_anti")
-
-
 def complete_features(features):
     """Leave out, per series, every feature that failed in some period."""
-    failed = features.where("value IS NULL").select("series", "feature").distinct()
-    return features.join(failed, ["series", "feature"], "left_anti")
+    failed = F.max(F.col("value").isNull()).over(Window.partitionBy("series", "feature"))
+    return features.withColumn("_failed", failed).where("NOT _failed").drop("_failed")
+
+
+def without_empty_periods(features):
+    """Leave out periods without variation (spectral entropy 0)."""
+    empty = F.max((F.col("feature") == "entropy") & (F.col("value") == 0)).over(
+        Window.partitionBy("series", "period")
+    )
+    kept = features.withColumn("_empty", F.coalesce(empty, F.lit(False)))
+    return kept.where("NOT _empty").drop("_empty")
 
 
 def _scores(key, pdf):
