@@ -13,57 +13,50 @@ from almanack.operators.panel import by_date, running
 from almanack.settings import NEAREST_YEARS
 
 
-def lookback_rows(span):
-    """Rows after which an older value weighs less than 1e-16.
-
-    A value's weight shrinks by d / (d + a) over a gap of g rows, with a the
-    smoothing factor and d = (1 - a) ** g; the slowest shrinkage per row over all
-    gaps sets the length.
-    """
-    a = 2.0 / (span + 1)
-    slowest = min(
-        -math.log((1 - a) ** g / ((1 - a) ** g + a)) / g if g > 1 else -math.log(1 - a)
-        for g in range(1, 60)
-    )
-    return math.ceil(37.0 / slowest)
-
-
-def _ewm_of(history, alpha):
-    """Fold ``history`` (position, value pairs in order) to its weighted mean."""
-    start = F.struct(F.lit(None).cast("long").alias("p"), F.lit(None).cast("double").alias("y"))
-
-    def step(acc, x):
-        old = F.pow(F.lit(1.0 - alpha), x["p"] - acc["p"])
-        mixed = (old * acc["y"] + alpha * x["v"]) / (old + alpha)
-        return F.struct(
-            x["p"].alias("p"), F.when(acc["y"].isNull(), x["v"]).otherwise(mixed).alias("y")
-        )
-
-    return F.aggregate(history, start, step, lambda acc: acc["y"])
+# decay is measured in e-folds, held as whole multiples of 1 / UNITS
+UNITS = 10 ** 14
+BLOCK = 200
 
 
 def with_ewm(df, span, keys=("series",), value="value", name="ewm"):
     """Exponentially weighted mean of the values up to each row, by row position.
 
-    Null rows repeat the last mean; nulls before the first value stay null.  The
-    recursion is cut off after ``lookback_rows(span)`` rows, where older values no
-    longer register, so a row's work does not grow with the series.  The fold runs
-    only where a gap begins, because that is where the mean is needed.
+    Null rows repeat the last mean; nulls before the first value stay null.
+
+    With smoothing factor a and a gap of g rows since the previous value, the mean
+    is ``y = A y_prev + (1 - A) x`` where ``A = 1 / (1 + a (1 - a) ** -g)``.  Written
+    out, each value counts with the decay passed since then, so y is a weighted
+    running sum.  Weights would overflow over a long series; rows are therefore put
+    into blocks of ``BLOCK`` e-folds of decay, weights restart in each block, and
+    only the block before still matters (anything older weighs below e ** -200).
+    That gives the whole recursion with windows: exact however sparse the values
+    are, and linear in the rows.
     """
+    if span <= 1:
+        raise ValueError("span must be above 1")
+    a = 2.0 / (span + 1)
     w = by_date(*keys)
-    alpha = 2.0 / (span + 1)
-    pair = F.when(
-        F.col(value).isNotNull(),
-        F.struct(F.col("_pos").cast("long").alias("p"), F.col(value).alias("v")),
-    )
-    recent = w.rowsBetween(-lookback_rows(span), Window.currentRow)
-    gap_begins = F.col(value).isNotNull() & F.col("_next").isNull()
-    return (
-        df.withColumns({"_pos": F.row_number().over(w), "_next": F.lead(value).over(w)})
-        .withColumn("_history", F.collect_list(pair).over(recent))
-        .withColumn("_mean", F.when(gap_begins, _ewm_of(F.col("_history"), alpha)))
-        .withColumn(name, F.last("_mean", ignorenulls=True).over(running(w)))
-        .drop("_pos", "_next", "_history", "_mean")
+    seen = F.col(value).isNotNull()
+    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+    df = df.withColumn("_row", F.row_number().over(w))
+    df = df.withColumn("_gap", F.col("_row") - F.max(F.when(seen, F.col("_row"))).over(earlier))
+    growth = F.exp(-math.log(1 - a) * F.col("_gap")) * a
+    step = F.least(F.log1p(growth), F.lit(2.0 * BLOCK))
+    df = df.withColumn("_step", F.when(seen, F.coalesce((step * UNITS).cast("long"), F.lit(0))))
+    df = df.withColumn("_decay", F.coalesce(F.sum("_step").over(running(w)), F.lit(0)))
+    df = df.withColumn("_block", F.expr(f"_decay div {BLOCK * UNITS}"))
+    df = df.withColumn("_inside", (F.col("_decay") - F.col("_block") * (BLOCK * UNITS)) / UNITS)
+    share = F.when(F.col("_gap").isNull(), 1.0).otherwise(-F.expm1(-F.col("_step") / UNITS))
+    block = Window.partitionBy(*keys, "_block").orderBy("date")
+    # same order as by date, but one sort serves these and the windows per block
+    whole = Window.partitionBy(*keys).orderBy("_block", "date")
+    df = df.withColumn("_sum", F.sum(F.col(value) * share * F.exp("_inside")).over(running(block)))
+    enters = F.when(F.lag("_block").over(whole) == F.col("_block") - 1, F.lag("_sum").over(whole))
+    df = df.withColumn("_enters", F.coalesce(enters, F.lit(0.0)))
+    carried = F.first("_enters").over(running(block)) * math.exp(-BLOCK)
+    df = df.withColumn("_mean", F.when(seen, (F.col("_sum") + carried) * F.exp(-F.col("_inside"))))
+    return df.withColumn(name, F.last("_mean", ignorenulls=True).over(running(whole))).drop(
+        "_row", "_gap", "_step", "_decay", "_block", "_inside", "_sum", "_enters", "_mean"
     )
 
 

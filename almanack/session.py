@@ -19,6 +19,8 @@ def local_session(cores="8", partitions="8", memory="8g"):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
+        # small test tables would otherwise be merged into one task
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.shuffle.partitions", partitions)
     )
     for key, value in RECOMMENDED.items():
