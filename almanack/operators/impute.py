@@ -95,25 +95,30 @@ def with_backfill(df, keys=("series",), value="value", name="backfill"):
     return df.withColumn(name, F.last(value, ignorenulls=True).over(running(later)))
 
 
+def _filled(df, column, span, n_years, keys, method):
+    """Fill ``column`` in place and add the name of the step that did it."""
+    df = with_ewm(df, span, keys, column, "_ewm")
+    df = df.withColumn("_one", F.coalesce(column, "_ewm"))
+    df = with_nearest_years(df, n_years, keys, "_one", "_doy")
+    df = df.withColumn("_two", F.coalesce("_one", "_doy"))
+    df = with_backfill(df, keys, "_two", "_next")
+    step = (
+        F.when(F.col(column).isNotNull(), "observed")
+        .when(F.col("_ewm").isNotNull(), "ewm")
+        .when(F.col("_doy").isNotNull(), "doy")
+        .when(F.col("_next").isNotNull(), "bfill")
+    )
+    df = df.withColumn(method, step).withColumn(column, F.coalesce("_two", "_next"))
+    return df.drop("_ewm", "_one", "_doy", "_two", "_next")
+
+
 def impute(grid, span, n_years=NEAREST_YEARS, keys=("series",)):
     """Fill a dense grid; adds ``impute_method`` in observed, ewm, doy, bfill.
 
     A value nothing could fill stays null with a null method.
     """
-    df = with_ewm(grid, span, keys)
-    df = df.withColumn("_one", F.coalesce("value", "ewm"))
-    df = with_nearest_years(df, n_years, keys, "_one")
-    df = df.withColumn("_two", F.coalesce("_one", "doy_mean"))
-    df = with_backfill(df, keys, "_two")
-    method = (
-        F.when(F.col("value").isNotNull(), "observed")
-        .when(F.col("ewm").isNotNull(), "ewm")
-        .when(F.col("doy_mean").isNotNull(), "doy")
-        .when(F.col("backfill").isNotNull(), "bfill")
-    )
-    return df.withColumn("impute_method", method).select(
-        *keys, "date", F.coalesce("_two", "backfill").alias("value"), "impute_method"
-    )
+    rows = grid.select(*keys, "date", "value")
+    return _filled(rows, "value", span, n_years, keys, "impute_method")
 
 
 def split_impute(grid, cut, span, n_years=NEAREST_YEARS, keys=("series",)):
@@ -139,19 +144,17 @@ def impute_groups(grid, groups, cut=None):
     return whole
 
 
-def impute_directions(grid, span, n_years=NEAREST_YEARS):
-    """Impute degrees through their sine and cosine, so 350 and 10 meet at 0."""
-    both = grid.withColumn(
-        "_parts",
-        F.array(
-            F.struct(F.lit("sin").alias("part"), F.sin(F.radians("value")).alias("v")),
-            F.struct(F.lit("cos").alias("part"), F.cos(F.radians("value")).alias("v")),
-        ),
-    ).select("series", "date", F.inline("_parts")).withColumnRenamed("v", "value")
-    filled = impute(both, span, n_years, keys=("series", "part"))
-    y = F.max(F.when(F.col("part") == "sin", F.col("value")))
-    x = F.max(F.when(F.col("part") == "cos", F.col("value")))
-    return filled.groupBy("series", "date").agg(
-        F.pmod(F.degrees(F.atan2(y, x)), F.lit(360.0)).alias("value"),
-        F.first("impute_method").alias("impute_method"),
+def impute_directions(grid, span, n_years=NEAREST_YEARS, keys=("series",)):
+    """Impute degrees through their sine and cosine, so 350 and 10 meet at 0.
+
+    Both parts are columns of one frame and share its shuffle.  An observed
+    direction comes back as it was, brought into [0, 360).
+    """
+    df = grid.select(
+        *keys, "date",
+        F.sin(F.radians("value")).alias("_y"), F.cos(F.radians("value")).alias("_x"),
     )
+    df = _filled(df, "_y", span, n_years, keys, "impute_method")
+    df = _filled(df, "_x", span, n_years, keys, "_same")
+    turned = F.pmod(F.degrees(F.atan2("_y", "_x")), F.lit(360.0))
+    return df.select(*keys, "date", turned.alias("value"), "impute_method")

@@ -141,17 +141,14 @@ def memory_features(df):
             - F.regr_intercept("value", F.col("pos").cast("double")).over(whole),
         }
     )
-    products = {
-        f"_p{c}_{lag}": F.col(f"_c{c}") * F.lag(f"_c{c}", lag).over(order)
-        for c in (0, 1, 2)
-        for lag in ([1, 2, 3, 4, 5, SEASON] if c == 0 else [1, 2, 3, 4, 5])
-    }
-    products |= {
-        f"_q{lag}": F.col("_e") * F.lag("_e", lag).over(order) for lag in range(1, KPSS_MAX_LAG + 1)
-    }
-    products |= {f"_h{lag}": F.col("value") - F.lag("value", lag).over(order) for lag in HURST_LAGS}
-    products["_s"] = F.sum("_e").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.withColumns(products)
+    in_order = "OVER (PARTITION BY series, period ORDER BY pos)"
+    lagged = [(f"_p{c}_{lag}", f"_c{c} * lag(_c{c}, {lag}) {in_order}")
+              for c in (0, 1, 2) for lag in (1, 2, 3, 4, 5)]
+    lagged.append((f"_p0_{SEASON}", f"_c0 * lag(_c0, {SEASON}) {in_order}"))
+    lagged += [(f"_q{lag}", f"_e * lag(_e, {lag}) {in_order}") for lag in range(1, KPSS_MAX_LAG + 1)]
+    lagged += [(f"_h{lag}", f"value - lag(value, {lag}) {in_order}") for lag in HURST_LAGS]
+    lagged.append(("_s", f"sum(_e) {in_order[:-1]} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"))
+    rows = rows.selectExpr("*", *[f"{rule} AS {name}" for name, rule in lagged])
 
     def acf(c, lag):
         return _ratio(F.sum(f"_p{c}_{lag}"), F.sum(F.pow(F.col(f"_c{c}"), 2)))
@@ -172,11 +169,10 @@ def memory_features(df):
         ).otherwise(0.0)
     kpss = _ratio(F.sum(F.pow(F.col("_s"), 2)) / (n * n), long_run)
 
-    spread = F.array(
-        *[
-            F.struct(F.lit(float(lag)).alias("lag"), F.stddev_pop(f"_h{lag}").alias("sd"))
-            for lag in HURST_LAGS
-        ]
+    spread = F.expr(
+        "array(" + ", ".join(
+            f"struct(double({lag}) AS lag, stddev_pop(_h{lag}) AS sd)" for lag in HURST_LAGS
+        ) + ")"
     )
     one_row = rows.groupBy(*GROUP).agg(
         acf(0, 1).alias("y_acf1"), acf5(0).alias("y_acf5"),

@@ -1,5 +1,6 @@
 """Forward-walking validation: later starts, expanding folds."""
 
+import json
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
@@ -73,7 +74,7 @@ def forward_walk_search(df, grid, fit, predict, truth, max_starts=MAX_STARTS,
         scored = predict(fit(train, **params), test)
         result = classification_metrics(scored, "prediction", truth).first().asDict()
         return {
-            "params": str(params), "start_year": split["start_year"], "fold": split["fold"],
+            "params": json.dumps(params), "start_year": split["start_year"], "fold": split["fold"],
             **{m: result[m] for m in ("precision", "sensitivity", "specificity", "geometric_mean")},
         }
 
@@ -96,5 +97,4 @@ def forward_walk_search(df, grid, fit, predict, truth, max_starts=MAX_STARTS,
         .orderBy(F.desc(f"mean_test_{rank_by}"))
     )
     ranked = results.orderBy(F.desc(f"mean_test_{rank_by}"), "start_year", "params")
-    best = ranked.first()["params"]
-    return results, next(p for p in settings if str(p) == best)
+    return results, json.loads(ranked.first()["params"])

@@ -1,5 +1,7 @@
 """Two stages: will the day be a peak, then how high is the count."""
 
+import json
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
@@ -8,6 +10,8 @@ from almanack import settings as S
 from almanack.operators.bagging import fit_bags, predict_bags
 from almanack.operators.encode import fit_matrix, restrict
 from almanack.operators.panel import drop_by_prefix, split_at
+from almanack.operators.walkforward import forward_walk_search
+from almanack.sources.runs import load_latest, save_best
 from almanack.sources.sinks import staged
 
 KEY = ["series", "date"]
@@ -52,6 +56,27 @@ def predicted_peaks(frame, cut, selected=None, **bagging):
     return scored.select(*KEY, "prediction", "peak", "outcome"), models
 
 
+def tune_peaks(train, grid, root, stamp, features="features", **search):
+    """Search the bagging parameters forward in time and store the table.
+
+    Returns the best parameters; ``stored_parameters`` finds them again.
+    """
+
+    def fit(rows, **params):
+        return fit_bags(rows, "peak", KEY, features=features, **params)
+
+    results, best = forward_walk_search(train, grid, fit, predict_bags, "peak", **search)
+    save_best(results.drop("date_run"), root, stamp)
+    return best
+
+
+def stored_parameters(spark, root, schema, rank_by="precision"):
+    """Best parameters of the newest stored search."""
+    newest = load_latest(spark, root, schema)
+    row = newest.orderBy(F.desc(f"mean_test_{rank_by}"), "start_year", "params").first()
+    return json.loads(row["params"])
+
+
 def attach_peaks(frame, predicted, cut):
     """Before the cut the true peak is a feature, afterwards only the predicted one."""
     train, test = split_at(frame, "date", cut)

@@ -35,7 +35,9 @@ def three_datasets(table, switch=S.STATION_SWITCH, flags=("c_thunder_day_flag",)
                    directions=("c_mean_wind_dir",), passed=("c_max_gust_dir",)):
     """``(dataset, variable, date, value, n_stations)``: nearest station, station
     mean and station median.  Flags become any-station flags, directions circular
-    means, and ``passed`` variables come through as they are."""
+    means, and ``passed`` variables come through as they are.
+
+    The table is read by each of the branches below: pass a written one."""
     keys = ["variable", "date"]
     apart = [*flags, *directions, *passed]
     plain = table.where(~F.col("variable").isin(apart))
@@ -73,7 +75,9 @@ def wide_dataset(datasets, name, variables):
 
 
 def consensus_weather(station_rows, wind, rules=None):
-    """Station rows (with year, ring, site, date) and wind readings to one row per day."""
+    """Station rows (with year, ring, site, date) and wind readings to one row per day.
+
+    The rows are read twice, for the coverage and for the values: pass a written table."""
     chosen = st.choose_ring(station_rows, st.ring_coverage(station_rows))
     daily = st.consensus_daily(chosen, rules or S.CONSENSUS)
     mean_dir = st.daily_direction(wind, ["date"], "mean_wind_dir", "c_mean_wind_dir")

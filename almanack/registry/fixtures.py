@@ -214,10 +214,13 @@ STATIONS = f"""stations AS (
 
 
 def thresholds(spark, folder):
-    """One row per series, from the orders of each priority."""
-    return table(spark, folder, "orders").groupBy(F.col("o_orderpriority").alias("series")).agg(
-        (F.substring(F.first("o_orderpriority"), 1, 1).cast("double") + 24.25).alias("temp_threshold"),
-        (F.substring(F.first("o_orderpriority"), 1, 1).cast("double") + 3).alias("precip_threshold"),
+    """One row per series, from the priorities of the orders."""
+    rank = F.substring("series", 1, 1).cast("double")
+    priorities = table(spark, folder, "orders").select(F.col("o_orderpriority").alias("series"))
+    return priorities.distinct().select(
+        "series",
+        (rank + 24.25).alias("temp_threshold"),
+        (rank + 3).alias("precip_threshold"),
         F.lit(7.0).alias("max_wind_speed_threshold"),
     )
 

@@ -5,6 +5,7 @@ from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from almanack.operators import bagging, encode, metrics, selection, walkforward
 from almanack.operators.panel import drop_by_prefix, split_at
@@ -223,28 +224,21 @@ def model_store(spark, folder):
     return PipelineModel.load(path).transform(test).select("series", "date", "prediction", "peak")
 
 
-def _fit_tree(train, depth):
-    assembler = VectorAssembler(inputCols=COLUMNS, outputCol="features")
-    tree = DecisionTreeClassifier(featuresCol="features", labelCol="peak", maxDepth=depth, seed=42)
-    return Pipeline(stages=[assembler, tree]).fit(train)
-
-
-def _predict_tree(model, test):
-    return model.transform(test)
+_RESULTS = (
+    "start_year int, params string, mean_test_precision double, mean_test_sensitivity double, "
+    "mean_test_specificity double, mean_test_geometric_mean double"
+)
 
 
 @register("hyperparameter_store")
 def hyperparameter_store(spark, folder):
     """Forward-walking search, its table stored under a stamp, the newest read back."""
     train = split_at(one_series(spark, folder), "date", fx.SPLIT)[0]
-    results, _ = walkforward.forward_walk_search(
-        train, {"depth": [2, 4]}, _fit_tree, _predict_tree, "peak", max_starts=2
-    )
+    matrix = VectorAssembler(inputCols=COLUMNS, outputCol="features").transform(train)
     root = sinks.staging_path(spark, "tuning")
     stamp = spark.range(1).select(runs.run_stamp(F.current_timestamp())).first()[0]
-    results = results.drop("date_run")
-    runs.save_best(results, root, stamp)
-    return runs.load_latest(spark, root, results.schema)
+    forecast.tune_peaks(matrix, {"bags": [1], "trees": [2, 4]}, root, stamp, max_starts=1)
+    return runs.load_latest(spark, root, StructType.fromDDL(_RESULTS))
 
 
 @register("series_columns_dropped")

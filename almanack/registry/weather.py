@@ -3,14 +3,13 @@
 from pyspark.sql import functions as F
 
 from almanack.functions.angles import direction_class
-from almanack.functions.geo import haversine
 from almanack.operators import stations as st
 from almanack.operators.effects import class_effect_rank
-from almanack.operators.panel import daily_panel
 from almanack.plans import weather as plan
 from almanack.registry import fixtures as fx
 from almanack.registry.base import register, with_
-from almanack.settings import EARTH_RADIUS_M, SAMPLER_EARLIER, SAMPLER_LATER
+from almanack.settings import SAMPLER_EARLIER, SAMPLER_LATER
+from almanack.sources.sinks import staged
 
 
 def circular_sql(column, rounded=True):
@@ -239,7 +238,7 @@ _CONSENSUS = """consensus AS (
 
 @register("consensus_daily", with_(*_RELATIONS, _COVERAGE, _CONSENSUS) + "SELECT * FROM consensus")
 def consensus_daily(spark, folder):
-    rows = _station_rows(spark, folder)
+    rows = staged(_station_rows(spark, folder), "station-rows")
     return st.consensus_daily(st.choose_ring(rows, st.ring_coverage(rows)), _RULES)
 
 
@@ -253,7 +252,8 @@ def consensus_daily(spark, folder):
          FROM wind GROUP BY date)""") + """
   SELECT * FROM consensus FULL JOIN m USING (date) FULL JOIN g USING (date) FULL JOIN sp USING (date)""")
 def consensus_weather(spark, folder):
-    daily = plan.consensus_weather(_station_rows(spark, folder), fx.wind(spark, folder), _RULES)
+    rows = staged(_station_rows(spark, folder), "station-rows")
+    daily = plan.consensus_weather(rows, fx.wind(spark, folder), _RULES)
     return daily.withColumns(
         {c: rounded_direction(F.col(c)) for c in ("c_mean_wind_dir", "c_max_gust_dir")}
     )
@@ -275,7 +275,7 @@ def _daily_station_table(spark, folder):
         F.when(F.col("variable") == "c_thunder_day_flag", F.greatest(F.col("value") - 60, F.lit(0.0)))
         .otherwise(F.col("value")),
     )
-    return plan.daily_station_table(hourly, daily, fx.stations(spark, folder))
+    return staged(plan.daily_station_table(hourly, daily, fx.stations(spark, folder)), "station-days")
 
 
 _DATASETS = (fx.STATION_HOURLY, fx.STATION_DAILY, fx.STATIONS, f"""hourly AS (

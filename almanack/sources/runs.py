@@ -1,6 +1,7 @@
 """Time-stamped artefacts: naming them and finding the newest."""
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 STAMP = "ddMMyyyy_HHmm"
 
@@ -26,7 +27,8 @@ def save_best(df, root, stamp):
 
 def load_latest(spark, root, schema):
     """Rows of the newest stored result; only its partition is read."""
-    runs = spark.read.schema(schema.add("run_ts", "string")).parquet(root)
+    stored = StructType([*schema.fields, StructField("run_ts", StringType())])
+    runs = spark.read.schema(stored).parquet(root)
     stamp = F.try_to_timestamp("run_ts", F.lit(STAMP))
     newest = runs.select("run_ts").distinct().agg(F.max_by("run_ts", stamp)).first()[0]
     return runs.where(F.col("run_ts") == newest)
