@@ -80,9 +80,13 @@ def counted_median(df, keys, value, name):
     )
 
 
-def agg_with_median(df, keys, value, name, *others, max_rows=MAX_GROUP_ROWS):
-    """``groupBy(keys)`` with an exact median of ``value`` and other aggregates."""
-    heavy = heavy_groups(df, keys, max_rows)
+def agg_with_median(df, keys, value, name, *others, max_rows=MAX_GROUP_ROWS, screen=None):
+    """``groupBy(keys)`` with an exact median of ``value`` and other aggregates.
+
+    ``screen`` may name a table that is cheaper to scan and has at least as many
+    rows in every group, such as the readings that ``df`` aggregates.
+    """
+    heavy = heavy_groups(df if screen is None else screen, keys, max_rows)
 
     def plain(part):
         return part.groupBy(*keys).agg(*others, F.median(value).alias(name))

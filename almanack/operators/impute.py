@@ -95,13 +95,22 @@ def with_backfill(df, keys=("series",), value="value", name="backfill"):
     return df.withColumn(name, F.last(value, ignorenulls=True).over(running(later)))
 
 
-def _filled(df, column, span, n_years, keys, method):
-    """Fill ``column`` in place and add the name of the step that did it."""
-    df = with_ewm(df, span, keys, column, "_ewm")
+def _filled(df, column, span, n_years, keys, method, cut=None):
+    """Fill ``column`` in place and add the name of the step that did it.
+
+    With a ``cut``, rows before it use only rows before it.  The weighted mean
+    looks backwards anyway and rows from the cut on backfill from rows after them,
+    so only the nearest years are looked up both ways.
+    """
+    early = F.lit(True) if cut is None else F.col("date") < F.lit(cut)
+    df = with_ewm(df, span, keys, column, "_ewm").withColumn("_early", early)
     df = df.withColumn("_one", F.coalesce(column, "_ewm"))
-    df = with_nearest_years(df, n_years, keys, "_one", "_doy")
+    df = with_nearest_years(df, n_years, (*keys, "_early"), "_one", "_doy")
+    if cut is not None:
+        df = with_nearest_years(df, n_years, keys, "_one", "_doy_of_all")
+        df = df.withColumn("_doy", F.when(F.col("_early"), F.col("_doy")).otherwise(F.col("_doy_of_all")))
     df = df.withColumn("_two", F.coalesce("_one", "_doy"))
-    df = with_backfill(df, keys, "_two", "_next")
+    df = with_backfill(df, (*keys, "_early"), "_two", "_next")
     step = (
         F.when(F.col(column).isNotNull(), "observed")
         .when(F.col("_ewm").isNotNull(), "ewm")
@@ -109,7 +118,7 @@ def _filled(df, column, span, n_years, keys, method):
         .when(F.col("_next").isNotNull(), "bfill")
     )
     df = df.withColumn(method, step).withColumn(column, F.coalesce("_two", "_next"))
-    return df.drop("_ewm", "_one", "_doy", "_two", "_next")
+    return df.drop("_ewm", "_one", "_doy", "_doy_of_all", "_two", "_next", "_early")
 
 
 def impute(grid, span, n_years=NEAREST_YEARS, keys=("series",)):
@@ -122,10 +131,12 @@ def impute(grid, span, n_years=NEAREST_YEARS, keys=("series",)):
 
 
 def split_impute(grid, cut, span, n_years=NEAREST_YEARS, keys=("series",)):
-    """Rows before ``cut`` see only rows before it; later rows see everything."""
-    before = impute(grid.where(F.col("date") < F.lit(cut)), span, n_years, keys)
-    after = impute(grid, span, n_years, keys).where(F.col("date") >= F.lit(cut))
-    return before.unionByName(after)
+    """Rows before ``cut`` see only rows before it; later rows see everything.
+
+    Both in one pass over the grid.
+    """
+    rows = grid.select(*keys, "date", "value")
+    return _filled(rows, "value", span, n_years, keys, "impute_method", cut)
 
 
 def impute_groups(grid, groups, cut=None):
@@ -144,7 +155,7 @@ def impute_groups(grid, groups, cut=None):
     return whole
 
 
-def impute_directions(grid, span, n_years=NEAREST_YEARS, keys=("series",)):
+def impute_directions(grid, span, n_years=NEAREST_YEARS, keys=("series",), cut=None):
     """Impute degrees through their sine and cosine, so 350 and 10 meet at 0.
 
     Both parts are columns of one frame and share its shuffle.  An observed
@@ -154,7 +165,7 @@ def impute_directions(grid, span, n_years=NEAREST_YEARS, keys=("series",)):
         *keys, "date",
         F.sin(F.radians("value")).alias("_y"), F.cos(F.radians("value")).alias("_x"),
     )
-    df = _filled(df, "_y", span, n_years, keys, "impute_method")
-    df = _filled(df, "_x", span, n_years, keys, "_same")
+    df = _filled(df, "_y", span, n_years, keys, "impute_method", cut)
+    df = _filled(df, "_x", span, n_years, keys, "_same", cut)
     turned = F.pmod(F.degrees(F.atan2("_y", "_x")), F.lit(360.0))
     return df.select(*keys, "date", turned.alias("value"), "impute_method")

@@ -38,8 +38,8 @@ def station_mean(df, keys=("variable", "date")):
     return df.groupBy(*keys).agg(F.avg("value").alias("value"))
 
 
-def station_median(df, keys=("variable", "date"), max_rows=MAX_GROUP_ROWS):
-    return agg_with_median(df, list(keys), "value", "value", max_rows=max_rows)
+def station_median(df, keys=("variable", "date"), max_rows=MAX_GROUP_ROWS, screen=None):
+    return agg_with_median(df, list(keys), "value", "value", max_rows=max_rows, screen=screen)
 
 
 def any_flag(flag):

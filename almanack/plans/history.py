@@ -14,6 +14,11 @@ def selected_counts(panel, min_years=S.MIN_YEARS, min_prevalence=S.MIN_PREVALENC
     return panel.join(kept, "series", "left_semi")
 
 
+def modelled_counts(panel, unmodelled=tuple(S.UNMODELLED_SERIES)):
+    """Without the series that only serve as features of others."""
+    return panel.where(~F.col("series").isin(list(unmodelled)))
+
+
 def imputed_history(counts, weather, start, end, cut, directions=(), circular=False,
                     n_years=S.NEAREST_YEARS):
     """Long ``(series, date, value, impute_method)`` of counts and weather on every day.
@@ -34,6 +39,4 @@ def imputed_history(counts, weather, start, end, cut, directions=(), circular=Fa
     winds = grid.where(is_direction)
     if not circular:
         return filled.unionByName(split_impute(winds, cut, S.SPAN_WEATHER, n_years))
-    before = impute_directions(winds.where(F.col("date") < F.lit(cut)), S.SPAN_WEATHER, n_years)
-    after = impute_directions(winds, S.SPAN_WEATHER, n_years).where(F.col("date") >= F.lit(cut))
-    return filled.unionByName(before).unionByName(after)
+    return filled.unionByName(impute_directions(winds, S.SPAN_WEATHER, n_years, cut=cut))

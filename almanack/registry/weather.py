@@ -60,7 +60,10 @@ def station_mean(spark, folder):
 @register("station_median", with_(fx.STATION_DAILY) + """
   SELECT variable, date, median(value) AS value FROM station_daily GROUP BY 1, 2""")
 def station_median(spark, folder):
-    return st.station_median(fx.station_daily(spark, folder))
+    readings = fx.table(spark, folder, "lineitem").select(
+        F.col("l_returnflag").alias("variable"), fx.day("l_shipdate").alias("date")
+    )
+    return st.station_median(fx.station_daily(spark, folder), screen=readings)
 
 
 @register("any_flag", with_(fx.FLAG_DAILY) + """
