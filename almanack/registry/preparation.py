@@ -63,6 +63,17 @@ def scan_filter(spark, folder):
     return both.select("l_orderkey", "l_linenumber", "l_returnflag", "l_quantity", "part")
 
 
+SCAN = """
+  SELECT event_id, CAST(ts AS DATE) AS date, event_type AS variable, value, user_id
+  FROM {events} WHERE event_type IN ('click', 'view') AND value IS NOT NULL"""
+
+
+@register("sql_scan", SCAN.format(events="events"))
+def sql_scan(spark, folder):
+    """The same text in Spark SQL; the membership filter reaches the scan."""
+    return spark.sql(SCAN, events=fx.table(spark, folder, "events"))
+
+
 @register("name_normalise", """
   SELECT c_custkey AS cust_key, c_name AS customer_name, c_nationkey AS nation_key,
          c_acctbal AS acct_bal, c_mktsegment AS mkt_segment FROM customer""")

@@ -92,6 +92,13 @@ def test_medians_of_heavy_groups(spark, limit):
     assert {r["k"]: r["m"] for r in both.collect()} == expected
 
 
+def test_screening_on_a_cheaper_table(spark):
+    raw = spark.range(900).select((F.col("id") % 2).alias("k"), (F.col("id") % 90).alias("site"), "id")
+    daily = raw.groupBy("k", "site").agg(F.sum("id").cast("double").alias("v"))
+    expected = sorted(daily.groupBy("k").agg(F.median("v").alias("m")).collect())
+    assert sorted(agg_with_median(daily, ["k"], "v", "m", max_rows=100, screen=raw).collect()) == expected
+
+
 def test_heavy_groups_are_named(spark):
     rows = spark.range(3000).select(F.when(F.col("id") < 1000, -1).otherwise(F.col("id")).alias("k"))
     hashed = spark.range(1).select(F.xxhash64(F.lit(-1).cast("long"))).first()[0]
@@ -195,6 +202,24 @@ def test_split_imputation_does_not_look_ahead(spark, series_frame):
     assert one.count() == 7
 
 
+def test_split_imputation_equals_two_runs(spark, series_frame):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    v = [None if rng.random() < 0.4 else float(x) for x in rng.integers(0, 99, 1500)]
+    grid = series_frame({"a": [None] * 420 + v, "b": v + [None] * 30, "c": [None] * 900 + v[:700]})
+    cut = date(2021, 2, 3)
+    one = im.split_impute(grid, cut, 7, 2)
+    two = im.impute(grid.where(F.col("date") < F.lit(cut)), 7, 2).unionByName(
+        im.impute(grid, 7, 2).where(F.col("date") >= F.lit(cut))
+    )
+
+    def rounded(df):
+        return df.withColumn("value", F.round("value", 6))
+
+    assert rounded(one).exceptAll(rounded(two)).isEmpty() and one.count() == two.count()
+
+
 def test_directions_are_imputed_around_the_circle(spark, series_frame):
     got = values(im.impute_directions(series_frame({"w": [350.0, 10.0, None]}), 1.0000001))
     assert math.isclose((got[2] - 10 + 180) % 360, 180, abs_tol=1e-3)

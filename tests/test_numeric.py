@@ -162,3 +162,23 @@ def test_shadow_selection_separates_signal_from_noise(spark):
 def test_binomial_tail():
     assert selection.binomial_tail(0, 5) == 1.0
     assert selection.binomial_tail(5, 5) == 1 / 32
+
+
+def test_search_is_stored_and_found_again(spark, tmp_path):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql.types import StructType
+
+    from almanack.plans.forecast import stored_parameters, tune_peaks
+    from almanack.registry.models import _RESULTS
+
+    days = spark.range(1200).select(
+        F.lit("a").alias("series"), F.date_add(F.lit(date(2000, 1, 1)), F.col("id").cast("int")).alias("date"),
+        F.randn(4).alias("x"),
+    ).withColumn("peak", (F.col("x") > 0.8).cast("int"))
+    train = VectorAssembler(inputCols=["x"], outputCol="features").transform(days)
+    root = str(tmp_path / "tuning")
+    best = tune_peaks(train, {"bags": [1], "depth": [1, 2], "trees": [2]}, root, "01012024_1200", max_starts=1)
+    spark.read.parquet(f"{root}/run_ts=01012024_1200").withColumn("params", F.lit("{}")).write.parquet(
+        f"{root}/run_ts=31122023_2359"
+    )
+    assert stored_parameters(spark, root, StructType.fromDDL(_RESULTS)) == best
