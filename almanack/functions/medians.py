@@ -9,6 +9,8 @@ middle rank is found from the cell counts, and only that cell's distinct values
 are ranked.  Both ways are exact, so the sketch only affects speed.
 """
 
+from functools import reduce
+
 from pyspark.sql import Window, functions as F
 
 MAX_GROUP_ROWS = 2_000_000
@@ -39,6 +41,15 @@ def _cell(value):
     ).cast("long")
 
 
+def _join_groups(left, right, keys, how):
+    """Join on group keys where a null key is a group like any other."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(
+        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    )
+    return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def counted_median(df, keys, value, name):
     """Exact median per group by two levels of counting.
 
@@ -67,10 +78,9 @@ def counted_median(df, keys, value, name):
         .orderBy("_v")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
+    counted = rows.groupBy(*keys, "_cell", "_v").agg(F.count(F.lit(1)).alias("_m"))
     return (
-        rows.groupBy(*keys, "_cell", "_v")
-        .agg(F.count(F.lit(1)).alias("_m"))
-        .join(cells, [*keys, "_cell"])
+        _join_groups(counted, cells, [*keys, "_cell"], "inner")
         .withColumn("_upto", F.col("_before") + F.sum("_m").over(inside))
         .where(
             "(_low <= _upto AND _low > _upto - _m) OR (_high <= _upto AND _high > _upto - _m)"
@@ -98,7 +108,7 @@ def agg_with_median(df, keys, value, name, *others, max_rows=MAX_GROUP_ROWS, scr
             return medians.unionByName(
                 nothing.drop("_n").withColumn(name, F.lit(None).cast("double"))
             )
-        return part.groupBy(*keys).agg(*others).join(medians, list(keys), "left")
+        return _join_groups(part.groupBy(*keys).agg(*others), medians, keys, "left")
 
     if heavy is None:
         return split(df)

@@ -79,6 +79,20 @@ def pivot_wide(df, index, key, value, names):
     return df.groupBy(*index).pivot(key, list(names)).agg(one)
 
 
+def one_per_day(df):
+    """The table itself, once it is certain to have one row per date.
+
+    Used before a broadcast: the calendar then bounds its size.
+    """
+    twice = F.raise_error(F.lit("two rows for one date"))
+    return df.groupBy("date").agg(
+        *[
+            F.when(F.count(F.lit(1)) > 1, twice).otherwise(F.first(c)).alias(c)
+            for c in df.columns if c != "date"
+        ]
+    )
+
+
 def melt_long(df, ids, columns, key="variable", value="value"):
     return df.unpivot(list(ids), list(columns), key, value)
 

@@ -7,6 +7,7 @@ from almanack.functions.angles import direction_class
 from almanack.functions.dates import bucket_by_dates, with_calendar_parts
 from almanack.functions.numeric import growing_degree_days
 from almanack.operators.neighbours import with_other_counts, with_other_sum
+from almanack.operators.panel import one_per_day
 from almanack.operators.peaks import flag_peaks, peak_thresholds
 from almanack.operators.seasons import season_dates, season_summary, trim_season
 from almanack.operators.windows import skip_first, with_code_lag, with_lags, with_run_lengths
@@ -48,8 +49,8 @@ def feature_panel(panel, weather, thresholds, clusters, excluded, cut, lags=3,
     df = df.join(thresholds, "series", "left")
     df = flag_peaks(df, peak_thresholds(clean_train), value="_untouched").drop("_untouched")
     df = with_code_lag(df)
-    # one weather row per calendar day bounds this broadcast
-    df = with_calendar_parts(df).join(F.broadcast(weather), "date", "left")
+    # one row per calendar day bounds this broadcast
+    df = with_calendar_parts(df).join(F.broadcast(one_per_day(weather)), "date", "left")
     directions = [c for c in S.WEATHER_DIRECTIONS if c in weather.columns]
     df = df.withColumns(
         {

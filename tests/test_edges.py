@@ -84,7 +84,9 @@ def test_medians_of_heavy_groups(spark, limit):
     rows = spark.range(5000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 200)).alias("k"),
         ((F.xxhash64("id") % 1000) / 7.0).alias("v"),
-    ).unionByName(spark.createDataFrame([("empty", None), ("one", -3.5)], "k string, v double"))
+    ).unionByName(
+        spark.createDataFrame([("empty", None), ("one", -3.5), (None, 4.0), (None, 5.0)], "k string, v double")
+    )
     expected = {r["k"]: r["m"] for r in rows.groupBy("k").agg(F.median("v").alias("m")).collect()}
     got = agg_with_median(rows, ["k"], "v", "m", max_rows=limit)
     assert {r["k"]: r["m"] for r in got.collect()} == expected
@@ -141,6 +143,13 @@ def test_fallback_only_where_nothing_is_known(spark, series_frame):
     ]
 
 
+def test_one_row_per_day_is_enforced(spark):
+    good = spark.createDataFrame([(date(2020, 1, 1), 1.0), (date(2020, 1, 2), None)], "date date, a double")
+    assert pn.one_per_day(good).orderBy("date").collect() == good.orderBy("date").collect()
+    with pytest.raises(Exception, match="two rows for one date"):
+        pn.one_per_day(good.unionByName(good)).collect()
+
+
 def test_pivot_rejects_two_values(spark, series_frame):
     df = series_frame({"a": [1]}).unionByName(series_frame({"a": [2]}))
     with pytest.raises(Exception, match="two values for one cell"):
