@@ -132,19 +132,71 @@ def impute_groups(spark, folder):
     return im.impute_groups(_grid(spark, folder), groups).withColumn("value", F.round("value", 3))
 
 
-@register("impute_directions")
-def impute_directions(spark, folder):
-    degrees = _grid(spark, folder).withColumn("value", F.col("value") % 360)
-    return im.impute_directions(degrees, 5)
+def around_360(column):
+    return F.round(column, 3) % 360
 
 
-@register("imputed_history")
+def directions_sql(source, span, n, out):
+    """``out(series, date, value, impute_method)`` through sines and cosines."""
+    return ",\n".join(
+        [
+            f"{out}_y AS (SELECT series, date, sin(radians(value)) AS value FROM {source})",
+            f"{out}_x AS (SELECT series, date, cos(radians(value)) AS value FROM {source})",
+            impute_sql(f"{out}_y", span, n, f"{out}_fy"),
+            impute_sql(f"{out}_x", span, n, f"{out}_fx"),
+            f"""{out} AS (
+    SELECT y.series, y.date, y.impute_method,
+           degrees(atan2(y.value, x.value)) + CASE WHEN atan2(y.value, x.value) < 0 THEN 360 ELSE 0 END AS value
+    FROM {out}_fy y JOIN {out}_fx x ON x.series = y.series AND x.date = y.date)""",
+        ]
+    )
+
+
+@register("impute_directions", with_(
+    fx.OBS_NATION, fx.GRID, "degrees_grid AS (SELECT series, date, value % 360 AS value FROM grid)",
+    directions_sql("degrees_grid", 5, 12, "turned"))
+    + "SELECT series, date, round(value, 3) % 360 AS value, impute_method FROM turned")
+def impute_directions(spark, folder):
+    degrees = _grid(spark, folder).withColumn("value", F.col("value") % 360)
+    return im.impute_directions(degrees, 5).withColumn("value", around_360("value"))
+
+
+_WEATHER_COLUMNS = [
+    "c_max_air_temp", "c_min_air_temp", "c_prcp_amt", "c_max_mean_wind_speed", "c_avg_airpress",
+]
+
+
+def _both_sides(early, whole):
+    return f"""SELECT * FROM {early} UNION ALL SELECT * FROM {whole} WHERE date >= DATE '{fx.SPLIT}'"""
+
+
+@register("imputed_history", with_(
+    fx.OBS, """kept AS (SELECT series FROM obs WHERE value IS NOT NULL GROUP BY series
+    HAVING count(*) / 365 > 0.1 AND sum(CASE WHEN value < 1 THEN 0 ELSE 1 END) / count(*) > 0.01)""",
+    fx.WEATHER, fx.GRID.replace("(SELECT DISTINCT series FROM obs)", "kept"),
+    "readings AS (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS series, date, {c} AS value FROM weather" for c in _WEATHER_COLUMNS) + ")",
+    """numbers AS (SELECT s.series, d.date, r.value FROM (SELECT DISTINCT series FROM readings) s
+    CROSS JOIN days d LEFT JOIN readings r ON r.series = s.series AND r.date = d.date),
+  winds AS (SELECT 'c_mean_wind_dir' AS series, d.date, c_mean_wind_dir AS value
+            FROM days d LEFT JOIN weather w ON w.date = d.date)""",
+    *[f"{t}_early AS (SELECT * FROM {t} WHERE date < DATE '{fx.SPLIT}')" for t in ("grid", "numbers", "winds")],
+    impute_sql("grid_early", 7, 12, "a"), impute_sql("grid", 7, 12, "b"),
+    impute_sql("numbers_early", 5, 12, "c"), impute_sql("numbers", 5, 12, "d"),
+    directions_sql("winds_early", 5, 12, "e"), directions_sql("winds", 5, 12, "f")) + f"""
+  SELECT series, date, impute_method, round(value, 3) AS value
+  FROM ({_both_sides('a', 'b')} UNION ALL {_both_sides('c', 'd')})
+  UNION ALL SELECT series, date, impute_method, round(value, 3) % 360 FROM (
+    SELECT series, date, value, impute_method FROM e
+    UNION ALL SELECT series, date, value, impute_method FROM f WHERE date >= DATE '{fx.SPLIT}')""")
 def imputed_history_query(spark, folder):
     """Profiled counts and weather, imputed without looking past the split."""
     counts = selected_counts(fx.obs(spark, folder), min_years=0.1)
-    return imputed_history(
+    history = imputed_history(
         counts, fx.weather(spark, folder), fx.START, fx.END, fx.SPLIT, ["c_mean_wind_dir"], circular=True
     )
+    is_wind = F.col("series") == "c_mean_wind_dir"
+    return history.withColumn("value", F.when(is_wind, around_360("value")).otherwise(F.round("value", 3)))
 
 
 # -- along a series ---------------------------------------------------------
@@ -386,23 +438,37 @@ FEATURE_PANEL = with_(
     SELECT l.* FROM lagged l LEFT JOIN season_summary s ON s.series = l.series
     WHERE s.series IS NULL OR l.DoY BETWEEN season_start_earliest AND season_end_latest)""",
     *_RUN_PARTS,
-    f"""others AS (
-    SELECT r.* EXCLUDE (value, code, temp_threshold, precip_threshold, max_wind_speed_threshold),
-           value AS outcome, coalesce((SELECT sum(x.value) FROM untouched x
+)
+_WITHOUT = "value, code, temp_threshold, precip_threshold, max_wind_speed_threshold"
+
+
+def last_steps(extra="", extra_lags=""):
+    """From the run lengths to the finished table, with further columns if wanted."""
+    return f""",
+  others AS (
+    SELECT r.* EXCLUDE ({_WITHOUT}), value AS outcome {extra}, coalesce((SELECT sum(x.value) FROM untouched x
              WHERE x.date = r.date AND x.series <> r.series AND x.series <> '{fx.TOTAL}'), 0) AS sum_other_vars
     FROM {_LAST_RUN} r WHERE value IS NOT NULL),
   complete AS (
-    SELECT *, {_lag_sql(['sum_other_vars', 'outcome'], 3)},
-           row_number() OVER (PARTITION BY series ORDER BY date) AS rn FROM others)""",
-) + "SELECT * EXCLUDE (rn) FROM complete WHERE rn > 3"
+    SELECT *, {_lag_sql(['sum_other_vars', 'outcome'], 3)} {extra_lags},
+           row_number() OVER (PARTITION BY series ORDER BY date) AS rn FROM others)
+  SELECT * EXCLUDE (rn) FROM complete WHERE rn > 3"""
+
+
+_OTHER_COUNTS = "".join(
+    f", CASE WHEN r.series <> '{n}' THEN (SELECT max(x.value) FROM untouched x "
+    f"WHERE x.date = r.date AND x.series = '{n}') END AS \"{n}\"" for n in fx.SERIES)
+_OTHER_LAGS = "".join(
+    f", lag(\"{n}\", {i}) OVER (PARTITION BY series ORDER BY date) AS \"{n}_lag{i}\""
+    for n in fx.SERIES for i in (1, 2, 3))
 
 
-@register("feature_panel", FEATURE_PANEL)
+@register("feature_panel", FEATURE_PANEL + last_steps())
 def feature_panel_query(spark, folder):
     return panel_of_features(spark, folder)
 
 
-@register("feature_panel_with_counts")
+@register("feature_panel_with_counts", FEATURE_PANEL + last_steps(_OTHER_COUNTS, _OTHER_LAGS))
 def feature_panel_with_counts(spark, folder):
     """As ``feature_panel`` with every other series' count and its lags."""
     return panel_of_features(spark, folder, other_counts=fx.SERIES)

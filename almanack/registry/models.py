@@ -14,7 +14,7 @@ from almanack.operators.windows import with_lags
 from almanack.plans import forecast
 from almanack.registry import fixtures as fx
 from almanack.registry.base import register, with_
-from almanack.registry.history import panel_of_features
+from almanack.registry.history import FEATURE_PANEL, last_steps, panel_of_features
 from almanack.registry.preparation import PEAKS_OF_OBS, THRESHOLD_OF_OBS
 from almanack.sources import runs, sinks
 
@@ -151,7 +151,10 @@ def matrix_restrict(spark, folder):
     )
 
 
-@register("shadow_permutation")
+@register("shadow_permutation", """
+  SELECT round(sum(l_quantity), 2) AS l_quantity, round(sum(l_extendedprice), 2) AS l_extendedprice,
+         round(sum(l_quantity), 2) AS shadow_l_quantity, round(sum(l_extendedprice), 2) AS shadow_l_extendedprice
+  FROM lineitem""")
 def shadow_permutation(spark, folder):
     """Sums per column and per permuted copy; they agree because nothing is lost."""
     items = fx.table(spark, folder, "lineitem")
@@ -241,7 +244,9 @@ def hyperparameter_store(spark, folder):
     return runs.load_latest(spark, root, StructType.fromDDL(_RESULTS))
 
 
-@register("series_columns_dropped")
+@register("series_columns_dropped", f"""
+  SELECT * EXCLUDE (sum_other_vars, sum_other_vars_lag1, sum_other_vars_lag2, sum_other_vars_lag3)
+  FROM ({FEATURE_PANEL} {last_steps()})""")
 def series_columns_dropped(spark, folder):
     """The panel without the other series' columns."""
     frame = panel_of_features(spark, folder, other_counts=fx.SERIES)
