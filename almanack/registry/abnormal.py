@@ -127,6 +127,62 @@ def ts_features_grouped(spark, folder):
     return grouped_features(fx.small_obs(spark, folder))
 
 
+_ENTROPY = """waves AS (
+    SELECT p.series, p.period, p.n, k, sum((value - mu) * cos(2 * pi() * k * pos / n)) AS re,
+           sum((value - mu) * sin(2 * pi() * k * pos / n)) AS im
+    FROM pos p, LATERAL (SELECT unnest(generate_series(1, p.n // 2)) AS k) GROUP BY ALL),
+  shares AS (
+    SELECT *, re * re + im * im AS power, sum(re * re + im * im) OVER g AS total, count(*) OVER g AS bins
+    FROM waves WINDOW g AS (PARTITION BY series, period)),
+  entropy AS (
+    SELECT series, period, CASE WHEN any_value(bins) < 2 OR any_value(total) <= 1e-12 THEN 0
+      ELSE -sum(power / total * log2(power / total)) FILTER (WHERE power > 0) / log2(any_value(bins)) END AS value
+    FROM shares GROUP BY 1, 2)"""
+
+
+@register("spectral_entropy", with_(fx.SMALL_OBS, POSITIONED, _ENTROPY) + """
+  SELECT g.series, g.period, 'entropy' AS feature, round(coalesce(e.value, 0), 6) AS value
+  FROM (SELECT DISTINCT series, period FROM obs) g
+  LEFT JOIN entropy e ON e.series = g.series AND e.period = g.period""")
+def spectral_entropy(spark, folder):
+    found = grouped_features(fx.small_obs(spark, folder)).where("feature = 'entropy'")
+    return found.withColumn("value", F.round("value", 6))
+
+
+def _pacf_sql(c, order):
+    """Partial autocorrelations 1 … order of column ``c`` by the Levinson recursion."""
+    columns = [
+        f"CASE WHEN count(c{c}) > {order} AND sum(c{c} * c{c}) > 0 "
+        f"THEN sum(l{c}_{k}) / sum(c{c} * c{c}) END AS r{k}" for k in range(1, order + 1)
+    ]
+    source = f"SELECT series, period, {', '.join(columns)} FROM shifted GROUP BY 1, 2"
+    for k in range(1, order + 1):
+        before = [(f"f{k - 1}_{j}", k - j, j) for j in range(1, k)]
+        up = " ".join([f"r{k}"] + [f"- {f} * r{back}" for f, back, _ in before])
+        down = " ".join(["1"] + [f"- {f} * r{j}" for f, _, j in before])
+        source = f"SELECT *, ({up}) / ({down}) AS f{k}_{k} FROM ({source})"
+        if k > 1:
+            rest = [f"f{k - 1}_{j} - f{k}_{k} * f{k - 1}_{k - j} AS f{k}_{j}" for j in range(1, k)]
+            source = f"SELECT *, {', '.join(rest)} FROM ({source})"
+    return source
+
+
+_SHIFTED = "shifted AS (SELECT *, " + ", ".join(
+    f"c{c} * lag(c{c}, {k}) {_W} AS l{c}_{k}" for c in (0, 1, 2) for k in range(1, 8)) + " FROM centred)"
+_SQUARES = " + ".join(f"f{k}_{k} * f{k}_{k}" for k in range(1, 6))
+
+
+@register("partial_autocorrelation", with_(
+    fx.SMALL_OBS, POSITIONED, MEMORY_SQL.split(",\n  multiplied AS")[0], _SHIFTED) + " UNION ALL ".join(
+        f"SELECT series, period, '{name}' AS feature, round({value}, 5) AS value FROM ({_pacf_sql(c, order)})"
+        for name, c, order, value in [
+            ("y_pacf5", 0, 5, _SQUARES), ("diff1y_pacf5", 1, 5, _SQUARES),
+            ("diff2y_pacf5", 2, 5, _SQUARES), ("seas_pacf1", 0, 7, "f7_7")]))
+def partial_autocorrelation(spark, folder):
+    found = grouped_features(fx.small_obs(spark, folder)).where("feature LIKE '%pacf%'")
+    return found.withColumn("value", F.round("value", 5))
+
+
 _Z = """scored AS (
     SELECT series, period, feature, (value - avg(value) OVER g) / nullif(stddev_pop(value) OVER g, 0) AS z
     FROM features WINDOW g AS (PARTITION BY series, feature))"""

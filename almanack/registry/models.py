@@ -177,7 +177,8 @@ def one_series(spark, folder):
     return sinks.staged(frame.na.drop(subset=[*categorical, *numeric]), "model-rows")
 
 
-@register("null_columns_of_features")
+@register("null_columns_of_features", f"""
+  SELECT count(*) - count(COLUMNS('(.*)')) AS "\\1" FROM ({FEATURE_PANEL} {last_steps()})""")
 def null_columns_of_features(spark, folder):
     from almanack.operators.panel import null_counts
 
