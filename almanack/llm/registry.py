@@ -1,4 +1,4 @@
 """The queries of this subpackage with their SQL."""
 
-from almanack.llm import decontaminate  # noqa: F401
+from almanack.llm import bag_minhash, decontaminate, mix, shard  # noqa: F401
 from almanack.llm.base import ORACLES, QUERIES  # noqa: F401
