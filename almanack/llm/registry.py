@@ -1,4 +1,6 @@
 """The queries of this subpackage with their SQL."""
 
-from almanack.llm import bag_minhash, decontaminate, mix, shard  # noqa: F401
+from almanack.llm import (  # noqa: F401
+    bag_minhash, cotrain, ctw, decontaminate, hadamard, html_extract, line_dedup, mix, shard, warc,
+)
 from almanack.llm.base import ORACLES, QUERIES  # noqa: F401
