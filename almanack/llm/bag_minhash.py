@@ -12,8 +12,9 @@ candidate pair is decided by the exact overlap of its multisets.  Documents with
 same word sequence are one class from the start and take part once.  Inside a bucket
 documents are compared with a few leaders, not with each other; components are joined
 as links are found, and only buckets whose members still differ in component go on,
-with other leaders.  What remains after the rounds of leaders is compared pair by
-pair, between components only, so connections between any texts sharing a band are found.
+with other leaders.  Buckets that are open after the rounds of leaders are compared in
+full, block by block inside tasks that give a spanning forest of links and no pairs, so
+connections between any texts sharing a band are found.
 
 Defined results: words are runs without white space, lower-cased in A-Z; a document of
 fewer than five words is one shingle; documents without words (null, empty, blank) are
@@ -23,17 +24,17 @@ without an id get the class of their text (null if no such row has an id).
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from almanack.llm.base import register, staged, table
+from almanack.llm.base import paired_blocks, register, staged, table, whole_groups
 from almanack.llm.components import components
-from almanack.llm.textbytes import SOLID, U, chunks, mixed, runs, words
+from almanack.llm.textbytes import SOLID, U, chunks, mixed, words
 
 WIDTH = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 5
-LEADERS, ROUNDS = 3, 4
+LEADERS, ROUNDS = 3, 2
+BLOCK, BLOCK_SHINGLES = 256, 200_000
 _K = U(0x9E3779B97F4A7C15)
 
 
@@ -200,11 +201,122 @@ def _linked(pairs, bag, similarity):
     return both.mapInArrow(run, "a long, b long")
 
 
+def _overlaps(bags, left, right):
+    """Overlap of each of the rows ``left`` with each of ``right``; bags of 32-bit hashes."""
+    row = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
+    value = np.concatenate(bags).view(np.uint32) if len(row) else np.zeros(0, np.uint32)
+    order = np.lexsort((value, row))
+    row, value = row[order], value[order]
+    new = np.ones(len(value), bool)
+    new[1:] = (value[1:] != value[:-1]) | (row[1:] != row[:-1])
+    start = np.flatnonzero(new)
+    nth = np.arange(len(value)) - np.repeat(start, np.diff(np.append(start, len(value))))
+    # the k-th copy of a shingle is an element of its own, so overlaps are inner products
+    _, column, many = np.unique((value.astype(U) << U(32)) | nth.astype(U), return_inverse=True, return_counts=True)
+    seat = np.cumsum(many > 1) - 1
+    shared = many[column] > 1
+    row, column = row[shared], seat[column[shared]]
+    out = np.zeros((len(left), len(right)), np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        a, b = np.searchsorted(column, (first, first + 4096))
+        part = np.zeros((len(bags), 4096), np.float32)
+        part[row[a:b], column[a:b] - first] = 1
+        out += part[left] @ part[right].T
+    return out
+
+
+def _forest(similarity):
+    """Rows sorted by bucket, block pair and side -> links that join different components."""
+
+    def run(batches):
+        for rows, edges in whole_groups(batches, ("key", "x", "y")):
+            x, y, side, ids, part, n = (rows.column(c).to_numpy() for c in ("x", "y", "side", "rep", "component", "n"))
+            lists = rows.column("bag").chunk(0)
+            at, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+            one, two = [], []
+            for s, e in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                left = np.flatnonzero(side[s:e] == 0)
+                right = left if x[s] == y[s] else np.flatnonzero(side[s:e] == 1)
+                own = part[s:e]
+                if not len(left) or not len(right) or (own == own[0]).all():
+                    continue
+                common = _overlaps([values[at[k] : at[k + 1]] for k in range(s, e)], left, right)
+                size = n[s:e].astype(np.float64)
+                union = size[left][:, None] + size[right][None, :] - common
+                i, j = np.nonzero((common >= similarity * union) & (own[left][:, None] != own[right][None, :]))
+                if len(i):
+                    u, v = left[i], right[j]
+                    u, v = _tree(e - s, u, v)
+                    one.append(ids[s + u])
+                    two.append(ids[s + v])
+            if one:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(one)), pa.array(np.concatenate(two))], names=["a", "b"])
+
+    return run
+
+
+def _tree(size, u, v):
+    """Links out of ``u - v`` that join the same nodes without a circle."""
+    root = np.arange(size)
+
+    def find(k):
+        while root[k] != k:
+            root[k] = root[root[k]]
+            k = root[k]
+        return k
+
+    keep = []
+    for at, (a, b) in enumerate(zip(u.tolist(), v.tolist())):
+        p, q = find(a), find(b)
+        if p != q:
+            root[max(p, q)] = min(p, q)
+            keep.append(at)
+    return u[keep], v[keep]
+
+
+def _open_members(member, found):
+    """Members with their components, of the buckets that hold more than one component."""
+    if found is None:
+        live = member.withColumn("component", F.col("rep"))
+    else:
+        live = member.join(found.withColumnRenamed("node", "rep"), "rep", "left")
+        live = live.withColumn("component", F.coalesce("component", "rep"))
+    spread = live.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"), F.sum("n").alias("total")
+    )
+    return live.join(spread.where("low < high").drop("low", "high"), "key")
+
+
+def _with_leaders(live, turn, similarity):
+    """Pairs of members and leaders that differ in component and may be similar."""
+    draw = [F.xxhash64(F.lit(turn * LEADERS + k), "rep") for k in range(LEADERS)]
+    who = F.struct("rep", "component", "n")
+    leaders = live.groupBy("key").agg(*[F.min_by(who, d).alias(f"l{k}") for k, d in enumerate(draw)])
+    leaders = leaders.select("key", F.explode(F.array_distinct(F.array(*[f"l{k}" for k in range(LEADERS)]))).alias("l"))
+    leaders = leaders.select("key", F.col("l.rep").alias("other"), F.col("l.component").alias("of"), F.col("l.n").alias("size_of"))
+    near = (F.least("n", "size_of") >= similarity * F.greatest("n", "size_of")) & (F.col("component") != F.col("of"))
+    pairs = live.join(leaders, "key").where(near)
+    return pairs.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
+
+
+def _between_blocks(live, bag, similarity):
+    """Links between components inside open buckets, a forest per pair of blocks."""
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
+    entries = paired_blocks(live.withColumn("blocks", blocks).drop("size", "total"), "key", "rep")
+    short = F.transform("bag", lambda v: F.shiftright(F.shiftleft(v, 32), 32).cast("int"))
+    entries = entries.join(bag.select(F.col("doc_id").alias("rep"), short.alias("bag")), "rep")
+    entries = entries.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "side")
+    entries = entries.select("key", "x", "y", "side", "rep", "component", "n", "bag")
+    return entries.mapInArrow(_forest(similarity), "a long, b long").distinct()
+
+
 def classes(docs, doc_id="doc_id", text="text", similarity=SIMILARITY, width=WIDTH, bands=BANDS, rows=ROWS):
     """``doc_id, c1, c2, class_id``: one row per row of ``docs``."""
     sign = staged(signed(docs, doc_id, text, width, bands, rows), "signed")
-    own = sign.where("doc_id IS NOT NULL").groupBy("c1", "c2")
-    own = own.agg(F.min_by(F.struct("n", "bands"), "doc_id").alias("v"), F.min("doc_id").alias("rep"))
+    known = sign.where("doc_id IS NOT NULL").groupBy("c1", "c2")
+    own = known.agg(F.min_by(F.struct("n", "bands"), "doc_id").alias("v"), F.min("doc_id").alias("rep"))
     member = own.select("rep", F.col("v.n").alias("n"), F.explode("v.bands").alias("key"))
     shared = member.groupBy("key").agg(F.count("*").alias("many")).where("many > 1").drop("many")
     member = staged(member.join(shared, "key"), "members")
@@ -212,46 +324,19 @@ def classes(docs, doc_id="doc_id", text="text", similarity=SIMILARITY, width=WID
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     bag = staged(bags(source.join(involved, "doc_id"), width).dropDuplicates(["doc_id"]), "bags")
 
-    tested, links, found = None, None, None
-    for turn in range(ROUNDS + 1):
-        if found is None:
-            live = member.withColumn("component", F.col("rep"))
-        else:
-            part = found.withColumnRenamed("node", "rep")
-            live = member.join(part, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        open_keys = live.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        live = live.join(open_keys.where("x < y").select("key"), "key")
-        if turn < ROUNDS:
-            # leaders: the least by several hashes of the id, others in each round
-            draw = [F.xxhash64(F.lit(turn * LEADERS + k), "rep") for k in range(LEADERS)]
-            who = F.struct("rep", "component", "n")
-            leaders = live.groupBy("key").agg(*[F.min_by(who, d).alias(f"l{k}") for k, d in enumerate(draw)])
-            leaders = leaders.select("key", F.explode(F.array_distinct(F.array(*[f"l{k}" for k in range(LEADERS)]))).alias("l"))
-            leaders = leaders.select("key", F.col("l.rep").alias("other"), F.col("l.component").alias("of"), F.col("l.n").alias("size"))
-        else:
-            leaders = live.select("key", F.col("rep").alias("other"), F.col("component").alias("of"), F.col("n").alias("size"))
-        near = (F.least("n", "size") >= similarity * F.greatest("n", "size")) & (F.col("component") != F.col("of"))
-        pairs = live.join(leaders, "key").where(near)
-        pairs = pairs.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "pairs")
-        if pairs.isEmpty():
-            if turn < ROUNDS and tested is not None:
-                continue
-            break
-        tested = pairs if tested is None else tested.union(pairs)
+    links = found = None
+    for turn in range(ROUNDS):
+        pairs = staged(_with_leaders(_open_members(member, found), turn, similarity), "pairs")
         new = _linked(pairs, bag, similarity)
         links = staged(new if links is None else links.union(new), "linked")
         found = components(links)
-
-    label = sign.where("doc_id IS NOT NULL").groupBy("c1", "c2").agg(F.min("doc_id").alias("rep"))
-    if found is not None:
-        label = label.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-        label = label.withColumn("class_id", F.coalesce("component", "rep"))
-    else:
-        label = label.withColumn("class_id", F.col("rep"))
-    return sign.select("doc_id", "c1", "c2").join(label.select("c1", "c2", "class_id"), ["c1", "c2"], "left")
+    more = staged(_between_blocks(_open_members(member, found), bag, similarity), "linked")
+    if not more.isEmpty():
+        # 32 bits of hash have chosen them, all 64 decide
+        found = components(links.union(_linked(more, bag, similarity)))
+    label = known.agg(F.min("doc_id").alias("rep")).join(found.withColumnRenamed("node", "rep"), "rep", "left")
+    label = label.select("c1", "c2", F.coalesce("component", "rep").alias("class_id"))
+    return sign.select("doc_id", "c1", "c2").join(label, ["c1", "c2"], "left")
 
 
 def keep_one(docs, **options):

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from almanack.llm.base import register, staged, table
+from almanack.llm.base import paired_blocks, register, smallest_labels, staged, table, whole_groups
 from almanack.llm.components import components
 
 COSINE = 0.9
@@ -136,38 +136,15 @@ def _block_pair(bucket, same, left, right, cosine, probes):
     names, at = np.unique(np.concatenate((ia[i], ib[j])), return_inverse=True)
     links = np.zeros(len(names), np.int64)
     np.add.at(links, at, np.concatenate((nb[j], na[i])))
-    root = np.arange(len(names))
-    u, v = at[: len(i)], at[len(i) :]
-    while True:
-        before = root.copy()
-        low = np.minimum(root[u], root[v])
-        np.minimum.at(root, u, low)
-        np.minimum.at(root, v, low)
-        root = root[root]
-        if (root == before).all():
-            return names, links, names[root]
+    root = smallest_labels(len(names), at[: len(i)], at[len(i) :])
+    return names, links, names[root]
 
 
 def _verify(cosine, probes):
     """Rows sorted by bucket, block pair and side -> counts and forests of links."""
 
-    def groups(batches):
-        """Row ranges of whole groups, a batch at a time; an open group waits for the next."""
-        rest = None
-        for batch in batches:
-            now = pa.Table.from_batches([batch])
-            rest = pa.concat_tables([rest, now]).combine_chunks() if rest is not None else now
-            keys = [rest.column(c).to_numpy() for c in ("bucket", "x", "y")]
-            edge = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
-            if len(edge):
-                yield rest.slice(0, edge[-1]), np.concatenate(([0], edge))
-                rest = rest.slice(edge[-1])
-        if rest is not None and len(rest):
-            yield rest, np.array([0, len(rest)])
-
     def run(batches):
-        for rows, edges in groups(batches):
-            rows = rows.combine_chunks()
+        for rows, edges in whole_groups(batches, ("bucket", "x", "y")):
             bucket, x, y, side, ids, copies = (rows.column(c).to_numpy() for c in ("bucket", "x", "y", "side", "id", "copies"))
             unit, codes = (rows.column(c).chunk(0) for c in ("unit", "codes"))
             size = unit.value_lengths().to_numpy(zero_copy_only=False)
@@ -212,14 +189,8 @@ def linked(vectors, vec_id="vec_id", embedding="embedding", cosine=COSINE, block
     entry = hashed.select("id", place)
     many = entry.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     entry = entry.join(many, "bucket")
-    blocks = F.ceil(F.col("size") / F.lit(block)).cast("int")
-    entry = entry.withColumn("blocks", blocks)
-    entry = entry.withColumn("own", F.pmod(F.xxhash64("id", "bucket"), F.col("blocks")).cast("int"))
-    # each block meets itself and every later one: as left and as right side
-    as_left = F.transform(F.sequence("own", F.col("blocks") - 1), lambda o: F.struct(F.col("own").alias("x"), o.alias("y"), F.lit(0).alias("side")))
-    before = F.transform(F.sequence(F.lit(0), F.col("own")), lambda o: F.struct(o.alias("x"), F.col("own").alias("y"), F.lit(1).alias("side")))
-    meet = F.filter(F.concat(as_left, before), lambda s: (s["side"] == 0) | (s["x"] != s["y"]))
-    entry = entry.select("id", "bucket", F.explode(meet).alias("m")).select("id", "bucket", "m.*")
+    entry = entry.withColumn("blocks", F.ceil(F.col("size") / F.lit(block)).cast("int")).drop("size")
+    entry = paired_blocks(entry, "bucket", "id")
     entry = entry.join(hashed, "id")
     order = ["bucket", "x", "y", "side"]
     parts = entry.repartition("bucket", "x", "y").sortWithinPartitions(*order)
