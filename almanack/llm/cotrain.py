@@ -1,16 +1,17 @@
 """A quality classifier by co-training.
 
-Two views of a document: its text (words and shares of symbols and repeats) and its page
-metadata (source, language, length and layout of lines).  Each view has its own logistic
-regression.  In every round each view is calibrated on labelled rows that it was not
-fitted on, scores a pool of unlabelled documents, and hands the rows it is sure about to
-the other view as labels.  At the end a third regression over the two calibrated log-odds,
-fitted on the same held-back rows, combines the views and scores all documents.
+Two views of a document: its text (which words occur, shares of symbols and repeats) and
+its page metadata (source, language, length and layout of lines).  Each view has its own
+logistic regression.  In every round each view is calibrated on labelled rows that it was
+not fitted on, scores a pool of unlabelled documents, and hands the rows it is sure about
+to the other view as labels.  At the end a third regression over the two calibrated
+log-odds, fitted on the same held-back rows, combines the views.
 
 A document is good when its quality label is 1 and its toxic label is not 1.
 
-Bounds: at most about ``MAX_LABELLED`` labelled and ``MAX_POOL`` unlabelled rows, chosen by
-a hash of the id, are used for fitting; everything else covers all rows.
+Bounds: about ``MAX_LABELLED`` labelled and ``MAX_POOL`` unlabelled rows at most, chosen by
+a hash of the id, are fitted on; their features come to the driver, the weights go back.
+Features and scores of all documents are made in one map over whole texts, no shuffle.
 
 Defined results: a null text is an empty one; null metadata is a value of its own; a
 label row without id or quality is no label; an id with several labels is good only if all
@@ -18,101 +19,193 @@ are; without labels of both kinds every document scores 1 and is kept; a documen
 score is at least ``KEEP`` is kept; other columns pass through, result names are replaced.
 """
 
-from functools import reduce
-
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from almanack.llm.base import register, staged, table
+from almanack.llm.base import register, table
+from almanack.llm.textbytes import ALNUM, SOLID, U, chunks, mixed, word_bounds, words
 
-MAX_LABELLED = 20_000
-MAX_POOL = 10_000
+MAX_LABELLED = 8_000
+MAX_POOL = 4_000
 ROUNDS = 2
 SURE = 0.98
 KEEP = 0.5
-WORDS, SITES = 1 << 18, 1 << 10
+BITS = 18
+WORDS = 1 << BITS
+SITES = 1 << 10
 TEXT, META = "text", "meta"
-
-
-def _columns(text, source, lang):
-    """Expressions of both views; the raw columns they need come from ``text``."""
-    plain = F.coalesce(text, F.lit(""))
-    length = F.greatest(F.length(plain), F.lit(1))
-    letters = F.split(F.trim(F.regexp_replace(F.lower(plain), r"[^\p{L}]+", " ")), " ")
-    lines = F.split(plain, "\n")
-    line_sizes = F.transform(lines, F.length)
-    mark = lambda name, c: F.concat(F.lit(f"{name}="), F.coalesce(c, F.lit("\0")))
-    return {
-        "_words": letters,
-        "_symbols": F.length(F.regexp_replace(plain, r"[\p{L}\s.,]+", "")) / length,
-        "_spaces": F.length(F.regexp_replace(plain, r"\S+", "")) / length,
-        "_sites": F.array(mark("source", source), mark("lang", lang), F.concat(mark("lang", lang), mark("|source", source))),
-        "_length": F.log1p(F.length(plain)),
-        "_lines": F.log1p(F.size(lines)),
-        "_longest": F.log1p(F.array_max(line_sizes)),
-        "_line": F.log1p(F.length(plain) / F.size(lines)),
-    }
-
-
-def _with_views(docs):
-    """Adds the vectors ``text`` and ``meta`` as ``_v_text`` and ``_v_meta``."""
-    made = _columns(F.col("_text"), F.col("_source"), F.col("_lang"))
-    docs = docs.withColumns(made)
-    total = F.greatest(F.size("_words"), F.lit(1))
-    docs = docs.withColumn("_distinct", F.array_distinct("_words"))
-    docs = docs.withColumns(
-        {
-            "_repeats": 1 - F.size("_distinct") / total,
-            "_crowded": F.log1p(total / F.size("_distinct")),
-            "_letters": F.length(F.array_join("_words", "")) / total / 10,
+LIMIT = 12.0
+
+_PLAIN = ALNUM | ~SOLID
+_PLAIN[[ord("."), ord(",")]] = True
+
+
+def _sums(flags, at):
+    return np.diff(np.concatenate(([0], np.cumsum(flags, dtype=np.int64)))[at])
+
+
+def features(texts, sources, langs):
+    """Chunks of (first, last, {view: (offsets, columns, dense)})."""
+    for first, last, x, at in chunks(texts):
+        rows = last - first
+        size = np.maximum(np.diff(at), 1)
+        h, of = words(x, at, ALNUM)
+        row = np.repeat(np.arange(rows), np.diff(of))
+        key = (row.astype(U) << U(BITS)) | (h >> U(64 - BITS))
+        key = np.unique(key)
+        columns = (key & U(WORDS - 1)).astype(np.int32)
+        ptr = np.searchsorted(key, np.arange(rows + 1).astype(U) << U(BITS))
+        total, distinct = np.maximum(np.diff(of), 1), np.maximum(np.diff(ptr), 1)
+        space = ~SOLID[x]
+        text = [
+            _sums(~_PLAIN[x], at) / size,
+            _sums(space, at) / size,
+            1 - distinct / total,
+            np.log1p(total / distinct),
+            _sums(ALNUM[x], at) / total / 10,
+        ]
+        line = np.ones(256, bool)
+        line[10] = False
+        _, starts, ends = word_bounds(x, at, line)
+        of_line = np.searchsorted(starts, at)
+        lines = np.maximum(np.diff(of_line), 1)
+        longest = np.zeros(rows)
+        if len(starts):
+            np.maximum.at(longest, np.repeat(np.arange(rows), np.diff(of_line)), (ends - starts).astype(float))
+        meta = [np.log1p(size), np.log1p(lines), np.log1p(longest), np.log1p(size / lines)]
+        site = []
+        for s, g in zip(sources[first:last], langs[first:last]):
+            for name in (f"s={s!r}", f"l={g!r}", f"{g!r}|{s!r}"):
+                site.append(int.from_bytes(name.encode()[-24:], "little") % 1_000_003)
+        site = (mixed(np.array(site, U)) % U(SITES)).astype(np.int32)
+        yield first, last, {
+            TEXT: (ptr, columns, np.stack(text, axis=1)),
+            META: (np.arange(0, 3 * rows + 1, 3), site, np.stack(meta, axis=1)),
         }
-    )
-    docs = HashingTF(inputCol="_distinct", outputCol="_h_text", numFeatures=WORDS, binary=True).transform(docs)
-    docs = HashingTF(inputCol="_sites", outputCol="_h_meta", numFeatures=SITES, binary=True).transform(docs)
-    docs = VectorAssembler(
-        inputCols=["_h_text", "_symbols", "_spaces", "_repeats", "_crowded", "_letters"], outputCol="_v_text"
-    ).transform(docs)
-    docs = VectorAssembler(inputCols=["_h_meta", "_length", "_lines", "_longest", "_line"], outputCol="_v_meta").transform(docs)
-    gone = [*made, "_distinct", "_repeats", "_crowded", "_letters", "_h_text", "_h_meta", "_text", "_source", "_lang"]
-    return docs.drop(*gone)
-
-
-def _fit(rows, features, regularise):
-    learner = LogisticRegression(
-        featuresCol=features, labelCol="good", weightCol="weight", maxIter=100, regParam=regularise, standardization=False,
-        probabilityCol="p", rawPredictionCol="raw", predictionCol="chosen",
-    )
-    return learner.fit(rows)
 
 
-def _balanced(rows):
-    """Both classes weigh the same, so that the rarer one is not given up."""
-    counts = {r["good"]: r["n"] for r in rows.groupBy("good").agg(F.count("*").alias("n")).collect()}
-    total = sum(counts.values())
-    weight = reduce(lambda w, k: w.when(F.col("good") == k, total / (2.0 * counts[k])), counts, F.when(F.lit(False), 0.0))
-    return rows.withColumn("weight", weight)
+class Regression:
+    """Weighted logistic regression over indicator columns and scaled dense ones."""
+
+    def __init__(self, columns, decay):
+        self.columns, self.decay = columns, decay
+
+    def _raw(self, w, ptr, index, dense):
+        sums = np.concatenate(([0.0], np.cumsum(w[index])))
+        return np.diff(sums[ptr]) + dense @ w[self.columns : -1] + w[-1]
+
+    def fit(self, ptr, index, dense, good, weight, steps=60):
+        """L-BFGS with backtracking on the mean loss and the squared weights."""
+        self.mean, self.scale = dense.mean(axis=0), dense.std(axis=0) + 1e-9
+        x = (dense - self.mean) / self.scale
+        weight = weight / weight.sum()
+        many = np.diff(ptr)
+
+        def loss(w):
+            z = self._raw(w, ptr, index, x)
+            rest = weight * (1 / (1 + np.exp(-z)) - good)
+            grad = np.concatenate((np.bincount(index, np.repeat(rest, many), self.columns), x.T @ rest, [rest.sum()]))
+            grad[:-1] += self.decay * w[:-1]
+            value = (weight * (np.logaddexp(0, z) - good * z)).sum() + self.decay / 2 * (w[:-1] ** 2).sum()
+            return value, grad
+
+        w = np.zeros(self.columns + x.shape[1] + 1)
+        now, grad = loss(w)
+        past = []
+        for _ in range(steps):
+            q, marks = grad.copy(), []
+            for s, y, r in reversed(past):
+                a = r * (s @ q)
+                q -= a * y
+                marks.append(a)
+            if past:
+                s, y, _ = past[-1]
+                q *= (s @ y) / (y @ y)
+            for (s, y, r), a in zip(past, reversed(marks)):
+                q += s * (a - r * (y @ q))
+            slope, step = grad @ q, 1.0
+            while step > 1e-8:
+                ahead, turned = loss(w - step * q)
+                if ahead <= now - 1e-4 * step * slope:
+                    break
+                step /= 2
+            else:
+                break
+            s, y = -step * q, turned - grad
+            if s @ y > 1e-12:
+                past = [*past[-9:], (s, y, 1 / (s @ y))]
+            done = now - ahead < 1e-7
+            w, now, grad = w + s, ahead, turned
+            if done:
+                break
+        self.w = w
+        return self
+
+    def raw(self, ptr, index, dense):
+        return self._raw(self.w, ptr, index, (dense - self.mean) / self.scale)
+
+
+def _none(n):
+    return np.zeros(n + 1, np.int64), np.zeros(0, np.int64)
+
+
+def _balanced(good):
+    share = good.mean()
+    return np.where(good > 0, 0.5 / max(share, 1e-9), 0.5 / max(1 - share, 1e-9))
 
 
 class View:
     """A regression of one view and its calibration (a line through the log-odds)."""
 
-    def __init__(self, name, fit_rows, hold_rows, regularise):
+    def __init__(self, name, rows, good, fit, hold):
         self.name = name
-        self.model = _fit(_balanced(fit_rows), f"_v_{name}", regularise)
-        raw = self.raw(hold_rows)
-        line = VectorAssembler(inputCols=[f"_r_{name}"], outputCol="_one").transform(raw).withColumn("weight", F.lit(1.0))
-        fitted = _fit(line, "_one", 1e-3)
-        self.slope, self.shift = float(fitted.coefficients[0]), float(fitted.intercept)
+        self.model = Regression(WORDS if name == TEXT else SITES, 1e-4 if name == TEXT else 1e-3)
+        part, own = _rows(rows[name], fit), good[fit]
+        self.model.fit(*part, own, _balanced(own))
+        raw = self.model.raw(*_rows(rows[name], hold))[:, None]
+        self.line = Regression(0, 1e-4).fit(*_none(len(hold)), raw, good[hold], np.ones(len(hold)))
+
+    def odds(self, part):
+        raw = self.model.raw(*part)[:, None]
+        return np.clip(self.line.raw(*_none(len(raw)), raw), -LIMIT, LIMIT)
+
+
+def _rows(part, chosen):
+    ptr, index, dense = part
+    many = np.diff(ptr)[chosen]
+    out = np.concatenate(([0], np.cumsum(many)))
+    place = np.arange(out[-1]) - np.repeat(out[:-1], many) + np.repeat(ptr[:-1][chosen], many)
+    return out, index[place], dense[chosen]
+
 
-    def raw(self, rows):
-        out = self.model.setFeaturesCol(f"_v_{self.name}").transform(rows)
-        return out.withColumn(f"_r_{self.name}", vector_to_array("raw")[1]).drop("raw", "p", "chosen")
+def _chance(odds):
+    return 1 / (1 + np.exp(-odds))
 
-    def odds(self, rows):
-        """``rows`` with calibrated log-odds ``_o_<view>``."""
-        return self.raw(rows).withColumn(f"_o_{self.name}", F.col(f"_r_{self.name}") * self.slope + self.shift).drop(f"_r_{self.name}")
+
+class Scorer:
+    """The two fitted views and their combination; small enough to send to every task."""
+
+    def __init__(self, rows, good, fit, hold, pool, rounds, sure):
+        """``good`` holds labels, guesses for the pool take their place in a copy."""
+        labels = {TEXT: (fit, good), META: (fit, good)}
+        for turn in range(rounds + 1):
+            self.views = {name: View(name, rows, labels[name][1], labels[name][0], hold) for name in (TEXT, META)}
+            if turn < rounds:
+                for name, other in ((TEXT, META), (META, TEXT)):
+                    p = _chance(self.views[name].odds(_rows(rows[name], pool)))
+                    certain = (p >= sure) | (p <= 1 - sure)
+                    given = good.copy()
+                    given[pool[certain]] = p[certain] >= 0.5
+                    labels[other] = (np.concatenate((fit, pool[certain])), given)
+        both = np.stack([self.views[n].odds(_rows(rows[n], hold)) for n in (TEXT, META)], axis=1)
+        self.last = Regression(0, 1e-4).fit(*_none(len(hold)), both, good[hold], np.ones(len(hold)))
+
+    def score(self, parts):
+        both = np.stack([self.views[n].odds(parts[n]) for n in (TEXT, META)], axis=1)
+        mixed = self.last.raw(*_none(len(both)), both)
+        return _chance(both[:, 0]), _chance(both[:, 1]), _chance(np.clip(mixed, -30, 30))
 
 
 def _sample(rows, key, most, seed):
@@ -121,75 +214,84 @@ def _sample(rows, key, most, seed):
     return rows if count <= most else rows.where(F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 30)) < int(most / count * (1 << 30)))
 
 
-def _prepared(docs, doc_id="doc_id", text="text", source="source", lang="lang"):
-    return docs.withColumns({"_text": F.col(text), "_source": F.col(source), "_lang": F.col(lang), "_id": F.col(doc_id)})
-
-
-class CoTrained:
-    """The two fitted views and their combination."""
-
-    def __init__(self, docs, labels, rounds=ROUNDS, max_labelled=MAX_LABELLED, max_pool=MAX_POOL, sure=SURE):
-        self.views = None
-        good = (F.min("quality") == 1) & (F.coalesce(F.max("toxic"), F.lit(0)) != 1)
-        known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id")
-        known = known.agg(good.cast("double").alias("good")).select(F.col("doc_id").alias("_id"), "good")
-        slim = _prepared(docs).select("_id", "_text", "_source", "_lang").where("_id IS NOT NULL")
-        labelled = slim.join(_sample(known, "_id", max_labelled, 1), "_id")
-        pool = _sample(slim.join(known, "_id", "left_anti"), "_id", max_pool, 2).withColumn("good", F.lit(None).cast("double"))
-        fold = F.when(F.col("good").isNull(), "pool").when(F.pmod(F.xxhash64(F.lit(3), "_id"), F.lit(4)) == 0, "hold").otherwise("fit")
-        rows = staged(_with_views(labelled.unionByName(pool)).withColumn("fold", fold), "views")
-        fit, hold = rows.where("fold = 'fit'"), rows.where("fold = 'hold'")
-        kinds = rows.where("fold <> 'pool'").groupBy("fold", "good").count().count()
-        if kinds < 4:
-            return
-        pool = rows.where("fold = 'pool'")
-        given = {TEXT: None, META: None}
-        regularise = {TEXT: 3e-4, META: 1e-3}
-        for turn in range(rounds + 1):
-            views = {}
+def _gather(batches):
+    """Features of sampled rows, for the driver."""
+    for batch in batches:
+        ids, good, texts, sources, langs = batch.columns
+        for first, last, parts in features(texts, sources.to_pylist(), langs.to_pylist()):
+            out = [ids.slice(first, last - first), good.slice(first, last - first)]
             for name in (TEXT, META):
-                own = fit if given[name] is None else fit.unionByName(given[name])
-                views[name] = View(name, own, hold, regularise[name])
-            self.views = views
-            if turn < rounds:
-                for name, other in ((TEXT, META), (META, TEXT)):
-                    scored = views[name].odds(pool)
-                    p = 1 / (1 + F.exp(-F.col(f"_o_{name}")))
-                    scored = scored.withColumn("good", F.when(p >= sure, 1.0).when(p <= 1 - sure, 0.0))
-                    given[other] = scored.where("good IS NOT NULL").select(*fit.columns)
-        both = self.odds(hold).withColumn("weight", F.lit(1.0))
-        last = _fit(both, "_both", 1e-3)
-        self.weights, self.shift = [float(c) for c in last.coefficients], float(last.intercept)
-
-    def odds(self, rows):
-        for name in (TEXT, META):
-            rows = self.views[name].odds(rows)
-        # bounded, so that one view cannot drown the other
-        for name in (TEXT, META):
-            rows = rows.withColumn(f"_o_{name}", F.greatest(F.least(f"_o_{name}", F.lit(8.0)), F.lit(-8.0)))
-        return VectorAssembler(inputCols=[f"_o_{n}" for n in (TEXT, META)], outputCol="_both").transform(rows)
-
-    def score(self, docs):
-        """``docs`` with ``text_score``, ``meta_score``, ``score`` and ``keep``."""
-        added = ["text_score", "meta_score", "score", "keep"]
-        docs = docs.drop(*[c for c in docs.columns if c.lower() in added])
-        if self.views is None:
-            one = F.lit(1.0)
-            return docs.withColumns({"text_score": one, "meta_score": one, "score": one, "keep": F.lit(True)})
-        rows = self.odds(_with_views(_prepared(docs)))
-        chance = lambda c: 1 / (1 + F.exp(-c))
-        mixed = F.col("_o_text") * self.weights[0] + F.col("_o_meta") * self.weights[1] + self.shift
-        rows = rows.withColumns({"text_score": chance(F.col("_o_text")), "meta_score": chance(F.col("_o_meta")), "score": chance(mixed)})
-        return rows.withColumn("keep", F.col("score") >= KEEP).select(*docs.columns, *added)
+                ptr, index, dense = parts[name]
+                flat = pa.array(dense.ravel())
+                out.append(pa.ListArray.from_arrays(ptr.astype(np.int32), pa.array(index)))
+                out.append(pa.ListArray.from_arrays(np.arange(0, dense.size + 1, dense.shape[1], dtype=np.int32), flat))
+            yield pa.RecordBatch.from_arrays(out, names=["id", "good", "text", "text_dense", "meta", "meta_dense"])
+
+
+_GATHERED = "id long, good double, text array<int>, text_dense array<double>, meta array<int>, meta_dense array<double>"
+
+
+def train(docs, labels, rounds=ROUNDS, max_labelled=MAX_LABELLED, max_pool=MAX_POOL, sure=SURE):
+    """A fitted ``Scorer``, or None without labels of both kinds."""
+    good = (F.min("quality") == 1) & (F.coalesce(F.max("toxic"), F.lit(0)) != 1)
+    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id")
+    known = known.agg(good.cast("double").alias("good")).select(F.col("doc_id").alias("_id"), "good")
+    slim = docs.select(F.col("doc_id").cast("long").alias("_id"), "text", "source", "lang").where("_id IS NOT NULL")
+    chosen = _sample(known, "_id", max_labelled, 1)
+    ids = _sample(slim.select("_id").distinct().join(known, "_id", "left_anti"), "_id", max_pool, 2)
+    chosen = chosen.unionByName(ids.withColumn("good", F.lit(None).cast("double")))
+    rows = slim.join(chosen, "_id").select("_id", "good", "text", "source", "lang").mapInArrow(_gather, _GATHERED).toArrow()
+    order = np.argsort(rows.column("id").to_numpy(), kind="stable")
+    rows = rows.take(pa.array(order)).combine_chunks()
+    good = rows.column("good").to_numpy(zero_copy_only=False).astype(np.float64)
+    parts = {}
+    for name in (TEXT, META):
+        lists = rows.column(name).combine_chunks()
+        dense = rows.column(f"{name}_dense").combine_chunks().flatten().to_numpy()
+        size = lists.value_lengths().to_numpy(zero_copy_only=False)
+        parts[name] = (np.concatenate(([0], np.cumsum(size))), lists.flatten().to_numpy(), dense.reshape(len(rows), -1))
+    labelled = np.flatnonzero(~np.isnan(good))
+    keep = mixed(rows.column("id").to_numpy()[labelled].astype(U)) % U(4) > 0
+    fit, hold, pool = labelled[keep], labelled[~keep], np.flatnonzero(np.isnan(good))
+    if any(len(set(good[part])) < 2 for part in (fit, hold)):
+        return None
+    return Scorer(parts, good, fit, hold, pool, rounds, sure)
+
+
+ADDED = ["text_score", "meta_score", "score", "keep"]
+
+
+def scored(docs, labels, **options):
+    """``docs`` with ``text_score``, ``meta_score``, ``score`` and ``keep``."""
+    model = train(docs, labels, **options)
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in ADDED])
+    if model is None:
+        one = F.lit(1.0)
+        return docs.withColumns({"text_score": one, "meta_score": one, "score": one, "keep": F.lit(True)})
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    names = docs.columns
+    schema = T.StructType([*docs.schema.fields, *[T.StructField(n, T.DoubleType()) for n in ADDED[:3]], T.StructField("keep", T.BooleanType())])
+
+    def run(batches):
+        model = sent.value
+        for batch in batches:
+            column = lambda name: batch.column(batch.schema.get_field_index(name))
+            made = features(column("text"), column("source").to_pylist(), column("lang").to_pylist())
+            for first, last, parts in made:
+                scores = model.score(parts)
+                own = [batch.column(k).slice(first, last - first) for k in range(len(names))]
+                yield pa.RecordBatch.from_arrays(
+                    [*own, *[pa.array(s) for s in scores], pa.array(scores[2] >= KEEP)], names=[*names, *ADDED]
+                )
+
+    return docs.mapInArrow(run, schema)
 
 
 def good_only(docs, labels, **options):
     """``docs`` that the classifier keeps; columns unchanged."""
-    return CoTrained(docs, labels, **options).score(docs).where("keep").select(*docs.columns)
+    return scored(docs, labels, **options).where("keep").select(*docs.columns)
 
 
 @register("op5_cotraining")
 def op5_cotraining(spark, folder):
-    docs = table(spark, folder, "documents")
-    scored = CoTrained(docs, table(spark, folder, "labels")).score(docs)
-    return scored.select("doc_id", "text_score", "meta_score", "score", "keep")
+    return scored(table(spark, folder, "documents"), table(spark, folder, "labels")).select("doc_id", *ADDED)
