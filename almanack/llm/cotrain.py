@@ -37,6 +37,7 @@ WORDS = 1 << BITS
 SITES = 1 << 10
 TEXT, META = "text", "meta"
 LIMIT = 12.0
+LEAST_ROWS = 5
 
 _PLAIN = ALNUM | ~SOLID
 _PLAIN[[ord("."), ord(",")]] = True
@@ -97,7 +98,12 @@ class Regression:
         return np.diff(sums[ptr]) + dense @ w[self.columns : -1] + w[-1]
 
     def fit(self, ptr, index, dense, good, weight, steps=60):
-        """L-BFGS with backtracking on the mean loss and the squared weights."""
+        """L-BFGS with backtracking on the mean loss and the squared weights.
+
+        Columns of fewer than ``LEAST_ROWS`` rows say nothing and keep the weight 0."""
+        usual = np.bincount(index, minlength=self.columns) >= LEAST_ROWS
+        kept = usual[index] if len(index) else np.zeros(0, bool)
+        ptr, index = np.concatenate(([0], np.cumsum(kept)))[ptr], index[kept]
         self.mean, self.scale = dense.mean(axis=0), dense.std(axis=0) + 1e-9
         x = (dense - self.mean) / self.scale
         weight = weight / weight.sum()
@@ -161,7 +167,7 @@ class View:
 
     def __init__(self, name, rows, good, fit, hold):
         self.name = name
-        self.model = Regression(WORDS if name == TEXT else SITES, 1e-4 if name == TEXT else 1e-3)
+        self.model = Regression(WORDS if name == TEXT else SITES, 3e-5 if name == TEXT else 1e-3)
         part, own = _rows(rows[name], fit), good[fit]
         self.model.fit(*part, own, _balanced(own))
         raw = self.model.raw(*_rows(rows[name], hold))[:, None]
@@ -241,6 +247,8 @@ def train(docs, labels, rounds=ROUNDS, max_labelled=MAX_LABELLED, max_pool=MAX_P
     ids = _sample(slim.select("_id").distinct().join(known, "_id", "left_anti"), "_id", max_pool, 2)
     chosen = chosen.unionByName(ids.withColumn("good", F.lit(None).cast("double")))
     rows = slim.join(chosen, "_id").select("_id", "good", "text", "source", "lang").mapInArrow(_gather, _GATHERED).toArrow()
+    if not len(rows):
+        return None
     order = np.argsort(rows.column("id").to_numpy(), kind="stable")
     rows = rows.take(pa.array(order)).combine_chunks()
     good = rows.column("good").to_numpy(zero_copy_only=False).astype(np.float64)
