@@ -1,44 +1,31 @@
 """Exact medians that survive a hot group.
 
-``F.median`` holds the distinct values of a group in one task.  That is right
-for a day of readings and wrong for a group with a third of a huge table, so
-groups are screened first: a frequent-items sketch over the hashed keys (one
-pass, no shuffle) names the groups that may be too large.  Those are answered
-by counting: values fall into cells that keep their order, the cell holding the
-middle rank is found from the cell counts, and only that cell's distinct values
-are ranked.  Both ways are exact, so the sketch only affects speed.
+One way for every size: equal values are counted, values fall into cells that keep
+their order, the cell holding the middle rank is found from the cell counts, and only
+that cell's distinct values are ranked.  Counts combine on the map side, and a window
+sees one row per cell or the distinct values of one cell, never the rows of a group.
+
+Nulls are left out, NaN is larger than any number, and 0.0 and -0.0 are one value.
 """
 
 from functools import reduce
 
 from pyspark.sql import Window, functions as F
 
-MAX_GROUP_ROWS = 2_000_000
-TRACKED = 100_000
-NAMED = 1_000
 CELLS_PER_E_FOLD = 1000
-
-
-def _key_hash(keys):
-    return F.xxhash64(*[F.col(k) for k in keys])
-
-
-def heavy_groups(df, keys, max_rows=MAX_GROUP_ROWS):
-    """Hashes of groups that may exceed ``max_rows``; ``None`` when too many to name.
-
-    Runs one job returning at most ``NAMED`` numbers.
-    """
-    sketch = F.expr(f"approx_top_k(h, {NAMED}, {TRACKED})")
-    top = df.select(_key_hash(keys).alias("h")).agg(sketch.alias("top")).first()["top"]
-    heavy = [item["item"] for item in (top or []) if item["count"] > max_rows]
-    return None if len(heavy) == NAMED else heavy
+LAST = 1 << 40
 
 
 def _cell(value):
     """An integer that never decreases as the value grows (0.1 % wide cells)."""
-    return F.floor(
-        F.signum(value) * F.log1p(F.abs(value)) * CELLS_PER_E_FOLD
-    ).cast("long")
+    inner = F.floor(F.signum(value) * F.log1p(F.abs(value)) * CELLS_PER_E_FOLD)
+    infinite = F.abs(value) == F.lit(float("inf"))
+    return (
+        F.when(F.isnan(value), F.lit(2 * LAST))
+        .when(infinite, F.when(value > 0, F.lit(LAST)).otherwise(F.lit(-LAST)))
+        .otherwise(inner)
+        .cast("long")
+    )
 
 
 def _join_groups(left, right, keys, how):
@@ -51,21 +38,18 @@ def _join_groups(left, right, keys, how):
 
 
 def counted_median(df, keys, value, name):
-    """Exact median per group by two levels of counting.
-
-    The cell counts combine on the map side; a window over them sees one row per
-    cell (a few thousand), never the group's rows.
-    """
-    rows = (
+    """``keys`` and the exact median; groups without a value have no row."""
+    counted = (
         df.where(F.col(value).isNotNull())
-        .select(*keys, F.col(value).cast("double").alias("_v"))
+        .groupBy(*keys, F.col(value).cast("double").alias("_v"))
+        .agg(F.count(F.lit(1)).alias("_m"))
         .withColumn("_cell", _cell(F.col("_v")))
     )
     whole = Window.partitionBy(*keys)
     upto = whole.orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
     cells = (
-        rows.groupBy(*keys, "_cell")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        counted.groupBy(*keys, "_cell")
+        .agg(F.sum("_m").alias("_n"))
         .withColumn("_before", F.sum("_n").over(upto) - F.col("_n"))
         .withColumn("_total", F.sum("_n").over(whole))
         .withColumn("_low", F.expr("(_total + 1) div 2"))
@@ -78,7 +62,6 @@ def counted_median(df, keys, value, name):
         .orderBy("_v")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    counted = rows.groupBy(*keys, "_cell", "_v").agg(F.count(F.lit(1)).alias("_m"))
     return (
         _join_groups(counted, cells, [*keys, "_cell"], "inner")
         .withColumn("_upto", F.col("_before") + F.sum("_m").over(inside))
@@ -90,29 +73,7 @@ def counted_median(df, keys, value, name):
     )
 
 
-def agg_with_median(df, keys, value, name, *others, max_rows=MAX_GROUP_ROWS, screen=None):
-    """``groupBy(keys)`` with an exact median of ``value`` and other aggregates.
-
-    ``screen`` may name a table that is cheaper to scan and has at least as many
-    rows in every group, such as the readings that ``df`` aggregates.
-    """
-    heavy = heavy_groups(df if screen is None else screen, keys, max_rows)
-
-    def plain(part):
-        return part.groupBy(*keys).agg(*others, F.median(value).alias(name))
-
-    def split(part):
-        medians = counted_median(part, keys, value, name)
-        if not others:
-            nothing = part.groupBy(*keys).agg(F.count(value).alias("_n")).where("_n = 0")
-            return medians.unionByName(
-                nothing.drop("_n").withColumn(name, F.lit(None).cast("double"))
-            )
-        return _join_groups(part.groupBy(*keys).agg(*others), medians, keys, "left")
-
-    if heavy is None:
-        return split(df)
-    if not heavy:
-        return plain(df)
-    is_heavy = _key_hash(keys).isin(heavy)
-    return plain(df.where(~is_heavy)).unionByName(split(df.where(is_heavy)))
+def agg_with_median(df, keys, value, name, *others):
+    """``groupBy(keys)`` with an exact median of ``value`` and other aggregates."""
+    groups = df.groupBy(*keys).agg(*others) if others else df.select(*keys).distinct()
+    return _join_groups(groups, counted_median(df, keys, value, name), keys, "left")

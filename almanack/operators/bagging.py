@@ -1,5 +1,7 @@
 """Balanced bags of boosted trees for a rare label."""
 
+from multiprocessing.pool import ThreadPool
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -13,19 +15,24 @@ def draw(key, bag):
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / float(2 ** 32)
 
 
-def undersample(df, label, key, bag, ratio=UNDERSAMPLE_RATIO, group=()):
+def class_counts(df, label, group=()):
+    return df.groupBy(*group).agg(
+        F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg")
+    )
+
+
+def undersample(df, label, key, bag, ratio=UNDERSAMPLE_RATIO, group=(), counted=None):
     """All positives, and negatives drawn so that positives / negatives is near ``ratio``.
 
     The draw is a hash of the key: repeatable after a lost task, and the same in SQL.
+    ``counted`` may hold the row of ``class_counts``, when many bags are drawn.
     """
-    counts = df.groupBy(*group).agg(
-        F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg")
-    )
+    counts = None if counted else class_counts(df, label, group)
     if group:
         counted = df.join(counts, list(group))
         pos, neg = F.col("_pos"), F.col("_neg")
     else:
-        row = counts.first()
+        row = counted or counts.first()
         counted, pos, neg = df, F.lit(row["_pos"]), F.lit(row["_neg"])
     rate = F.try_divide(pos, F.lit(float(ratio)) * neg)
     keep = (F.col(label) == 1) | (draw(key, bag) < rate)
@@ -33,11 +40,13 @@ def undersample(df, label, key, bag, ratio=UNDERSAMPLE_RATIO, group=()):
 
 
 def fit_bags(train, label, key, bags=10, ratio=1.0, trees=10, depth=3, features="features", seed=42):
-    """One boosted model per bag."""
+    """One boosted model per bag, a few at a time; the classes are counted once."""
+    counted = class_counts(train, label).first()
     learner = GBTClassifier(
         featuresCol=features, labelCol=label, maxIter=trees, maxDepth=depth, seed=seed
     )
-    return [learner.fit(undersample(train, label, key, b, ratio)) for b in range(bags)]
+    with ThreadPool(min(4, bags)) as pool:
+        return pool.map(lambda b: learner.fit(undersample(train, label, key, b, ratio, counted=counted)), range(bags))
 
 
 def predict_bags(models, df):

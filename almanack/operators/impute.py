@@ -43,9 +43,11 @@ def with_ewm(df, span, keys=("series",), value="value", name="ewm"):
     growth = F.exp(-math.log(1 - a) * F.col("_gap")) * a
     step = F.least(F.log1p(growth), F.lit(2.0 * BLOCK))
     df = df.withColumn("_step", F.when(seen, F.coalesce((step * UNITS).cast("long"), F.lit(0))))
-    df = df.withColumn("_decay", F.coalesce(F.sum("_step").over(running(w)), F.lit(0)))
-    df = df.withColumn("_block", F.expr(f"_decay div {BLOCK * UNITS}"))
-    df = df.withColumn("_inside", (F.col("_decay") - F.col("_block") * (BLOCK * UNITS)) / UNITS)
+    # the sum is a decimal: a long would overflow after some 200,000 rows
+    decay = F.sum(F.col("_step").cast("decimal(18,0)")).over(running(w)).cast("decimal(28,0)")
+    df = df.withColumn("_decay", F.coalesce(decay, F.lit(0).cast("decimal(28,0)")))
+    df = df.withColumn("_block", F.expr(f"CAST(_decay div {BLOCK * UNITS} AS LONG)"))
+    df = df.withColumn("_inside", F.expr(f"CAST(_decay % {BLOCK * UNITS} AS DOUBLE)") / UNITS)
     share = F.when(F.col("_gap").isNull(), 1.0).otherwise(-F.expm1(-F.col("_step") / UNITS))
     block = Window.partitionBy(*keys, "_block").orderBy("date")
     # same order as by date, but one sort serves these and the windows per block

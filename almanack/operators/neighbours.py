@@ -1,32 +1,33 @@
 """What the other series did on the same day."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from almanack.operators.panel import pivot_wide
 from almanack.operators.windows import with_lags
 
 
-def day_totals(panel, total_series=None):
-    """Sum over series per date, nulls skipped; an aggregate total is left out."""
+def other_sums(panel, keys, total_series=None):
+    """``(series, date, sum_other_vars)`` for the cells of ``panel`` and of ``keys``.
+
+    Sums the other series themselves, before and after the own one in their order:
+    a total less the own value would lose small values beside large ones, and one
+    infinite value would spoil all.  A window holds one row per series.
+    """
     counted = panel if total_series is None else panel.where(F.col("series") != total_series)
-    return counted.groupBy("date").agg(F.sum("value").alias("_day_total"))
+    cells = counted.select("series", "date", "value").unionByName(
+        keys.select("series", "date", F.lit(None).cast("double").alias("value"))
+    )
+    cells = cells.groupBy("series", "date").agg(F.sum("value").alias("value"))
+    earlier = (Window.unboundedPreceding, -1)
+    up = Window.partitionBy("date").orderBy("series").rowsBetween(*earlier)
+    down = Window.partitionBy("date").orderBy(F.desc("series")).rowsBetween(*earlier)
+    parts = [F.coalesce(F.sum("value").over(w), F.lit(0.0)) for w in (up, down)]
+    return cells.select("series", "date", (parts[0] + parts[1]).alias("sum_other_vars"))
 
 
 def with_other_sum(df, panel, total_series=None):
-    """Adds ``sum_other_vars``: the day's total less the row's own value.
-
-    The totals have one row per calendar day, which bounds the broadcast; the big
-    side is not shuffled and no row meets the rows of the other series.
-    """
-    own = F.coalesce(F.col("value"), F.lit(0.0))
-    if total_series is not None:
-        own = F.when(F.col("series") == total_series, F.lit(0.0)).otherwise(own)
-    totals = F.broadcast(day_totals(panel, total_series))
-    return (
-        df.join(totals, "date", "left")
-        .withColumn("sum_other_vars", F.coalesce(F.col("_day_total"), F.lit(0.0)) - own)
-        .drop("_day_total")
-    )
+    """Adds ``sum_other_vars``, nulls skipped; an aggregate total is no other series."""
+    return df.join(other_sums(panel, df, total_series), ["series", "date"], "left")
 
 
 def with_other_counts(df, panel, names, lags=0):
@@ -36,7 +37,7 @@ def with_other_counts(df, panel, names, lags=0):
     series does not see its own column.
     """
     wide = pivot_wide(panel.where(F.col("series").isin(list(names))), ["date"], "series", "value", names)
-    joined = df.join(F.broadcast(wide), "date", "left")
+    joined = df.join(wide, "date", "left")
     joined = joined.withColumns(
         {n: F.when(F.col("series") != n, F.col(n)) for n in names}
     )

@@ -6,6 +6,9 @@ from pyspark.sql import Window, functions as F
 
 from almanack.settings import OUTLIER_Z
 
+#: scores below this share of the largest are rounding
+NOISE = 1e-10
+
 
 def standardised(features, keys=("series", "feature")):
     """Adds ``z`` with the population sd over the periods of each key; null where
@@ -30,6 +33,11 @@ def zscore_outliers(features, limit=OUTLIER_Z, keys=("series", "feature")):
     )
 
 
+def merge_exclusions(derived, given):
+    """Outlying and hand-picked ``(series, year)``, each once."""
+    return derived.select("series", "year").unionByName(given.select("series", "year")).distinct()
+
+
 def complete_features(features):
     """Leave out, per series, every feature that failed in some period."""
     failed = F.max(F.col("value").isNull()).over(Window.partitionBy("series", "feature"))
@@ -75,6 +83,10 @@ def component_scores(features):
 
 
 def pca_outliers(features, limit=OUTLIER_Z):
-    """Periods that stand out on any component; rounding noise is not a component."""
-    scores = component_scores(features).withColumn("value", F.bround("value", 9))
-    return zscore_outliers(scores, limit)
+    """Periods that stand out on any component; rounding noise, which is small beside
+    the largest score of the series, is not a component."""
+    scores = component_scores(features)
+    largest = F.max(F.abs("value")).over(Window.partitionBy("series"))
+    scores = scores.withColumn("_largest", largest)
+    noise = F.abs("value") <= F.col("_largest") * NOISE
+    return zscore_outliers(scores.withColumn("value", F.when(noise, 0.0).otherwise(F.col("value"))), limit)

@@ -35,27 +35,28 @@ def calendar(spark, start, end):
 def dense_grid(panel, start, end, keys=("series",)):
     """Every day from ``start`` to ``end`` for every series; gaps get null values.
 
-    Each row emits the days up to the next row of its series, so the grid needs
-    one shuffle by series and no join; operators that follow reuse that shuffle.
-    Two rows on one day are an error, as they are in a pivot.
+    A series without a row in the range has a grid of nulls: each series gets a
+    scaffold row ahead of its first.  Each row emits the days up to the next row of
+    its series, so nothing is joined, and operators that follow reuse the shuffle
+    by series.  Two rows on one day are an error, as they are in a pivot.
     """
     start, end = F.lit(start).cast("date"), F.lit(end).cast("date")
-    w = by_date(*keys)
-    upcoming = F.lead("date").over(w)
-    first_of_series = F.lag("date").over(w).isNull()
-    days = F.sequence(
-        F.when(first_of_series, start).otherwise(F.col("date")),
-        F.coalesce(F.date_sub(F.col("_next"), 1), end),
+    scaffold = panel.select(*keys).distinct().select(
+        *keys, start.alias("date"), F.lit(None).cast("double").alias("value"), F.lit(0).alias("_real")
     )
+    rows = panel.where(F.col("date").between(start, end)).select(
+        *keys, "date", F.col("value").cast("double").alias("value"), F.lit(1).alias("_real")
+    )
+    upcoming = F.lead("date").over(Window.partitionBy(*keys).orderBy("date", "_real"))
+    last = F.coalesce(F.date_sub(F.col("_next"), 1), end)
+    twice = (F.col("_real") == 1) & (F.col("_next") == F.col("date"))
     return (
-        panel.where(F.col("date").between(start, end))
+        rows.unionByName(scaffold)
         .withColumn("_next", upcoming)
         .withColumn(
             "_days",
-            F.when(
-                F.col("_next") == F.col("date"),
-                F.raise_error(F.lit("two rows for one series and date")),
-            ).otherwise(days),
+            F.when(twice, F.raise_error(F.lit("two rows for one series and date")))
+            .when(last >= F.col("date"), F.sequence(F.col("date"), last)),
         )
         .select(*keys, F.col("date").alias("_seen"), "value", F.explode("_days").alias("date"))
         .select(

@@ -1,40 +1,44 @@
 """Keep the features that beat shuffled copies of themselves."""
 
-from math import ceil, comb
+from math import comb
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Window, functions as F
 
-BLOCK_ROWS = 10_000
+RANGE_BITS = 12
 
 
-def with_shadows(df, columns, key, seed, rows):
-    """Adds ``shadow_<column>``: every column permuted on its own.
+def with_position(df, group, order, name):
+    """Adds ``name``: the row's place, from 0, in its group by the hash ``order``.
 
-    Rows are dealt into blocks of about ``BLOCK_ROWS`` by hashed key and permuted
-    inside their block.  A block is a random share of the rows, so the copies keep
-    the distribution and lose the link to the label, and no task holds more than
-    a block.
+    Hashes are cut into ranges; the rows of earlier ranges are counted, and a window
+    ranks inside one range.  No task holds a group.
     """
-    blocks = max(1, ceil(rows / BLOCK_ROWS))
-    shadow = [f"shadow_{c}" for c in columns]
-    dealt = df.withColumn("_h", F.xxhash64(*key, F.lit(seed))).withColumn(
-        "_block", F.pmod("_h", F.lit(blocks))
-    )
-    schema = T.StructType(
-        df.schema.fields + [T.StructField(s, T.DoubleType()) for s in shadow]
-    )
+    ranged = df.withColumn("_range", F.shiftrightunsigned(order, 64 - RANGE_BITS))
+    sizes = ranged.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*(group or [F.lit(0)])).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    inside = F.row_number().over(Window.partitionBy(*group, "_range").orderBy(order)) - 1
+    placed = ranged.withColumn("_inside", inside).join(starts, [*group, "_range"])
+    return placed.withColumn(name, F.col("_start") + F.col("_inside")).drop("_range", "_start", "_inside")
 
-    def permute(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values("_h", kind="stable")
-        draw = np.random.default_rng([seed, int(block["_block"].iloc[0])])
-        for c, s in zip(columns, shadow):
-            block[s] = draw.permutation(block[c].to_numpy(dtype=float))
-        return block.drop(columns=["_h", "_block"])
 
-    return dealt.groupBy("_block").applyInPandas(permute, schema)
+def with_shadows(df, columns, key, seed):
+    """Adds ``shadow_<column>``: every column permuted on its own, over all rows.
+
+    A row's place is its rank by a hash of the key, a cell's place its rank in the
+    column by another hash; each row gets the cell of its place.  One rule for every
+    size, with ``columns`` cells a row through the shuffle.
+    """
+    rows = df.withColumn("_h", F.xxhash64(*key, F.lit(seed)))
+    rows = with_position(rows, [], F.col("_h"), "_at").drop("_h")
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v")) for c in columns]))
+    cells = df.select(*key, cells.alias("_cell")).select(*key, "_cell.*")
+    cells = cells.withColumn("_h", F.xxhash64(*key, F.lit(seed), "name"))
+    cells = with_position(cells, ["name"], F.col("_h"), "_at")
+    wide = cells.groupBy("_at").pivot("name", list(columns)).agg(F.first("v"))
+    wide = wide.select("_at", *[F.col(c).alias(f"shadow_{c}") for c in columns])
+    return rows.join(wide, "_at").drop("_at")
 
 
 def binomial_tail(hits, rounds):
@@ -51,13 +55,12 @@ def shadow_selection(train, columns, label, forest, key, rounds=20, level=0.05,
     features leave later rounds.  The fits run on Spark; the driver sees one
     importance per feature.
     """
-    rows = train.count()
     state = {c: {"hits": 0, "rounds": 0, "decision": "tentative"} for c in columns}
     for number in range(rounds):
         if all(s["decision"] != "tentative" for s in state.values()):
             break
         kept = [c for c in columns if state[c]["decision"] != "rejected"]
-        data = with_shadows(train, kept, key, seed + number, rows)
+        data = with_shadows(train, kept, key, seed + number)
         inputs = kept + [f"shadow_{c}" for c in kept]
         matrix = VectorAssembler(inputCols=inputs, outputCol="features").transform(data)
         model = forest.copy({forest.seed: seed + number}).fit(

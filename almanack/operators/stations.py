@@ -3,11 +3,11 @@
 from pyspark.sql import Window, functions as F
 
 from almanack.functions.angles import circular_mean, valid_direction
-from almanack.functions.medians import MAX_GROUP_ROWS, agg_with_median
+from almanack.functions.medians import agg_with_median
 from almanack.settings import MIN_STATIONS, RING_KM
 
 
-def hourly_to_daily(readings, keys=("site", "date"), max_rows=MAX_GROUP_ROWS):
+def hourly_to_daily(readings, keys=("site", "date")):
     """Long daily max, min, mean and median per site and variable.
 
     Input ``(site, time, variable, value)``; output variables are named
@@ -17,7 +17,6 @@ def hourly_to_daily(readings, keys=("site", "date"), max_rows=MAX_GROUP_ROWS):
     stats = agg_with_median(
         readings.withColumn("date", F.to_date("time")), group, "value", "med",
         F.max("value").alias("max"), F.min("value").alias("min"), F.avg("value").alias("avg"),
-        max_rows=max_rows,
     )
     return stats.unpivot(group, ["max", "min", "avg", "med"], "stat", "value").select(
         *keys, F.concat(F.lit("c_"), "stat", F.lit("_"), "variable").alias("variable"), "value"
@@ -38,8 +37,8 @@ def station_mean(df, keys=("variable", "date")):
     return df.groupBy(*keys).agg(F.avg("value").alias("value"))
 
 
-def station_median(df, keys=("variable", "date"), max_rows=MAX_GROUP_ROWS, screen=None):
-    return agg_with_median(df, list(keys), "value", "value", max_rows=max_rows, screen=screen)
+def station_median(df, keys=("variable", "date")):
+    return agg_with_median(df, list(keys), "value", "value")
 
 
 def any_flag(flag):
@@ -96,11 +95,8 @@ def ring_coverage(df, minimum=MIN_STATIONS):
 
 
 def choose_ring(df, coverage):
-    """Rows of the chosen ring of their year.
-
-    ``coverage`` has one row per calendar year, which bounds the broadcast.
-    """
-    return df.join(F.broadcast(coverage.select("year", "ring")), ["year", "ring"], "left_semi")
+    """Rows of the chosen ring of their year."""
+    return df.join(coverage.select("year", "ring"), ["year", "ring"], "left_semi")
 
 
 def sampler_distance(day, switch, before, after):

@@ -67,18 +67,32 @@ def holt_level(x):
     return float(alpha[int(np.argmin(error))])
 
 
-def _one_period(key, pdf):
+def _seasonal(x):
+    found = partial_autocorrelation(x, 7)
+    return None if found is None else float(found[6])
+
+
+def _differenced(times):
+    def feature(x):
+        d = np.diff(x, times)
+        return sum_of_squares(d, 5) if len(d) else None
+
+    return feature
+
+
+FEATURES = {
+    "y_pacf5": lambda x: sum_of_squares(x, 5),
+    "diff1y_pacf5": _differenced(1),
+    "diff2y_pacf5": _differenced(2),
+    "seas_pacf1": _seasonal,
+    "entropy": spectral_entropy,
+    "holt_alpha": holt_level,
+}
+
+
+def _one_period(names, key, pdf):
     x = pdf.sort_values("date")["value"].to_numpy(dtype=float)
-    d1, d2 = np.diff(x), np.diff(x, 2)
-    seasonal = partial_autocorrelation(x, 7)
-    values = {
-        "y_pacf5": sum_of_squares(x, 5),
-        "diff1y_pacf5": sum_of_squares(d1, 5) if len(d1) else None,
-        "diff2y_pacf5": sum_of_squares(d2, 5) if len(d2) else None,
-        "seas_pacf1": None if seasonal is None else float(seasonal[6]),
-        "entropy": spectral_entropy(x),
-        "holt_alpha": holt_level(x),
-    }
+    values = {n: FEATURES[n](x) for n in names}
     return pd.DataFrame(
         {
             "series": key[0], "period": key[1], "feature": list(values),
@@ -87,11 +101,13 @@ def _one_period(key, pdf):
     )
 
 
-def grouped_features(df):
-    """Long ``(series, period, feature, value)``; input as for the native features."""
+def grouped_features(df, names=tuple(FEATURES)):
+    """Long ``(series, period, feature, value)`` of the named features, and only they
+    are computed; input as for the native features."""
+    names = tuple(names)
     return (
         df.where("value IS NOT NULL")
         .select("series", "period", "date", "value")
         .groupBy("series", "period")
-        .applyInPandas(_one_period, SCHEMA)
+        .applyInPandas(lambda key, pdf: _one_period(names, key, pdf), SCHEMA)
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Window, functions as F
 from almanack.operators.metrics import classification_metrics
 from almanack.operators.panel import by_date
 from almanack.settings import MAX_STARTS
+from almanack.sources.sinks import staged
 
 
 def split_table(df, max_starts=MAX_STARTS):
@@ -51,30 +52,32 @@ def split_table(df, max_starts=MAX_STARTS):
 
 def forward_walk_search(df, grid, fit, predict, truth, max_starts=MAX_STARTS,
                         rank_by="precision", parallelism=4):
-    """Score a grid over every start and fold; returns ``(results, best parameters)``.
+    """Score a grid over every series, start and fold: ``(results, {series: best})``.
 
     ``fit(train, **params)`` and ``predict(model, test)`` run on Spark.  The driver
     only holds the split table and one score per fit; fits run concurrently, as in
     Spark's own cross validator.  The first best mean wins.
     """
     spark = df.sparkSession
-    rows = df.withColumn("_row", F.row_number().over(by_date()) - 1)
+    # written once: every fold and grid point reads the numbered rows
+    rows = staged(df.withColumn("_row", F.row_number().over(by_date()) - 1), "numbered")
     splits = [
-        r.asDict() for r in split_table(df, max_starts).orderBy("start_year", "fold").collect()
+        r.asDict() for r in split_table(df, max_starts).orderBy("series", "start_year", "fold").collect()
     ]
     settings = [dict(zip(grid, values)) for values in product(*grid.values())]
 
     def score(job):
         split, params = job
         base, cut = split["skipped"], split["skipped"] + split["train_rows"]
-        train = rows.where((F.col("_row") >= base) & (F.col("_row") < cut))
-        test = rows.where(
+        own = rows.where(F.col("series").eqNullSafe(F.lit(split["series"])))
+        train = own.where((F.col("_row") >= base) & (F.col("_row") < cut))
+        test = own.where(
             (F.col("_row") >= base + split["test_lo"]) & (F.col("_row") < base + split["test_hi"])
         )
         scored = predict(fit(train, **params), test)
         result = classification_metrics(scored, "prediction", truth).first().asDict()
         return {
-            "params": json.dumps(params), "start_year": split["start_year"], "fold": split["fold"],
+            "series": split["series"], "params": json.dumps(params), "start_year": split["start_year"], "fold": split["fold"],
             **{m: result[m] for m in ("precision", "sensitivity", "specificity", "geometric_mean")},
         }
 
@@ -82,11 +85,11 @@ def forward_walk_search(df, grid, fit, predict, truth, max_starts=MAX_STARTS,
         scores = pool.map(score, [(s, p) for s in splits for p in settings])
     folds = spark.createDataFrame(
         scores,
-        "params string, start_year int, fold int, precision double, sensitivity double, "
+        "series string, params string, start_year int, fold int, precision double, sensitivity double, "
         "specificity double, geometric_mean double",
     )
     results = (
-        folds.groupBy("start_year", "params")
+        folds.groupBy("series", "start_year", "params")
         .agg(
             *[
                 F.avg(F.coalesce(F.col(m), F.lit(0.0))).alias(f"mean_test_{m}")
@@ -94,7 +97,12 @@ def forward_walk_search(df, grid, fit, predict, truth, max_starts=MAX_STARTS,
             ]
         )
         .withColumn("date_run", F.current_timestamp())
-        .orderBy(F.desc(f"mean_test_{rank_by}"))
+        .orderBy("series", F.desc(f"mean_test_{rank_by}"))
     )
-    ranked = results.orderBy(F.desc(f"mean_test_{rank_by}"), "start_year", "params")
-    return results, json.loads(ranked.first()["params"])
+    best = results.withColumn(
+        "_r",
+        F.row_number().over(
+            Window.partitionBy("series").orderBy(F.desc(f"mean_test_{rank_by}"), "start_year", "params")
+        ),
+    ).where("_r = 1")
+    return results, {r["series"]: json.loads(r["params"]) for r in best.collect()}

@@ -49,8 +49,7 @@ def feature_panel(panel, weather, thresholds, clusters, excluded, cut, lags=3,
     df = df.join(thresholds, "series", "left")
     df = flag_peaks(df, peak_thresholds(clean_train), value="_untouched").drop("_untouched")
     df = with_code_lag(df)
-    # one row per calendar day bounds this broadcast
-    df = with_calendar_parts(df).join(F.broadcast(one_per_day(weather)), "date", "left")
+    df = with_calendar_parts(df).join(one_per_day(weather), "date", "left")
     directions = [c for c in S.WEATHER_DIRECTIONS if c in weather.columns]
     df = df.withColumns(
         {

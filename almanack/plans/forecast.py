@@ -59,7 +59,7 @@ def predicted_peaks(frame, cut, selected=None, **bagging):
 def tune_peaks(train, grid, root, stamp, features="features", **search):
     """Search the bagging parameters forward in time and store the table.
 
-    Returns the best parameters; ``stored_parameters`` finds them again.
+    Returns the best parameters of each series; ``stored_parameters`` finds them again.
     """
 
     def fit(rows, **params):
@@ -70,9 +70,9 @@ def tune_peaks(train, grid, root, stamp, features="features", **search):
     return best
 
 
-def stored_parameters(spark, root, schema, rank_by="precision"):
-    """Best parameters of the newest stored search."""
-    newest = load_latest(spark, root, schema)
+def stored_parameters(spark, root, schema, series, rank_by="precision"):
+    """Best parameters of a series in the newest stored search."""
+    newest = load_latest(spark, root, schema).where(F.col("series") == series)
     row = newest.orderBy(F.desc(f"mean_test_{rank_by}"), "start_year", "params").first()
     return json.loads(row["params"])
 

@@ -34,8 +34,9 @@ def daily_station_table(hourly, daily, stations, directions="mean_wind_dir"):
 def three_datasets(table, switch=S.STATION_SWITCH, flags=("c_thunder_day_flag",),
                    directions=("c_mean_wind_dir",), passed=("c_max_gust_dir",)):
     """``(dataset, variable, date, value, n_stations)``: nearest station, station
-    mean and station median.  Flags become any-station flags, directions circular
-    means, and ``passed`` variables come through as they are.
+    mean and station median.  Directions become circular means.  In the mean set flags
+    become any-station flags and ``passed`` variables come through as they are; the
+    median set takes the plain median of both.
 
     The table is read by each of the branches below: pass a written one."""
     keys = ["variable", "date"]
@@ -47,17 +48,17 @@ def three_datasets(table, switch=S.STATION_SWITCH, flags=("c_thunder_day_flag",)
     )
     wind = st.daily_direction(table.where(F.col("variable").isin(list(directions))), keys)
     through = table.where(F.col("variable").isin(list(passed))).select(*keys, "value")
-    shared = flag.unionByName(wind).unionByName(through)
+    middle = st.station_median(table.where(~F.col("variable").isin(list(directions))))
     distance = st.sampler_distance(F.col("date"), switch, F.col("dist_der"), F.col("dist_lei"))
     nearest = st.nearest_station(table.withColumn("_d", distance), "_d").select(*keys, "value")
     counts = st.station_counts(table)
 
     def averaged(df, name):
-        return df.unionByName(shared).join(counts, keys, "left").withColumn("dataset", F.lit(name))
+        return df.unionByName(wind).join(counts, keys, "left").withColumn("dataset", F.lit(name))
 
     return (
-        averaged(st.station_mean(plain), "station_mean")
-        .unionByName(averaged(st.station_median(plain), "station_median"))
+        averaged(st.station_mean(plain).unionByName(flag).unionByName(through), "station_mean")
+        .unionByName(averaged(middle, "station_median"))
         .unionByName(
             nearest.withColumn("n_stations", F.lit(None).cast("long"))
             .withColumn("dataset", F.lit("nearest_station"))

@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 
 from almanack.operators import outliers as ou
 from almanack.operators.tsfeatures import MEMORY, SHAPE, memory_features, native_features, shape_features
-from almanack.operators.tsnumeric import grouped_features
+from almanack.operators.tsnumeric import FEATURES as GROUPED, grouped_features
 from almanack.registry import fixtures as fx
 from almanack.registry.base import register, with_
+from almanack.settings import SELECTED_FEATURES
 
 POSITIONED = """pos AS (
     SELECT series, period, date, value,
@@ -145,7 +146,7 @@ _ENTROPY = """waves AS (
   FROM (SELECT DISTINCT series, period FROM obs) g
   LEFT JOIN entropy e ON e.series = g.series AND e.period = g.period""")
 def spectral_entropy(spark, folder):
-    found = grouped_features(fx.small_obs(spark, folder)).where("feature = 'entropy'")
+    found = grouped_features(fx.small_obs(spark, folder), ["entropy"])
     return found.withColumn("value", F.round("value", 6))
 
 
@@ -179,7 +180,7 @@ _SQUARES = " + ".join(f"f{k}_{k} * f{k}_{k}" for k in range(1, 6))
             ("y_pacf5", 0, 5, _SQUARES), ("diff1y_pacf5", 1, 5, _SQUARES),
             ("diff2y_pacf5", 2, 5, _SQUARES), ("seas_pacf1", 0, 7, "f7_7")]))
 def partial_autocorrelation(spark, folder):
-    found = grouped_features(fx.small_obs(spark, folder)).where("feature LIKE '%pacf%'")
+    found = grouped_features(fx.small_obs(spark, folder), [n for n in GROUPED if "pacf" in n])
     return found.withColumn("value", F.round("value", 5))
 
 
@@ -204,16 +205,29 @@ def zscore_outliers(spark, folder):
     return found.withColumn("max_abs_z", F.round("max_abs_z", 6))
 
 
-def _all_features(spark, folder):
+@register("merged_exclusions", with_(*FEATURES, _Z, fx.OBS.replace("obs AS", "whole AS", 1),
+                                    fx.EXCLUDED.replace("FROM obs", "FROM whole")) + """
+  SELECT series, CAST(substr(period, 1, 4) AS INTEGER) AS year FROM scored GROUP BY series, period HAVING max(abs(z)) > 3.2
+  UNION SELECT series, year FROM excluded""")
+def merged_exclusions(spark, folder):
+    """The years to leave out of training: those with an outlying period and the given ones."""
+    found = ou.zscore_outliers(native_features(fx.small_obs(spark, folder)))
+    derived = found.select("series", F.substring("period", 1, 4).cast("int").alias("year"))
+    return ou.merge_exclusions(derived, fx.excluded_years(fx.obs(spark, folder)))
+
+
+def _selected_features(spark, folder):
+    """The features chosen for scoring, months as periods."""
     panel = fx.small_obs(spark, folder)
-    return native_features(panel).unionByName(grouped_features(panel))
+    native = native_features(panel).where(F.col("feature").isin(SELECTED_FEATURES))
+    return native.unionByName(grouped_features(panel, [n for n in GROUPED if n in SELECTED_FEATURES]))
 
 
 @register("pca_scores")
 def pca_scores(spark, folder):
-    return ou.component_scores(_all_features(spark, folder))
+    return ou.component_scores(_selected_features(spark, folder))
 
 
 @register("pca_outliers")
 def pca_outliers(spark, folder):
-    return ou.pca_outliers(_all_features(spark, folder), 3.2)
+    return ou.pca_outliers(_selected_features(spark, folder), 3.2)

@@ -284,7 +284,7 @@ def calendar_parts(spark, folder):
   FROM obs o LEFT JOIN temp t ON t.date = o.date LEFT JOIN thresholds h ON h.series = o.series""")
 def gdd(spark, folder):
     known = fx.thresholds(spark, folder).where("series <> '5-LOW'")
-    df = fx.obs(spark, folder).join(F.broadcast(fx.temp(spark, folder)), "date", "left")
+    df = fx.obs(spark, folder).join(fx.temp(spark, folder), "date", "left")
     df = df.join(known, "series", "left")
     return df.select(
         "series", "date",

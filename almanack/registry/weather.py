@@ -60,10 +60,7 @@ def station_mean(spark, folder):
 @register("station_median", with_(fx.STATION_DAILY) + """
   SELECT variable, date, median(value) AS value FROM station_daily GROUP BY 1, 2""")
 def station_median(spark, folder):
-    readings = fx.table(spark, folder, "lineitem").select(
-        F.col("l_returnflag").alias("variable"), fx.day("l_shipdate").alias("date")
-    )
-    return st.station_median(fx.station_daily(spark, folder), screen=readings)
+    return st.station_median(fx.station_daily(spark, folder))
 
 
 @register("any_flag", with_(fx.FLAG_DAILY) + """
@@ -315,9 +312,10 @@ _DATASETS = (fx.STATION_HOURLY, fx.STATION_DAILY, fx.STATIONS, f"""hourly AS (
          CASE WHEN a.variable = 'c_mean_wind_dir' THEN round(a.value, 5) % 360 ELSE round(a.value, 5) END AS value,
          CASE WHEN dataset <> 'nearest_station' THEN n_stations END AS n_stations FROM (
     SELECT 'station_mean' AS dataset, variable, date, avg(value) AS value FROM plain GROUP BY 2, 3
-    UNION ALL SELECT 'station_median', variable, date, median(value) FROM plain GROUP BY 2, 3
+    UNION ALL SELECT 'station_median', variable, date, median(value) FROM base
+      WHERE variable <> 'c_mean_wind_dir' GROUP BY 2, 3
     UNION ALL SELECT 'station_mean', variable, date, value FROM shared
-    UNION ALL SELECT 'station_median', variable, date, value FROM shared
+    UNION ALL SELECT 'station_median', variable, date, value FROM shared WHERE variable = 'c_mean_wind_dir'
     UNION ALL SELECT 'nearest_station', variable, date, value FROM (
       SELECT *, rank() OVER (PARTITION BY variable, date ORDER BY dist NULLS LAST) AS r FROM placed)
       WHERE r = 1) a

@@ -7,9 +7,6 @@ are rather than derived.
 from datetime import date
 
 # -- fixed values: calendar -------------------------------------------------
-DATE_START = date(1970, 1, 1)
-DATE_END = date(2021, 12, 31)
-DATE_SPLIT = date(2016, 1, 1)
 STATION_SWITCH = date(2006, 1, 1)
 SITE_CUTS = (date(1983, 1, 1), date(1990, 1, 1), date(2006, 1, 1))
 DECADE_CUTS = (date(1980, 1, 1), date(1990, 1, 1), date(2000, 1, 1), date(2010, 1, 1))
@@ -38,31 +35,15 @@ UNDERSAMPLE_RATIO = 0.1
 # -- fixed values: series ---------------------------------------------------
 TOTAL_SERIES = "Total_fungal_spores"
 UNKNOWN_SERIES = "Unknown_spores"
-MODELLED_SERIES = [
-    "Alternaria", "AspPen", "Botrytis", "Cladosporium", "Didymella", "Drechslera",
-    "Entomophthora", "Epicoccum", "Erysiphe", "Ganoderma", "Leptosphaeria",
-    "Myxomycetes", "Polythrincium", "Rusts_smuts", "Sporobolomyces", "Tilletiopsis",
-    "Torula", "Total_fungal_spores", "Ustilago",
-]
 UNMODELLED_SERIES = [
     "Coloured_basidiospores", "Hyaline_basidiospores", "Other_spores", "Pleosporaceae",
 ]
 
 # -- fixed values: weather columns ------------------------------------------
-WEATHER_NUMERIC = [
-    "c_avg_air_temp", "c_avg_airpress", "c_avg_cloudcov", "c_avg_dewpoint",
-    "c_avg_mean_wind_speed", "c_avg_relhum", "c_max_air_temp",
-    "c_max_mean_wind_speed", "c_min_air_temp", "c_prcp_amt",
-]
 WEATHER_DIRECTIONS = ["c_mean_wind_dir", "c_max_gust_dir"]
 LAGGED_WEATHER = [
     "c_avg_airpress", "c_avg_mean_wind_speed", "c_avg_relhum", "c_prcp_amt", "c_gdd",
 ]
-HOURLY_VARIABLES = {
-    "h_airpress": "airpress", "h_dewpoint": "dewpoint", "h_relhum": "relhum",
-    "h_cloudcov": "cloudcov", "h_mean_wind_speed": "mean_wind_speed",
-    "h_global_irrad": "global_irrad",
-}
 # run-length rules: new column -> (weather column, threshold column)
 RUN_RULES = {
     "run_temp_max_lag": ("c_max_air_temp", "temp_threshold"),

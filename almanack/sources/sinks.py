@@ -1,38 +1,39 @@
 """Writing tables, and the shared folder for work in progress."""
 
-import os
 import uuid
 
 from pyspark.sql import functions as F
 
 
 def shared_folder(spark):
-    """The folder the cluster names in ``spark.checkpoint.dir``.
-
-    Where none is named a local session gets one; a cluster must name it, because
-    a folder on one machine is not visible to the others.
-    """
+    """The folder the cluster names in ``spark.checkpoint.dir``, else one in the
+    warehouse, which all executors share as well."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return os.path.join(os.getcwd(), "spark-warehouse", "shared")
+    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/shared"
 
 
 def staging_path(spark, name):
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def owned_by_session(spark, path):
+    """Let the session's file system remove ``path`` when the session's JVM ends."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
 def staged(df, name):
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage before repeated use; unlike cached blocks the copy outlives
-    an executor.
+    an executor.  It lasts as long as the session.
     """
-    path = staging_path(df.sparkSession, name)
+    spark = df.sparkSession
+    path = staging_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    owned_by_session(spark, path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def write_csv(df, path, mode="overwrite"):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from almanack.functions import dates, numeric
 from almanack.functions.angles import circular_mean, direction_class
 from almanack.functions.geo import haversine
-from almanack.functions.medians import agg_with_median, counted_median, heavy_groups
+from almanack.functions.medians import agg_with_median, counted_median
 from almanack.operators import impute as im, panel as pn, seasons, stations as st, windows as wn
 from almanack.operators.effects import class_effect_rank
 from almanack.operators.gaps import coalesce_sources
@@ -78,34 +78,29 @@ def test_haversine_one_degree(spark):
 # -- medians ----------------------------------------------------------------
 
 
-@pytest.mark.parametrize("limit", [2_000_000, 40, 1])
-def test_medians_of_heavy_groups(spark, limit):
-    """Whatever counts as heavy, the answer is the plain median."""
-    rows = spark.range(5000).select(
+@pytest.mark.parametrize("size", [7, 5000, 40_000])
+def test_medians_of_any_group_size(spark, size):
+    rows = spark.range(size).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 200)).alias("k"),
         ((F.xxhash64("id") % 1000) / 7.0).alias("v"),
     ).unionByName(
         spark.createDataFrame([("empty", None), ("one", -3.5), (None, 4.0), (None, 5.0)], "k string, v double")
     )
     expected = {r["k"]: r["m"] for r in rows.groupBy("k").agg(F.median("v").alias("m")).collect()}
-    got = agg_with_median(rows, ["k"], "v", "m", max_rows=limit)
+    got = agg_with_median(rows, ["k"], "v", "m")
     assert {r["k"]: r["m"] for r in got.collect()} == expected
-    both = agg_with_median(rows, ["k"], "v", "m", F.count("v").alias("n"), max_rows=limit)
+    both = agg_with_median(rows, ["k"], "v", "m", F.count("v").alias("n"))
     assert {r["k"]: r["m"] for r in both.collect()} == expected
 
 
-def test_screening_on_a_cheaper_table(spark):
-    raw = spark.range(900).select((F.col("id") % 2).alias("k"), (F.col("id") % 90).alias("site"), "id")
-    daily = raw.groupBy("k", "site").agg(F.sum("id").cast("double").alias("v"))
-    expected = sorted(daily.groupBy("k").agg(F.median("v").alias("m")).collect())
-    assert sorted(agg_with_median(daily, ["k"], "v", "m", max_rows=100, screen=raw).collect()) == expected
-
-
-def test_heavy_groups_are_named(spark):
-    rows = spark.range(3000).select(F.when(F.col("id") < 1000, -1).otherwise(F.col("id")).alias("k"))
-    hashed = spark.range(1).select(F.xxhash64(F.lit(-1).cast("long"))).first()[0]
-    assert heavy_groups(rows, ["k"], 500) == [hashed]
-    assert heavy_groups(rows, ["k"], 1500) == []
+@pytest.mark.parametrize("copies", [1, 3000])
+def test_medians_order_nan_infinities_and_zeros_one_way(spark, copies):
+    nan, inf = float("nan"), float("inf")
+    cases = {"a": [-5.0, 3.0, 4.0, 9.0, nan], "b": [-inf, 1.0, inf], "c": [-inf, -inf, 7.0], "d": [-0.0, 0.0, None], "e": [nan]}
+    rows = spark.createDataFrame([(k, v) for k, vs in cases.items() for v in vs], "k string, v double")
+    rows = rows.crossJoin(spark.range(copies)).drop("id")
+    got = {r["k"]: r["m"] for r in agg_with_median(rows, ["k"], "v", "m").collect()}
+    assert math.isnan(got.pop("e")) and got == {"a": 4.0, "b": 1.0, "c": -inf, "d": 0.0}
 
 
 def test_counted_median_with_ties(spark):
@@ -122,6 +117,31 @@ def test_grid_rejects_two_rows_on_a_day(spark, series_frame):
         pn.dense_grid(df, date(2019, 1, 1), date(2019, 1, 5)).collect()
 
 
+def test_grid_keeps_a_series_without_rows_in_the_range(spark, series_frame):
+    df = series_frame({"a": [1, 2]}).unionByName(series_frame({"b": [3]}, date(2018, 1, 1)))
+    grid = pn.dense_grid(df, date(2019, 1, 1), date(2019, 1, 3)).collect()
+    assert sorted((r["series"], r["date"].day, r["value"]) for r in grid if r["series"] == "a") == [("a", 1, 1.0), ("a", 2, 2.0), ("a", 3, None)]
+    assert sorted((r["date"].day, r["value"]) for r in grid if r["series"] == "b") == [(1, None), (2, None), (3, None)]
+    missing = pn.missing_dates(df, date(2019, 1, 1), date(2019, 1, 3)).where("series = 'b'")
+    assert missing.count() == 3
+
+
+def test_other_sum_keeps_small_values_beside_large_ones(spark, series_frame):
+    df = series_frame({"a": [1e17], "b": [3.0], "c": [0.5], "d": [float("inf")]})
+    got = {r["series"]: r["sum_other_vars"] for r in with_other_sum(df, df.where("series <> 'd'")).collect()}
+    assert got["a"] == 3.5 and got["b"] == 1e17 + 0.5 and got["d"] == 1e17 + 3.5
+    with_inf = {r["series"]: r["sum_other_vars"] for r in with_other_sum(df, df).collect()}
+    assert with_inf["d"] == 1e17 + 3.5 and with_inf["a"] == float("inf")
+
+
+def test_weighted_mean_of_a_long_series(spark):
+    from almanack.operators.impute import with_ewm
+
+    rows = spark.range(300_000).select(F.lit("a").alias("series"), F.col("id").alias("date"), F.lit(2.5).alias("value"))
+    out = with_ewm(rows, 5).agg(F.min("ewm").alias("low"), F.max("ewm").alias("high")).first()
+    assert math.isclose(out["low"], 2.5, rel_tol=1e-9) and math.isclose(out["high"], 2.5, rel_tol=1e-9)
+
+
 def test_grid_covers_the_scaffold(spark):
     rows = [("a", date(2019, 1, 3), 1.0), ("a", date(2019, 1, 5), None), ("b", date(2018, 1, 1), 9.0),
             ("b", date(2019, 1, 1), 2.0)]

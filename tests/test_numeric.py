@@ -139,12 +139,14 @@ def test_undersampling_keeps_positives_and_repeats(spark):
     assert not bag.exceptAll(bagging.undersample(df, "y", ["k"], 2, 0.1)).isEmpty()
 
 
-def test_shadows_are_permutations(spark, monkeypatch):
-    monkeypatch.setattr(selection, "BLOCK_ROWS", 100)
-    df = spark.range(1000).select("id", (F.col("id") * 1.5).alias("x"))
-    got = selection.with_shadows(df, ["x"], ["id"], 5, 1000).toPandas()
-    assert sorted(got["shadow_x"]) == sorted(got["x"])
-    assert abs(np.corrcoef(got["x"], got["shadow_x"])[0, 1]) < 0.2
+@pytest.mark.parametrize("rows", [1, 300, 30_000])
+def test_shadows_are_permutations_of_all_rows(spark, rows):
+    df = spark.range(rows).select("id", (F.col("id") * 1.5).alias("x"), (F.col("id") % 7).alias("y"))
+    got = selection.with_shadows(df, ["x", "y"], ["id"], 5).toPandas()
+    assert sorted(got["shadow_x"]) == sorted(got["x"]) and sorted(got["shadow_y"]) == sorted(got["y"])
+    if rows > 1:
+        assert abs(np.corrcoef(got["x"], got["shadow_x"])[0, 1]) < 0.2
+        assert abs(np.corrcoef(got["shadow_x"] / 1.5 % 7, got["shadow_y"])[0, 1]) < 0.2
 
 
 def test_shadow_selection_separates_signal_from_noise(spark):
@@ -181,4 +183,23 @@ def test_search_is_stored_and_found_again(spark, tmp_path):
     spark.read.parquet(f"{root}/run_ts=01012024_1200").withColumn("params", F.lit("{}")).write.parquet(
         f"{root}/run_ts=31122023_2359"
     )
-    assert stored_parameters(spark, root, StructType.fromDDL(_RESULTS)) == best
+    assert stored_parameters(spark, root, StructType.fromDDL(_RESULTS), "a") == best["a"]
+
+
+def test_search_keeps_series_apart(spark):
+    days = spark.range(800).select(
+        F.explode(F.array(F.lit("a"), F.lit("b"))).alias("series"),
+        F.date_add(F.lit(date(2000, 1, 1)), F.col("id").cast("int")).alias("date"),
+        (F.col("id") % 2).cast("int").alias("peak"),
+    )
+    seen = []
+
+    def fit(train, depth):
+        seen.append((depth, {r["series"] for r in train.select("series").distinct().collect()}))
+
+    def predict(model, test):
+        return test.withColumn("prediction", F.col("peak"))
+
+    results, best = wf.forward_walk_search(days, {"depth": [1, 2]}, fit, predict, "peak", max_starts=1)
+    assert all(len(s) == 1 for _, s in seen) and {"a", "b"} == set(best)
+    assert {r["series"] for r in results.collect()} == {"a", "b"}
