@@ -220,7 +220,7 @@ def linked(vectors, vec_id="vec_id", embedding="embedding", cosine=COSINE, block
 SQL = f"""
 WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
 g AS (SELECT vec_id, e FROM v WHERE e IS NOT NULL AND len(e) > 0
-  AND len(list_filter(e, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0),
+  AND len([x FOR x IN e IF x IS NULL OR isnan(x) OR isinf(x)]) = 0 AND len([x FOR x IN e IF x <> 0]) > 0),
 l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
   WHERE list_cosine_similarity(a.e, b.e) >= {COSINE}),
 r AS (SELECT a, a AS b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),

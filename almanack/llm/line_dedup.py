@@ -140,17 +140,17 @@ def dedup_lines(docs, doc_id="doc_id", text="text", near_words=NEAR_WORDS):
 SQL = rf"""
 WITH l AS (SELECT doc_id, i AS no, trim(regexp_replace(string_split(text, chr(10))[i], '{BLANKS}', ' ', 'g')) AS line
   FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents WHERE text IS NOT NULL)),
-f AS (SELECT line, min((doc_id, no)) AS at FROM l WHERE line <> '' GROUP BY line),
-w AS (SELECT line, at, string_split(line, ' ') AS w FROM f WHERE len(string_split(line, ' ')) >= {NEAR_WORDS}),
-v AS (SELECT line, at, p, array_to_string(list_concat(w[:p - 1], w[p + 1:]), ' ') AS v
+f AS (SELECT line, min((doc_id, no)) AS spot FROM l WHERE line <> '' GROUP BY line),
+w AS (SELECT line, spot, string_split(line, ' ') AS w FROM f WHERE len(string_split(line, ' ')) >= {NEAR_WORDS}),
+v AS (SELECT line, spot, p, array_to_string(list_concat(w[:p - 1], w[p + 1:]), ' ') AS v
   FROM (SELECT *, unnest(range(1, len(w) + 1)) AS p FROM w)),
 n AS (
-  SELECT v.line FROM v JOIN (SELECT v, p, min(at) AS first FROM v GROUP BY v, p) g ON v.v = g.v AND v.p = g.p WHERE first < at
-  UNION SELECT v.line FROM v JOIN w ON v.v = w.line WHERE w.at < v.at
-  UNION SELECT w.line FROM w JOIN (SELECT v, min(at) AS first FROM v GROUP BY v) g ON g.v = w.line WHERE first < w.at),
+  SELECT v.line FROM v JOIN (SELECT v, p, min(spot) AS lead0 FROM v GROUP BY v, p) g ON v.v = g.v AND v.p = g.p WHERE lead0 < spot
+  UNION SELECT v.line FROM v JOIN w ON v.v = w.line WHERE w.spot < v.spot
+  UNION SELECT w.line FROM w JOIN (SELECT v, min(spot) AS lead0 FROM v GROUP BY v) g ON g.v = w.line WHERE lead0 < w.spot),
 m AS (SELECT l.doc_id, l.no, string_split(d.text, chr(10))[l.no] AS raw,
-    l.line <> '' AND (l.doc_id, l.no) <> f.at AS equal,
-    l.line <> '' AND (l.doc_id, l.no) = f.at AND n.line IS NOT NULL AS near
+    l.line <> '' AND (l.doc_id, l.no) <> f.spot AS equal,
+    l.line <> '' AND (l.doc_id, l.no) = f.spot AND n.line IS NOT NULL AS near
   FROM l JOIN documents d USING (doc_id) LEFT JOIN f ON f.line = l.line LEFT JOIN n ON n.line = l.line)
 SELECT doc_id, coalesce(string_agg(raw, chr(10) ORDER BY no) FILTER (NOT coalesce(equal, false) AND NOT coalesce(near, false)), '') AS text,
   count(*) AS n_lines, count(*) FILTER (equal) AS n_equal, count(*) FILTER (near) AS n_near
