@@ -53,6 +53,19 @@ def _halves():
     return F.array(*keys)
 
 
+def _only(lines, chosen):
+    """The ``lines`` whose h1, h2 are among the ``chosen``.
+
+    Bits of the chosen hashes, in a table of at most 65,536 numbers whatever the corpus,
+    are looked up first, so that few lines travel to the join.
+    """
+    bit = "CAST(h1 & 63 AS INT)"
+    word = F.shiftrightunsigned("h1", 48)
+    bits = chosen.groupBy(word.alias("_word")).agg(F.expr(f"bit_or(shiftleft(1L, {bit}))").alias("_bits"))
+    seen = lines.withColumn("_word", word).join(F.broadcast(bits), "_word").where(f"(shiftrightunsigned(_bits, {bit}) & 1) = 1")
+    return seen.drop("_word", "_bits").join(chosen, ["h1", "h2"], "left_semi")
+
+
 def _near(rows, near_words):
     """``h1, h2`` of the distinct lines that have an earlier neighbour within one word."""
     place = F.struct("doc_id", "row", "no")
@@ -62,7 +75,7 @@ def _near(rows, near_words):
     spread = keyed.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
     shared = spread.where("low <> high").select("key")
     alive = staged(keyed.join(shared, "key", "left_semi").select("h1", "h2").distinct(), "halves")
-    chosen = lines.where(F.size("words") >= near_words).join(alive, ["h1", "h2"], "left_semi")
+    chosen = _only(lines.where(F.size("words") >= near_words).drop("words"), alive)
     chosen = staged(chosen.groupBy("h1", "h2").agg(F.min(place).alias("at"), F.first("line").alias("line")), "lines")
 
     word = chosen.select("h1", "h2", "at", F.posexplode(F.split("line", " ")).alias("p", "word"))
