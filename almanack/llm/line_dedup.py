@@ -39,43 +39,46 @@ def _lines(rows):
     )
 
 
-def _halves():
+def _halves(near_words):
     """Keys of which two lines within one word share one: for its own length and the
-    length one less, the first half and the last half of the words."""
-    words, n = F.col("words"), F.size("words")
+    length one less, the first half and the last half of the words.  None for short lines."""
     keys = []
     for shorter in (0, 1):
-        m = F.expr(f"(size(words) - {shorter}) DIV 2")
-        rest = n - shorter - m
-        first = F.array_join(F.slice(words, F.lit(1), m), " ")
-        last = F.array_join(F.slice(words, n - rest + 1, rest), " ")
-        keys += [F.xxhash64(F.lit(0), n - shorter, first), F.xxhash64(F.lit(1), n - shorter, last)]
-    return F.array(*keys)
+        n = f"(n - {shorter})"
+        for side, half in ((0, f"{n} DIV 2"), (1, f"-({n} - {n} DIV 2)")):
+            keys.append(f"xxhash64({side}, {n}, substring_index(line, ' ', CAST({half} AS INT)))")
+    return F.when(F.col("n") >= near_words, F.expr(f"array({', '.join(keys)})"))
 
 
-def _only(lines, chosen):
-    """The ``lines`` whose h1, h2 are among the ``chosen``.
+def _only(rows, chosen, keys):
+    """The ``rows`` whose ``keys`` are among the ``chosen``, which are distinct.
 
-    Bits of the chosen hashes, in a table of at most 65,536 numbers whatever the corpus,
-    are looked up first, so that few lines travel to the join.
+    Bits of the chosen ones' first key, in a table of at most 65,536 numbers whatever the
+    corpus, are looked up before the join, so that few rows travel to it.
     """
-    bit = "CAST(h1 & 63 AS INT)"
-    word = F.shiftrightunsigned("h1", 48)
+    bit = f"CAST({keys[0]} & 63 AS INT)"
+    word = F.shiftrightunsigned(keys[0], 48)
     bits = chosen.groupBy(word.alias("_word")).agg(F.expr(f"bit_or(shiftleft(1L, {bit}))").alias("_bits"))
-    seen = lines.withColumn("_word", word).join(F.broadcast(bits), "_word").where(f"(shiftrightunsigned(_bits, {bit}) & 1) = 1")
-    return seen.drop("_word", "_bits").join(chosen, ["h1", "h2"], "left_semi")
+    seen = rows.withColumn("_word", word).join(F.broadcast(bits), "_word").where(f"(shiftrightunsigned(_bits, {bit}) & 1) = 1")
+    # an inner join: a semi join would be moved ahead of the bits
+    return seen.drop("_word", "_bits").join(chosen, keys)
 
 
-def _near(rows, near_words):
+def _slim(rows, near_words):
+    """Place, hashes and keys of all lines, written once: the text is read once for it."""
+    lines = _lines(rows).withColumn("n", F.length("line") - F.length(F.expr("replace(line, ' ', '')")) + 1)
+    return staged(lines.select("row", "doc_id", "no", "h1", "h2", _halves(near_words).alias("keys")), "slim")
+
+
+def _near(rows, slim):
     """``h1, h2`` of the distinct lines that have an earlier neighbour within one word."""
     place = F.struct("doc_id", "row", "no")
-    lines = _lines(rows).withColumn("words", F.split("line", " "))
-    keyed = lines.where(F.size("words") >= near_words).select("h1", "h2", F.explode(_halves()).alias("key"))
+    keyed = slim.where("keys IS NOT NULL").select("h1", F.explode("keys").alias("key"))
     # equal lines have equal keys, so a key is shared if it has two different lines
     spread = keyed.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high"))
-    shared = spread.where("low <> high").select("key")
-    alive = staged(keyed.join(shared, "key", "left_semi").select("h1", "h2").distinct(), "halves")
-    chosen = _only(lines.where(F.size("words") >= near_words).drop("words"), alive)
+    shared = staged(spread.where("low <> high").select("key"), "shared")
+    alive = staged(_only(keyed, shared, ["key"]).select("h1").distinct(), "halves")
+    chosen = _only(_lines(rows), alive, ["h1"])
     chosen = staged(chosen.groupBy("h1", "h2").agg(F.min(place).alias("at"), F.first("line").alias("line")), "lines")
 
     word = chosen.select("h1", "h2", "at", F.posexplode(F.split("line", " ")).alias("p", "word"))
@@ -117,12 +120,13 @@ def _near(rows, near_words):
 def dropped_lines(docs, doc_id="doc_id", text="text", near_words=NEAR_WORDS):
     """``row`` (a hash of id and text), ``equal`` and ``near``: numbers of the lines that go."""
     rows = docs.select(F.xxhash64(doc_id, text).alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    near = _near(rows, near_words).withColumn("near", F.lit(True))
+    slim = _slim(rows, near_words)
+    near = _near(rows, slim).withColumn("near", F.lit(True))
     place = F.struct("doc_id", "row", "no")
-    lines = _lines(rows).select("row", "doc_id", "no", "h1", "h2")
+    lines = slim.select("row", "doc_id", "no", "h1", "h2")
     known = lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("many"))
-    known = known.join(near, ["h1", "h2"], "left").where("many > 1 OR near").drop("many")
-    bad = lines.join(known, ["h1", "h2"]).where((place != F.col("first")) | F.col("near"))
+    known = staged(known.join(near, ["h1", "h2"], "left").where("many > 1 OR near").drop("many"), "known")
+    bad = _only(lines, known, ["h1", "h2"]).where((place != F.col("first")) | F.col("near"))
     bad = bad.withColumn("is_near", F.coalesce("near", F.lit(False)) & (place == F.col("first")))
     return bad.groupBy("row").agg(
         F.collect_set(F.when(~F.col("is_near"), F.col("no"))).alias("equal"), F.collect_set(F.when(F.col("is_near"), F.col("no"))).alias("near")
