@@ -1,8 +1,9 @@
 """Main text of web pages: markup where it speaks, page differencing where it is silent.
 
 A page is cut into text lines, one per block.  Lines inside ``article`` or ``main`` are
-its text, lines in menus, footers, adverts and the like are not; both are certain.  The
-other lines are decided by the page with the nearest URL: pages are sorted by host and
+its text, lines in menus, footers, adverts and the like are not; both are certain.  In a
+page without the former, lines in elements whose class names say content come first, or
+else all that are left, and these are decided by the page with the nearest URL: pages are sorted by host and
 path, each is paired with the neighbour of the same host that shares the longest path
 prefix, their lines are aligned by a longest common subsequence, and shared lines are
 deleted.  A neighbour that shares more than half of the undecided text is a copy and
@@ -41,7 +42,11 @@ BOILERPLATE = set(
     "notification pager pagination popup promo promoted promotion recommended related reply replies respond share sharing "
     "sidebar signup skip social sponsor sponsored subscribe toolbar widget".split()
 )
-CONTENT = set("article body content entry main post story text".split())
+CONTENT = set(
+    "article article-body article-content article-text content entry entry-content main main-content page-content post "
+    "post-body post-content post-text story story-body story-content".split()
+)
+NEGATED = set("has no with without".split())
 ROLES = set("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 
 _DROP = "script style noscript template textarea svg iframe select button object math canvas audio video"
@@ -54,23 +59,31 @@ TOKEN = re.compile(
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-SURE, UNDECIDED, OUT = "sure", "undecided", "out"
+SURE, LIKELY, UNDECIDED, OUT = "sure", "likely", "undecided", "out"
 
 
-def _excluded(tag, attributes, in_main):
+def _kind(tag, attributes, in_main):
+    """(whether the element is left out, its claim to be the text: 2 by tag, 1 by name)."""
+    own = tag in ("article", "main")
     if tag in OUTSIDE or (tag == "header" and not in_main):
-        return True
+        return True, 0
     if not attributes.strip() or tag in ("html", "body"):
-        return False
+        return False, 2 * own
     found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(attributes)}
     if "hidden" in found or found.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", found.get("style", "")):
-        return True
-    if ROLES & set(found.get("role", "").lower().split()):
-        return True
-    words = set(re.split(r"[\s_-]+", (found.get("class", "") + " " + found.get("id", "")).lower()))
-    if tag == "main" or words & CONTENT:
-        return bool(words & {"comment", "comments"})
-    return bool(words & BOILERPLATE) or ("header" in words and not in_main)
+        return True, 0
+    roles = set(found.get("role", "").lower().split())
+    if ROLES & roles:
+        return True, 0
+    names = (found.get("class", "") + " " + found.get("id", "")).lower().split()
+    for name in names:
+        words = set(re.split("[_-]+", name))
+        if words & {"comment", "comments"} or not own and words & BOILERPLATE and not words & NEGATED:
+            return True, 0
+        if "header" in words and not in_main and not own:
+            return True, 0
+    named = found.get("itemprop") == "articleBody" or bool(CONTENT & {n.replace("_", "-") for n in names})
+    return False, 2 if own or "main" in roles else int(named)
 
 
 def lines_of(page):
@@ -83,8 +96,8 @@ def lines_of(page):
         text = " ".join(html.unescape("".join(part)).split())
         part.clear()
         if text:
-            zone = OUT if any(s[1] for s in stack) else SURE if any(s[2] for s in stack) else UNDECIDED
-            out.append((text, zone))
+            claim = max((s[2] for s in stack), default=0)
+            out.append((text, OUT if any(s[1] for s in stack) else (UNDECIDED, LIKELY, SURE)[claim]))
 
     for m in TOKEN.finditer(page):
         part.append(page[at : m.start()])
@@ -107,7 +120,7 @@ def lines_of(page):
                     del stack[k:]
                     break
             continue
-        in_main = any(s[2] for s in stack)
+        in_main = any(s[2] == 2 for s in stack)
         if block:
             close()
             # a paragraph ends where the next block begins; a body ends the head
@@ -117,12 +130,12 @@ def lines_of(page):
                 stack.clear()
         if tag in VOID or attributes.endswith("/"):
             continue
-        out_here = _excluded(tag, attributes, in_main)
+        out_here, claim = _kind(tag, attributes, in_main)
         if block and tag not in ("html", "body"):
-            stack.append((tag, out_here, tag in ("article", "main")))
+            stack.append((tag, out_here, claim))
         elif out_here:
             close()
-            stack.append((tag, True, False))
+            stack.append((tag, True, 0))
     part.append(page[at:])
     close()
     return out
@@ -165,10 +178,11 @@ def main_text(page, neighbour):
     if sure:
         return "\n".join(sure)
     shared = common_lines([_hash(t) for t, _ in lines], neighbour) if neighbour is not None and len(neighbour) else set()
-    open_lines = [(t, k in shared) for k, (t, z) in enumerate(lines) if z == UNDECIDED]
+    best = LIKELY if any(z == LIKELY for _, z in lines) else UNDECIDED
+    open_lines = [(t, k in shared) for k, (t, z) in enumerate(lines) if z == best]
     if 2 * sum(len(t) for t, s in open_lines if s) > sum(len(t) for t, _ in open_lines):
-        shared = set()
-    return "\n".join(t for k, (t, z) in enumerate(lines) if z == UNDECIDED and k not in shared)
+        return "\n".join(t for t, _ in open_lines)
+    return "\n".join(t for t, s in open_lines if not s)
 
 
 def _line_hashes(batches):

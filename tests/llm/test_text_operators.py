@@ -160,6 +160,9 @@ def test_markup_decides_where_it_speaks():
         "<aside>side</aside><form>f</form><ul><li>one<li>two</ul><div class='comments'><p>nice</p></div></main><footer>f</footer>"
     )
     assert main_text(page, None) == "T\na b\nc\none\ntwo"
+    named = "<div class='has-sidebar'><div class='sidebar-content'>side</div><div class='entry-content'>a<div class='ad'>b</div></div><p>c</p></div>"
+    assert main_text(named, None) == "a"
+    assert main_text("<p>x</p><div id='comments'>y</div><section class='comment-list'>z</section>", None) == "x"
     assert main_text(None, None) == "" and lines_of("<!-- a <p>b</p> -->") == []
     assert main_text("<p>1 < 2 &lt;b&gt;</p><!-- open", None) == "1 < 2 <b>"
 
