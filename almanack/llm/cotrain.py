@@ -27,8 +27,8 @@ from pyspark.sql import types as T
 from almanack.llm.base import register, table
 from almanack.llm.textbytes import ALNUM, SOLID, U, chunks, mixed, word_bounds, words
 
-MAX_LABELLED = 8_000
-MAX_POOL = 4_000
+MAX_LABELLED = 4_000
+MAX_POOL = 2_000
 ROUNDS = 2
 SURE = 0.98
 KEEP = 0.5
@@ -258,8 +258,12 @@ def train(docs, labels, rounds=ROUNDS, max_labelled=MAX_LABELLED, max_pool=MAX_P
         dense = rows.column(f"{name}_dense").combine_chunks().flatten().to_numpy()
         size = lists.value_lengths().to_numpy(zero_copy_only=False)
         parts[name] = (np.concatenate(([0], np.cumsum(size))), lists.flatten().to_numpy(), dense.reshape(len(rows), -1))
+    ids = rows.column("id").to_numpy().astype(U)
+    # what Arrow held goes back: the driver needs its memory for the plans
+    del rows, lists, dense
+    pa.default_memory_pool().release_unused()
     labelled = np.flatnonzero(~np.isnan(good))
-    keep = mixed(rows.column("id").to_numpy()[labelled].astype(U)) % U(4) > 0
+    keep = mixed(ids[labelled]) % U(4) > 0
     fit, hold, pool = labelled[keep], labelled[~keep], np.flatnonzero(np.isnan(good))
     if any(len(set(good[part])) < 2 for part in (fit, hold)):
         return None
