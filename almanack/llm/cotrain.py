@@ -3,32 +3,39 @@
 Two views of a document: its text (which words occur, shares of symbols and repeats) and
 its page metadata (source, language, length and layout of lines).  Each view has its own
 logistic regression.  In every round each view is calibrated on labelled rows that it was
-not fitted on, scores a pool of unlabelled documents, and hands the rows it is sure about
-to the other view as labels.  At the end a third regression over the two calibrated
-log-odds, fitted on the same held-back rows, combines the views.
+not fitted on, scores all unlabelled documents, and hands the rows it is sure about to the
+other view as labels.  At the end a third regression over the two calibrated log-odds,
+fitted on the same held-back rows, combines the views.
 
 A document is good when its quality label is 1 and its toxic label is not 1.
 
-Bounds: about ``MAX_LABELLED`` labelled and ``MAX_POOL`` unlabelled rows at most, chosen by
-a hash of the id, are fitted on; their features come to the driver, the weights go back.
-Features and scores of all documents are made in one map over whole texts, no shuffle.
+Features of all documents are made in one map and staged in blocks of rows.  Both views
+are fitted on all labels and all sure guesses: every step of the L-BFGS searches is one
+pass over the blocks in which tasks sum loss and gradient of both views, and the driver
+holds weights and gradients alone, of a fixed size.  Bounds: of the labels a quarter, but
+about ``MAX_HELD`` at most, is held back; the held-back rows' two log-odds come to the
+driver for the calibrations (two or three numbers each).  Scores of all documents are made
+in one map over whole texts, no shuffle.
 
 Defined results: a null text is an empty one; null metadata is a value of its own; a
-label row without id or quality is no label; an id with several labels is good only if all
-are; without labels of both kinds every document scores 1 and is kept; a document whose
-score is at least ``KEEP`` is kept; other columns pass through, result names are replaced.
+label row without id or quality is no label; documents without id are unlabelled; an id
+with several labels is good only if all are; without labels of both kinds, fitted and held
+back, every document scores 1 and is kept; a document whose score is at least ``KEEP`` is
+kept; other columns pass through, result names are replaced.  Sums of the fit are taken in
+no fixed order, so scores agree between runs up to rounding.
 """
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from almanack.llm.base import register, table
+from almanack.llm.base import register, staged, table
 from almanack.llm.textbytes import ALNUM, SOLID, U, chunks, mixed, word_bounds, words
 
-MAX_LABELLED = 4_000
-MAX_POOL = 2_000
+MAX_HELD = 5_000
 ROUNDS = 2
 SURE = 0.98
 KEEP = 0.5
@@ -37,7 +44,12 @@ WORDS = 1 << BITS
 SITES = 1 << 10
 TEXT, META = "text", "meta"
 LIMIT = 12.0
+DECAY = {TEXT: 3e-5, META: 1e-3}
 LEAST_ROWS = 5
+STEPS = 60
+BLOCK_CELLS = 1 << 20
+PART_BLOCKS = 8
+FEW_PARTS = 32
 
 _PLAIN = ALNUM | ~SOLID
 _PLAIN[[ord("."), ord(",")]] = True
@@ -80,45 +92,54 @@ def features(texts, sources, langs):
         for s, g in zip(sources[first:last], langs[first:last]):
             for name in (f"s={s!r}", f"l={g!r}", f"{g!r}|{s!r}"):
                 site.append(int.from_bytes(name.encode()[-24:], "little") % 1_000_003)
-        site = (mixed(np.array(site, U)) % U(SITES)).astype(np.int32)
+        site = mixed(np.array(site, U)) % U(SITES)
+        # marks of a row that share a column count once
+        pair = np.unique((np.repeat(np.arange(rows), 3).astype(U) << U(BITS)) | site)
+        site = (pair & U(WORDS - 1)).astype(np.int32)
+        of_site = np.searchsorted(pair, np.arange(rows + 1).astype(U) << U(BITS))
         yield first, last, {
             TEXT: (ptr, columns, np.stack(text, axis=1)),
-            META: (np.arange(0, 3 * rows + 1, 3), site, np.stack(meta, axis=1)),
+            META: (of_site, site, np.stack(meta, axis=1)),
         }
 
 
 class Regression:
     """Weighted logistic regression over indicator columns and scaled dense ones."""
 
-    def __init__(self, columns, decay):
-        self.columns, self.decay = columns, decay
-
-    def _raw(self, w, ptr, index, dense):
-        sums = np.concatenate(([0.0], np.cumsum(w[index])))
-        return np.diff(sums[ptr]) + dense @ w[self.columns : -1] + w[-1]
-
-    def fit(self, ptr, index, dense, good, weight, steps=60):
-        """L-BFGS with backtracking on the mean loss and the squared weights.
+    def __init__(self, columns, decay, mean, scale):
+        self.columns, self.decay, self.mean, self.scale = columns, decay, mean, scale
+        self.w = np.zeros(columns + len(mean) + 1)
 
-        Columns of fewer than ``LEAST_ROWS`` rows say nothing and keep the weight 0."""
-        usual = np.bincount(index, minlength=self.columns) >= LEAST_ROWS
-        kept = usual[index] if len(index) else np.zeros(0, bool)
-        ptr, index = np.concatenate(([0], np.cumsum(kept)))[ptr], index[kept]
-        self.mean, self.scale = dense.mean(axis=0), dense.std(axis=0) + 1e-9
-        x = (dense - self.mean) / self.scale
-        weight = weight / weight.sum()
-        many = np.diff(ptr)
+    def raw(self, ptr, index, dense):
+        sums = np.concatenate(([0.0], np.cumsum(self.w[index])))
+        return np.diff(sums[ptr]) + (dense - self.mean) / self.scale @ self.w[self.columns : -1] + self.w[-1]
+
+    def sums(self, part, good, weight):
+        """Summed loss and its gradient; rows of weight 0 do not count."""
+        ptr, index, dense = part
+        z = self.raw(*part)
+        rest = weight * (_chance(z) - good)
+        grad = np.bincount(index, np.repeat(rest, np.diff(ptr)), self.columns)
+        return np.concatenate(([(weight * (np.logaddexp(0, z) - good * z)).sum()], grad, ((dense - self.mean) / self.scale).T @ rest, [rest.sum()]))
+
+    def search(self, usual=None, steps=STEPS):
+        """L-BFGS with backtracking on the mean loss and the squared weights: sets the
+        weights, waits for ``sums`` over all rows, whose weights sum to 1, and ends with
+        the best weights.  Columns that are not ``usual`` keep the weight 0."""
+        free = np.ones(len(self.w), bool)
+        if usual is not None:
+            free[: self.columns] = usual
+        start = self.w * free
 
         def loss(w):
-            z = self._raw(w, ptr, index, x)
-            rest = weight * (1 / (1 + np.exp(-z)) - good)
-            grad = np.concatenate((np.bincount(index, np.repeat(rest, many), self.columns), x.T @ rest, [rest.sum()]))
+            self.w = w
+            made = yield
+            grad = made[1:] * free
             grad[:-1] += self.decay * w[:-1]
-            value = (weight * (np.logaddexp(0, z) - good * z)).sum() + self.decay / 2 * (w[:-1] ** 2).sum()
-            return value, grad
+            return made[0] + self.decay / 2 * (w[:-1] ** 2).sum(), grad
 
-        w = np.zeros(self.columns + x.shape[1] + 1)
-        now, grad = loss(w)
+        w = start
+        now, grad = yield from loss(w)
         past = []
         for _ in range(steps):
             q, marks = grad.copy(), []
@@ -133,7 +154,7 @@ class Regression:
                 q += s * (a - r * (y @ q))
             slope, step = grad @ q, 1.0
             while step > 1e-8:
-                ahead, turned = loss(w - step * q)
+                ahead, turned = yield from loss(w - step * q)
                 if ahead <= now - 1e-4 * step * slope:
                     break
                 step /= 2
@@ -142,132 +163,217 @@ class Regression:
             s, y = -step * q, turned - grad
             if s @ y > 1e-12:
                 past = [*past[-9:], (s, y, 1 / (s @ y))]
-            done = now - ahead < 1e-7
+            done = now - ahead < 1e-6
             w, now, grad = w + s, ahead, turned
             if done:
                 break
         self.w = w
-        return self
 
-    def raw(self, ptr, index, dense):
-        return self._raw(self.w, ptr, index, (dense - self.mean) / self.scale)
 
+def _line(x, good):
+    """A regression over a few dense columns of held-back rows, at the driver."""
+    model = Regression(0, 1e-4, x.mean(axis=0), x.std(axis=0) + 1e-9)
+    part, weight = (np.zeros(len(x) + 1, np.int64), np.zeros(0, np.int64), x), np.full(len(x), 1 / len(x))
+    search = model.search()
+    try:
+        next(search)
+        while True:
+            search.send(model.sums(part, good, weight))
+    except StopIteration:
+        return model
 
-def _none(n):
-    return np.zeros(n + 1, np.int64), np.zeros(0, np.int64)
 
+def _dense(model, x):
+    return model.raw(np.zeros(len(x) + 1, np.int64), np.zeros(0, np.int64), x)
 
-def _balanced(good):
-    share = good.mean()
-    return np.where(good > 0, 0.5 / max(share, 1e-9), 0.5 / max(1 - share, 1e-9))
+
+def _chance(odds):
+    return 1 / (1 + np.exp(-odds))
 
 
 class View:
     """A regression of one view and its calibration (a line through the log-odds)."""
 
-    def __init__(self, name, rows, good, fit, hold):
-        self.name = name
-        self.model = Regression(WORDS if name == TEXT else SITES, 3e-5 if name == TEXT else 1e-3)
-        part, own = _rows(rows[name], fit), good[fit]
-        self.model.fit(*part, own, _balanced(own))
-        raw = self.model.raw(*_rows(rows[name], hold))[:, None]
-        self.line = Regression(0, 1e-4).fit(*_none(len(hold)), raw, good[hold], np.ones(len(hold)))
+    def __init__(self, model, line):
+        self.model, self.line = model, line
 
     def odds(self, part):
-        raw = self.model.raw(*part)[:, None]
-        return np.clip(self.line.raw(*_none(len(raw)), raw), -LIMIT, LIMIT)
-
-
-def _rows(part, chosen):
-    ptr, index, dense = part
-    many = np.diff(ptr)[chosen]
-    out = np.concatenate(([0], np.cumsum(many)))
-    place = np.arange(out[-1]) - np.repeat(out[:-1], many) + np.repeat(ptr[:-1][chosen], many)
-    return out, index[place], dense[chosen]
-
-
-def _chance(odds):
-    return 1 / (1 + np.exp(-odds))
+        return np.clip(_dense(self.line, self.model.raw(*part)[:, None]), -LIMIT, LIMIT)
 
 
 class Scorer:
     """The two fitted views and their combination; small enough to send to every task."""
 
-    def __init__(self, rows, good, fit, hold, pool, rounds, sure):
-        """``good`` holds labels, guesses for the pool take their place in a copy."""
-        labels = {TEXT: (fit, good), META: (fit, good)}
-        for turn in range(rounds + 1):
-            self.views = {name: View(name, rows, labels[name][1], labels[name][0], hold) for name in (TEXT, META)}
-            if turn < rounds:
-                for name, other in ((TEXT, META), (META, TEXT)):
-                    p = _chance(self.views[name].odds(_rows(rows[name], pool)))
-                    certain = (p >= sure) | (p <= 1 - sure)
-                    given = good.copy()
-                    given[pool[certain]] = p[certain] >= 0.5
-                    labels[other] = (np.concatenate((fit, pool[certain])), given)
-        both = np.stack([self.views[n].odds(_rows(rows[n], hold)) for n in (TEXT, META)], axis=1)
-        self.last = Regression(0, 1e-4).fit(*_none(len(hold)), both, good[hold], np.ones(len(hold)))
+    def __init__(self, views, last):
+        self.views, self.last = views, last
 
     def score(self, parts):
         both = np.stack([self.views[n].odds(parts[n]) for n in (TEXT, META)], axis=1)
-        mixed = self.last.raw(*_none(len(both)), both)
+        mixed = _dense(self.last, both)
         return _chance(both[:, 0]), _chance(both[:, 1]), _chance(np.clip(mixed, -30, 30))
 
 
-def _sample(rows, key, most, seed):
-    """All rows, or by a hash of the key about ``most`` of them."""
-    count = rows.count()
-    return rows if count <= most else rows.where(F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1 << 30)) < int(most / count * (1 << 30)))
-
-
 def _gather(batches):
-    """Features of sampled rows, for the driver."""
+    """Features of documents, a row each."""
     for batch in batches:
-        ids, good, texts, sources, langs = batch.columns
+        ids, texts, sources, langs = batch.columns
         for first, last, parts in features(texts, sources.to_pylist(), langs.to_pylist()):
-            out = [ids.slice(first, last - first), good.slice(first, last - first)]
+            out = [ids.slice(first, last - first)]
             for name in (TEXT, META):
                 ptr, index, dense = parts[name]
-                flat = pa.array(dense.ravel())
+                at = np.arange(0, dense.size + 1, dense.shape[1], dtype=np.int32)
                 out.append(pa.ListArray.from_arrays(ptr.astype(np.int32), pa.array(index)))
-                out.append(pa.ListArray.from_arrays(np.arange(0, dense.size + 1, dense.shape[1], dtype=np.int32), flat))
-            yield pa.RecordBatch.from_arrays(out, names=["id", "good", "text", "text_dense", "meta", "meta_dense"])
-
+                out.append(pa.ListArray.from_arrays(at, pa.array(dense.ravel())))
+            yield pa.RecordBatch.from_arrays(out, names=["id", "text", "text_dense", "meta", "meta_dense"])
 
-_GATHERED = "id long, good double, text array<int>, text_dense array<double>, meta array<int>, meta_dense array<double>"
 
-
-def train(docs, labels, rounds=ROUNDS, max_labelled=MAX_LABELLED, max_pool=MAX_POOL, sure=SURE):
-    """A fitted ``Scorer``, or None without labels of both kinds."""
+def _blocks(batches):
+    """Blocks of rows: (sort key, label or NaN, whether held back, {view: features})."""
+    for batch in batches:
+        size = batch.column(3).value_lengths().to_numpy(zero_copy_only=False)
+        cut = np.flatnonzero(np.diff(np.cumsum(size, dtype=np.int64) // BLOCK_CELLS, prepend=0)).tolist()
+        for first, last in zip([0, *cut], [*cut, len(batch)]):
+            if first == last:
+                continue
+            key, good, hold, *columns = batch.slice(first, last - first).columns
+            parts = {}
+            for name, lists, dense in ((TEXT, *columns[:2]), (META, *columns[2:])):
+                ptr = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)))
+                parts[name] = (ptr, lists.flatten().to_numpy(), dense.flatten().to_numpy().reshape(last - first, -1))
+            plain = lambda c: c.to_numpy(zero_copy_only=False)
+            block = pickle.dumps((plain(key), plain(good).astype(np.float64), plain(hold).astype(bool), parts), 5)
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.binary())], names=["block"])
+
+
+def staged_blocks(docs, labels, max_held):
+    """All documents as staged blocks."""
     good = (F.min("quality") == 1) & (F.coalesce(F.max("toxic"), F.lit(0)) != 1)
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id")
-    known = known.agg(good.cast("double").alias("good")).select(F.col("doc_id").alias("_id"), "good")
-    slim = docs.select(F.col("doc_id").cast("long").alias("_id"), "text", "source", "lang").where("_id IS NOT NULL")
-    chosen = _sample(known, "_id", max_labelled, 1)
-    ids = _sample(slim.select("_id").distinct().join(known, "_id", "left_anti"), "_id", max_pool, 2)
-    chosen = chosen.unionByName(ids.withColumn("good", F.lit(None).cast("double")))
-    rows = slim.join(chosen, "_id").select("_id", "good", "text", "source", "lang").mapInArrow(_gather, _GATHERED).toArrow()
-    if not len(rows):
+    known = known.agg(good.cast("double").alias("good")).select(F.col("doc_id").alias("id"), "good", F.lit(-1).cast("long").alias("nth"))
+    share = min(1 << 28, (max_held << 30) // max(known.count(), 1))
+    lists = "text array<int>, text_dense array<double>, meta array<int>, meta_dense array<double>"
+    schema = T.StructType([T.StructField("id", docs.schema["doc_id"].dataType), *T._parse_datatype_string(lists).fields])
+    rows = docs.select(F.col("doc_id").alias("id"), "text", "source", "lang").mapInArrow(_gather, schema)
+    # rows without an id have no label; their number deals them out over all tasks
+    number = F.when(F.col("id").isNull(), F.monotonically_increasing_id()).otherwise(-1)
+    rows = rows.withColumn("nth", number).join(known, ["id", "nth"], "left")
+    key = F.xxhash64(F.lit(3), "id")
+    hold = F.col("good").isNotNull() & (F.pmod(key, F.lit(1 << 30)) < share)
+    rows = rows.select(key.alias("key"), "good", hold.alias("hold"), "text", "text_dense", "meta", "meta_dense")
+    return staged(rows.mapInArrow(_blocks, "block binary"), "views")
+
+
+def _summed(blocks, parts, of_block):
+    """The sum over all blocks of a dictionary of arrays."""
+
+    def run(rows):
+        total = None
+        for row in rows:
+            made = of_block(*pickle.loads(row[0]))
+            total = made if total is None else _plus(total, made)
+        return [] if total is None else [total]
+
+    made = blocks.rdd.mapPartitions(run)
+    return made.reduce(_plus) if parts <= FEW_PARTS else made.treeReduce(_plus)
+
+
+def _plus(a, b):
+    return {k: a[k] + b[k] for k in a}
+
+
+def _labels(name, good, hold, parts, views, sure):
+    """Labels that a view is fitted on: known ones, and the other view's sure guesses
+    where none is known; NaN for all else."""
+    own = np.where(hold, np.nan, good)
+    if views:
+        other = META if name == TEXT else TEXT
+        p = _chance(views[other].odds(parts[other]))
+        open_rows = np.isnan(good)
+        own[open_rows & (p >= sure)] = 1
+        own[open_rows & (p <= 1 - sure)] = 0
+    return own
+
+
+def train(docs, labels, rounds=ROUNDS, max_held=MAX_HELD, sure=SURE, seen=None):
+    """A fitted ``Scorer``, or None without labels of both kinds.
+
+    ``seen``, a list, gets for each round the rows of both kinds that each view is fitted on."""
+    context = docs.sparkSession.sparkContext
+    blocks = staged_blocks(docs, labels, max_held)
+    parts = max(context.defaultParallelism, blocks.count() // PART_BLOCKS)
+    blocks = blocks.coalesce(parts)
+
+    def first(key, good, hold, parts):
+        kinds = [(~hold & (good == g)).sum() for g in (0, 1)] + [(hold & (good == g)).sum() for g in (0, 1)]
+        out = {"kinds": np.array(kinds), "rows": np.array([len(key)])}
+        for name in (TEXT, META):
+            out |= {name: parts[name][2].sum(axis=0), f"{name} squares": (parts[name][2] ** 2).sum(axis=0)}
+        return out
+
+    if blocks.isEmpty():
         return None
-    order = np.argsort(rows.column("id").to_numpy(), kind="stable")
-    rows = rows.take(pa.array(order)).combine_chunks()
-    good = rows.column("good").to_numpy(zero_copy_only=False).astype(np.float64)
-    parts = {}
-    for name in (TEXT, META):
-        lists = rows.column(name).combine_chunks()
-        dense = rows.column(f"{name}_dense").combine_chunks().flatten().to_numpy()
-        size = lists.value_lengths().to_numpy(zero_copy_only=False)
-        parts[name] = (np.concatenate(([0], np.cumsum(size))), lists.flatten().to_numpy(), dense.reshape(len(rows), -1))
-    ids = rows.column("id").to_numpy().astype(U)
-    # what Arrow held goes back: the driver needs its memory for the plans
-    del rows, lists, dense
-    pa.default_memory_pool().release_unused()
-    labelled = np.flatnonzero(~np.isnan(good))
-    keep = mixed(ids[labelled]) % U(4) > 0
-    fit, hold, pool = labelled[keep], labelled[~keep], np.flatnonzero(np.isnan(good))
-    if any(len(set(good[part])) < 2 for part in (fit, hold)):
+    whole = _summed(blocks, parts, first)
+    if not whole["kinds"].all():
         return None
-    return Scorer(parts, good, fit, hold, pool, rounds, sure)
+    models, views = {}, None
+    for name, columns in ((TEXT, WORDS), (META, SITES)):
+        mean = whole[name] / whole["rows"]
+        scale = np.sqrt(np.maximum(whole[f"{name} squares"] / whole["rows"] - mean**2, 0)) + 1e-9
+        models[name] = Regression(columns, DECAY[name], mean, scale)
+    for turn in range(rounds + 1):
+        given = context.broadcast(views)
+
+        def kinds(key, good, hold, parts):
+            out = {}
+            for name, columns in ((TEXT, WORDS), (META, SITES)):
+                own = _labels(name, good, hold, parts, given.value, sure)
+                ptr, index, _ = parts[name]
+                used = np.repeat(~np.isnan(own), np.diff(ptr))
+                out[name] = np.array([(own == 0).sum(), (own == 1).sum()])
+                out[f"{name} columns"] = np.bincount(index[used], minlength=columns)
+            return out
+
+        count = _summed(blocks, parts, kinds)
+        if seen is not None:
+            seen.append({name: count[name].tolist() for name in models})
+        each = {name: 0.5 / count[name] for name in models}
+        searches = {name: m.search(count[f"{name} columns"] >= LEAST_ROWS) for name, m in models.items()}
+        for search in searches.values():
+            next(search)
+        while searches:
+            sent = context.broadcast({name: models[name] for name in searches})
+
+            def sums(key, good, hold, parts):
+                out = {}
+                for name, model in sent.value.items():
+                    own = _labels(name, good, hold, parts, given.value, sure)
+                    weight = np.where(own == 1, each[name][1], np.where(own == 0, each[name][0], 0.0))
+                    out[name] = model.sums(parts[name], np.nan_to_num(own), weight)
+                return out
+
+            made = _summed(blocks, parts, sums)
+            sent.destroy()
+            for name in list(searches):
+                try:
+                    searches[name].send(made[name])
+                except StopIteration:
+                    del searches[name]
+        sent = context.broadcast(models)
+
+        def held(rows):
+            for row in rows:
+                key, good, hold, parts = pickle.loads(row[0])
+                raw = [sent.value[n].raw(*parts[n])[hold] for n in (TEXT, META)]
+                yield np.column_stack([key[hold].view(np.float64), good[hold], *raw])
+
+        rows = np.concatenate(blocks.rdd.mapPartitions(held).collect())
+        sent.destroy()
+        given.destroy()
+        rows = rows[np.argsort(rows[:, 0].copy().view(np.int64), kind="stable")]
+        good = rows[:, 1]
+        views = {n: View(models[n], _line(rows[:, [k]], good)) for k, n in ((2, TEXT), (3, META))}
+    both = np.stack([np.clip(_dense(views[n].line, rows[:, [k]]), -LIMIT, LIMIT) for k, n in ((2, TEXT), (3, META))], axis=1)
+    return Scorer(views, _line(both, good))
 
 
 ADDED = ["text_score", "meta_score", "score", "keep"]
