@@ -20,6 +20,7 @@ pairing and get equal texts; other columns pass through, result names are replac
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -49,10 +50,15 @@ CONTENT = set(
 NEGATED = set("has no with without".split())
 ROLES = set("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split())
 
-_DROP = "script style noscript template textarea svg iframe select button object math canvas audio video"
+# elements without text: of the raw ones only their own end tag, or the page's end, is the
+# end; the others end with their parent at the latest
+SKIPPED = set("noscript template svg select button object math canvas audio video".split())
+UNNESTED = {"select", "button"}
+_RAW = "script|style|textarea|iframe"
+_REST = r"(?:\"[^\"]*\"|'[^']*'|[^'\">])*+"
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<({_DROP.replace(' ', '|')})\b.*?(?:</\1\s*>|\Z)"
+    rf"|<({_RAW})(?=[\s/>])(?:(?:/|{_REST}(?<=[\s\"']/))>|.*?(?:</\1(?=[\s/>])[^>]*>|\Z))"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>"
     r"|<[!?/][^>]*>",
@@ -91,6 +97,8 @@ def lines_of(page):
     if not page:
         return []
     out, part, stack, at = [], [], [], 0
+    # the element being skipped, tags open inside it, inline tags open outside it
+    skipped, inner, inline = None, Counter(), Counter()
 
     def close():
         text = " ".join(html.unescape("".join(part)).split())
@@ -100,17 +108,38 @@ def lines_of(page):
             out.append((text, OUT if any(s[1] for s in stack) else (UNDECIDED, LIKELY, SURE)[claim]))
 
     for m in TOKEN.finditer(page):
-        part.append(page[at : m.start()])
+        if not skipped:
+            part.append(page[at : m.start()])
         at = m.end()
         tag = (m[3] or m[6] or "").lower()
         if not tag:
             continue
+        ends, empty = m[2] or m[5], tag in VOID or (m[4] or m[7] or "").endswith("/")
+        if skipped:
+            if not ends:
+                inner[tag] += not empty and not (tag == skipped and tag in UNNESTED)
+                continue
+            if inner[tag]:
+                inner[tag] -= 1
+                continue
+            if tag == skipped:
+                skipped = None
+                continue
+            if not inline[tag] and all(s[0] != tag for s in stack):
+                continue
+            skipped = None
+        elif tag in SKIPPED:
+            if not ends and not empty:
+                skipped, inner = tag, Counter()
+            continue
+        if tag not in BLOCKS and tag not in OUTSIDE and not empty:
+            inline[tag] = max(0, inline[tag] - 1) if ends else inline[tag] + 1
         if tag == "br":
             part.append(" ")
             continue
         block = tag in BLOCKS or tag in OUTSIDE
         attributes = m[4] or m[7] or ""
-        if m[2] or m[5]:
+        if ends:
             if block:
                 close()
             for k in range(len(stack) - 1, -1, -1):
@@ -128,7 +157,7 @@ def lines_of(page):
                 stack.pop()
             if tag == "body":
                 stack.clear()
-        if tag in VOID or attributes.endswith("/"):
+        if empty:
             continue
         out_here, claim = _kind(tag, attributes, in_main)
         if block and tag not in ("html", "body"):
@@ -136,7 +165,8 @@ def lines_of(page):
         elif out_here:
             close()
             stack.append((tag, True, 0))
-    part.append(page[at:])
+    if not skipped:
+        part.append(page[at:])
     close()
     return out
 
