@@ -8,9 +8,12 @@ equal row counts: the law is ``rows``.
 A bucket is a task: rows go to the task that their bucket names, so the seed and the
 input alone decide the order, whatever the cluster.
 
-Defined results: a null text has size 1 and the check sum of an empty text; equal rows
-hash alike and are spread by their rank among equals only within their bucket; with no
-rows there are no shards; input columns pass through, those named like a result are
+The hash is of all columns and the row's rank among equal rows, so repeated or missing
+ids fill no bucket.  Equal rows are interchangeable: they are counted, and their copies
+made anew with ranks, in blocks of ``COPIES``.
+
+Defined results: a null text has size 1 and the check sum of an empty text; with no rows
+there are no shards; input columns pass through, those named like a result are
 replaced.
 """
 
@@ -24,6 +27,7 @@ SHARDS = 16
 SEED = 20_24
 BUCKET_BYTES = 16 << 20
 SIDE = 1024
+COPIES = 4096
 
 
 def size_of(text):
@@ -41,20 +45,35 @@ def bucket_starts(buckets, column="_bucket", count="_rows"):
     return fine.join(total, "_coarse").select(column, (F.col("_in") + F.col("_at")).alias("_start"))
 
 
+def ranked(docs):
+    """``docs`` with ``_hash``, of all columns, and ``_rank``, from 0 among equal rows."""
+    hashed = docs.withColumn("_hash", F.xxhash64(*docs.columns))
+    often = staged(hashed.groupBy("_hash").count().where("count > 1").select("_hash"), "repeated")
+    if often.isEmpty():
+        return hashed.withColumn("_rank", F.lit(0).cast("long"))
+    once = hashed.join(often, "_hash", "left_anti").withColumn("_rank", F.lit(0).cast("long"))
+    many = hashed.join(often, "_hash", "left_semi").groupBy(*docs.columns, "_hash").agg(F.count("*").alias("_times"))
+    block = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_times - 1) DIV {COPIES}")))
+    many = many.withColumn("_block", block).repartition("_hash", "_block")
+    first = F.col("_block") * COPIES
+    copies = F.sequence(first, F.least(first + COPIES, F.col("_times")) - 1)
+    return once.unionByName(many.withColumn("_rank", F.explode(copies)).drop("_times", "_block"))
+
+
 def shuffled(docs, key="doc_id", text="text", shards=SHARDS, seed=SEED, bucket_bytes=BUCKET_BYTES):
     """``docs`` with ``shard`` and ``slot`` (gapless from 0 in each shard)."""
     docs = docs.drop(*[c for c in docs.columns if c.lower() in ("shard", "slot")])
     rows, size = docs.agg(F.count("*"), F.sum(size_of(F.col(text)))).head()
     buckets = max(1, -(-(size or 0) // bucket_bytes))
-    bucket = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(buckets)).cast("int")
-    starts = docs.select(bucket.alias("_bucket")).groupBy("_bucket").agg(F.count("*").alias("_rows"))
+    bucket = F.pmod(F.xxhash64(F.lit(seed), F.col("_hash"), F.col("_rank")), F.lit(buckets)).cast("int")
+    dealt = ranked(docs).withColumn("_bucket", bucket).drop("_hash", "_rank")
+    starts = dealt.select("_bucket").groupBy("_bucket").agg(F.count("*").alias("_rows"))
     starts = bucket_starts(starts)
     columns = docs.columns
     record = F.struct(*[F.col(c) for c in columns])
     order = F.xxhash64(F.lit(seed + 1), F.col(key), F.col(text))
     mixed = (
-        docs.withColumn("_bucket", bucket)
-        .repartitionById(buckets, F.col("_bucket"))
+        dealt.repartitionById(buckets, F.col("_bucket"))
         .groupBy("_bucket")
         .agg(F.array_sort(F.collect_list(F.struct(order.alias("_order"), record.alias("_record")))).alias("_rows"))
         .select("_bucket", F.posexplode(F.shuffle("_rows", seed)).alias("_place", "_row"))
