@@ -6,17 +6,21 @@ from almanack.operators.panel import pivot_wide
 from almanack.operators.windows import with_lags
 
 
-def other_sums(panel, keys, total_series=None):
-    """``(series, date, sum_other_vars)`` for the cells of ``panel`` and of ``keys``.
+def other_sums(panel, total_series=None, keys=None):
+    """``(series, date, sum_other_vars)`` for the cells of ``panel``, and of ``keys``
+    where given.
 
     Sums the other series themselves, before and after the own one in their order:
     a total less the own value would lose small values beside large ones, and one
     infinite value would spoil all.  A window holds one row per series.
     """
-    counted = panel if total_series is None else panel.where(F.col("series") != total_series)
-    cells = counted.select("series", "date", "value").unionByName(
-        keys.select("series", "date", F.lit(None).cast("double").alias("value"))
-    )
+    value = F.col("value")
+    if total_series is not None:  # a total has others, but is none
+        value = F.when(~F.col("series").eqNullSafe(F.lit(total_series)), value)
+    cells = panel.select("series", "date", value.alias("value"))
+    if keys is not None:
+        nothing = F.lit(None).cast("double").alias("value")
+        cells = cells.unionByName(keys.select("series", "date", nothing))
     cells = cells.groupBy("series", "date").agg(F.sum("value").alias("value"))
     earlier = (Window.unboundedPreceding, -1)
     up = Window.partitionBy("date").orderBy("series").rowsBetween(*earlier)
@@ -25,9 +29,14 @@ def other_sums(panel, keys, total_series=None):
     return cells.select("series", "date", (parts[0] + parts[1]).alias("sum_other_vars"))
 
 
-def with_other_sum(df, panel, total_series=None):
-    """Adds ``sum_other_vars``, nulls skipped; an aggregate total is no other series."""
-    return df.join(other_sums(panel, df, total_series), ["series", "date"], "left")
+def with_other_sum(df, panel, total_series=None, absent=True):
+    """Adds ``sum_other_vars``, nulls skipped; an aggregate total is no other series.
+
+    ``absent=False`` promises that ``panel`` has a row for every row of ``df``, as a
+    dense grid has; ``df`` is then planned once.
+    """
+    sums = other_sums(panel, total_series, df if absent else None)
+    return df.join(sums, ["series", "date"], "left")
 
 
 def with_other_counts(df, panel, names, lags=0):

@@ -19,9 +19,10 @@ def feature_panel(panel, weather, thresholds, clusters, excluded, cut, lags=3,
                   run_rules=S.RUN_RULES, other_counts=()):
     """Assemble the features of every series in one plan.
 
-    ``panel`` is the imputed ``(series, date, value)``, ``weather`` one row per day,
+    ``panel`` is the imputed dense ``(series, date, value)``, ``weather`` one row per day,
     ``thresholds`` one row per series.  It is read by four branches (thresholds,
-    seasons, day totals, the rows themselves), so pass a table, not a long plan.
+    seasons, day totals, the rows themselves) and ``excluded`` by three, so pass
+    tables, not long plans.
 
     Excluded (series, year) groups lose their values before ``cut`` but keep their
     rows, so lags and runs still step through them.  Peak thresholds and season
@@ -67,7 +68,7 @@ def feature_panel(panel, weather, thresholds, clusters, excluded, cut, lags=3,
         df, {n: F.col(c) >= F.col(limit) for n, (c, limit) in run_rules.items()}, lagged=True
     )
     df = df.where(F.col("value").isNotNull()).drop(*[c for c in thresholds.columns if c != "series"])
-    df = with_other_sum(df, panel, total_series)
+    df = with_other_sum(df, panel, total_series, absent=False)
     if other_counts:
         df = with_other_counts(df, panel, other_counts, lags)
     df = df.withColumnRenamed("value", "outcome")

@@ -367,9 +367,10 @@ def imputed_panel(spark, folder):
 
 def panel_of_features(spark, folder, **options):
     panel = imputed_panel(spark, folder)
+    excluded = staged(fx.excluded_years(panel), "excluded")
     return feature_panel(
         panel, fx.weather(spark, folder), fx.thresholds(spark, folder), fx.clusters(panel),
-        fx.excluded_years(panel), fx.SPLIT, lags=3, site_cuts=fx.SITE_CUTS,
+        excluded, fx.SPLIT, lags=3, site_cuts=fx.SITE_CUTS,
         decade_cuts=fx.DECADE_CUTS, total_series=fx.TOTAL, lagged_weather=LAGGED, **options,
     )
 
