@@ -4,14 +4,15 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
+from pyspark.sql import Column, functions as F
 
 from almanack.settings import UNDERSAMPLE_RATIO
 
 
 def draw(key, bag):
     """A number in [0, 1) fixed by the row's key and the bag."""
-    digest = F.md5(F.concat_ws("|", *key, F.lit(bag)))
+    bag = bag.cast("string") if isinstance(bag, Column) else F.lit(bag)
+    digest = F.md5(F.concat_ws("|", *key, bag))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / float(2 ** 32)
 
 
@@ -39,6 +40,21 @@ def undersample(df, label, key, bag, ratio=UNDERSAMPLE_RATIO, group=(), counted=
     return counted.where(keep).drop("_pos", "_neg")
 
 
+def bag_members(df, label, key, group, bags, ratio):
+    """The rows of every bag of every group, with ``bag``: all positives of the group, and
+    negatives drawn per bag so that positives / negatives is near ``ratio``.
+
+    ``bags`` and ``ratio`` may be columns.  Classes are counted once for all bags.
+    """
+    every = F.sequence(F.lit(0), (bags if isinstance(bags, Column) else F.lit(bags)) - 1)
+    ratio = ratio if isinstance(ratio, Column) else F.lit(float(ratio))
+    counted = df.join(class_counts(df, label, group), list(group))
+    rate = F.try_divide(F.col("_pos"), ratio * F.col("_neg"))
+    spread = counted.withColumns({"_rate": rate, "bag": F.explode(every)})
+    keep = (F.col(label) == 1) | (draw(key, F.col("bag")) < F.col("_rate"))
+    return spread.where(keep).drop("_pos", "_neg", "_rate")
+
+
 def fit_bags(train, label, key, bags=10, ratio=1.0, trees=10, depth=3, features="features", seed=42):
     """One boosted model per bag, a few at a time; the classes are counted once."""
     counted = class_counts(train, label).first()

@@ -1,6 +1,6 @@
 """Feature matrices: one-hot, scaling, selection by name."""
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler, VectorSlicer
 from pyspark.sql import functions as F
 
@@ -37,26 +37,47 @@ def one_hot_stages(columns):
     return [index, encode]
 
 
-def fit_matrix(train, categorical, numeric):
-    """A fitted function from frames to frames with a ``features`` vector, and the
-    slot names.  Fitted on ``train`` only."""
-    fitted = fit_scaler(train, numeric)
-    as_text = {c: F.col(c).cast("string") for c in categorical}
-    stages = one_hot_stages(categorical) if categorical else []
-    assembler = VectorAssembler(
-        inputCols=[f"{c}_is" for c in categorical] + list(numeric), outputCol="features"
-    )
+class Matrix:
+    """A fitted encoder: adds the ``features`` vector to a frame.  ``names`` are the slots'."""
+
+    def __init__(self, pipeline, fitted, categorical):
+        self.pipeline, self.fitted, self.categorical = pipeline, fitted, list(categorical)
+        self.names = None
+
+    def prepared(self, df):
+        as_text = {c: F.col(c).cast("string") for c in self.categorical}
+        return scale(df.withColumns(as_text) if as_text else df, self.fitted)
 
-    def prepared(df):
-        return scale(df.withColumns(as_text) if as_text else df, fitted)
+    def __call__(self, df):
+        scratch = [f"{c}{end}" for c in self.categorical for end in ("_at", "_is")]
+        return self.pipeline.transform(self.prepared(df)).drop(*scratch)
 
-    model = Pipeline(stages=[*stages, assembler]).fit(prepared(train))
-    scratch = [f"{c}{end}" for c in categorical for end in ("_at", "_is")]
+    def save(self, spark, path):
+        """The pipeline, and the scaling as a table, below ``path``."""
+        self.pipeline.write().save(f"{path}/pipeline")
+        kinds = [(c, None, None, True) for c in self.categorical] + [(c, m, s, False) for c, (m, s) in self.fitted.items()]
+        rows = [(i, *k) for i, k in enumerate(kinds)]
+        spark.createDataFrame(rows, "at int, name string, mean double, spread double, categorical boolean").write.parquet(f"{path}/scaling")
 
-    def apply(df):
-        return model.transform(prepared(df)).drop(*scratch)
+    @classmethod
+    def load(cls, spark, path):
+        rows = spark.read.parquet(f"{path}/scaling").orderBy("at").collect()
+        fitted = {r["name"]: (r["mean"], r["spread"]) for r in rows if not r["categorical"]}
+        return cls(PipelineModel.load(f"{path}/pipeline"), fitted, [r["name"] for r in rows if r["categorical"]])
 
-    return apply, slot_names(apply(train.limit(0)), "features")
+
+def fit_matrix(train, categorical, numeric, invalid="error"):
+    """A fitted ``Matrix`` and the slot names.  Fitted on ``train`` only.  ``invalid="keep"``
+    leaves missing numbers as NaN slots and missing categories without a slot set."""
+    fitted = fit_scaler(train, numeric)
+    stages = one_hot_stages(categorical) if categorical else []
+    assembler = VectorAssembler(
+        inputCols=[f"{c}_is" for c in categorical] + list(numeric), outputCol="features", handleInvalid=invalid
+    )
+    matrix = Matrix(None, fitted, categorical)
+    matrix.pipeline = Pipeline(stages=[*stages, assembler]).fit(matrix.prepared(train))
+    matrix.names = slot_names(matrix(train.limit(0)), "features")
+    return matrix, matrix.names
 
 
 def slot_names(df, column):

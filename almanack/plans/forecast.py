@@ -3,12 +3,15 @@
 import json
 
 from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from almanack import settings as S
-from almanack.operators.bagging import fit_bags, predict_bags
+from almanack.operators.bagging import bag_members, fit_bags, predict_bags
+from almanack.operators.boosted import bag_votes, boost, boosted_values, fit_stumps
 from almanack.operators.encode import fit_matrix, restrict
+from almanack.operators.manytrees import Draw, Rule, bin_cuts, with_bins
 from almanack.operators.panel import drop_by_prefix, split_at
 from almanack.operators.walkforward import forward_walk_search
 from almanack.sources.runs import load_latest, save_best
@@ -17,9 +20,9 @@ from almanack.sources.sinks import staged
 KEY = ["series", "date"]
 
 
-def modelling_frame(panel, series, other_series=(), keep_other=True):
-    """One series, without the columns that would leak or are not modelled."""
-    df = panel.where(F.col("series") == series)
+def modelling_frame(panel, series=None, other_series=(), keep_other=True):
+    """One series or all, without the columns that would leak or are not modelled."""
+    df = panel if series is None else panel.where(F.col("series") == series)
     df = drop_by_prefix(df, ["outcome_lag", "date_lag"]).drop(*S.NOT_MODELLED_COLUMNS)
     if not keep_other:
         df = drop_by_prefix(df, [*other_series, "sum_other_vars"])
@@ -32,6 +35,82 @@ def column_kinds(df, extra_categorical=()):
     return categorical, [c for c in df.columns if c not in left_out]
 
 
+def series_of(frame):
+    """The names of the series, in order: one model, or one set of bags, each."""
+    return [r["series"] for r in frame.select("series").distinct().orderBy("series").collect()]
+
+
+class Binned:
+    """All series' rows as bins, written once; fitted on the rows before ``cut``.
+
+    A day with missing features stays: a missing slot has a bin of its own.  Slots are the
+    same for all series; levels and cuts are each series' own where they matter.
+    """
+
+    def __init__(self, frame, cut, extra_categorical=(), years=False):
+        self.cut, self.years = cut, years
+        self.categorical, self.numeric = column_kinds(frame, extra_categorical)
+        train = frame.where(F.col("date") < F.lit(cut))
+        self.matrix, names = fit_matrix(train, self.categorical, self.numeric, invalid="keep")
+        self.names = [*names, *(["year"] if years else [])]
+        slots = staged(self.slotted(frame), "slots")
+        self.cuts = staged(bin_cuts(slots.where(F.col("date") < F.lit(cut))), "cuts")
+        self.series = series_of(slots)
+        self.rows = staged(self.binned(slots), "bins")
+
+    def slotted(self, frame):
+        slots = vector_to_array("features")
+        if self.years:
+            slots = F.concat(slots, F.array(F.year("date").cast("double")))
+        kept = [c for c in ("peak", "outcome") if c in frame.columns]
+        return self.matrix(frame).select(*KEY, *kept, slots.alias("slots"))
+
+    def binned(self, slots):
+        number = F.array_position(F.array(*[F.lit(s) for s in self.series]), F.col("series")) - 1
+        return with_bins(slots, self.cuts).drop("slots").withColumn("model", number.cast("int"))
+
+    def early(self):
+        return self.rows.where(F.col("date") < F.lit(self.cut))
+
+    def late(self):
+        return self.rows.where(F.col("date") >= F.lit(self.cut))
+
+    def allowed(self, selected):
+        """Places of each series' selected slots; a series without any may use all."""
+        if not selected:
+            return ()
+        every = tuple(range(len(self.names)))
+        own = [tuple(i for i in every if self.names[i] in set(selected.get(s, ()))) for s in self.series]
+        return tuple(o or every for o in own)
+
+
+def peaks_of_all(binned, selected=None, bags=10, ratio=1.0, rounds=50, seed=42):
+    """Balanced bags of reweighted stumps for every series, all fitted at once:
+    ``(series, date, prediction, peak, outcome)`` from the cut on, and the stumps."""
+    members = bag_members(binned.early().where("peak IS NOT NULL"), "peak", KEY, ["series"], bags, ratio)
+    models = len(binned.series) * bags
+    own = F.col("model") * bags + F.col("bag")
+    allowed = tuple(a for a in binned.allowed(selected) for _ in range(bags))
+    draw = Draw(len(binned.names), seed=seed, allowed=allowed)
+    members = members.select(own.cast("int").alias("model"), "bins", F.col("peak").alias("y"))
+    stumps = fit_stumps(members, models, draw, rounds)
+    bags_of = [range(i * bags, (i + 1) * bags) for i in range(len(binned.series))]
+    voted = bag_votes(binned.late().withColumn("ensemble", F.col("model")), stumps, bags_of)
+    return voted.select(*KEY, "prediction", "peak", "outcome"), stumps
+
+
+def counts_of_all(binned, selected=None, trees=100, depth=7, rate=0.04, rows=0.9, per_tree=0.2,
+                  per_level=0.7, seed=42):
+    """Boosted trees for every series' counts, all fitted at once, with a draw of slots per
+    tree and a further one per level: ``(series, date, prediction, outcome)`` from the cut
+    on, and ``(start values, trees)``."""
+    draw = Draw(len(binned.names), per_tree, per_level, seed, binned.allowed(selected))
+    train = binned.early().where("outcome IS NOT NULL").withColumn("y", F.col("outcome"))
+    start, grown = boost(train, len(binned.series), KEY, draw, trees, rate, rows, Rule(depth, 1.0, 1.0))
+    scored = boosted_values(binned.late(), start, grown, rate)
+    return scored.select(*KEY, "prediction", "outcome"), (start, grown)
+
+
 def selection_forest(kind, trees=2000, depth=16, seed=42):
     """The forest the shadow features are tested with."""
     learner = RandomForestClassifier if kind == "peak" else RandomForestRegressor
