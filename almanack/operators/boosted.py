@@ -117,14 +117,54 @@ class Stumps:
         self.votes.append(vote)
         self.done = self.done | (error == 0) | (error >= 0.5)
 
-    def decision(self, model, bins):
-        """Votes for less votes against, by all votes: from -1 to 1."""
+    def decision(self, model, bins, rounds=None):
+        """Votes for less votes against, by all votes: from -1 to 1.  ``rounds``: of each
+        row how many of the first rounds vote; boosting cut short is the same boosting."""
         total, all_votes = np.zeros(len(model)), np.zeros(len(model))
-        for tree, vote in zip(self.trees, self.votes):
-            total += vote[model] * np.where(tree.values(model, bins) > 0.5, 1.0, -1.0)
-            all_votes += vote[model]
+        for number, (tree, vote) in enumerate(zip(self.trees, self.votes)):
+            own = vote[model] if rounds is None else vote[model] * (number < rounds)
+            total += own * np.where(tree.values(model, bins) > 0.5, 1.0, -1.0)
+            all_votes += own
         return np.divide(total, all_votes, out=np.zeros(len(total)), where=all_votes > 0)
 
+    def table(self, spark):
+        """``STORED`` rows."""
+        votes = [r[:6] + (float(self.votes[r[1]][r[0]]),) for t, tree in enumerate(self.trees) for r in tree.rows(t)]
+        return spark.createDataFrame(votes, STORED)
+
+    @classmethod
+    def of_table(cls, table, models):
+        out = cls(models)
+        out.trees = trees_of(table, models)
+        out.votes = [np.zeros(models) for _ in out.trees]
+        for r in table.where("node = 0").collect():
+            out.votes[r["tree"]][r["model"]] = r["vote"]
+        return out
+
+
+STORED = "model int, tree int, node int, slot int, bin int, value double, vote double"
+
+
+def trees_table(spark, trees, rate):
+    """Trees whose values are all weighed by ``rate``, as ``STORED`` rows."""
+    return spark.createDataFrame([r[:6] + (float(rate),) for t, tree in enumerate(trees) for r in tree.rows(t)], STORED)
+
+
+def trees_of(table, models):
+    """The trees that ``STORED`` rows hold, in order."""
+    got = table.toArrow()
+    if not got.num_rows:
+        return []
+    columns = {c: got[c].to_numpy() for c in ("model", "tree", "node", "slot", "bin", "value")}
+    depth = int(np.log2(columns["node"].max() + 1))
+    out = [T.Trees(models, depth) for _ in range(columns["tree"].max() + 1)]
+    for number, tree in enumerate(out):
+        own = columns["tree"] == number
+        at = columns["model"][own], columns["node"][own]
+        for name in ("slot", "bin", "value"):
+            getattr(tree, name)[at] = columns[name][own]
+    return out
+
 
 def _log_weights(batch, trees, votes):
     """The logarithm of each row's weight after further trees, and the columns used."""
@@ -183,24 +223,32 @@ def fit_stumps(rows, models, draw, rounds=50, depth=1, in_task=T.IN_TASK):
     return found
 
 
-def _voted(stumps, members):
+def _voted(stumps, members, rounds):
+    """``members``: the models of each ensemble, a row each, filled up with -1."""
+
     def run(batches):
         for b in batches:
             group, bins = _column(b, "ensemble").to_numpy(), T.matrix_of(_column(b, "bins"))
-            total = np.zeros(len(group))
-            for g in np.unique(group):
-                own = group == g
-                for m in members[g]:
-                    total[own] += 1 / (1 + np.exp(-stumps.decision(np.full(own.sum(), m), bins[own])))
-                total[own] /= max(1, len(members[g]))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(total)], names=[*b.schema.names, "probability"])
+            limit = None if rounds is None else rounds[group]
+            total, many = np.zeros(len(group)), np.zeros(len(group))
+            for bag in members.T:
+                model = bag[group]
+                own = model >= 0
+                decision = stumps.decision(np.maximum(model, 0), bins, limit)
+                total += np.where(own, 1 / (1 + np.exp(-decision)), 0.0)
+                many += own
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(total / np.maximum(many, 1))], names=[*b.schema.names, "probability"])
 
     return run
 
 
-def bag_votes(rows, stumps, members):
+def bag_votes(rows, stumps, members, rounds=None):
     """Adds ``probability``, the mean over the bags of each row's ``ensemble``, and
-    ``prediction``.  ``members``: the models of each ensemble."""
+    ``prediction``.  ``members``: the models of each ensemble; ``rounds``: how many
+    rounds of each ensemble vote, all by default."""
+    wide = max((len(m) for m in members), default=0)
+    of = np.array([[*m, *[-1] * (wide - len(m))] for m in members], np.int64).reshape(len(members), wide)
+    limit = None if rounds is None else np.asarray(rounds)
     schema = StructType([*rows.schema.fields, StructField("probability", DoubleType())])
-    voted = rows.mapInArrow(_voted(stumps, members), schema)
+    voted = rows.mapInArrow(_voted(stumps, of, limit), schema)
     return voted.withColumn("prediction", (F.col("probability") > 0.5).cast("int"))

@@ -1,20 +1,30 @@
 """Keep the features that beat shuffled copies of themselves."""
 
-from math import comb
+from math import comb, sqrt
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Window, functions as F
 
+from almanack.sources.sinks import staged
+
 RANGE_BITS = 12
+RANGE_ROWS = 1 << 16
+
+
+def range_bits(rows):
+    """Ranges of at most about ``RANGE_ROWS`` rows of a group of ``rows``."""
+    return max(1, -(-rows // RANGE_ROWS) - 1).bit_length()
 
 
-def with_position(df, group, order, name):
+def with_position(df, group, order, name, bits=RANGE_BITS):
     """Adds ``name``: the row's place, from 0, in its group by the hash ``order``.
 
-    Hashes are cut into ranges; the rows of earlier ranges are counted, and a window
-    ranks inside one range.  No task holds a group.
+    Hashes are cut into ``2 ** bits`` ranges; the rows of earlier ranges are counted, and a
+    window ranks inside one range.  No task holds a group.
     """
-    ranged = df.withColumn("_range", F.shiftrightunsigned(order, 64 - RANGE_BITS))
+    ranged = df.withColumn("_range", F.shiftrightunsigned(order, 64 - bits))
     sizes = ranged.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*(group or [F.lit(0)])).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
@@ -85,5 +95,102 @@ def shadow_selection(train, columns, label, forest, key, rounds=20, level=0.05,
     )
 
 
+# -- slots of a matrix, many series at once -------------------------------------
+
+
+def with_slot_shadows(rows, key, seed, bits, group="series"):
+    """Adds ``shadows``: the array ``slots`` with every slot permuted on its own over the
+    rows of each group.
+
+    A row's place in its group is its rank by a hash, a cell's its rank in its slot by
+    another hash; a row gets the cells of its place.
+    """
+    placed = with_position(rows.withColumn("_h", F.xxhash64(*key, F.lit(seed))), [group], F.col("_h"), "_at", bits).drop("_h")
+    cells = rows.select(*key, *([] if group in key else [group]), F.posexplode("slots").alias("_slot", "_v"))
+    cells = cells.withColumn("_h", F.xxhash64(*key, F.lit(seed), "_slot"))
+    cells = with_position(cells, [group, "_slot"], F.col("_h"), "_at", bits)
+    shadows = cells.groupBy(group, "_at").agg(F.sort_array(F.collect_list(F.struct("_slot", "_v"))).alias("_cells"))
+    shadows = shadows.select(group, "_at", F.transform("_cells", lambda c: c["_v"]).alias("shadows"))
+    return placed.join(shadows, [group, "_at"]).drop("_at")
+
+
+def _slot_of(column):
+    return lambda i: F.get(column, i)
+
+
+def forest_size(slots, depth):
+    """The number of trees that lets every slot and copy be seen about a hundred times."""
+    return max(1, int(100 * sqrt(2 * slots) / depth))
+
+
+def slot_selection(rows, names, label, forest, key, rounds=20, level=0.05, seed=1, threads=5, group="series"):
+    """``(series, feature, hits, rounds, decision)`` for the slots of every series.
+
+    ``rows``: ``series``, ``key``, ``slots`` (array, without missing values) and ``label``,
+    a table that is read every round.  In a round all series' copies are made in one job,
+    and their forests are fitted from one queue.  Forests see only slots that are not
+    rejected.  Fits run on Spark; the driver has the hits of each slot.
+    """
+    count = {r[group]: r["count"] for r in rows.groupBy(group).count().collect()}
+    series = sorted(count)
+    bits = range_bits(max(count.values(), default=1))
+    tails = {}
+    state = {s: {n: [0, 0, "tentative"] for n in names} for s in series}
+
+    def significant(hits, seen):
+        if (hits, seen) not in tails:
+            tails[hits, seen] = binomial_tail(hits, seen) * len(names) < level
+        return tails[hits, seen]
+
+    def fit(job):
+        one, data, number = job
+        kept = [i for i, n in enumerate(names) if state[one][n][2] != "rejected"]
+        both = F.concat(*[F.transform(F.array(*[F.lit(i) for i in kept]), _slot_of(c)) for c in ("slots", "shadows")])
+        matrix = data.where(F.col(group) == one).select(array_to_vector(both).alias("features"), F.col(label).cast("double").alias(forest.getLabelCol()))
+        # a level of a forest is a job: one task for as many rows as a range has
+        matrix = matrix.coalesce(-(-count[one] // RANGE_ROWS))
+        sized = forest.copy({forest.seed: seed + number, forest.numTrees: forest_size(len(kept), forest.getMaxDepth())})
+        importance = sized.fit(matrix).featureImportances.toArray()
+        best = importance[len(kept):].max()
+        for i, at in enumerate(kept):
+            own = state[one][names[at]]
+            if own[2] != "tentative":
+                continue
+            own[0] += int(importance[i] > best)
+            own[1] += 1
+            if significant(own[0], own[1]):
+                own[2] = "confirmed"
+            elif significant(own[1] - own[0], own[1]):
+                own[2] = "rejected"
+
+    def undecided():
+        return [s for s in series if any(v[2] == "tentative" for v in state[s].values())]
+
+    def shadowed(number):
+        data = rows.where(F.col(group).isin(undecided())).select(*key, "slots", label)
+        return staged(with_slot_shadows(data, key, seed + number, bits, group), "shadows")
+
+    with ThreadPool(threads) as pool:
+        # the next round's copies are made while this round's forests are fitted
+        ahead = pool.apply_async(shadowed, (0,)) if rounds and series else None
+        for number in range(rounds):
+            if not undecided():
+                break
+            data = ahead.get()
+            if number + 1 < rounds:
+                ahead = pool.apply_async(shadowed, (number + 1,))
+            pool.map(fit, [(s, data, number) for s in undecided()], chunksize=1)
+    table = [(s, n, *v) for s in series for n, v in state[s].items()]
+    return rows.sparkSession.createDataFrame(table, f"{group} string, feature string, hits int, rounds int, decision string")
+
+
+def confirmed_slots(selection):
+    """``{series: names}`` of the confirmed slots."""
+    out = {}
+    for r in selection.where("decision = 'confirmed'").orderBy("series", "feature").collect():
+        out.setdefault(r["series"], []).append(r["feature"])
+    return out
+
+
 def confirmed(selection):
     return [r["feature"] for r in selection.where("decision = 'confirmed'").collect()]

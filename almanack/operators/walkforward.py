@@ -50,6 +50,42 @@ def split_table(df, max_starts=MAX_STARTS):
     )
 
 
+SCORES = ("precision", "sensitivity", "specificity", "geometric_mean")
+
+
+def fold_rows(numbered, splits):
+    """The rows of every fold: ``numbered`` has ``_row`` per series, ``splits`` an
+    ``ensemble`` number beside the columns of ``split_table``; adds ``ensemble`` and
+    ``part``, train or test."""
+    at = F.col("_row") - F.col("skipped")
+    joined = numbered.join(splits, "series").where((at >= 0) & (at < F.col("test_hi")))
+    part = F.when(at < F.col("test_lo"), "train").otherwise("test")
+    return joined.withColumn("part", part).drop("_row", "skipped", "train_rows", "test_lo", "test_hi")
+
+
+def fold_table(metrics, labels):
+    """``(series, params, start_year, fold, test_…, train_…)`` from the scores of each
+    ``ensemble`` and ``part`` and the ensembles' ``labels``."""
+    wide = labels
+    for part in ("test", "train"):
+        own = metrics.where(F.col("part") == part)
+        wide = wide.join(own.select("ensemble", *[F.col(m).alias(f"{part}_{m}") for m in SCORES]), "ensemble", "left")
+    return wide.drop("ensemble")
+
+
+def search_table(folds, rank_by="precision"):
+    """Means over folds, a score without a denominator counting 0, best first."""
+    means = [F.avg(F.coalesce(F.col(f"{p}_{m}"), F.lit(0.0))).alias(f"mean_{p}_{m}") for p in ("test", "train") for m in SCORES]
+    table = folds.groupBy("series", "start_year", "params").agg(*means, F.count(F.lit(1)).alias("folds"))
+    return table.orderBy("series", F.desc(f"mean_test_{rank_by}"), "start_year", "params")
+
+
+def best_parameters(table, rank_by="precision"):
+    """``(series, params)``: the first best mean of all starts and settings."""
+    order = Window.partitionBy("series").orderBy(F.desc(f"mean_test_{rank_by}"), "start_year", "params")
+    return table.withColumn("_r", F.row_number().over(order)).where("_r = 1").select("series", "params")
+
+
 def forward_walk_search(df, grid, fit, predict, truth, max_starts=MAX_STARTS,
                         rank_by="precision", parallelism=4):
     """Score a grid over every series, start and fold: ``(results, {series: best})``.

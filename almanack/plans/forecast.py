@@ -1,6 +1,7 @@
 """Two stages: will the day be a peak, then how high is the count."""
 
 import json
+from itertools import product
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
@@ -9,11 +10,15 @@ from pyspark.sql import functions as F
 
 from almanack import settings as S
 from almanack.operators.bagging import bag_members, fit_bags, predict_bags
-from almanack.operators.boosted import bag_votes, boost, boosted_values, fit_stumps
-from almanack.operators.encode import fit_matrix, restrict
+from almanack.operators.boosted import (
+    STORED, Stumps, bag_votes, boost, boosted_values, fit_stumps, trees_of, trees_table,
+)
+from almanack.operators.encode import Matrix, fit_matrix, restrict
 from almanack.operators.manytrees import Draw, Rule, bin_cuts, with_bins
-from almanack.operators.panel import drop_by_prefix, split_at
-from almanack.operators.walkforward import forward_walk_search
+from almanack.operators.metrics import classification_metrics
+from almanack.operators.panel import by_date, drop_by_prefix, split_at
+from almanack.operators.selection import slot_selection
+from almanack.operators.walkforward import best_parameters, fold_rows, fold_table, forward_walk_search, search_table, split_table
 from almanack.sources.runs import load_latest, save_best
 from almanack.sources.sinks import staged
 
@@ -84,21 +89,44 @@ class Binned:
         return tuple(o or every for o in own)
 
 
-def peaks_of_all(binned, selected=None, bags=10, ratio=1.0, rounds=50, seed=42):
+PEAK_DEFAULTS = {"bags": 10, "ratio": 1.0, "rounds": 50}
+
+
+def peaks_of_all(binned, selected=None, params=None, seed=42):
     """Balanced bags of reweighted stumps for every series, all fitted at once:
-    ``(series, date, prediction, peak, outcome)`` from the cut on, and the stumps."""
-    members = bag_members(binned.early().where("peak IS NOT NULL"), "peak", KEY, ["series"], bags, ratio)
-    models = len(binned.series) * bags
-    own = F.col("model") * bags + F.col("bag")
-    allowed = tuple(a for a in binned.allowed(selected) for _ in range(bags))
+    ``(series, date, prediction, peak, outcome)`` from the cut on, and the stumps.
+
+    ``params``: ``{series: settings}`` where they are not ``PEAK_DEFAULTS``.
+    """
+    own = [{**PEAK_DEFAULTS, **(params or {}).get(s, {})} for s in binned.series]
+    most = max((o["bags"] for o in own), default=1)
+    of_series = lambda name, kind: F.get(F.array(*[F.lit(kind(o[name])) for o in own]), F.col("model"))
+    labelled = binned.early().where("peak IS NOT NULL")
+    members = bag_members(labelled, "peak", KEY, ["series"], of_series("bags", int), of_series("ratio", float))
+    allowed = tuple(a for a in binned.allowed(selected) for _ in range(most))
     draw = Draw(len(binned.names), seed=seed, allowed=allowed)
-    members = members.select(own.cast("int").alias("model"), "bins", F.col("peak").alias("y"))
-    stumps = fit_stumps(members, models, draw, rounds)
-    bags_of = [range(i * bags, (i + 1) * bags) for i in range(len(binned.series))]
-    voted = bag_votes(binned.late().withColumn("ensemble", F.col("model")), stumps, bags_of)
+    bag = (F.col("model") * most + F.col("bag")).cast("int")
+    members = members.select(bag.alias("model"), "bins", F.col("peak").alias("y"))
+    stumps = fit_stumps(members, len(own) * most, draw, max((o["rounds"] for o in own), default=0))
+    bags_of = [range(i * most, i * most + o["bags"]) for i, o in enumerate(own)]
+    asked = binned.late().withColumn("ensemble", F.col("model"))
+    voted = bag_votes(asked, stumps, bags_of, [o["rounds"] for o in own])
     return voted.select(*KEY, "prediction", "peak", "outcome"), stumps
 
 
+def selected_slots(frame, cut, kind, rounds=20, level=0.05, depth=16):
+    """``slot_selection`` of every series' encoded features on the rows before ``cut``
+    that miss none, for the peak or the count."""
+    label = "peak" if kind == "peak" else "outcome"
+    categorical, numeric = column_kinds(frame, [] if kind == "peak" else ["peak"])
+    train = split_at(frame.na.drop(subset=[*categorical, *numeric, label]), "date", cut)[0]
+    matrix, names = fit_matrix(train, categorical, numeric)
+    slots = vector_to_array("features").alias("slots")
+    rows = staged(matrix(train).select(*KEY, slots, label), "slots")
+    forest = selection_forest(kind, depth=depth, least=5)
+    return slot_selection(rows, names, label, forest, KEY, rounds, level)
+
+
 def counts_of_all(binned, selected=None, trees=100, depth=7, rate=0.04, rows=0.9, per_tree=0.2,
                   per_level=0.7, seed=42):
     """Boosted trees for every series' counts, all fitted at once, with a draw of slots per
@@ -111,12 +139,96 @@ def counts_of_all(binned, selected=None, trees=100, depth=7, rate=0.04, rows=0.9
     return scored.select(*KEY, "prediction", "outcome"), (start, grown)
 
 
-def selection_forest(kind, trees=2000, depth=16, seed=42):
-    """The forest the shadow features are tested with."""
+def search_of_all(binned, grid, max_starts=S.MAX_STARTS, rank_by="precision", seed=42, at_once=1000):
+    """Forward-walking search of the bags' settings for all series:
+    ``(folds, table, best)`` of ``walkforward``.
+
+    ``grid`` gives values of ``bags``, ``ratio`` and ``rounds``.  All folds and settings
+    of ``at_once`` ensembles are fitted by the same jobs; fewer rounds are the first of
+    more, so they share a fit.  Only the split table and the stumps of a block are on the
+    driver.
+    """
+    rows = binned.early().where("peak IS NOT NULL").select(*KEY, "peak", "bins")
+    spark = rows.sparkSession
+    numbered = staged(rows.withColumn("_row", F.row_number().over(by_date()) - 1), "numbered")
+    splits = [r.asDict() for r in split_table(rows, max_starts).orderBy("series", "start_year", "fold").collect()]
+    fits = [dict(zip(("bags", "ratio"), v)) for v in product(grid["bags"], grid["ratio"])]
+    jobs = [(s, f) for s in splits for f in fits]
+    folds = None
+    for at in range(0, len(jobs), at_once):
+        part = jobs[at : at + at_once]
+        kind = "ensemble int, series string, skipped long, train_rows long, test_lo long, test_hi long, bags int, ratio double"
+        table = [(e, *[s[c] for c in ("series", "skipped", "train_rows", "test_lo", "test_hi")], int(f["bags"]), float(f["ratio"])) for e, (s, f) in enumerate(part)]
+        data = staged(fold_rows(numbered, spark.createDataFrame(table, kind)), "folds")
+        most = max(f["bags"] for _, f in part)
+        members = bag_members(data.where("part = 'train'"), "peak", KEY, ["ensemble"], F.col("bags"), F.col("ratio"))
+        members = members.select((F.col("ensemble") * most + F.col("bag")).cast("int").alias("model"), "bins", F.col("peak").alias("y"))
+        stumps = fit_stumps(members, len(part) * most, Draw(len(binned.names), seed=seed), max(grid["rounds"]))
+        # an ensemble of the votes is a fit and a number of rounds
+        shown = [(e, r) for e in range(len(part)) for r in grid["rounds"]]
+        bags_of = [range(e * most, e * most + part[e][1]["bags"]) for e, _ in shown]
+        places = [F.col("ensemble") * len(grid["rounds"]) + i for i in range(len(grid["rounds"]))]
+        asked = data.withColumn("ensemble", F.explode(F.array(*places)))
+        voted = bag_votes(asked, stumps, bags_of, [r for _, r in shown])
+        labels = [(i, part[e][0]["series"], json.dumps({**part[e][1], "rounds": r}), part[e][0]["start_year"], part[e][0]["fold"]) for i, (e, r) in enumerate(shown)]
+        labels = spark.createDataFrame(labels, "ensemble int, series string, params string, start_year int, fold int")
+        scores = classification_metrics(voted, truth="peak", keys=["ensemble", "part"])
+        done = staged(fold_table(scores, labels), "scores")
+        folds = done if folds is None else folds.unionByName(done)
+    table = search_table(folds, rank_by)
+    return folds, table, best_parameters(table, rank_by)
+
+
+# -- stored models --------------------------------------------------------------
+
+
+def save_stage(binned, kind, model, place, rate=0.04):
+    """All of a stage below ``place``: encoder, cuts, series, and the trees of every series
+    (of peaks: fitted with the same settings for all)."""
+    spark = binned.rows.sparkSession
+    binned.matrix.save(spark, f"{place}/encoder")
+    binned.cuts.write.parquet(f"{place}/cuts")
+    start = model[0] if kind == "counts" else [0.0] * len(binned.series)
+    rows = [(i, s, float(start[i]), binned.years) for i, s in enumerate(binned.series)]
+    spark.createDataFrame(rows, "model int, series string, start double, years boolean").write.parquet(f"{place}/series")
+    trees = trees_table(spark, model[1], rate) if kind == "counts" else model.table(spark)
+    trees.write.parquet(f"{place}/trees")
+
+
+class StoredStage:
+    """A stage read back; scores frames as the one that was stored."""
+
+    def __init__(self, spark, place):
+        rows = spark.read.parquet(f"{place}/series").orderBy("model").collect()
+        self.series, self.start = [r["series"] for r in rows], [r["start"] for r in rows]
+        self.years = any(r["years"] for r in rows)
+        self.matrix = Matrix.load(spark, f"{place}/encoder")
+        self.cuts = spark.read.parquet(f"{place}/cuts")
+        self.trees = spark.read.schema(STORED).parquet(f"{place}/trees")
+
+    def binned(self, frame):
+        return Binned.binned(self, Binned.slotted(self, frame)).where("model >= 0")
+
+    def counts(self, frame):
+        rate = self.trees.agg(F.max("vote")).first()[0]
+        scored = boosted_values(self.binned(frame), self.start, trees_of(self.trees, len(self.series)), rate)
+        return scored.select(*KEY, "prediction", "outcome")
+
+    def peaks(self, frame):
+        models = self.trees.agg(F.max("model")).first()[0] + 1
+        bags = models // len(self.series)
+        bags_of = [range(i * bags, (i + 1) * bags) for i in range(len(self.series))]
+        asked = self.binned(frame).withColumn("ensemble", F.col("model"))
+        return bag_votes(asked, Stumps.of_table(self.trees, models), bags_of).select(*KEY, "prediction", "peak", "outcome")
+
+
+def selection_forest(kind, trees=2000, depth=16, seed=42, least=1):
+    """The forest the shadow features are tested with; ``least`` rows on either side of a
+    split, so nodes of fewer than twice as many stay whole."""
     learner = RandomForestClassifier if kind == "peak" else RandomForestRegressor
     return learner(
-        featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth,
-        featureSubsetStrategy="8", minInstancesPerNode=1, seed=seed,
+        featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth, maxMemoryInMB=1024,
+        featureSubsetStrategy="8", minInstancesPerNode=least, seed=seed,
     )
 
 

@@ -1,11 +1,10 @@
 """Splits, sampling, encoding, selection, fits and their scores."""
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier
-from pyspark.ml.feature import VectorAssembler
+import json
+
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from almanack.operators import bagging, encode, metrics, selection, walkforward
 from almanack.operators.panel import drop_by_prefix, split_at
@@ -18,9 +17,6 @@ from almanack.registry.history import FEATURE_PANEL, last_steps, panel_of_featur
 from almanack.registry.preparation import PEAKS_OF_OBS, THRESHOLD_OF_OBS
 from almanack.sources import runs, sinks
 
-ONE = "1-URGENT"
-COLUMNS = ["c_max_air_temp", "c_prcp_amt_lag1", "c_avg_airpress_lag1", "c_gdd_lag1", "sum_other_vars_lag1"]
-
 # -- splits and samples -----------------------------------------------------
 
 
@@ -174,11 +170,9 @@ def shadow_permutation(spark, folder):
 # -- fits -------------------------------------------------------------------
 
 
-def one_series(spark, folder):
-    """Complete feature rows of one series, written once for the repeated fits."""
-    frame = forecast.modelling_frame(panel_of_features(spark, folder), ONE)
-    categorical, numeric = forecast.column_kinds(frame)
-    return sinks.staged(frame.na.drop(subset=[*categorical, *numeric]), "model-rows")
+def modelling_rows(spark, folder):
+    """Every series' rows of the panel, written once for the repeated fits."""
+    return sinks.staged(forecast.modelling_frame(panel_of_features(spark, folder)), "model-rows")
 
 
 @register("null_columns_of_features", f"""
@@ -192,61 +186,139 @@ def null_columns_of_features(spark, folder):
 
 @register("shadow_selection")
 def shadow_selection(spark, folder):
-    train = split_at(one_series(spark, folder), "date", fx.SPLIT)[0]
-    forest = forecast.selection_forest("peak", trees=15, depth=5)
-    return selection.shadow_selection(train, COLUMNS, "peak", forest, ["series", "date"], rounds=6, level=0.1)
+    """The encoded features of every series against shuffled copies, for peaks."""
+    return forecast.selected_slots(modelling_rows(spark, folder), fx.SPLIT, "peak")
 
 
 @register("shadow_selection_counts")
 def shadow_selection_counts(spark, folder):
-    train = split_at(one_series(spark, folder), "date", fx.SPLIT)[0]
-    forest = forecast.selection_forest("count", trees=10, depth=5)
-    return selection.shadow_selection(train, COLUMNS, "outcome", forest, ["series", "date"], rounds=4, level=0.5)
+    return forecast.selected_slots(modelling_rows(spark, folder), fx.SPLIT, "count")
 
 
 @register("peak_model")
 def peak_model(spark, folder):
-    scored, _ = forecast.predicted_peaks(one_series(spark, folder), fx.SPLIT, bags=3, trees=5)
+    scored, _ = forecast.peaks_of_all(forecast.Binned(modelling_rows(spark, folder), fx.SPLIT))
     return scored
 
 
+def both_stages(rows):
+    """The peak stage and the count stage that its predictions feed."""
+    first = forecast.Binned(rows, fx.SPLIT)
+    peaks, stumps = forecast.peaks_of_all(first)
+    peaks = sinks.staged(peaks, "predicted-peaks")
+    fed = forecast.attach_peaks(rows, peaks, fx.SPLIT)
+    second = forecast.Binned(fed, fx.SPLIT, ["peak"])
+    counts, trees = forecast.counts_of_all(second)
+    return (first, peaks, stumps), (fed, second, counts, trees)
+
+
 @register("count_model")
 def count_model(spark, folder):
-    rows = one_series(spark, folder)
-    peaks, _ = forecast.predicted_peaks(rows, fx.SPLIT, bags=2, trees=3)
-    peaks = sinks.staged(peaks, "predicted-peaks")
-    scored, _ = forecast.predicted_counts(rows, peaks, fx.SPLIT, trees=5, depth=4)
-    return scored
+    _, (_, _, counts, _) = both_stages(modelling_rows(spark, folder))
+    return counts
 
 
-@register("model_store")
+@register("model_store", f"""
+  SELECT series, date, peak, outcome, true AS same_peak, true AS same_count
+  FROM ({FEATURE_PANEL} {last_steps()}) WHERE date >= DATE '{fx.SPLIT}'""")
 def model_store(spark, folder):
-    """A fitted model saved under its run stamp and loaded again gives its predictions."""
-    rows = one_series(spark, folder)
-    train, test = split_at(rows, "date", fx.SPLIT)
-    assembler = VectorAssembler(inputCols=COLUMNS, outputCol="features")
-    tree = DecisionTreeClassifier(featuresCol="features", labelCol="peak", maxDepth=4, seed=42)
+    """Both stages of all series stored as one run and read back: every day from the
+    split on is predicted, as by the models that were stored."""
+    rows = modelling_rows(spark, folder)
+    (first, peaks, stumps), (fed, second, counts, trees) = both_stages(rows)
+    root = sinks.staging_path(spark, "models")
+    sinks.owned_by_session(spark, root)
     stamp = spark.range(1).select(runs.run_stamp(F.current_timestamp())).first()[0]
-    path = runs.model_path(sinks.staging_path(spark, "models"), ONE, stamp)
-    Pipeline(stages=[assembler, tree]).fit(train).write().overwrite().save(path)
-    return PipelineModel.load(path).transform(test).select("series", "date", "prediction", "peak")
 
+    def write(place):
+        forecast.save_stage(first, "peaks", stumps, f"{place}/peaks")
+        forecast.save_stage(second, "counts", trees, f"{place}/counts")
+
+    runs.store_run(spark, root, stamp, write)
+    place = runs.newest_run(spark, root)
+    late = lambda df: df.where(F.col("date") >= F.lit(fx.SPLIT))
+    key = ["series", "date"]
+    again = forecast.StoredStage(spark, f"{place}/peaks").peaks(late(rows)).select(*key, F.col("prediction").alias("_p"))
+    counted = forecast.StoredStage(spark, f"{place}/counts").counts(late(fed)).select(*key, F.col("prediction").alias("_c"))
+    out = peaks.withColumnRenamed("prediction", "_was").join(again, key, "left")
+    out = out.join(counts.select(*key, "prediction"), key, "left").join(counted, key, "left")
+    return out.select(
+        *key, "peak", "outcome", F.coalesce(F.col("_was") == F.col("_p"), F.lit(False)).alias("same_peak"),
+        F.coalesce(F.col("prediction") == F.col("_c"), F.lit(False)).alias("same_count"),
+    )
 
-_RESULTS = (
-    "series string, start_year int, params string, mean_test_precision double, mean_test_sensitivity double, "
-    "mean_test_specificity double, mean_test_geometric_mean double"
-)
 
+GRID = {"bags": [10], "ratio": [0.5, 1.0], "rounds": [25, 50]}
 
-@register("hyperparameter_store")
-def hyperparameter_store(spark, folder):
-    """Forward-walking search, its table stored under a stamp, the newest read back."""
-    train = split_at(one_series(spark, folder), "date", fx.SPLIT)[0]
-    matrix = VectorAssembler(inputCols=COLUMNS, outputCol="features").transform(train)
+
+def stored_search(spark, folder):
+    """Searches all series forward in time and stores the tables of folds, settings and
+    best settings as one run.  Returns where runs are."""
+    rows = modelling_rows(spark, folder)
+    folds, table, best = forecast.search_of_all(forecast.Binned(rows, fx.SPLIT, years=True), GRID)
     root = sinks.staging_path(spark, "tuning")
+    sinks.owned_by_session(spark, root)
     stamp = spark.range(1).select(runs.run_stamp(F.current_timestamp())).first()[0]
-    forecast.tune_peaks(matrix, {"bags": [1], "trees": [2, 4]}, root, stamp, max_starts=1)
-    return runs.load_latest(spark, root, StructType.fromDDL(_RESULTS))
+
+    def write(place):
+        folds.write.parquet(f"{place}/folds")
+        table.withColumn("date_run", F.current_timestamp()).write.parquet(f"{place}/table")
+        best.write.parquet(f"{place}/best")
+
+    runs.store_run(spark, root, stamp, write)
+    return rows, root
+
+
+@register("hyperparameter_store")
+def hyperparameter_store(spark, folder):
+    """The table of the newest stored search, with scores on training rows beside those on
+    test rows."""
+    _, root = stored_search(spark, folder)
+    return spark.read.parquet(f"{runs.newest_run(spark, root)}/table").drop("date_run")
+
+
+@register("tuned_peak_model")
+def tuned_peak_model(spark, folder):
+    """Peaks predicted with each series' best settings of the newest stored search."""
+    rows, root = stored_search(spark, folder)
+    stored = spark.read.parquet(f"{runs.newest_run(spark, root)}/best")
+    chosen = runs.chosen_parameters(rows, json.dumps(forecast.PEAK_DEFAULTS), stored)
+    params = {r["series"]: json.loads(r["params"]) for r in chosen.collect()}
+    scored, _ = forecast.peaks_of_all(forecast.Binned(rows, fx.SPLIT), params=params)
+    return scored.join(chosen, "series")
+
+
+@register("run_stamps", """
+  SELECT o_orderkey, strftime(o_orderdate, '%d%m%Y_%H%M') AS stamp FROM orders""")
+def run_stamps(spark, folder):
+    return fx.table(spark, folder, "orders").select("o_orderkey", runs.run_stamp("o_orderdate").alias("stamp"))
+
+
+@register("parameter_choice", with_(fx.OBS, """latest AS (
+    SELECT series, CAST(year(max(date)) AS VARCHAR) AS params FROM obs GROUP BY 1)""") + """
+  SELECT series, CASE WHEN series LIKE '%LOW' THEN 'tuned' WHEN series LIKE '%URGENT' THEN 'default' ELSE params END AS params,
+         CASE WHEN series LIKE '%LOW' THEN 'tuned' WHEN series LIKE '%URGENT' THEN 'default' ELSE 'stored' END AS origin
+  FROM latest""")
+def parameter_choice(spark, folder):
+    """Of an older run, the newest one and one that broke off, the newest gives the
+    settings of series that were not just tuned; a series it does not know has the default."""
+    panel = fx.obs(spark, folder)
+    root = sinks.staging_path(spark, "choice")
+    sinks.owned_by_session(spark, root)
+    known = panel.where(~F.col("series").endswith("URGENT")).groupBy("series")
+    year = lambda f: F.year(f("date")).cast("string").alias("params")
+    runs.store_run(spark, root, "02012024_0900", known.agg(year(F.max)).write.parquet)
+    runs.store_run(spark, root, "31122023_2359", known.agg(year(F.min)).write.parquet)
+    known.agg(F.lit("half").alias("params")).write.parquet(f"{root}/data/broken")
+    stored = spark.read.parquet(runs.newest_run(spark, root))
+    tuned = panel.where(F.col("series").endswith("LOW")).select("series", F.lit("tuned").alias("params")).distinct()
+    return runs.chosen_parameters(panel, "default", stored, tuned)
+
+
+_RESULTS = (
+    "series string, start_year int, params string, mean_test_precision double, mean_test_sensitivity double, "
+    "mean_test_specificity double, mean_test_geometric_mean double"
+)
 
 
 @register("series_columns_dropped", f"""
