@@ -7,12 +7,27 @@ from almanack.functions.angles import direction_class
 from almanack.functions.dates import bucket_by_dates, with_calendar_parts
 from almanack.functions.numeric import growing_degree_days
 from almanack.operators.neighbours import with_other_counts, with_other_sum
+from almanack.operators.outliers import merge_exclusions, zscore_outliers
 from almanack.operators.panel import one_per_day
 from almanack.operators.peaks import flag_peaks, peak_thresholds
 from almanack.operators.seasons import season_dates, season_summary, trim_season
+from almanack.operators.tsfeatures import native_features, selected_features
 from almanack.operators.windows import skip_first, with_code_lag, with_lags, with_run_lengths
 
 
+def exclusions_before(panel, cut, given, limit=S.OUTLIER_Z, names=None):
+    """``(series, year)`` to leave out of training: years before ``cut`` any of whose
+    features stands out among the years of its series, and the ``given`` ones.
+
+    Later values are not looked at.  ``names``: the features to score, all of shape and
+    memory by default.
+    """
+    years = panel.where(F.col("date") < F.lit(cut)).withColumn("period", F.year("date").cast("string"))
+    features = native_features(years) if names is None else selected_features(years, names)
+    found = zscore_outliers(features, limit)
+    return merge_exclusions(found.select("series", F.col("period").cast("int").alias("year")), given)
+
+
 def feature_panel(panel, weather, thresholds, clusters, excluded, cut, lags=3,
                   site_cuts=S.SITE_CUTS, decade_cuts=S.DECADE_CUTS, share=S.SEASON_SHARE,
                   total_series=S.TOTAL_SERIES, lagged_weather=S.LAGGED_WEATHER,

@@ -5,13 +5,14 @@ from pyspark.sql import functions as F
 from almanack.operators import impute as im, seasons, windows as wn
 from almanack.operators.neighbours import with_other_counts, with_other_sum
 from almanack.operators.panel import dense_grid, without_groups
-from almanack.plans.features import feature_panel
-from almanack.plans.history import imputed_history, selected_counts
+from almanack.plans.features import exclusions_before, feature_panel
+from almanack.plans.history import imputed_history, modelled_counts, selected_counts
 from almanack.registry import fixtures as fx
 from almanack.registry.base import register, with_
 from almanack.registry.preparation import PEAKS_OF_OBS, THRESHOLD_OF_OBS
 from almanack.settings import SEASON_SHARE
-from almanack.sources.sinks import staged
+from almanack.sources import sinks
+from almanack.sources.sinks import owned_by_session, staged, staging_path
 
 # -- imputation -------------------------------------------------------------
 
@@ -49,6 +50,17 @@ def doy_sql(source, n, out, value="value"):
     ON m.series = s.series AND m.date = s.date)"""
 
 
+def doy_window_sql(source, n, out, value="value"):
+    """As ``doy_sql``, from the rows of the same calendar day around each row."""
+    return f"""{out} AS (
+    SELECT *, CASE WHEN {value} IS NULL THEN list_avg(list_filter(
+      list_transform(list_sort(near)[1:{n}], lambda x: x.v), lambda v: v IS NOT NULL)) END AS doy_mean
+    FROM (SELECT *, list_transform(donors, lambda x: {{'far': abs(x.y - year(date)), 'y': x.y, 'v': x.v}}) AS near
+      FROM (SELECT *, list({{'y': year(date), 'v': {value}}}) OVER (
+              PARTITION BY series, month(date), day(date) ORDER BY date ROWS BETWEEN {n} PRECEDING AND {n} FOLLOWING) AS donors
+            FROM {source})))"""
+
+
 def impute_sql(source, span, n, out):
     """``out(series, date, value, impute_method)``"""
     return ",\n".join(
@@ -87,7 +99,7 @@ def ewm_fill(spark, folder):
     )
 
 
-@register("doy_fill", with_(fx.OBS_NATION, fx.GRID, doy_sql("grid", 3, "doy")) + """
+@register("doy_fill", with_(fx.OBS_NATION, fx.GRID, doy_window_sql("grid", 3, "doy")) + """
   SELECT series, date, round(coalesce(value, doy_mean), 6) AS value FROM doy""")
 def doy_fill(spark, folder):
     return im.with_nearest_years(_grid(spark, folder), 3).select(
@@ -240,15 +252,15 @@ def run_sql(condition, partition, order, name, source):
 
 
 @register("run_length", with_(
-    fx.STATION_DAILY, "readings AS (SELECT * FROM station_daily WHERE variable = 'A')",
-    run_sql("value >= 20", "site", "date", "high", "readings"),
-    run_sql("value >= 35", "site", "date", "top", "readings")) + """
-  SELECT h.site, h.date, h.run AS run_high, t.run AS run_top
-  FROM high h JOIN top t ON t.site = h.site AND t.date = h.date""")
+    fx.STATION_DAILY, run_sql("value >= 20", "site, variable", "date", "high", "station_daily"),
+    run_sql("value >= 35", "site, variable", "date", "top", "station_daily")) + """
+  SELECT h.site, h.variable, h.date, h.run AS run_high, t.run AS run_top
+  FROM high h JOIN top t ON t.site = h.site AND t.variable = h.variable AND t.date = h.date""")
 def run_length(spark, folder):
-    readings = fx.station_daily(spark, folder).where("variable = 'A'")
+    readings = fx.station_daily(spark, folder)
     events = {"run_high": F.col("value") >= 20, "run_top": F.col("value") >= 35}
-    return wn.with_run_lengths(readings, events, keys=("site",)).select("site", "date", *events)
+    runs = wn.with_run_lengths(readings, events, keys=("site", "variable"))
+    return runs.select("site", "variable", "date", *events)
 
 
 # -- seasons ----------------------------------------------------------------
@@ -322,7 +334,7 @@ def other_series_lags(spark, folder):
     return wn.with_lags(with_other_sum(panel, panel, fx.TOTAL), ["sum_other_vars"], 2)
 
 
-_NAMED = ["1-URGENT", "2-HIGH", "5-LOW"]
+_NAMED = fx.SERIES
 _COUNTS = ", ".join(
     f"CASE WHEN o.series <> '{n}' THEN (SELECT max(value) FROM obs x WHERE x.date = o.date AND x.series = '{n}') "
     f"END AS \"{n}\"" for n in _NAMED)
@@ -365,9 +377,9 @@ def imputed_panel(spark, folder):
     return staged(filled.select("series", "date", F.round("value", 0).alias("value")), "imputed")
 
 
-def panel_of_features(spark, folder, **options):
+def panel_of_features(spark, folder, exclusions=fx.excluded_years, **options):
     panel = imputed_panel(spark, folder)
-    excluded = staged(fx.excluded_years(panel), "excluded")
+    excluded = staged(exclusions(panel), "excluded")
     return feature_panel(
         panel, fx.weather(spark, folder), fx.thresholds(spark, folder), fx.clusters(panel),
         excluded, fx.SPLIT, lags=3, site_cuts=fx.SITE_CUTS,
@@ -469,6 +481,63 @@ def feature_panel_query(spark, folder):
     return panel_of_features(spark, folder)
 
 
+LIMIT = 1.9  # over the five years before the split no score exceeds 2
+
+
+def _derived_sql():
+    """Years that stand out before the split, by the features of shape and memory."""
+    from almanack.registry import abnormal as ab
+
+    yearly = "obs AS (SELECT series, CAST(year(date) AS VARCHAR) AS period, date, value FROM early_done)"
+    features = f"features AS ({ab._long_sql('shape', ab.SHAPE)} UNION ALL {ab._long_sql('memory', ab.MEMORY)})"
+    given = fx.EXCLUDED.replace("excluded AS", "given AS", 1).replace("FROM obs", "FROM untouched")
+    return [
+        f"early_done AS (SELECT * FROM untouched WHERE date < DATE '{fx.SPLIT}')", yearly,
+        ab.POSITIONED, ab.SHAPE_SQL, ab.MEMORY_SQL, features, ab._Z, given,
+        f"""excluded AS (SELECT series, year FROM given UNION
+    SELECT series, CAST(period AS INTEGER) FROM scored GROUP BY series, period HAVING max(abs(z)) > {LIMIT})""",
+    ]
+
+
+def merged_years(panel):
+    return exclusions_before(panel, fx.SPLIT, fx.excluded_years(panel), LIMIT)
+
+
+@register("derived_exclusions", FEATURE_PANEL.split(",\ncleaned AS")[0].replace(
+    fx.EXCLUDED.replace("FROM obs", "FROM untouched"), ",\n".join(_derived_sql())) + "\nSELECT series, year FROM excluded")
+def derived_exclusions(spark, folder):
+    """Years to leave out of training: outlying ones of the imputed panel and given ones."""
+    return merged_years(imputed_panel(spark, folder))
+
+
+@register("feature_panel_derived", FEATURE_PANEL.replace(
+    fx.EXCLUDED.replace("FROM obs", "FROM untouched"), ",\n".join(_derived_sql())) + last_steps())
+def feature_panel_derived(spark, folder):
+    """The feature panel with the outlying years of each series found and left out."""
+    return panel_of_features(spark, folder, exclusions=merged_years)
+
+
+@register("modelled_counts", with_(fx.OBS) + f"SELECT * FROM obs WHERE series <> '{fx.SERIES[-1]}'")
+def modelled_counts_query(spark, folder):
+    return modelled_counts(fx.obs(spark, folder), [fx.SERIES[-1]])
+
+
+@register("run_parameters", with_(fx.OBS) + f"""
+  SELECT series, DATE '{fx.START}' AS date_start, DATE '{fx.SPLIT}' AS date_split,
+         count(*) FILTER (WHERE date < DATE '{fx.SPLIT}') AS train_rows, count(*) AS rows FROM obs GROUP BY 1""")
+def run_parameters(spark, folder):
+    """Data and the parameters it was made with, stored together and read back: the split
+    of the stored table comes from the stored parameters."""
+    panel = fx.obs(spark, folder)
+    place = staging_path(spark, "with-parameters")
+    owned_by_session(spark, place)
+    names = panel.select("series").distinct()
+    sinks.write_with_parameters(panel, names, {"date_start": fx.START, "date_split": fx.SPLIT}, place)
+    data, parameters = sinks.read_with_parameters(spark, place)
+    counted = data.join(parameters, "series").groupBy("series", "date_start", "date_split")
+    return counted.agg(F.count_if(F.col("date") < F.col("date_split")).alias("train_rows"), F.count(F.lit(1)).alias("rows"))
+
+
 @register("feature_panel_with_counts", FEATURE_PANEL + last_steps(_OTHER_COUNTS, _OTHER_LAGS))
 def feature_panel_with_counts(spark, folder):
     """As ``feature_panel`` with every other series' count and its lags."""

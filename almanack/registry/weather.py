@@ -348,7 +348,7 @@ def _classed(spark, folder):
     return joined.select(
         F.col("l_linenumber").alias("site"), F.col("o_orderpriority").alias("series"),
         direction_class(degrees).alias("class"), F.col("l_quantity").alias("value"),
-    ).where("NOT (site = 3 AND class = 1)")
+    )
 
 
 @register("class_effect_rank", with_("""classed AS (
@@ -356,8 +356,7 @@ def _classed(spark, folder):
            l_quantity AS value FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
   coded AS (SELECT site, series, value, CASE WHEN d >= 348.75 OR d < 11.25 THEN 1
               ELSE CAST(floor((d - 11.25) / 22.5) AS INTEGER) + 2 END AS class FROM classed),
-  means AS (SELECT site, series, class, avg(value) AS m FROM coded
-            WHERE NOT (site = 3 AND class = 1) GROUP BY 1, 2, 3),
+  means AS (SELECT site, series, class, avg(value) AS m FROM coded GROUP BY 1, 2, 3),
   based AS (SELECT *, min(class) OVER (PARTITION BY site, series) AS base FROM means),
   effects AS (SELECT b.site, b.series, b.class,
       CASE WHEN b.class = b.base THEN b.m ELSE b.m - o.m END AS effect

@@ -48,3 +48,15 @@ def write_series_table(df, path, key="series", mode="overwrite"):
     """
     spread = [F.col(key)] + ([F.trunc("date", "month")] if "date" in df.columns else [])
     df.repartition(*spread).write.mode(mode).partitionBy(key).parquet(path)
+
+
+def write_with_parameters(df, series, parameters, path):
+    """A table with its run parameters beside it: one row per series to model, with the
+    dates and whatever else the run was made with."""
+    df.write.parquet(f"{path}/data")
+    named = series.select("series", *[F.lit(v).alias(k) for k, v in parameters.items()])
+    named.write.parquet(f"{path}/parameters")
+
+
+def read_with_parameters(spark, path):
+    return spark.read.parquet(f"{path}/data"), spark.read.parquet(f"{path}/parameters")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from almanack.operators import bagging, outliers as ou, selection, tsnumeric as tn, walkforward as wf
-from almanack.operators.tsfeatures import memory_features, shape_features
+from almanack.operators.tsfeatures import memory_features, shape_features, smoothing_features
 
 RNG = np.random.default_rng(11)
 
@@ -60,6 +60,68 @@ def test_memory_features(period):
     assert np.isclose(got["unitroot_kpss"], (np.cumsum(e) ** 2).sum() / len(x) ** 2 / s2)
 
 
+def test_partial_autocorrelations_as_columns(period):
+    x, df = period
+    got = memory_features(df).first().asDict()
+    for name, v in [("y_pacf5", x), ("diff1y_pacf5", np.diff(x)), ("diff2y_pacf5", np.diff(x, 2))]:
+        assert np.isclose(got[name], tn.sum_of_squares(v, 5))
+    assert np.isclose(got["seas_pacf1"], tn.partial_autocorrelation(x, 7)[6])
+
+
+def test_heterogeneity_is_the_fit_of_squares_on_earlier_ones(period):
+    x, df = period
+    z = (x - x.mean()) ** 2
+    left = np.column_stack([np.ones(len(z) - 4), *[z[4 - k : len(z) - k] for k in range(1, 5)]])
+    rest = z[4:] - left @ np.linalg.lstsq(left, z[4:], rcond=None)[0]
+    want = len(rest) * (1 - rest.var() / z[4:].var())
+    assert np.isclose(memory_features(df).first()["heterogeneity"], want)
+
+
+def test_heterogeneity_passes_over_a_regressor_without_spread(spark):
+    rows = [("a", "p", date(2020, 1, 1) + timedelta(days=i), float(i % 2)) for i in range(30)]
+    df = spark.createDataFrame(rows, "series string, period string, date date, value double")
+    assert memory_features(df).first()["heterogeneity"] is None
+
+
+def test_crossings_of_the_autocorrelation(period):
+    x, df = period
+    c = x - x.mean()
+    r = np.round([c[k:] @ c[: len(c) - k] / (c @ c) for k in range(len(c))], 9)
+    got = memory_features(df).first()
+    assert got["firstzero_ac"] == next(k for k in range(1, len(r)) if r[k] <= 0)
+    assert got["firstmin_ac"] == next(k for k in range(1, len(r) - 1) if r[k] < r[k - 1] and r[k] < r[k + 1])
+
+
+def test_spikiness_leaves_out_each_row_once(spark):
+    x = np.random.default_rng(5).normal(size=40).cumsum()
+    rows = [("a", "p", date(2020, 1, 1) + timedelta(days=i), float(v)) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "series string, period string, date date, value double")
+    trend = np.array([x[max(0, i - 3) : i + 4].mean() for i in range(40)])
+    rest = x - trend
+    for k in range(7):
+        rest[k::7] -= (x - trend)[k::7].mean()
+    loo = [np.var(np.delete(rest, i), ddof=1) for i in range(40)]
+    assert np.isclose(shape_features(df).first()["spikiness"], np.var(loo, ddof=1))
+
+
+@pytest.mark.parametrize("n", [1, 3, 4, 40])
+def test_smoothing_as_a_fold_equals_the_loop(spark, n):
+    x = np.random.default_rng(n).normal(size=n).cumsum()
+    rows = [("a", "p", date(2020, 1, 1) + timedelta(days=i), float(v)) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "series string, period string, date date, value double")
+    got = smoothing_features(df.repartition(3)).first()["holt_alpha"]
+    assert got == tn.holt_level(x) and (got is None) == (n < 4)
+
+
+def test_features_of_flat_and_short_periods(spark):
+    rows = [("a", p, date(2020, 1, 1) + timedelta(days=i), v) for p, n, v in [("flat", 20, 3.0), ("one", 1, 2.0), ("two", 2, 2.0)] for i in range(n)]
+    df = spark.createDataFrame(rows, "series string, period string, date date, value double")
+    got = {r["period"]: r for r in memory_features(df).collect()}
+    assert set(got) == {"flat", "one", "two"}
+    for r in got.values():
+        assert all(r[c] is None for c in ("y_pacf5", "seas_pacf1", "heterogeneity", "firstzero_ac", "firstmin_ac"))
+
+
 def test_partial_autocorrelation_of_an_autoregression():
     e = RNG.normal(size=4000)
     x = np.zeros(4000)
