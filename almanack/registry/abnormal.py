@@ -344,3 +344,21 @@ def component_invariants(spark, folder):
         "series", "periods", "components", F.round("variation", 4).alias("variation"),
         (F.coalesce("worst", F.lit(0.0)) <= F.col("variation") * 1e-9).alias("uncorrelated"),
     )
+
+
+_YEARLY = fx.SMALL_OBS.replace("'%Y-%m'", "'%Y'")
+
+
+@register("yearly_features", with_(_YEARLY, *FEATURES[1:4], _SHIFTED, _ENTROPY, _HOLT, SELECTED_SQL) + """
+  SELECT series, period, feature, round(value, 5) AS value FROM features""")
+def yearly_features(spark, folder):
+    """The features chosen for scoring, years as periods."""
+    years = fx.small_obs(spark, folder).withColumn("period", F.date_format("date", "yyyy"))
+    return selected_features(years, SELECTED_FEATURES).withColumn("value", F.round("value", 5))
+
+
+@register("yearly_outliers")
+def yearly_outliers(spark, folder):
+    """The largest score of each year on any component; a limit of 3.2 takes 12 years."""
+    years = fx.small_obs(spark, folder).withColumn("period", F.date_format("date", "yyyy"))
+    return ou.pca_outliers(selected_features(years, SELECTED_FEATURES), limit=0.0)

@@ -1,5 +1,6 @@
 """Splits, sampling, encoding, selection, fits and their scores."""
 
+import hashlib
 import json
 
 from pyspark.ml import Pipeline
@@ -170,9 +171,53 @@ def shadow_permutation(spark, folder):
 # -- fits -------------------------------------------------------------------
 
 
+def stage(spark, folder, name, make):
+    """A stage's table: of the newest run over this input in the session, else of a new one.
+
+    Stages feed each other through what they store, so the panel, a selection or the
+    predicted peaks are worked out once a session.
+    """
+    root = f"{sinks.shared_folder(spark)}/stages-{spark.sparkContext.applicationId}/{hashlib.md5(folder.encode()).hexdigest()}/{name}"
+    sinks.owned_by_session(spark, root)
+    place = runs.newest_or_new(spark, root, lambda where: make().write.parquet(where))
+    return spark.read.parquet(place)
+
+
 def modelling_rows(spark, folder):
-    """Every series' rows of the panel, written once for the repeated fits."""
-    return sinks.staged(forecast.modelling_frame(panel_of_features(spark, folder)), "model-rows")
+    """Every series' rows of the panel."""
+    return stage(spark, folder, "rows", lambda: forecast.modelling_frame(panel_of_features(spark, folder)))
+
+
+def selection_for_peaks(spark, folder):
+    rows = modelling_rows(spark, folder)
+    return stage(spark, folder, "peak-slots", lambda: forecast.selected_slots(rows, fx.SPLIT, "peak"))
+
+
+def fed_rows(spark, folder):
+    """The rows of the count stage: from the split on peaks are predicted ones."""
+    return forecast.attach_peaks(modelling_rows(spark, folder), predicted_peaks(spark, folder), fx.SPLIT)
+
+
+def selection_for_counts(spark, folder):
+    return stage(spark, folder, "count-slots", lambda: forecast.selected_slots(fed_rows(spark, folder), fx.SPLIT, "count"))
+
+
+def peak_stage(spark, folder):
+    """The peak stage of every series on its confirmed slots, on all where none is confirmed."""
+    binned = forecast.Binned(modelling_rows(spark, folder), fx.SPLIT)
+    slots = selection.confirmed_slots(selection_for_peaks(spark, folder))
+    return binned, *forecast.peaks_of_all(binned, slots)
+
+
+def predicted_peaks(spark, folder):
+    return stage(spark, folder, "peaks", lambda: peak_stage(spark, folder)[1])
+
+
+def count_stage(spark, folder):
+    """The count stage, which the predicted peaks feed, on each series' confirmed slots."""
+    binned = forecast.Binned(fed_rows(spark, folder), fx.SPLIT, ["peak"])
+    slots = selection.confirmed_slots(selection_for_counts(spark, folder))
+    return binned, *forecast.counts_of_all(binned, slots)
 
 
 @register("null_columns_of_features", f"""
@@ -187,35 +232,22 @@ def null_columns_of_features(spark, folder):
 @register("shadow_selection")
 def shadow_selection(spark, folder):
     """The encoded features of every series against shuffled copies, for peaks."""
-    return forecast.selected_slots(modelling_rows(spark, folder), fx.SPLIT, "peak")
+    return selection_for_peaks(spark, folder)
 
 
 @register("shadow_selection_counts")
 def shadow_selection_counts(spark, folder):
-    return forecast.selected_slots(modelling_rows(spark, folder), fx.SPLIT, "count")
+    return selection_for_counts(spark, folder)
 
 
 @register("peak_model")
 def peak_model(spark, folder):
-    scored, _ = forecast.peaks_of_all(forecast.Binned(modelling_rows(spark, folder), fx.SPLIT))
-    return scored
-
-
-def both_stages(rows):
-    """The peak stage and the count stage that its predictions feed."""
-    first = forecast.Binned(rows, fx.SPLIT)
-    peaks, stumps = forecast.peaks_of_all(first)
-    peaks = sinks.staged(peaks, "predicted-peaks")
-    fed = forecast.attach_peaks(rows, peaks, fx.SPLIT)
-    second = forecast.Binned(fed, fx.SPLIT, ["peak"])
-    counts, trees = forecast.counts_of_all(second)
-    return (first, peaks, stumps), (fed, second, counts, trees)
+    return predicted_peaks(spark, folder)
 
 
 @register("count_model")
 def count_model(spark, folder):
-    _, (_, _, counts, _) = both_stages(modelling_rows(spark, folder))
-    return counts
+    return count_stage(spark, folder)[1]
 
 
 @register("model_store", f"""
@@ -224,20 +256,19 @@ def count_model(spark, folder):
 def model_store(spark, folder):
     """Both stages of all series stored as one run and read back: every day from the
     split on is predicted, as by the models that were stored."""
-    rows = modelling_rows(spark, folder)
-    (first, peaks, stumps), (fed, second, counts, trees) = both_stages(rows)
+    first, peaks, stumps = peak_stage(spark, folder)
+    second, counts, trees = count_stage(spark, folder)
     root = sinks.staging_path(spark, "models")
     sinks.owned_by_session(spark, root)
-    stamp = spark.range(1).select(runs.run_stamp(F.current_timestamp())).first()[0]
 
     def write(place):
         forecast.save_stage(first, "peaks", stumps, f"{place}/peaks")
         forecast.save_stage(second, "counts", trees, f"{place}/counts")
 
-    runs.store_run(spark, root, stamp, write)
-    place = runs.newest_run(spark, root)
+    place = runs.newest_or_new(spark, root, write)
     late = lambda df: df.where(F.col("date") >= F.lit(fx.SPLIT))
     key = ["series", "date"]
+    rows, fed = modelling_rows(spark, folder), fed_rows(spark, folder)
     again = forecast.StoredStage(spark, f"{place}/peaks").peaks(late(rows)).select(*key, F.col("prediction").alias("_p"))
     counted = forecast.StoredStage(spark, f"{place}/counts").counts(late(fed)).select(*key, F.col("prediction").alias("_c"))
     out = peaks.withColumnRenamed("prediction", "_was").join(again, key, "left")
@@ -252,39 +283,54 @@ GRID = {"bags": [10], "ratio": [0.5, 1.0], "rounds": [25, 50]}
 
 
 def stored_search(spark, folder):
-    """Searches all series forward in time and stores the tables of folds, settings and
-    best settings as one run.  Returns where runs are."""
-    rows = modelling_rows(spark, folder)
-    folds, table, best = forecast.search_of_all(forecast.Binned(rows, fx.SPLIT, years=True), GRID)
-    root = sinks.staging_path(spark, "tuning")
+    """The place of the newest search of all series forward in time: tables of folds, of
+    settings and of the best settings."""
+    root = f"{sinks.shared_folder(spark)}/searches-{spark.sparkContext.applicationId}/{hashlib.md5(folder.encode()).hexdigest()}"
     sinks.owned_by_session(spark, root)
-    stamp = spark.range(1).select(runs.run_stamp(F.current_timestamp())).first()[0]
 
     def write(place):
+        binned = forecast.Binned(modelling_rows(spark, folder), fx.SPLIT, years=True)
+        folds, table, best = forecast.search_of_all(binned, GRID)
         folds.write.parquet(f"{place}/folds")
         table.withColumn("date_run", F.current_timestamp()).write.parquet(f"{place}/table")
         best.write.parquet(f"{place}/best")
 
-    runs.store_run(spark, root, stamp, write)
-    return rows, root
+    return runs.newest_or_new(spark, root, write)
 
 
 @register("hyperparameter_store")
 def hyperparameter_store(spark, folder):
     """The table of the newest stored search, with scores on training rows beside those on
     test rows."""
-    _, root = stored_search(spark, folder)
-    return spark.read.parquet(f"{runs.newest_run(spark, root)}/table").drop("date_run")
+    return spark.read.parquet(f"{stored_search(spark, folder)}/table").drop("date_run")
+
+
+@register("search_folds", with_(f"""rows AS (
+    SELECT series, date FROM ({FEATURE_PANEL} {last_steps()}) WHERE date < DATE '{fx.SPLIT}' AND peak IS NOT NULL)""", """starts AS (
+    SELECT series, y, ix // step + 2 AS folds FROM (
+      SELECT *, years // least(9, years) AS step FROM (
+        SELECT series, y, row_number() OVER (PARTITION BY series ORDER BY y) - 1 AS ix, count(*) OVER (PARTITION BY series) AS years
+        FROM (SELECT DISTINCT series, year(date) AS y FROM rows)))
+    WHERE ix % step = 0 AND ix // step < least(9, years))""") + f"""
+  SELECT series, CAST(y AS INTEGER) AS start_year, CAST(unnest(generate_series(1, folds)) AS INTEGER) AS fold,
+         CAST({len(GRID["bags"]) * len(GRID["ratio"]) * len(GRID["rounds"])} AS BIGINT) AS settings, true AS scored FROM starts""")
+def search_folds(spark, folder):
+    """Every start, fold and setting of the search is scored, in training and in test."""
+    folds = spark.read.parquet(f"{stored_search(spark, folder)}/folds")
+    seen = F.col("train_specificity").isNotNull() & F.col("test_specificity").isNotNull()
+    return folds.groupBy("series", "start_year", "fold").agg(F.count_distinct("params").alias("settings"), F.bool_and(seen).alias("scored"))
 
 
 @register("tuned_peak_model")
 def tuned_peak_model(spark, folder):
-    """Peaks predicted with each series' best settings of the newest stored search."""
-    rows, root = stored_search(spark, folder)
-    stored = spark.read.parquet(f"{runs.newest_run(spark, root)}/best")
+    """Peaks predicted with each series' best settings of the newest stored search, on its
+    confirmed slots."""
+    rows = modelling_rows(spark, folder)
+    stored = spark.read.parquet(f"{stored_search(spark, folder)}/best")
     chosen = runs.chosen_parameters(rows, json.dumps(forecast.PEAK_DEFAULTS), stored)
     params = {r["series"]: json.loads(r["params"]) for r in chosen.collect()}
-    scored, _ = forecast.peaks_of_all(forecast.Binned(rows, fx.SPLIT), params=params)
+    slots = selection.confirmed_slots(selection_for_peaks(spark, folder))
+    scored, _ = forecast.peaks_of_all(forecast.Binned(rows, fx.SPLIT), slots, params)
     return scored.join(chosen, "series")
 
 

@@ -72,6 +72,16 @@ def newest_run(spark, root):
     return newest[0]
 
 
+def newest_or_new(spark, root, write, fresh=False):
+    """The place of the newest run, or of a new one where there is none or a ``fresh`` one
+    is asked for: later stages read what earlier ones stored."""
+    place = None if fresh else newest_run(spark, root)
+    if place is None:
+        stamp = spark.range(1).select(run_stamp(F.current_timestamp())).first()[0]
+        place = store_run(spark, root, stamp, write)
+    return place
+
+
 def chosen_parameters(series, default, stored=None, tuned=None):
     """``(series, params, origin)``: for each series what was just ``tuned``, else the best
     of the newest ``stored`` search, else the ``default``, in one plan.

@@ -47,7 +47,7 @@ def test_nearest_station_prunes_before_the_shuffle(plans):
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - {
     "shadow_selection", "shadow_selection_counts", "peak_model", "count_model", "model_store",
-    "hyperparameter_store", "tuned_peak_model"}))
+    "hyperparameter_store", "tuned_peak_model", "search_folds"}))
 def test_no_pairwise_joins(plans, name):
     text = plans(name)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
