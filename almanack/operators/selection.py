@@ -9,7 +9,6 @@ from pyspark.sql import Window, functions as F
 
 from almanack.sources.sinks import staged
 
-RANGE_BITS = 12
 RANGE_ROWS = 1 << 16
 
 
@@ -18,7 +17,7 @@ def range_bits(rows):
     return max(1, -(-rows // RANGE_ROWS) - 1).bit_length()
 
 
-def with_position(df, group, order, name, bits=RANGE_BITS):
+def with_position(df, group, order, name, bits):
     """Adds ``name``: the row's place, from 0, in its group by the hash ``order``.
 
     Hashes are cut into ``2 ** bits`` ranges; the rows of earlier ranges are counted, and a
@@ -40,12 +39,13 @@ def with_shadows(df, columns, key, seed):
     column by another hash; each row gets the cell of its place.  One rule for every
     size, with ``columns`` cells a row through the shuffle.
     """
+    bits = range_bits(df.count())
     rows = df.withColumn("_h", F.xxhash64(*key, F.lit(seed)))
-    rows = with_position(rows, [], F.col("_h"), "_at").drop("_h")
+    rows = with_position(rows, [], F.col("_h"), "_at", bits).drop("_h")
     cells = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v")) for c in columns]))
     cells = df.select(*key, cells.alias("_cell")).select(*key, "_cell.*")
     cells = cells.withColumn("_h", F.xxhash64(*key, F.lit(seed), "name"))
-    cells = with_position(cells, ["name"], F.col("_h"), "_at")
+    cells = with_position(cells, ["name"], F.col("_h"), "_at", bits)
     wide = cells.groupBy("_at").pivot("name", list(columns)).agg(F.first("v"))
     wide = wide.select("_at", *[F.col(c).alias(f"shadow_{c}") for c in columns])
     return rows.join(wide, "_at").drop("_at")

@@ -116,12 +116,25 @@ def nearest_station(df, distance, keys=("variable", "date")):
 
 def station_join(stations, temperature, rain, weather, radiation, distance, start, end,
                  period="pm", max_km=None, limit=RING_KM):
-    """Five relations joined on station and date for one sampler.
+    """Five relations joined on station and date for one sampler."""
+    sampler = (distance, start, end, max_km, None)
+    rows = samplers_join(stations, temperature, rain, weather, radiation, [sampler], period, limit)
+    return rows.drop("sampling_site")
 
-    Written as full joins; the filters on period, distance and date reject nulls,
-    so Catalyst narrows them to inner and left joins and pushes the date range
-    and keys down to every scan.
+
+def samplers_join(stations, temperature, rain, weather, radiation, samplers, period="pm", limit=RING_KM):
+    """Five relations joined on station and date, once for all samplers.
+
+    ``samplers``: ``(distance column, start, end, largest distance or None, name)``; their
+    dates must not overlap, so a row's date says which sampler it is for.
+
+    Written as full joins; the filters on period and date reject nulls, so Catalyst
+    narrows them to inner and left joins and pushes the dates and keys down to every
+    scan.
     """
+    spans = sorted((str(start), str(end)) for _, start, end, _, _ in samplers)
+    if any(late >= early for (_, late), (early, _) in zip(spans, spans[1:])):
+        raise ValueError("samplers overlap in time")
     s, t, r, w, g = (
         stations.alias("s"), temperature.alias("t"), rain.alias("r"),
         weather.alias("w"), radiation.alias("g"),
@@ -132,16 +145,21 @@ def station_join(stations, temperature, rain, weather, radiation, distance, star
             F.col("t.src_id") == F.col(f"{other}.src_id")
         )
 
-    near = F.col(f"s.{distance}")
+    day = F.col("t.date")
+    near, name, kept = F.lit(None).cast("double"), F.lit(None).cast("string"), F.lit(False)
+    for distance, start, end, max_km, site in samplers:
+        own = day.between(F.lit(start), F.lit(end))
+        near = F.when(own, F.col(f"s.{distance}")).otherwise(near)
+        name = F.when(own, F.lit(site)).otherwise(name)
+        kept = kept | (own if max_km is None else own & (F.col(f"s.{distance}") <= max_km))
     joined = (
         s.join(t, F.col("s.src_id") == F.col("t.src_id"), "full")
         .join(r, same_day("r"), "full")
         .join(w, same_day("w"), "full")
         .join(g, same_day("g"), "full")
-        .where((F.col("w.end_period") == period) & F.col("t.date").between(F.lit(start), F.lit(end)))
+        .where((F.col("w.end_period") == period) & day.between(F.lit(spans[0][0]), F.lit(spans[-1][1])))
+        .where(kept)
     )
-    if max_km is not None:
-        joined = joined.where(near <= max_km)
 
     def measures(df, name):
         return [
@@ -154,10 +172,11 @@ def station_join(stations, temperature, rain, weather, radiation, distance, star
         F.col("s.observation_station").alias("site"),
         near.alias("station_distance_km"),
         ring(near, limit).alias("ring"),
-        F.col("t.date").alias("date"),
+        day.alias("date"),
         *measures(temperature, "t"), *measures(rain, "r"),
         *measures(weather, "w"), *measures(radiation, "g"),
-        F.year("t.date").alias("year"),
-        F.month("t.date").alias("month"),
-        F.dayofmonth("t.date").alias("day"),
+        F.year(day).alias("year"),
+        F.month(day).alias("month"),
+        F.dayofmonth(day).alias("day"),
+        name.alias("sampling_site"),
     )

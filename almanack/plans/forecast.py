@@ -139,15 +139,20 @@ def counts_of_all(binned, selected=None, trees=100, depth=7, rate=0.04, rows=0.9
     return scored.select(*KEY, "prediction", "outcome"), (start, grown)
 
 
+SEARCH_DEFAULTS = {"bags": [100], "ratio": [S.UNDERSAMPLE_RATIO], "rounds": [50]}
+
+
 def search_of_all(binned, grid, max_starts=S.MAX_STARTS, rank_by="precision", seed=42, at_once=1000):
     """Forward-walking search of the bags' settings for all series:
     ``(folds, table, best)`` of ``walkforward``.
 
-    ``grid`` gives values of ``bags``, ``ratio`` and ``rounds``.  All folds and settings
+    ``grid`` gives values of ``bags``, ``ratio`` and ``rounds`` where they are not
+    ``SEARCH_DEFAULTS``.  All folds and settings
     of ``at_once`` ensembles are fitted by the same jobs; fewer rounds are the first of
     more, so they share a fit.  Only the split table and the stumps of a block are on the
     driver.
     """
+    grid = {**SEARCH_DEFAULTS, **grid}
     rows = binned.early().where("peak IS NOT NULL").select(*KEY, "peak", "bins")
     spark = rows.sparkSession
     numbered = staged(rows.withColumn("_row", F.row_number().over(by_date()) - 1), "numbered")

@@ -196,13 +196,7 @@ _STATION_ROWS = " UNION ALL ".join(_sampler_sql(*s) for s in _SAMPLERS)
 
 
 def _station_rows(spark, folder):
-    relations = _relations(spark, folder)
-    parts = [
-        st.station_join(*relations, distance, start, end, max_km=max_km)
-        .withColumn("sampling_site", F.lit(name))
-        for distance, start, end, max_km, name in _SAMPLERS
-    ]
-    return parts[0].unionByName(parts[1])
+    return st.samplers_join(*_relations(spark, folder), _SAMPLERS)
 
 
 @register("station_full_join", with_(*_RELATIONS) + _STATION_ROWS)

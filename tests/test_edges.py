@@ -307,6 +307,14 @@ def test_nearest_keeps_ties_and_nulls_last(spark):
     assert sorted(r["site"] for r in st.nearest_station(df, "dist").collect()) == ["p", "q", "s"]
 
 
+def test_samplers_must_not_overlap():
+    from almanack.operators.stations import samplers_join
+
+    spans = [("d", "2000-01-01", "2001-12-31", None, "a"), ("d", "2001-12-31", "2003-01-01", None, "b")]
+    with pytest.raises(ValueError):
+        samplers_join(None, None, None, None, None, spans)
+
+
 def test_flags_and_strict_means(spark):
     df = spark.createDataFrame(
         [("a", None), ("a", None), ("b", 0.0), ("b", None), ("c", 2.0), ("c", 0.0)], "k string, value double"
