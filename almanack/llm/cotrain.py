@@ -109,32 +109,39 @@ class Regression:
     def __init__(self, columns, decay, mean, scale):
         self.columns, self.decay, self.mean, self.scale = columns, decay, mean, scale
         self.w = np.zeros(columns + len(mean) + 1)
+        self.free = np.ones(len(self.w), bool)
 
     def raw(self, ptr, index, dense):
         sums = np.concatenate(([0.0], np.cumsum(self.w[index])))
         return np.diff(sums[ptr]) + (dense - self.mean) / self.scale @ self.w[self.columns : -1] + self.w[-1]
 
     def sums(self, part, good, weight):
-        """Summed loss and its gradient; rows of weight 0 do not count."""
+        """Summed loss and its gradient over the free weights; rows of weight 0 do not count."""
         ptr, index, dense = part
         z = self.raw(*part)
         rest = weight * (_chance(z) - good)
         grad = np.bincount(index, np.repeat(rest, np.diff(ptr)), self.columns)
-        return np.concatenate(([(weight * (np.logaddexp(0, z) - good * z)).sum()], grad, ((dense - self.mean) / self.scale).T @ rest, [rest.sum()]))
+        grad = np.concatenate((grad, ((dense - self.mean) / self.scale).T @ rest, [rest.sum()]))
+        return np.concatenate(([(weight * (np.logaddexp(0, z) - good * z)).sum()], grad[self.free]))
 
     def search(self, usual=None, steps=STEPS):
         """L-BFGS with backtracking on the mean loss and the squared weights: sets the
         weights, waits for ``sums`` over all rows, whose weights sum to 1, and ends with
-        the best weights.  Columns that are not ``usual`` keep the weight 0."""
-        free = np.ones(len(self.w), bool)
+        the best weights.  Columns that are not ``usual`` keep the weight 0, and no
+        gradient of them is made or kept."""
         if usual is not None:
-            free[: self.columns] = usual
-        start = self.w * free
+            self.free[: self.columns] = usual
+        start = self.w[self.free]
+
+        def whole(w):
+            out = np.zeros(len(self.free))
+            out[self.free] = w
+            return out
 
         def loss(w):
-            self.w = w
+            self.w = whole(w)
             made = yield
-            grad = made[1:] * free
+            grad = made[1:].copy()
             grad[:-1] += self.decay * w[:-1]
             return made[0] + self.decay / 2 * (w[:-1] ** 2).sum(), grad
 
@@ -167,7 +174,7 @@ class Regression:
             w, now, grad = w + s, ahead, turned
             if done:
                 break
-        self.w = w
+        self.w = whole(w)
 
 
 def _line(x, good):
