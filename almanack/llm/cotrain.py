@@ -48,6 +48,8 @@ DECAY = {TEXT: 3e-5, META: 1e-3}
 LEAST_ROWS = 5
 STEPS = 60
 BLOCK_CELLS = 1 << 20
+#: text that a worker takes apart at a time; some 50 bytes are held for each
+CHUNK_BYTES = 1 << 19
 PART_BLOCKS = 8
 FEW_PARTS = 32
 
@@ -61,7 +63,7 @@ def _sums(flags, at):
 
 def features(texts, sources, langs):
     """Chunks of (first, last, {view: (offsets, columns, dense)})."""
-    for first, last, x, at in chunks(texts):
+    for first, last, x, at in chunks(texts, CHUNK_BYTES):
         rows = last - first
         size = np.maximum(np.diff(at), 1)
         h, of = words(x, at, ALNUM)
