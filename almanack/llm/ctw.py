@@ -7,15 +7,19 @@ half the product over its children.  The trees are learnt from counts: Spark sum
 byte strings of DEPTH + 1 over all training documents, and the weights follow from the
 counts in closed form, leaves first.
 
-A tree grows under a node only where training visits it in at least the share ``LEAST``
-of all positions; what passes below such a node by rarer contexts is one more child,
-"other", so no count is lost.  As every position visits eight nodes at each depth, at
-most 8 / LEAST nodes a depth can remain, whatever the corpus: that bounds what is sent
-to the tasks (6 depths, 12 bytes a node).
+A tree grows under a node wherever training visits it at least ``VISITS`` times, so the
+trees grow with the corpus.  What passes below a node by rarer contexts is one more child,
+"other", so no count is lost.
+
+No task holds the trees.  Subtrees under two bytes of context are worked out where Spark
+has grouped their strings: once for the weight that they hand up, and, when the nodes above
+are known, once for the probability of every string.  Above are at most 255 * 257 nodes,
+whatever the corpus; these alone travel to all tasks.  The documents lie in blocks of about
+``BLOCK_BYTES``; a block's distinct strings and words are joined with their values and meet
+the block's documents again in one task.
 
 The text is scored as its words with single spaces between and an end mark, lower-case
-in A-Z.  The base score needs the count of every word; words of at least the share
-``COMMON`` (so at most 1 / COMMON of them) travel to the tasks, all others are joined.
+in A-Z.
 
 Defined results: a null or blank text is the end mark alone; rows without an id are in
 training; equal rows get equal scores; with an empty training part all counts are 0.
@@ -26,16 +30,17 @@ import pyarrow as pa
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from almanack.llm.base import register, staged, table
+from almanack.llm.base import register, staged, table, whole_groups
 from almanack.llm.textbytes import SOLID, U, chunks, runs, word_bounds, words
 
-DEPTH = 5
-LEAST = 2.0**-19
-COMMON = 2.0**-17
+DEPTH = 7
+VISITS = 2
+TOP = 2
+BLOCK_BYTES = 16 << 20
 FOLDS, HELD = 7, 2
 END, SPACE = 0x0A, 0x20
-CHUNK = 4 << 20
-HOLD = 3_000_000
+CHUNK = 2 << 20
+HOLD = 2_000_000
 
 
 def sequences(x, at):
@@ -79,10 +84,11 @@ class _Counter:
     def __init__(self):
         self.parts, self.size = [], 0
 
-    def add(self, keys):
+    def add(self, keys, counted=True):
+        """Count each key once, or only make it known."""
         keys.sort()
         at, n = runs(keys)
-        self.parts.append((keys[at], n))
+        self.parts.append((keys[at], n if counted else np.zeros(len(at), np.int64)))
         self.size += len(at)
         if self.size > HOLD:
             self.merge()
@@ -97,38 +103,58 @@ class _Counter:
             self.parts = [(keys[at], np.add.reduceat(n, at) if len(at) else n)]
             self.size = len(at)
 
-    def rows(self, kind):
+    def rows(self, **same):
+        """Arrow batches of ``key, n`` after the columns that are the same in every row."""
         self.merge()
         for keys, n in self.parts:
             for a in range(0, len(keys), 1 << 17):
                 k = keys[a : a + (1 << 17)].view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(k), kind, np.int32)), pa.array(k), pa.array(n[a : a + (1 << 17)].astype(np.int64))],
-                    names=["kind", "key", "n"],
+                    [pa.array(np.full(len(k), v, np.int32)) for v in same.values()] + [pa.array(k), pa.array(n[a : a + (1 << 17)].astype(np.int64))],
+                    names=[*same, "key", "n"],
                 )
         self.parts, self.size = [], 0
 
 
-WORD, STRING, ROW = 0, 1, 2
+WORD, STRING = 0, 1
 
 
 def _count(batches):
-    """text -> partial counts of words, byte strings and rows."""
-    kinds = {WORD: _Counter(), STRING: _Counter()}
-    rows = 0
+    """text -> partial counts of words and byte strings."""
     for batch in batches:
-        rows += batch.num_rows
-        for _, _, x, at in chunks(batch.column(0), CHUNK):
-            kinds[WORD].add(words(x, at, SOLID)[0])
-            kinds[STRING].add(strings(*sequences(x, at)))
-            for kind, c in kinds.items():
-                if c.size > HOLD:
-                    yield from c.rows(kind)
-    for kind, c in kinds.items():
-        yield from c.rows(kind)
-    if rows:
-        one = [pa.array([v], t) for v, t in ((ROW, pa.int32()), (0, pa.int64()), (rows, pa.int64()))]
-        yield pa.RecordBatch.from_arrays(one, names=["kind", "key", "n"])
+        block, held = pa.array(np.zeros(batch.num_rows, np.int32)), pa.array(np.zeros(batch.num_rows, bool))
+        whole = pa.RecordBatch.from_arrays([block, held, batch.column(0)], names=["block", "held", "text"])
+        for made in _count_blocks([whole], DEPTH):
+            yield made.select(["kind", "key", "n"])
+
+
+def _count_blocks(batches, depth):
+    """block, held, text -> each block's words and byte strings with their partial counts,
+    to which rows that are held out add nothing."""
+    kinds, now = {WORD: _Counter(), STRING: _Counter()}, None
+
+    def flush(least):
+        for kind, c in kinds.items():
+            if c.size > least:
+                yield from c.rows(block=now, kind=kind)
+
+    for batch in batches:
+        blocks = batch.column(0).to_numpy()
+        outside = batch.column(1).to_numpy(zero_copy_only=False)
+        for start, size in zip(*(v.tolist() for v in runs(blocks))):
+            if blocks[start] != now:
+                yield from flush(0)
+                now = int(blocks[start])
+            for first, last, x, at in chunks(batch.column(2).slice(start, size), CHUNK):
+                held = outside[start + first : start + last]
+                h, of_row = words(x, at, SOLID)
+                seq, seq_at = sequences(x, at)
+                for kind, keys, ends in ((WORD, h, of_row), (STRING, strings(seq, seq_at, depth), seq_at)):
+                    out = np.repeat(held, np.diff(ends))
+                    kinds[kind].add(keys[~out])
+                    kinds[kind].add(keys[out], counted=False)
+                yield from flush(HOLD)
+    yield from flush(0)
 
 
 def _log_gamma(x):
@@ -150,38 +176,44 @@ def _kt(a, b):
     return (b + 0.5) / (a + b + 1.0)
 
 
-def weigh(levels):
-    """``levels[d]``: (sorted keys, 0s, 1s) of the nodes at depth d -> (keys, P(1)) by depth:
-    the weighted prediction where no deeper node is known."""
-    prepared, below = [None] * len(levels), None
+def fold_up(levels, first=0, below=None):
+    """Leaves first: ``levels`` has (sorted keys, 0s, 1s) of the nodes at depth ``first`` and
+    on, ``below`` (keys, 0s, 1s, log weights) of nodes under the last -> what ``fold_down``
+    needs, and the first level with its log weights."""
+    prepared = [None] * len(levels)
     for d in range(len(levels) - 1, -1, -1):
         keys, a, b = levels[d]
-        own = log_kt(a, b)
-        has, split = np.zeros(len(keys), bool), np.zeros(len(keys))
-        oa, ob = a.copy(), b.copy()
+        own, other, split, has = log_kt(a, b), (a, b), 0.0, np.zeros(len(keys), bool)
         if below is not None and len(below[0]):
-            child, ca, cb, cw = below
-            parent = np.searchsorted(keys, child & U((1 << (8 * (d + 1))) - 1))
-            np.add.at(split, parent, cw)
-            np.add.at(oa, parent, -ca)
-            np.add.at(ob, parent, -cb)
-            has[parent] = True
-        split += log_kt(oa, ob)
+            parent = np.searchsorted(keys, below[0] & U((1 << (8 * (first + d + 1))) - 1))
+            ca, cb, split = (np.bincount(parent, v, len(keys)) for v in below[1:])
+            other, has = (a - ca, b - cb), np.bincount(parent, minlength=len(keys)) > 0
+        split = split + log_kt(*other)
         both = np.where(has, np.log(0.5) + np.logaddexp(own, split), own)
         beta = np.where(has, np.exp(np.log(0.5) + own - both), 1.0)
-        prepared[d] = (keys, _kt(a, b), beta, _kt(oa, ob))
+        prepared[d] = (keys, _kt(a, b), beta, _kt(*other))
         below = (keys, a, b, both)
-    out, up = [], None
+    return prepared, below
+
+
+def fold_down(prepared, first=0, above=None):
+    """From the root: (keys, P(1)) by depth, the weighted prediction where no deeper node is
+    known; and of the last level (keys, prediction so far, weight left) for those under it."""
+    out = []
     for d, (keys, kt, beta, other) in enumerate(prepared):
-        if up is None:
+        if above is None:
             sofar, left = np.zeros(len(keys)), np.ones(len(keys))
         else:
-            parent = np.searchsorted(up[0], keys & U((1 << (8 * d)) - 1))
-            sofar, left = up[1][parent], up[2][parent]
-        p = sofar + left * (beta * kt + (1 - beta) * other)
-        out.append((keys, np.clip(p, 1e-12, 1 - 1e-12).astype(np.float32)))
-        up = (keys, sofar + left * beta * kt, left * (1 - beta))
-    return out
+            parent = np.searchsorted(above[0], keys & U((1 << (8 * (first + d))) - 1))
+            sofar, left = above[1][parent], above[2][parent]
+        out.append((keys, np.clip(sofar + left * (beta * kt + (1 - beta) * other), 1e-12, 1 - 1e-12)))
+        above = (keys, sofar + left * beta * kt, left * (1 - beta))
+    return out, above
+
+
+def weigh(levels):
+    """``levels[d]``: (sorted keys, 0s, 1s) of the nodes at depth d -> (keys, P(1)) by depth."""
+    return fold_down(fold_up(levels)[0])[0]
 
 
 def log_probabilities(model, keys):
@@ -207,31 +239,57 @@ def log_probabilities(model, keys):
     return total
 
 
-class _Memo:
-    """What a task has worked out already: a table of fixed size, by hash of the string."""
+class _Lookup:
+    """Places of keys by a table of hashes; those whose slot another has, by search."""
 
-    BITS = 22
+    def __init__(self, keys, values):
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
+        self.bits = max(4, int(4 * len(keys)).bit_length())
+        self.slots = np.zeros(1 << self.bits, np.int32)
+        self.slots[self._slot(self.keys)] = np.arange(len(keys), dtype=np.int32)
 
-    def __init__(self, model):
-        self.model = model
-        self.keys = np.full(1 << self.BITS, ~U(0), U)
-        self.values = np.zeros(1 << self.BITS)
+    def _slot(self, keys):
+        return (keys * U(0x9E3779B97F4A7C15)) >> U(64 - self.bits)
 
     def __call__(self, keys):
-        slot = ((keys * U(0x9E3779B97F4A7C15)) >> U(64 - self.BITS)).astype(np.int64)
-        out = self.values[slot]
-        miss = np.flatnonzero(self.keys[slot] != keys)
-        if len(miss):
-            fresh, back = np.unique(keys[miss], return_inverse=True)
-            found = log_probabilities(self.model, fresh)
-            out[miss] = found[back]
-            self.keys[slot[miss]], self.values[slot[miss]] = keys[miss], found[back]
-        return out
+        """(values, whether known); unknown keys have 0."""
+        if not len(self.keys):
+            return np.zeros(len(keys)), np.zeros(len(keys), bool)
+        at = self.slots[self._slot(keys)]
+        miss = np.flatnonzero(self.keys[at] != keys)
+        at[miss] = np.minimum(np.searchsorted(self.keys, keys[miss]), len(self.keys) - 1)
+        known = self.keys[at] == keys
+        return np.where(known, self.values[at], 0.0), known
+
+
+def nodes(keys, n, depth, visits):
+    """(sorted keys, 0s, 1s) of the nodes at ``depth`` with enough visits, from counts of strings."""
+    low = keys & U((1 << (8 * (depth + 1))) - 1)
+    order = np.argsort(low, kind="stable")
+    low, n = low[order], n[order]
+    made = []
+    if len(low):
+        at, size = runs(low >> U(8))
+        often = np.repeat(np.add.reduceat(n, at) >= visits, size)
+        low, n = low[often], n[often]
+    for k in range(8 if len(low) else 0):
+        node = (low & ~U(255)) | ((low & U(255)) >> U(8 - k)) | U(1 << k)
+        at, _ = runs(node)
+        one = np.add.reduceat(n * ((low >> U(7 - k)) & U(1)), at)
+        made.append((node[at], np.add.reduceat(n, at) - one, one))
+    if not made:
+        return np.zeros(0, U), np.zeros(0), np.zeros(0)
+    node, zero, one = (np.concatenate(v) for v in zip(*made))
+    kept = np.flatnonzero(zero + one >= visits)
+    kept = kept[np.argsort(node[kept])]
+    return node[kept], zero[kept], one[kept]
 
 
 def _nodes(counts, depth, least):
     """Spark: the tree nodes at ``depth`` with enough visits, from counts of strings."""
-    low = F.col("key").bitwiseAND(F.lit((1 << (8 * (depth + 1))) - 1))
+    # all 64 bits are -1 as a signed number
+    low = F.col("key").bitwiseAND(F.lit((1 << (8 * (depth + 1))) - 1 if depth < 7 else -1))
     sums = counts.where(F.col("kind") == STRING).groupBy(low.alias("key")).agg(F.sum("n").alias("n"))
     context = F.shiftright("key", 8)
     sums = sums.withColumn("context", context).withColumn("visits", F.sum("n").over(W.partitionBy("context")))
@@ -253,122 +311,133 @@ def _nodes(counts, depth, least):
     return out.where(F.col("a") + F.col("b") >= least)
 
 
-def learn(counts, positions, depth=DEPTH, least=LEAST):
-    """The prediction tables of all depths.  At most 8 / least nodes a depth come here."""
-    levels = []
-    for d in range(depth + 1):
-        got = _nodes(counts, d, max(1, int(np.ceil(least * positions)))).toArrow()
-        keys = got.column("node").to_numpy().view(U)
-        a, b = (got.column(c).to_numpy().astype(np.float64) for c in "ab")
-        if d == 0:
-            # the first decisions are always known
-            full = np.arange(1, 256, dtype=U)
-            zero, one = np.zeros(255), np.zeros(255)
-            zero[keys.astype(np.int64) - 1], one[keys.astype(np.int64) - 1] = a, b
-            keys, a, b = full, zero, one
-        order = np.argsort(keys)
-        levels.append((keys[order], a[order], b[order]))
-    return weigh(levels)
+def _level(counts, depth, visits):
+    """The nodes at ``depth`` with enough visits, at the driver."""
+    got = _nodes(counts, depth, visits).toArrow()
+    keys = got.column("node").to_numpy().view(U)
+    a, b = (got.column(c).to_numpy().astype(np.float64) for c in "ab")
+    if depth == 0:
+        # the first decisions are always known
+        zero, one = np.zeros(255), np.zeros(255)
+        zero[keys.astype(np.int64) - 1], one[keys.astype(np.int64) - 1] = a, b
+        return np.arange(1, 256, dtype=U), zero, one
+    order = np.argsort(keys)
+    return keys[order], a[order], b[order]
 
 
-def _score(sent):
+def learn(counts, positions, depth=DEPTH, least=0.0):
+    """The prediction tables of all depths at the driver, for a small corpus or, with a least
+    share of all positions for a node, at most 8 / least nodes a depth."""
+    visits = max(VISITS, int(np.ceil(least * positions)))
+    return weigh([_level(counts, d, visits) for d in range(depth + 1)])
+
+
+def _subtrees(batches, depth, visits):
+    """From strings sorted by the two bytes before theirs: (keys, subtrees, weights handed up)."""
+    for rows, _ in whole_groups(batches, ["pair"]):
+        keys = rows.column("key").to_numpy().view(U)
+        n = rows.column("n").to_numpy().astype(np.float64)
+        seen = n > 0
+        yield keys, *fold_up([nodes(keys[seen], n[seen], d, visits) for d in range(TOP, depth + 1)], TOP)
+
+
+def _hand_up(depth, visits):
     def run(batches):
-        model, (common, count) = sent.value
-        memo = _Memo(model)
-        for batch in batches:
-            ids, row_hash, held, texts = batch.columns
-            for first, last, x, at in chunks(texts, CHUNK):
-                h, of_row = words(x, at, SOLID)
-                tokens = np.diff(of_row)
-                at_common = np.minimum(np.searchsorted(common, h), max(len(common) - 1, 0))
-                hit = common[at_common] == h if len(common) else np.zeros(len(h), bool)
-                value = np.where(hit, np.log10(count[at_common] + 1.0), 0.0) if len(common) else np.zeros(len(h))
-                base = np.diff(np.concatenate(([0.0], np.cumsum(value)))[of_row])
-                seen = np.diff(np.concatenate(([0], np.cumsum(hit)))[of_row])
-                seq, seq_at = sequences(x, at)
-                p = memo(strings(seq, seq_at))
-                score = np.add.reduceat(p, seq_at[:-1]) if last > first else np.zeros(0)
-                yield pa.RecordBatch.from_arrays(
-                    [v.slice(first, last - first) for v in (ids, row_hash, held)]
-                    + [pa.array(v) for v in (tokens.astype(np.int64), seen.astype(np.int64), base, score)],
-                    names=["doc_id", "row_hash", "held_out", "words", "seen", "base", "score"],
-                )
+        for _, _, (keys, *values) in _subtrees(batches, depth, visits):
+            parent, at = np.unique(keys & U((1 << (8 * TOP)) - 1), return_inverse=True)
+            sums = [pa.array(np.bincount(at, v, len(parent))) for v in values]
+            yield pa.RecordBatch.from_arrays([pa.array(parent.view(np.int64)), *sums], names=["node", "a", "b", "weight"])
 
     return run
 
 
-def _rare(sent):
-    """Words of a row that are not among the common ones, with their counts in it."""
-
+def _look_down(sent, depth, visits):
     def run(batches):
-        common = sent.value
-        for batch in batches:
-            row_hash = batch.column(0).to_numpy()
-            for first, _, x, at in chunks(batch.column(1)):
-                h, of_row = words(x, at, SOLID)
-                place = np.minimum(np.searchsorted(common, h), max(len(common) - 1, 0))
-                keep = common[place] != h if len(common) else np.ones(len(h), bool)
-                row = np.repeat(np.arange(len(at) - 1), np.diff(of_row))[keep]
-                h = h[keep]
-                order = np.lexsort((h, row))
-                h, row = h[order], row[order]
-                edge = np.ones(len(h), bool)
-                edge[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
-                start = np.flatnonzero(edge)
-                n = np.diff(np.append(start, len(h)))
-                for a in range(0, len(start), 1 << 17):
-                    s = start[a : a + (1 << 17)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(row_hash[first + row[s]]), pa.array(h[s].view(np.int64)), pa.array(n[a : a + (1 << 17)].astype(np.int32))],
-                        names=["row_hash", "key", "times"],
-                    )
+        top, above = sent.value
+        for keys, prepared, _ in _subtrees(batches, depth, visits):
+            value = log_probabilities([*top, *fold_down(prepared, TOP, above)[0]], keys)
+            kind = np.full(len(keys), STRING, np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(keys.view(np.int64)), pa.array(value)], names=["kind", "key", "value"])
 
     return run
 
 
-def score(docs, doc_id="doc_id", text="text", depth=DEPTH, least=LEAST, common=COMMON):
-    """One row per row of ``docs``: see the module and the columns of the last select."""
-    spark = docs.sparkSession
+def string_values(counts, depth=DEPTH, visits=VISITS):
+    """``kind, key, n`` -> ``kind, key, value``: of each byte string the log10 probability of
+    its last byte after those before it, learnt from all strings with their counts."""
+    spark = counts.sparkSession
+    context = F.shiftright("key", 8).bitwiseAND(F.lit((1 << (8 * TOP)) - 1)).cast("int")
+    grouped = counts.where(F.col("kind") == STRING).select("key", "n", context.alias("pair")).repartition("pair").sortWithinPartitions("pair")
+    up = grouped.mapInArrow(_hand_up(depth, visits), "node long, a double, b double, weight double")
+    up = up.groupBy("node").agg(F.sum("a").alias("a"), F.sum("b").alias("b"), F.sum("weight").alias("weight")).toArrow()
+    below = (up.column("node").to_numpy().view(U), *(up.column(c).to_numpy() for c in ("a", "b", "weight")))
+    prepared, _ = fold_up([_level(counts, d, visits) for d in range(TOP)], 0, below)
+    sent = spark.sparkContext.broadcast(fold_down(prepared))
+    return grouped.mapInArrow(_look_down(sent, depth, visits), "kind int, key long, value double")
+
+
+SCORED = "held_out boolean, words long, seen long, bytes long, base double, score double"
+
+
+def _score_block(docs, values, depth):
+    """A block's documents with the values of its words and strings."""
+    kind = values.column("kind").to_numpy()
+    keys, value = values.column("key").to_numpy().view(U), values.column("value").to_numpy()
+    word, string = (_Lookup(keys[kind == k], value[kind == k]) for k in (WORD, STRING))
+    out = []
+    for batch in docs.to_batches():
+        _, ids, held, texts = batch.columns
+        for first, last, x, at in chunks(texts, CHUNK):
+            h, of_row = words(x, at, SOLID)
+            tokens = np.diff(of_row)
+            count, known = word(h)
+            base = np.diff(np.concatenate(([0.0], np.cumsum(count)))[of_row])
+            seen = np.diff(np.concatenate(([0], np.cumsum(known)))[of_row])
+            seq, seq_at = sequences(x, at)
+            score = np.add.reduceat(string(strings(seq, seq_at, depth))[0], seq_at[:-1])
+            columns = [tokens.astype(np.int64), seen.astype(np.int64), np.diff(seq_at).astype(np.int64), base, score]
+            out.append(
+                pa.RecordBatch.from_arrays(
+                    [v.slice(first, last - first) for v in (ids, held)] + [pa.array(v) for v in columns],
+                    names=["doc_id", *(c.split()[0] for c in SCORED.split(", "))],
+                )
+            )
+    if not out:
+        return docs.select(["doc_id", "held_out"]).append_column("words", pa.array([], pa.int64()))
+    return pa.Table.from_batches(out)
+
+
+def score(docs, doc_id="doc_id", text="text", depth=DEPTH, visits=VISITS):
+    """One row per row of ``docs``: see the module and the columns of the last select.
+    ``depth`` is 2 to 7."""
     held = F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == HELD, F.lit(False))
-    rows = docs.select(
-        F.col(doc_id).alias("doc_id"), F.xxhash64(doc_id, text).alias("row_hash"), held.alias("held_out"), F.col(text).alias("text")
-    )
-    counts = rows.where(~F.col("held_out")).select("text").mapInArrow(_count, "kind int, key long, n long")
-    counts = staged(counts.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
-    got = {r["kind"]: (r["total"], r["many"]) for r in counts.groupBy("kind").agg(F.sum("n").alias("total"), F.count("*").alias("many")).collect()}
-    n_words, distinct = got.get(WORD, (0, 0))
-    trained = got.get(ROW, (0, 0))[0]
+    rows = docs.select(F.col(doc_id).alias("doc_id"), held.alias("held_out"), F.col(text).alias("text"))
+    size, trained = rows.agg(F.sum(F.octet_length("text")), F.count_if(~F.col("held_out"))).head()
+    blocks = max(1, -(-(size or 0) // BLOCK_BYTES))
+    block = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int")
+    rows = staged(rows.select(block.alias("block"), "*").repartitionById(blocks, F.col("block")), "blocks")
+    parts = staged(rows.select("block", "held_out", "text").mapInArrow(lambda b: _count_blocks(b, depth), "block int, kind int, key long, n long"), "parts")
+    counts = staged(parts.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
+    known = counts.where((F.col("kind") == WORD) & (F.col("n") > 0))
+    n_words, distinct = known.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).head()
     total, distinct = n_words + trained, distinct + (trained > 0)
-    model = learn(counts, got.get(STRING, (0, 0))[0], depth, least)
-    word = counts.where(F.col("kind") == WORD).select("key", "n")
-    often = word.where(F.col("n") >= max(1, int(np.ceil(common * n_words)))).toArrow()
-    keys, many = often.column("key").to_numpy().view(U), often.column("n").to_numpy().astype(np.float64)
-    order = np.argsort(keys)
-    keys, many = keys[order], many[order]
-    main = rows.mapInArrow(
-        _score(spark.sparkContext.broadcast((model, (keys, many)))),
-        f"doc_id {dict(rows.dtypes)['doc_id']}, row_hash long, held_out boolean, words long, seen long, base double, score double",
-    )
-    rare = rows.select("row_hash", "text").mapInArrow(_rare(spark.sparkContext.broadcast(keys)), "row_hash long, key long, times int")
-    rest = word.where(F.col("n") < max(1, int(np.ceil(common * n_words))))
-    rare = rare.join(rest, "key").groupBy("row_hash").agg(
-        F.sum("times").alias("rare_seen"), F.sum(F.col("times") * F.log10(F.col("n") + 1.0)).alias("rare_base")
+    values = known.select("kind", "key", F.log10(F.col("n") + 1.0).alias("value")).union(string_values(counts, depth, visits))
+    values = parts.drop("n").join(values, ["kind", "key"]).select("block", "kind", "key", "value")
+    main = rows.groupBy("block").cogroup(values.groupBy("block")).applyInArrow(
+        lambda d, v: _score_block(d, v, depth), f"doc_id {dict(rows.dtypes)['doc_id']}, {SCORED}"
     )
-    # equal rows have sent their rare words once each
-    equal = rows.groupBy("row_hash").agg(F.count("*").alias("copies"))
-    rare = rare.join(equal, "row_hash")
-    rare = rare.select("row_hash", F.expr("rare_seen DIV copies").alias("rare_seen"), (F.col("rare_base") / F.col("copies")).alias("rare_base"))
     tokens = F.col("words") + 1
-    none = F.lit(0).cast("long")
     floor = float(np.log10(total + distinct + 1.0))
-    return main.join(rare, "row_hash", "left").select(
+    return main.select(
         "doc_id",
         "held_out",
         tokens.alias("n_tokens"),
-        (F.col("seen") + F.coalesce("rare_seen", none) + F.lit(int(trained > 0))).alias("n_known"),
+        (F.col("seen") + F.lit(int(trained > 0))).alias("n_known"),
         F.lit(int(total)).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("rare_base", F.lit(0.0)) + F.lit(float(np.log10(trained + 1.0))) - tokens * F.lit(floor)).alias("base_score"),
+        (F.col("base") + F.lit(float(np.log10(trained + 1.0))) - tokens * F.lit(floor)).alias("base_score"),
         "score",
+        F.col("bytes").alias("n_bytes"),
+        (-F.col("score") / F.log10(F.lit(2.0)) / F.col("bytes")).alias("bits_per_byte"),
     )
 
 

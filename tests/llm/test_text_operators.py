@@ -244,6 +244,98 @@ def test_context_trees_beat_single_words_on_held_out_text(spark):
     assert row.s > row.b
 
 
+def brute_tree(training, depth):
+    """log10 of the probability of a byte after its context, as ratios of weighted block
+    probabilities, by plain recursion over the trees."""
+    counts, kids = {}, {}
+
+    def steps(context, byte):
+        for k in range(8):
+            yield (byte >> (8 - k)) | (1 << k), context, (byte >> (7 - k)) & 1
+
+    for seq in training:
+        for i, byte in enumerate(seq):
+            for prefix, context, bit in steps((b"\n" * depth + seq)[i : i + depth], byte):
+                for d in range(depth + 1):
+                    node = (prefix, context[depth - d :])
+                    counts.setdefault(node, [0, 0])[bit] += 1
+                    if d:
+                        kids.setdefault((prefix, context[depth - d + 1 :]), set()).add(node)
+
+    def kt(a, b):
+        return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.log(math.pi) - math.lgamma(a + b + 1)
+
+    known = {}
+
+    def weighted(node, more=None):
+        """Log weighted probability; with ``more`` (context, bit) one more bit is seen."""
+        if more is None and node in known:
+            return known[node]
+        a, b = counts.get(node, (0, 0))
+        if more:
+            a, b = (a + 1, b) if more[1] == 0 else (a, b + 1)
+        out, d = kt(a, b), len(node[1])
+        if d < depth:
+            path = (node[0], more[0][depth - d - 1 :]) if more else None
+            split = sum(weighted(k) for k in kids.get(node, ()) if k != path) + (weighted(path, more) if more else 0)
+            out = math.log(0.5) + float(np.logaddexp(out, split))
+        if more is None:
+            known[node] = out
+        return out
+
+    def chance(context, byte):
+        return sum(
+            weighted((prefix, b""), (context, bit)) - weighted((prefix, b"")) for prefix, context, bit in steps(context, byte)
+        ) / math.log(10)
+
+    return chance
+
+
+def test_scores_match_brute_force_trees(spark):
+    import zlib
+
+    texts = [f"{a} {b} {a}{b}" for a in ("the cat", "a dog", "une é", "zz", "") for b in ("sat", "sat on", "x", "the")]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(99, None)]
+    low = lambda t: (" ".join((t or "").split()) + "\n").encode()
+    held = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 7 == 2}
+    assert 0 < len(held) < len(rows)
+    for depth in (2, 4):
+        chance = brute_tree([low(t) for i, t in rows if i not in held], depth)
+        got = {r.doc_id: r for r in ctw.score(spark.createDataFrame(rows, "doc_id long, text string"), depth=depth, visits=1).collect()}
+        for i, t in rows:
+            seq = low(t)
+            want = sum(chance((b"\n" * depth + seq)[k : k + depth], byte) for k, byte in enumerate(seq))
+            assert math.isclose(got[i].score, want, rel_tol=1e-6), (depth, t)
+            assert got[i].n_bytes == len(seq) and math.isclose(got[i].bits_per_byte, -want / math.log10(2) / len(seq), rel_tol=1e-6)
+
+
+def test_subtrees_by_group_give_the_whole_model(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("text").limit(50)
+    counts = docs.mapInArrow(ctw._count, "kind int, key long, n long").groupBy("kind", "key").sum("n").toDF("kind", "key", "n").cache()
+    model = ctw.learn(counts, 0)
+    got = ctw.string_values(counts).toArrow()
+    keys = got.column("key").to_numpy().view(np.uint64)
+    assert len(keys) == counts.where("kind = 1").count()
+    assert np.allclose(got.column("value").to_numpy(), ctw.log_probabilities(model, keys), rtol=1e-9, atol=1e-9)
+
+
+def test_scores_do_not_depend_on_the_blocks(spark, folder, monkeypatch):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").limit(40)
+    docs = docs.union(docs.limit(3)).cache()
+    one = sorted(ctw.score(docs).collect())
+    monkeypatch.setattr(ctw, "BLOCK_BYTES", 5_000)
+    many = sorted(ctw.score(docs).collect())
+    assert len(one) == len(many) == docs.count()
+    for a, b in zip(one, many):
+        assert a[:5] == b[:5] and np.allclose(a[5:], b[5:], rtol=1e-9)
+
+
+def test_context_trees_beat_single_words_on_held_out_text_of_a_smaller_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    row = ctw.score(docs).where("held_out").selectExpr("sum(score) s", "sum(base_score) b").head()
+    assert row.s > row.b
+
+
 def test_classifier_on_held_out_labels(spark):
     from pyspark.sql import functions as F
 
