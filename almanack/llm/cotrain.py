@@ -29,6 +29,7 @@ import pickle
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,7 +94,7 @@ def features(texts, sources, langs):
         site = []
         for s, g in zip(sources[first:last], langs[first:last]):
             for name in (f"s={s!r}", f"l={g!r}", f"{g!r}|{s!r}"):
-                site.append(int.from_bytes(name.encode()[-24:], "little") % 1_000_003)
+                site.append(xxhash.xxh64_intdigest(name.encode()))
         site = mixed(np.array(site, U)) % U(SITES)
         # marks of a row that share a column count once
         pair = np.unique((np.repeat(np.arange(rows), 3).astype(U) << U(BITS)) | site)
