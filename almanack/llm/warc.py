@@ -20,6 +20,7 @@ import hashlib
 import json
 import re
 import uuid
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -33,6 +34,7 @@ FETCHED = "2024-01-01T00:00:00Z"
 END = "\r\n\r\n"
 VERSION = "WARC/1.0\r\n"
 LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)", re.I)
+CHARSET = re.compile(r"charset\s*=\s*[\"']?([^\"'\s;]+)", re.I)
 TITLE = re.compile(r"<title[^>]*>(.*?)</title", re.I | re.S)
 
 
@@ -65,11 +67,30 @@ def split_http(block):
     return status, headers, payload
 
 
+def decoded(http, payload):
+    """The payload as text: unpacked and in the charset that the HTTP headers name; what
+    does not unpack stays as it is, an unknown charset is read as UTF-8."""
+    named = {k.lower(): v for k, v in http.items()}
+    for coding in reversed(named.get("content-encoding", "").lower().split(",")):
+        if coding.strip() in ("gzip", "x-gzip", "deflate"):
+            for bits in (47, -15):
+                try:
+                    payload = zlib.decompressobj(bits).decompress(payload)
+                    break
+                except zlib.error:
+                    pass
+    charset = CHARSET.search(named.get("content-type", ""))
+    try:
+        return payload.decode(charset[1] if charset else "utf-8", "replace")
+    except LookupError:
+        return payload.decode("utf-8", "replace")
+
+
 def derive(headers, block):
     """The metadata and the conversion record of one response: ``[(headers, text)]``."""
     own = headers.get("WARC-Record-ID") or record_id("response", digest(block))
     status, http, payload = split_http(block)
-    page = payload.decode("utf-8", "replace")
+    page = decoded(http, payload)
     found = digest(payload)
     ids = {kind: record_id(kind, own, found) for kind in ("metadata", "conversion")}
     title = TITLE.search(page)
@@ -169,13 +190,14 @@ def write_records(records, path, block="content"):
 
 
 def read_records(spark, path):
-    """``headers, block, complete`` of plain WARC files; files are split between records.
+    """``headers, block, complete`` of WARC files of version 1.0 or 1.1; plain files are
+    split between records, files whose name ends in ``.gz`` are unpacked and read by one task.
 
     A block that itself holds the mark between two records is cut there; ``complete`` is
     then false, as its length differs from the header's.
     """
-    raw = spark.read.option("lineSep", END + VERSION).text(path).where("value <> ''")
-    whole = F.regexp_replace("value", r"^WARC/1\.0\r\n", "")
+    raw = spark.read.option("lineSep", END + VERSION[:-3]).text(path).where("value <> ''")
+    whole = F.regexp_replace("value", r"^(?:WARC/1\.)?[01]\r\n", "")
     cut = F.instr("_whole", END)
     lines = F.split(F.substring("_whole", F.lit(1), F.col("_cut") - 1), "\r\n")
     headers = F.map_from_entries(
