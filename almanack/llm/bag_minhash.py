@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from almanack.llm.base import paired_blocks, register, staged, table, whole_groups
+from almanack.llm.base import free_name, paired_blocks, register, staged, table, whole_groups
 from almanack.llm.components import components
 from almanack.llm.textbytes import SOLID, U, chunks, mixed, words
 
@@ -345,8 +345,9 @@ def keep_one(docs, **options):
     Rows without an id stay; of rows that repeat the id that stays, one stays.
     """
     label = classes(docs, **options)
-    first = label.where("doc_id = class_id").select(F.col("class_id").alias("_keep")).distinct()
-    keyed = docs.where("doc_id IS NOT NULL").join(first, F.col("doc_id") == F.col("_keep")).drop("_keep")
+    keep = free_name(docs, "_keep")
+    first = label.where("doc_id = class_id").select(F.col("class_id").alias(keep)).distinct()
+    keyed = docs.where("doc_id IS NOT NULL").join(first, F.col("doc_id") == F.col(keep)).drop(keep)
     keyed = keyed.dropDuplicates(["doc_id"])
     return keyed.unionByName(docs.where("doc_id IS NULL"))
 

@@ -5,6 +5,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from almanack.sources.sinks import staged  # noqa: F401
 
@@ -37,6 +38,23 @@ def free_name(df, wanted):
     return wanted
 
 
+def packed(df, *needed):
+    """``df`` with its columns as one, ``_doc``, so that none clashes with a working column;
+    those ``needed`` stand beside it.  ``select("_doc.*")`` gives the columns back."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_doc"), *needed)
+
+
+def holds_map(kind):
+    if isinstance(kind, T.StructType):
+        return any(holds_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.MapType) or isinstance(kind, T.ArrayType) and holds_map(kind.elementType)
+
+
+def row_hash(df):
+    """A hash of all columns; those that hold maps, which have no hash, as JSON."""
+    return F.xxhash64(*[F.to_json(F.struct(f"`{f.name}`")) if holds_map(f.dataType) else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
 def all_of(conditions):
     return reduce(lambda a, b: a & b, conditions, F.lit(True))
 

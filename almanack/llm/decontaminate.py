@@ -21,12 +21,14 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from almanack.llm.base import register, table
+from almanack.llm.base import packed, register, staged, table
 from almanack.llm.textbytes import ALNUM, U, chunks, mixed, words
 
 WIDTH = 10
 BLOCK_WORDS = 2_000_000
 SPANS, ITEMS, COUNT = "hit_spans", "hit_items", "n_words"
+#: a word before lower-casing
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def _pair(a, b):
@@ -169,8 +171,7 @@ def find_occurrences(docs, benchmark, width=WIDTH, block_words=BLOCK_WORDS, text
     """``docs`` with ``n_words``, ``hit_spans`` (first word, last word + 1; disjoint) and
     ``hit_items`` (ids as text, sorted as strings) of the whole text of each row."""
     spark = docs.sparkSession
-    size = F.size(F.split(item_text, " "))
-    total = benchmark.agg(F.sum(F.when(F.col(item_text).isNotNull(), size))).head()[0] or 0
+    total = benchmark.agg(F.sum(F.regexp_count(item_text, F.lit(WORD)))).head()[0] or 0
     blocks = max(1, -(-total // block_words))
     docs = docs.drop(*[c for c in docs.columns if c.lower() in (SPANS, ITEMS, COUNT)])
     added = [
@@ -203,6 +204,9 @@ def find_occurrences(docs, benchmark, width=WIDTH, block_words=BLOCK_WORDS, text
                 yield pa.RecordBatch.from_arrays(columns, names=[*plain, COUNT, SPANS, ITEMS])
 
         docs = docs.mapInArrow(scan, schema)
+        if block < blocks - 1:
+            # a stage of its own, so that no task holds two blocks
+            docs = staged(docs, "hits")
     return docs
 
 
@@ -219,7 +223,8 @@ def digest(found):
 
 def clean(docs, benchmark, **options):
     """``docs`` without the rows in which an item's window occurs; columns unchanged."""
-    return find_occurrences(docs, benchmark, **options).where(F.size(SPANS) == 0).select(*docs.columns)
+    rows = packed(docs, F.col(options.get("text", "text")))
+    return find_occurrences(rows, benchmark, **options).where(F.size(SPANS) == 0).select("_doc.*")
 
 
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

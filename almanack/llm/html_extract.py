@@ -28,7 +28,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from almanack.llm.base import register, staged, table
+from almanack.llm.base import free_name, register, staged, table
 
 # Elements and attribute words by their use on web pages.
 BLOCKS = set(
@@ -260,20 +260,21 @@ def extract(pages, url="url", page="html"):
     link = F.coalesce(F.col(url), F.lit(""))
     host = F.lower(F.regexp_extract(link, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
     path = F.regexp_replace(link, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*|#.*$", "")
-    rows = pages.withColumn("_row", F.xxhash64(url, page))
-    slim = rows.select(host.alias("host"), path.alias("path"), F.col("_row").alias("row")).distinct()
+    own, shared = free_name(pages, "_row"), free_name(pages, "_lines")
+    rows = pages.withColumn(own, F.xxhash64(url, page))
+    slim = rows.select(host.alias("host"), path.alias("path"), F.col(own).alias("row")).distinct()
     pairs = nearest(slim)
-    lines = rows.select(F.col("_row").alias("row"), F.col(page).alias("html")).mapInArrow(_line_hashes, "row long, lines array<long>")
+    lines = rows.select(F.col(own).alias("row"), F.col(page).alias("html")).mapInArrow(_line_hashes, "row long, lines array<long>")
     lines = lines.dropDuplicates(["row"])
-    near = pairs.join(lines.withColumnRenamed("row", "other"), "other").select(F.col("row").alias("_row"), F.col("lines").alias("_lines"))
-    joined = rows.join(near, "_row", "left").drop("_row")
+    near = pairs.join(lines.withColumnRenamed("row", "other"), "other").select(F.col("row").alias(own), F.col("lines").alias(shared))
+    joined = rows.join(near, own, "left").drop(own)
     schema = T.StructType([*pages.schema.fields, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
     names = pages.columns
 
     def run(batches):
         for batch in batches:
             source = batch.column(batch.schema.get_field_index(page)).to_pylist()
-            lines = batch.column(batch.schema.get_field_index("_lines"))
+            lines = batch.column(batch.schema.get_field_index(shared))
             texts = [main_text(p, lines[k].as_py()) for k, p in enumerate(source)]
             columns = [batch.column(batch.schema.get_field_index(c)) for c in names]
             size = np.fromiter(map(len, texts), np.int64, len(texts))

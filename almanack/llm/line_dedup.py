@@ -24,7 +24,7 @@ those named like a result are replaced.
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from almanack.llm.base import register, staged, table
+from almanack.llm.base import packed, register, staged, table
 
 NEAR_WORDS = 5
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -139,19 +139,20 @@ def dedup_lines(docs, doc_id="doc_id", text="text", near_words=NEAR_WORDS):
     docs = docs.drop(*[c for c in docs.columns if c.lower() in counts])
     gone = dropped_lines(docs, doc_id, text, near_words)
     gone = gone.select(F.col("row").alias("_row"), F.col("equal").alias("_equal"), F.col("near").alias("_near"))
-    rows = docs.withColumn("_row", F.xxhash64(doc_id, text)).join(gone, "_row", "left")
-    lines = F.split(text, "\n")
+    rows = packed(docs, F.xxhash64(doc_id, text).alias("_row")).join(gone, "_row", "left")
+    whole = F.col("_doc")[text]
+    lines = F.split(whole, "\n")
     all_gone = F.concat("_equal", "_near")
     kept = F.array_join(F.filter(lines, lambda line, no: ~F.array_contains(F.col("_gone"), no)), "\n")
     out = rows.withColumn("_gone", all_gone).withColumns(
         {
-            "n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("long"),
+            "n_lines": F.when(whole.isNull(), 0).otherwise(F.size(lines)).cast("long"),
             "n_equal": F.coalesce(F.size("_equal"), F.lit(0)).cast("long"),
             "n_near": F.coalesce(F.size("_near"), F.lit(0)).cast("long"),
-            text: F.when(F.col("_gone").isNull(), F.col(text)).otherwise(kept),
+            "_text": F.when(F.col("_gone").isNull(), whole).otherwise(kept),
         }
     )
-    return out.select(*docs.columns, *counts)
+    return out.select(*[F.col("_text").alias(c) if c == text else F.col("_doc")[c].alias(c) for c in docs.columns], *counts)
 
 
 SQL = rf"""

@@ -19,7 +19,7 @@ nothing is taken; other columns pass through.
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from almanack.llm.base import NOT_SPACE, register, staged, table
+from almanack.llm.base import NOT_SPACE, packed, register, row_hash, staged, table
 
 CAP = 3
 WEIGHTS = (1, 2, 3)
@@ -101,7 +101,7 @@ def mixed_sizes(docs, seed="mix", weights=WEIGHTS, cap=CAP):
         docs.select(
             "doc_id",
             "source",
-            F.xxhash64(*docs.columns).alias("row_hash"),
+            row_hash(docs).alias("row_hash"),
             words_of(F.col("text")).alias("size"),
             F.conv(F.substring(digest, 1, 15), 16, 10).cast("long").alias("_key"),
         ),
@@ -131,11 +131,11 @@ def mix(docs, **options):
     plan = mixed_sizes(docs, **options).groupBy("doc_id", "source", "row_hash")
     plan = plan.agg(F.sum(times).alias("_times"), F.count("*").alias("_rows")).where("_times > 0")
     plan = plan.select(F.struct("doc_id", "source", "row_hash").alias("_row"), "_times", "_rows")
-    rows = docs.withColumn("_row", F.struct("doc_id", "source", F.xxhash64(*docs.columns).alias("row_hash"))).join(plan, "_row")
+    rows = packed(docs, F.struct("doc_id", "source", row_hash(docs).alias("row_hash")).alias("_row")).join(plan, "_row")
     rank = F.when(F.col("_rows") > 1, F.row_number().over(W.partitionBy("_row").orderBy(F.lit(0)))).otherwise(1)
     own = F.expr("_times DIV _rows") + F.when(F.col("_rank") <= F.expr("_times % _rows"), 1).otherwise(0)
     rows = rows.withColumn("_rank", rank).withColumn("_own", own).where("_own > 0")
-    return rows.withColumn("_nth", F.explode(F.sequence(F.lit(1).cast("long"), "_own"))).select(*docs.columns)
+    return rows.withColumn("_nth", F.explode(F.sequence(F.lit(1).cast("long"), "_own"))).select("_doc.*")
 
 
 SIZE = r"CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END"

@@ -20,7 +20,7 @@ replaced.
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from almanack.llm.base import register, staged, table
+from almanack.llm.base import holds_map, packed, register, row_hash, staged, table
 from almanack.sources.sinks import staging_path
 
 SHARDS = 16
@@ -46,13 +46,14 @@ def bucket_starts(buckets, column="_bucket", count="_rows"):
 
 
 def ranked(docs):
-    """``docs`` with ``_hash``, of all columns, and ``_rank``, from 0 among equal rows."""
-    hashed = docs.withColumn("_hash", F.xxhash64(*docs.columns))
+    """``docs`` with ``_hash``, of all columns (or the one there is), and ``_rank``, from 0
+    among equal rows."""
+    hashed = docs if "_hash" in docs.columns else docs.withColumn("_hash", row_hash(docs))
     often = staged(hashed.groupBy("_hash").count().where("count > 1").select("_hash"), "repeated")
     if often.isEmpty():
         return hashed.withColumn("_rank", F.lit(0).cast("long"))
     once = hashed.join(often, "_hash", "left_anti").withColumn("_rank", F.lit(0).cast("long"))
-    many = hashed.join(often, "_hash", "left_semi").groupBy(*docs.columns, "_hash").agg(F.count("*").alias("_times"))
+    many = hashed.join(often, "_hash", "left_semi").groupBy(*hashed.columns).agg(F.count("*").alias("_times"))
     block = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(_times - 1) DIV {COPIES}")))
     many = many.withColumn("_block", block).repartition("_hash", "_block")
     first = F.col("_block") * COPIES
@@ -66,16 +67,22 @@ def shuffled(docs, key="doc_id", text="text", shards=SHARDS, seed=SEED, bucket_b
     rows, size = docs.agg(F.count("*"), F.sum(size_of(F.col(text)))).head()
     buckets = max(1, -(-(size or 0) // bucket_bytes))
     bucket = F.pmod(F.xxhash64(F.lit(seed), F.col("_hash"), F.col("_rank")), F.lit(buckets)).cast("int")
-    dealt = ranked(docs).withColumn("_bucket", bucket).drop("_hash", "_rank")
+    dealt = ranked(packed(docs, row_hash(docs).alias("_hash"))).withColumn("_bucket", bucket).drop("_rank")
     starts = dealt.select("_bucket").groupBy("_bucket").agg(F.count("*").alias("_rows"))
     starts = bucket_starts(starts)
-    columns = docs.columns
-    record = F.struct(*[F.col(c) for c in columns])
-    order = F.xxhash64(F.lit(seed + 1), F.col(key), F.col(text))
+    record = F.col("_doc")
+    order = F.xxhash64(F.lit(seed + 1), record[key], record[text])
+    bucket_rows = F.collect_list(F.struct(order.alias("_order"), record.alias("_record")))
+    in_order = F.array_sort(bucket_rows)
+    if holds_map(dealt.schema):
+        # maps have no order, so the whole row's hash stands for them
+        bucket_rows = F.collect_list(F.struct(order.alias("_order"), record.alias("_record"), "_hash"))
+        place_of = lambda r: F.struct(r["_order"], r["_hash"])
+        in_order = F.array_sort(bucket_rows, lambda a, b: F.when(place_of(a) < place_of(b), -1).when(place_of(a) > place_of(b), 1).otherwise(0))
     mixed = (
         dealt.repartitionById(buckets, F.col("_bucket"))
         .groupBy("_bucket")
-        .agg(F.array_sort(F.collect_list(F.struct(order.alias("_order"), record.alias("_record")))).alias("_rows"))
+        .agg(in_order.alias("_rows"))
         .select("_bucket", F.posexplode(F.shuffle("_rows", seed)).alias("_place", "_row"))
     )
     place = F.col("_start") + F.col("_place")
