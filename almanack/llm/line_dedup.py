@@ -40,14 +40,17 @@ def _lines(rows):
 
 
 def _halves(near_words):
-    """Keys of which two lines within one word share one: for its own length and the
-    length one less, the first half and the last half of the words.  None for short lines."""
-    keys = []
-    for shorter in (0, 1):
-        n = f"(n - {shorter})"
-        for side, half in ((0, f"{n} DIV 2"), (1, f"-({n} - {n} DIV 2)")):
-            keys.append(f"xxhash64({side}, {n}, substring_index(line, ' ', CAST({half} AS INT)))")
-    return F.when(F.col("n") >= near_words, F.expr(f"array({', '.join(keys)})"))
+    """Keys of which two lines within one word share one: the first m and the last m words,
+    m being half the words of the shorter line.  A line of n words is the shorter one, or
+    equally long, with m = n DIV 2; as the longer one it has m = (n - 1) DIV 2, which is
+    another number only for even n.  None for short lines."""
+
+    def ends(m):
+        m = f"CAST({m} AS INT)"
+        return f"array(xxhash64(0, {m}, substring_index(line, ' ', {m})), xxhash64(1, {m}, substring_index(line, ' ', -{m})))"
+
+    own = ends("n DIV 2")
+    return F.when(F.col("n") >= near_words, F.expr(f"IF(n % 2 = 0, concat({own}, {ends('n DIV 2 - 1')}), {own})"))
 
 
 def _only(rows, chosen, keys):
@@ -79,38 +82,36 @@ def _near(rows, slim):
     shared = staged(spread.where("low <> high").select("key"), "shared")
     alive = staged(_only(keyed, shared, ["key"]).select("h1").distinct(), "halves")
     chosen = _only(_lines(rows), alive, ["h1"])
-    chosen = staged(chosen.groupBy("h1", "h2").agg(F.min(place).alias("at"), F.first("line").alias("line")), "lines")
-
-    word = chosen.select("h1", "h2", "at", F.posexplode(F.split("line", " ")).alias("p", "word"))
-    word = word.withColumns({"own": F.xxhash64("word", "p"), "back": F.xxhash64("word", F.col("p") - 1)})
-    one = W.partitionBy("h1", "h2")
+    chosen = chosen.groupBy("h1", "h2").agg(F.min(place).alias("at"), F.first("line").alias("line"))
+    # numbered in the order of their places: from here on a number stands for line and place
+    chosen = staged(chosen.orderBy("at").select(F.monotonically_increasing_id().alias("id"), "h1", "h2", "line"), "lines")
+
+    # dealt out before the words are taken apart, so that the windows need no shuffle
+    word = chosen.repartition("id").select("id", F.posexplode(F.split("line", " ")).alias("p", "word"))
+    word = word.select("id", "p", F.xxhash64("word", "p").alias("own"), F.xxhash64("word", F.col("p") - 1).alias("back"))
+    one = W.partitionBy("id")
     before = one.orderBy("p").rowsBetween(W.unboundedPreceding, -1)
     after = one.orderBy("p").rowsBetween(1, W.unboundedFollowing)
     none = F.lit(0).cast("long")
     lost = F.coalesce(F.bit_xor("own").over(before), none).bitwiseXOR(F.coalesce(F.bit_xor("back").over(after), none))
-    size = F.count("*").over(one)
-    variants = word.select("h1", "h2", "at", "p", lost.alias("v"), (size - 1).alias("size"))
-    variants = staged(variants, "variants")
-    whole = word.groupBy("h1", "h2").agg(F.first("at").alias("at"), F.bit_xor("own").alias("v"), F.count("*").alias("size"))
-    whole = whole.withColumn("p", F.lit(-1))
-    line_of = lambda side: F.struct(f"{side}at", f"{side}h1", f"{side}h2", f"{side}p")
-
-    def earliest(frame, *keys):
-        return frame.groupBy(*keys).agg(F.min(line_of("")).alias("first"))
-
-    same_place = variants.join(earliest(variants, "v", "size", "p"), ["v", "size", "p"])
-    shorter = variants.join(earliest(whole, "v", "size"), ["v", "size"])
-    longer = whole.join(earliest(variants, "v", "size"), ["v", "size"])
-    found = None
-    for frame in (same_place, shorter, longer):
-        part = frame.where(F.col("first.at") < F.col("at")).select(
-            "h1", "h2", "p", F.col("first.h1").alias("o1"), F.col("first.h2").alias("o2"), F.col("first.p").alias("q")
-        )
-        found = part if found is None else found.union(part)
+    variants = staged(word.select("id", "p", lost.alias("v"), (F.count("*").over(one) - 1).alias("size")), "variants")
+    whole = staged(word.groupBy("id").agg(F.bit_xor("own").alias("v"), F.count("*").alias("size")), "wholes")
+
+    # of a variant that several lines have at one place, the earliest line
+    spots = variants.groupBy("v", "size", "p").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    spots = staged(spots.where("first <> last").drop("last"), "spots")
+    same_place = _only(variants, spots, ["v", "size", "p"]).select("id", "p", F.col("first").alias("other"), F.col("p").alias("q"))
+    # variants that are whole lines
+    met = whole.groupBy("v", "size").agg(F.min("id").alias("first"))
+    met = staged(_only(variants, met, ["v", "size"]), "met")
+    shorter = met.select("id", "p", F.col("first").alias("other"), F.lit(-1).alias("q"))
+    longer = whole.join(met.groupBy("v", "size").agg(F.min(F.struct("id", "p")).alias("early")), ["v", "size"])
+    longer = longer.select("id", F.lit(-1).alias("p"), F.col("early.id").alias("other"), F.col("early.p").alias("q"))
+    found = same_place.union(shorter).union(longer).where("other < id").distinct()
     # the words of both lines, each without the place that differs
-    text = chosen.select("h1", "h2", F.split("line", " ").alias("words"))
-    other = text.select(F.col("h1").alias("o1"), F.col("h2").alias("o2"), F.col("words").alias("others"))
-    pair = found.distinct().join(text, ["h1", "h2"]).join(other, ["o1", "o2"])
+    text = chosen.select("id", "h1", "h2", F.split("line", " ").alias("words"))
+    other = chosen.select(F.col("id").alias("other"), F.split("line", " ").alias("others"))
+    pair = found.join(text, "id").join(other, "other")
     without = lambda words, p: F.when(F.col(p) < 0, F.col(words)).otherwise(
         F.concat(F.slice(words, F.lit(1), F.greatest(F.col(p), F.lit(0))), F.slice(words, F.col(p) + 2, F.size(words)))
     )
