@@ -28,13 +28,17 @@ from almanack.llm.base import packed, register, staged, table
 
 NEAR_WORDS = 5
 BLANKS = r"[\x20\x09-\x0D]+"
+#: runs of blanks that are not a single space already
+UNEVEN = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
 
 
 def _lines(rows):
     """``row, doc_id, no, line``: the words of each line that is not blank, joined by spaces."""
     lines = rows.select("row", "doc_id", F.posexplode(F.split("text", "\n")).alias("no", "raw"))
-    tidy = F.trim(F.regexp_replace("raw", BLANKS, " "))
-    return lines.select("row", "doc_id", "no", tidy.alias("line")).where("line <> ''").withColumns(
+    # asked of the raw line, or the replacement would be made once more for the filter
+    lines = lines.where(F.col("raw").rlike(r"[^\x20\x09-\x0D]"))
+    tidy = F.trim(F.regexp_replace("raw", UNEVEN, " "))
+    return lines.select("row", "doc_id", "no", tidy.alias("line")).withColumns(
         {"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line")}
     )
 
