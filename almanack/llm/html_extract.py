@@ -222,12 +222,11 @@ def _line_hashes(batches):
 
 
 def _prefix(a, b):
-    """Length of the common prefix: as many starts of the shorter path as are equal."""
-    steps = F.sequence(F.lit(1), F.least(F.length(a), F.length(b)))
-    return F.when(
-        F.least(F.length(a), F.length(b)) > 0,
-        F.size(F.filter(steps, lambda n: F.substring(a, 1, n) == F.substring(b, 1, n))),
-    ).otherwise(0)
+    """Length of the common prefix: the place of the first characters that differ, in time
+    linear in the lengths, as a URL can be a whole ``data:`` file."""
+    same = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: x.eqNullSafe(y))
+    ends = F.array_position(same, F.lit(False)) - 1
+    return F.least(F.when(ends >= 0, ends), F.length(a), F.length(b)).cast("int")
 
 
 def nearest(rows):

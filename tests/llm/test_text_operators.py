@@ -154,6 +154,19 @@ def test_pages_without_markup_lose_what_the_nearest_page_shares(spark):
     assert got == {1: "First & own\nMore own text", 2: "Second text\nis here é", 3: "lone", 4: "", 5: "x y", 6: "a", 7: "a"}
 
 
+def test_common_prefixes_of_paths(spark):
+    from os.path import commonprefix
+
+    from pyspark.sql import functions as F
+
+    from almanack.llm.html_extract import _prefix
+
+    long = "/x" * 20_000
+    pairs = [("", ""), ("", "/a"), ("/a", "/a"), ("/a", "/ab"), ("/ab", "/ac"), ("a", "b"), ("/ä\U0001f600x", "/ä\U0001f600y"), (long + "a", long + "b")]
+    rows = spark.createDataFrame(pairs, "a string, b string").select("a", "b", _prefix(F.col("a"), F.col("b")).alias("n")).collect()
+    assert [r.n for r in rows] == [len(commonprefix([a, b])) for a, b in pairs]
+
+
 def test_markup_decides_where_it_speaks():
     page = (
         "<body><header>Top</header><div class='cookie-notice'>ok?</div><main><h1>T</h1><p>a <b>b</b><p>c<script>x<p></script>"
