@@ -12,6 +12,8 @@ from almanack.operators.manytrees import IN_TASK, bin_cuts, with_bins
 from almanack.sources.sinks import staged
 
 RANGE_ROWS = 1 << 16
+#: Ranges, of about ``RANGE_ROWS`` rows at most, that a task takes.
+RANGES_A_TASK = 4
 
 
 def range_bits(rows):
@@ -19,13 +21,20 @@ def range_bits(rows):
     return max(1, -(-rows // RANGE_ROWS) - 1).bit_length()
 
 
-def with_position(df, group, order, name, bits):
+def tasks_for(bits, groups=1):
+    """Tasks for ``2 ** bits`` ranges of each group, so that a task's rows do not grow."""
+    return max(1, -(-(groups << bits) // RANGES_A_TASK))
+
+
+def with_position(df, group, order, name, bits, groups=1):
     """Adds ``name``: the row's place, from 0, in its group by the hash ``order``.
 
     Hashes are cut into ``2 ** bits`` ranges; the rows of earlier ranges are counted, and a
-    window ranks inside one range.  No task holds a group.
+    window ranks inside one range.  No task holds a group, and tasks follow the ranges of
+    the ``groups``.
     """
     ranged = df.withColumn("_range", F.shiftrightunsigned(order, 64 - bits))
+    ranged = ranged.repartition(tasks_for(bits, groups), *group, "_range")
     sizes = ranged.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*(group or [F.lit(0)])).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
@@ -47,10 +56,13 @@ def with_shadows(df, columns, key, seed):
     cells = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v")) for c in columns]))
     cells = df.select(*key, cells.alias("_cell")).select(*key, "_cell.*")
     cells = cells.withColumn("_h", F.xxhash64(*key, F.lit(seed), "name"))
-    cells = with_position(cells, ["name"], F.col("_h"), "_at", bits)
-    wide = cells.groupBy("_at").pivot("name", list(columns)).agg(F.first("v"))
-    wide = wide.select("_at", *[F.col(c).alias(f"shadow_{c}") for c in columns])
-    return rows.join(wide, "_at").drop("_at")
+    cells = with_position(cells, ["name"], F.col("_h"), "_at", bits, len(columns))
+    # both sides are dealt by place into as many tasks as there are rows for
+    many = tasks_for(bits)
+    wide = cells.repartition(many, "_at").groupBy("_at").agg(
+        *[F.max(F.when(F.col("name") == c, F.col("v"))).alias(f"shadow_{c}") for c in columns]
+    )
+    return rows.repartition(many, "_at").join(wide, "_at").drop("_at")
 
 
 def binomial_tail(hits, rounds):

@@ -81,3 +81,19 @@ def test_gains_of_trees_equal_those_of_plain_sums():
             if w[left].sum() >= 20 and w[~left].sum() >= 20)
         assert np.flatnonzero(gains).tolist() == [best[1]] and np.isclose(gains[best[1]], best[0])
     assert not tree_gains(bins, y, weights, rng, 5, 4, 200).any()
+
+
+def test_tasks_of_the_shadows_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(selection, "RANGE_ROWS", 1 << 8)
+    df = spark.range(20_000).select("id", (F.col("id") * 1.0).alias("x"), F.when(F.col("id") % 3 > 0, F.col("id") * 2.0).alias("y"))
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        got = selection.with_shadows(df, ["x", "y"], ["id"], 7)
+        most = max(r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect())
+        assert most < 4 * selection.RANGES_A_TASK * 256
+        rows = got.toPandas()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    for c in "xy":
+        assert sorted(rows[c].dropna()) == sorted(rows[f"shadow_{c}"].dropna())
+        assert (rows[c] != rows[f"shadow_{c}"]).mean() > 0.9
