@@ -107,9 +107,15 @@ def sampler_distance(day, switch, before, after):
 def nearest_station(df, distance, keys=("variable", "date")):
     """Rows of the closest station per group, ties kept.
 
-    The rank filter is a group limit, which Spark also applies before the
-    shuffle: only candidates for the minimum travel, however large the group.
+    Groups' least distances, one row a group, are joined to the rows as they are read, so
+    the rank, whose filter is a group limit, sorts the closest rows alone.
     """
+    least = df.groupBy(*keys).agg(F.min(distance).alias("_least"))
+    least = least.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    same = F.col(distance).eqNullSafe(F.col("_least"))
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    df = df.join(least.hint("broadcast"), same, "left_semi")
     w = Window.partitionBy(*keys).orderBy(F.col(distance).asc_nulls_last())
     return df.withColumn("_r", F.rank().over(w)).where("_r = 1").drop("_r")
 

@@ -8,10 +8,11 @@ from almanack.operators import stations as st
 from almanack.operators.panel import pivot_wide
 
 
-def daily_station_table(hourly, daily, stations, directions="mean_wind_dir"):
+def daily_station_table(hourly, daily, stations, directions="mean_wind_dir", tasks=None):
     """All daily station values, long, with the distance to both samplers.
 
-    Distances are computed on the station list and joined by site.
+    Distances are computed on the station list and joined by site.  ``tasks``: into how many
+    the values are dealt by site and date, where groups are as many as the rows.
     """
     rolled = st.hourly_to_daily(hourly.where(F.col("variable") != directions))
     wind = st.daily_direction(
@@ -20,6 +21,8 @@ def daily_station_table(hourly, daily, stations, directions="mean_wind_dir"):
     ).withColumn("variable", F.lit(f"c_{directions}"))
     base = daily.select("site", "date", "variable", "value").unionByName(rolled).unionByName(wind)
     pair = base.where(F.col("variable").isin("c_max_air_temp", "c_min_air_temp"))
+    if tasks:
+        pair = pair.repartition(tasks, "site", "date")
     mean_temperature = pair.groupBy("site", "date").agg(
         st.strict_mean(F.col("value")).alias("value")
     ).withColumn("variable", F.lit("c_avg_air_temp"))
@@ -28,7 +31,8 @@ def daily_station_table(hourly, daily, stations, directions="mean_wind_dir"):
         haversine(F.col("latitude"), F.col("longitude"), S.SAMPLER_LATER).alias("dist_lei"),
         haversine(F.col("latitude"), F.col("longitude"), S.SAMPLER_EARLIER).alias("dist_der"),
     ).distinct()
-    return base.unionByName(mean_temperature).join(placed, "site", "left")
+    # the stations are hashed, so the readings of a task are not sorted in its memory
+    return base.unionByName(mean_temperature).join(placed.hint("shuffle_hash"), "site", "left")
 
 
 def three_datasets(table, switch=S.STATION_SWITCH, flags=("c_thunder_day_flag",),

@@ -155,15 +155,24 @@ STATION_HOURLY = """station_hourly AS (
   FROM events)"""
 
 
+STATION_ROWS = 1 << 18
+
+
+def station_tasks(spark, folder):
+    """Tasks, two at least, for about ``STATION_ROWS`` readings each: sites grow with the
+    table, so a task's groups do not."""
+    return max(2, -(-table(spark, folder, "lineitem").count() // STATION_ROWS))
+
+
 def station_daily(spark, folder):
     """One reading per (site, date, variable); 13 is a fault code."""
-    return (
-        table(spark, folder, "lineitem")
-        .groupBy(
-            F.col("l_suppkey").alias("site"), day("l_shipdate").alias("date"),
-            F.col("l_returnflag").alias("variable"),
-        )
-        .agg(F.nullif(F.sum("l_quantity"), F.lit(13.0)).alias("value"))
+    readings = table(spark, folder, "lineitem").select(
+        F.col("l_suppkey").alias("site"), day("l_shipdate").alias("date"),
+        F.col("l_returnflag").alias("variable"), "l_quantity",
+    )
+    dealt = readings.repartition(station_tasks(spark, folder), "site", "date")
+    return dealt.groupBy("site", "date", "variable").agg(
+        F.nullif(F.sum("l_quantity"), F.lit(13.0)).alias("value")
     )
 
 

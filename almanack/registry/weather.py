@@ -269,7 +269,8 @@ def _daily_station_table(spark, folder):
         F.when(F.col("variable") == "c_thunder_day_flag", F.greatest(F.col("value") - 60, F.lit(0.0)))
         .otherwise(F.col("value")),
     )
-    return staged(plan.daily_station_table(hourly, daily, fx.stations(spark, folder)), "station-days")
+    return staged(plan.daily_station_table(
+        hourly, daily, fx.stations(spark, folder), tasks=fx.station_tasks(spark, folder)), "station-days")
 
 
 _DATASETS = (fx.STATION_HOURLY, fx.STATION_DAILY, fx.STATIONS, f"""hourly AS (

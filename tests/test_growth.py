@@ -5,10 +5,10 @@ from datetime import datetime, timedelta
 import numpy as np
 from pyspark.sql import functions as F
 
-from almanack.operators import selection
+from almanack.operators import selection, stations as st
 from almanack.operators.forests import tree_gains
 from almanack.plans.forecast import selection_forest
-from almanack.registry import ORACLES, QUERIES
+from almanack.registry import ORACLES, QUERIES, fixtures as fx
 from tests.compare import compare
 
 
@@ -97,3 +97,21 @@ def test_tasks_of_the_shadows_follow_the_rows(spark, monkeypatch):
     for c in "xy":
         assert sorted(rows[c].dropna()) == sorted(rows[f"shadow_{c}"].dropna())
         assert (rows[c] != rows[f"shadow_{c}"]).mean() > 0.9
+
+
+def test_tasks_of_station_days_follow_the_readings(spark, tmp_path, monkeypatch):
+    day = datetime(2000, 1, 1)
+    rows = [(s, day + timedelta(days=s % 7), "A", 2.0) for s in range(4000)]
+    folder, _ = written(spark, tmp_path, "lineitem", rows, "l_suppkey long, l_shipdate timestamp_ntz, l_returnflag string, l_quantity double")
+    monkeypatch.setattr(fx, "STATION_ROWS", 100, raising=False)
+    daily = fx.station_daily(spark, folder)
+    sizes = [r["count"] for r in daily.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) < 300
+
+
+def test_only_the_nearest_stations_are_ranked(spark):
+    rows = [("a", 1, 2.0), ("a", 2, 1.0), ("a", 3, 1.0), ("a", 4, None), ("b", 5, None), ("b", 6, float("nan")), ("c", 7, None), ("c", 8, None), (None, 9, 3.0), (None, 10, 4.0), ("d", 11, -0.0), ("d", 12, 0.0)]
+    df = spark.createDataFrame(rows, "variable string, site int, d double").withColumn("date", F.lit("x"))
+    near = st.nearest_station(df, "d")
+    assert sorted(r.site for r in near.collect()) == [2, 3, 6, 7, 8, 9, 11, 12]
+    assert "LeftSemi" in near._jdf.queryExecution().optimizedPlan().toString()
