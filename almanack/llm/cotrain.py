@@ -9,10 +9,11 @@ fitted on the same held-back rows, combines the views.
 
 A document is good when its quality label is 1 and its toxic label is not 1.
 
-Features of all documents are made in one map and staged in blocks of rows.  Both views
-are fitted on all labels and all sure guesses: every step of the L-BFGS searches is one
-pass over the blocks in which tasks sum loss and gradient of both views, and the driver
-holds weights and gradients alone, of a fixed size.  Bounds: of the labels a quarter, but
+Features of all documents are made in one map and staged in blocks of rows, two bytes a
+word.  Both views are fitted on all labels and all sure guesses.  A round first stages the
+rows that have a label in it, with the columns in use alone; every step of the L-BFGS
+searches is one pass over these, in which tasks sum loss and gradient of both views, and
+the driver holds weights and gradients alone, of a fixed size.  Bounds: of the labels a quarter, but
 about ``MAX_HELD`` at most, is held back; the held-back rows' two log-odds come to the
 driver for the calibrations (two or three numbers each).  Scores of all documents are made
 in one map over whole texts, no shuffle.
@@ -26,6 +27,7 @@ no fixed order, so scores agree between runs up to rounding.
 """
 
 import pickle
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +37,7 @@ from pyspark.sql import types as T
 
 from almanack.llm.base import register, staged, table
 from almanack.llm.textbytes import ALNUM, SOLID, U, chunks, mixed, word_bounds, words
+from almanack.sources.sinks import removed, staging_path
 
 MAX_HELD = 5_000
 ROUNDS = 2
@@ -48,10 +51,13 @@ LIMIT = 12.0
 DECAY = {TEXT: 3e-5, META: 1e-3}
 LEAST_ROWS = 5
 STEPS = 60
-BLOCK_CELLS = 1 << 20
+BLOCK_CELLS = 1 << 18
 #: text that a worker takes apart at a time; some 50 bytes are held for each
 CHUNK_BYTES = 1 << 19
-PART_BLOCKS = 8
+PART_BLOCKS = 32
+#: columns come in so many ranges of 2^16
+RANGES = WORDS >> 16
+LISTS = [f"{name}{kind}" for name in (TEXT, META) for kind in ("_ranges", "", "_dense")]
 FEW_PARTS = 32
 
 _PLAIN = ALNUM | ~SOLID
@@ -127,6 +133,12 @@ class Regression:
         grad = np.concatenate((grad, ((dense - self.mean) / self.scale).T @ rest, [rest.sum()]))
         return np.concatenate(([(weight * (np.logaddexp(0, z) - good * z)).sum()], grad[self.free]))
 
+    def small(self):
+        """The regression over the free columns alone, in their order."""
+        out = Regression(int(self.free[: self.columns].sum()), self.decay, self.mean, self.scale)
+        out.w = self.w[self.free]
+        return out
+
     def search(self, usual=None, steps=STEPS):
         """L-BFGS with backtracking on the mean loss and the squared weights: sets the
         weights, waits for ``sums`` over all rows, whose weights sum to 1, and ends with
@@ -223,36 +235,83 @@ class Scorer:
         return _chance(both[:, 0]), _chance(both[:, 1]), _chance(np.clip(mixed, -30, 30))
 
 
+def _packed(ptr, index):
+    """Sorted columns of rows as (how many of a row lie in each range of 2^16, low halves)."""
+    row = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
+    ranges = np.bincount(row * RANGES + (index >> 16), minlength=(len(ptr) - 1) * RANGES)
+    return ranges.astype(np.int32), index.astype(np.uint16)
+
+
+def _unpacked(ranges, low):
+    """(offsets, columns) of rows from ``_packed``."""
+    ptr = np.concatenate(([0], np.cumsum(ranges.reshape(-1, RANGES).sum(axis=1))))
+    return ptr, low + np.repeat(np.tile(np.arange(RANGES) << 16, len(ptr) - 1), ranges)
+
+
+def _taken(part, rows):
+    """The rows of a part where ``rows`` is true."""
+    ptr, index, dense = part
+    size = np.diff(ptr)
+    return np.concatenate(([0], np.cumsum(size[rows]))), index[np.repeat(rows, size)], dense[rows]
+
+
+def _binary(values, at):
+    """An Arrow column of ``values`` cut at ``at``."""
+    at = (at * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _values(column, kind):
+    """The values of a column made by ``_binary``."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    if not len(column):
+        return np.zeros(0, kind)
+    at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data.slice(at[0], at[-1] - at[0]) if data else b"", kind)
+
+
 def _gather(batches):
     """Features of documents, a row each."""
     for batch in batches:
         ids, texts, sources, langs = batch.columns
         for first, last, parts in features(texts, sources.to_pylist(), langs.to_pylist()):
             out = [ids.slice(first, last - first)]
+            each = np.arange(last - first + 1)
             for name in (TEXT, META):
                 ptr, index, dense = parts[name]
-                at = np.arange(0, dense.size + 1, dense.shape[1], dtype=np.int32)
-                out.append(pa.ListArray.from_arrays(ptr.astype(np.int32), pa.array(index)))
-                out.append(pa.ListArray.from_arrays(at, pa.array(dense.ravel())))
-            yield pa.RecordBatch.from_arrays(out, names=["id", "text", "text_dense", "meta", "meta_dense"])
+                ranges, low = _packed(ptr, index)
+                out += [_binary(ranges, each * RANGES), _binary(low, ptr), _binary(dense.ravel(), each * dense.shape[1])]
+            size = np.diff(parts[TEXT][0]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*out, pa.array(size)], names=["id", *LISTS, "cells"])
+
+
+def _block(*values):
+    return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(values, 5)], pa.binary())], names=["block"])
 
 
 def _blocks(batches):
     """Blocks of rows: (sort key, label or NaN, whether held back, {view: features})."""
     for batch in batches:
-        size = batch.column(3).value_lengths().to_numpy(zero_copy_only=False)
+        size = batch.column(3).to_numpy()
         cut = np.flatnonzero(np.diff(np.cumsum(size, dtype=np.int64) // BLOCK_CELLS, prepend=0)).tolist()
         for first, last in zip([0, *cut], [*cut, len(batch)]):
             if first == last:
                 continue
-            key, good, hold, *columns = batch.slice(first, last - first).columns
+            key, good, hold, _, *columns = batch.slice(first, last - first).columns
             parts = {}
-            for name, lists, dense in ((TEXT, *columns[:2]), (META, *columns[2:])):
-                ptr = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)))
-                parts[name] = (ptr, lists.flatten().to_numpy(), dense.flatten().to_numpy().reshape(last - first, -1))
+            for name, (ranges, low, dense) in ((TEXT, columns[:3]), (META, columns[3:])):
+                parts[name] = (_values(ranges, np.int32), _values(low, np.uint16), _values(dense, np.float64).reshape(last - first, -1))
             plain = lambda c: c.to_numpy(zero_copy_only=False)
-            block = pickle.dumps((plain(key), plain(good).astype(np.float64), plain(hold).astype(bool), parts), 5)
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.binary())], names=["block"])
+            yield _block(plain(key), plain(good).astype(np.float64), plain(hold).astype(bool), parts)
+
+
+def _opened(batches):
+    """What ``_block`` was given, with the columns of each part unpacked."""
+    for batch in batches:
+        for block in batch.column(0):
+            *values, parts = pickle.loads(block.as_buffer())
+            yield *values, {name: (*_unpacked(*part[:2]), *part[2:]) for name, part in parts.items()}
 
 
 def staged_blocks(docs, labels, max_held):
@@ -261,34 +320,38 @@ def staged_blocks(docs, labels, max_held):
     known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id")
     known = known.agg(good.cast("double").alias("good")).select(F.col("doc_id").alias("id"), "good", F.lit(-1).cast("long").alias("nth"))
     share = min(1 << 28, (max_held << 30) // max(known.count(), 1))
-    lists = "text array<int>, text_dense array<double>, meta array<int>, meta_dense array<double>"
+    lists = ", ".join(f"{name} binary" for name in LISTS) + ", cells int"
     schema = T.StructType([T.StructField("id", docs.schema["doc_id"].dataType), *T._parse_datatype_string(lists).fields])
     rows = docs.select(F.col("doc_id").alias("id"), "text", "source", "lang").mapInArrow(_gather, schema)
     # rows without an id have no label; their number deals them out over all tasks
     number = F.when(F.col("id").isNull(), F.monotonically_increasing_id()).otherwise(-1)
-    rows = rows.withColumn("nth", number).join(known, ["id", "nth"], "left")
+    # labels grow with the documents: the same join at every size
+    rows = rows.withColumn("nth", number).join(known.hint("merge"), ["id", "nth"], "left")
     key = F.xxhash64(F.lit(3), "id")
     hold = F.col("good").isNotNull() & (F.pmod(key, F.lit(1 << 30)) < share)
-    rows = rows.select(key.alias("key"), "good", hold.alias("hold"), "text", "text_dense", "meta", "meta_dense")
+    rows = rows.select(key.alias("key"), "good", hold.alias("hold"), "cells", *LISTS)
     return staged(rows.mapInArrow(_blocks, "block binary"), "views")
 
 
 def _summed(blocks, parts, of_block):
-    """The sum over all blocks of a dictionary of arrays."""
+    """The sum over all blocks of a dictionary of arrays; None without blocks."""
 
-    def run(rows):
+    def run(batches):
         total = None
-        for row in rows:
-            made = of_block(*pickle.loads(row[0]))
+        for values in _opened(batches):
+            made = of_block(*values)
             total = made if total is None else _plus(total, made)
-        return [] if total is None else [total]
+        if total is not None:
+            yield _block(total)
 
-    made = blocks.rdd.mapPartitions(run)
-    return made.reduce(_plus) if parts <= FEW_PARTS else made.treeReduce(_plus)
+    made = blocks.mapInArrow(run, "block binary")
+    if parts > FEW_PARTS:
+        return made.rdd.map(lambda row: pickle.loads(row[0])[0]).treeReduce(_plus)
+    return reduce(_plus, [pickle.loads(row[0])[0] for row in made.collect()], None)
 
 
 def _plus(a, b):
-    return {k: a[k] + b[k] for k in a}
+    return b if a is None else {k: a[k] + b[k] for k in a}
 
 
 def _labels(name, good, hold, parts, views, sure):
@@ -308,7 +371,8 @@ def train(docs, labels, rounds=ROUNDS, max_held=MAX_HELD, sure=SURE, seen=None):
     """A fitted ``Scorer``, or None without labels of both kinds.
 
     ``seen``, a list, gets for each round the rows of both kinds that each view is fitted on."""
-    context = docs.sparkSession.sparkContext
+    spark = docs.sparkSession
+    context = spark.sparkContext
     blocks = staged_blocks(docs, labels, max_held)
     parts = max(context.defaultParallelism, blocks.count() // PART_BLOCKS)
     blocks = blocks.coalesce(parts)
@@ -320,10 +384,8 @@ def train(docs, labels, rounds=ROUNDS, max_held=MAX_HELD, sure=SURE, seen=None):
             out |= {name: parts[name][2].sum(axis=0), f"{name} squares": (parts[name][2] ** 2).sum(axis=0)}
         return out
 
-    if blocks.isEmpty():
-        return None
-    whole = _summed(blocks, parts, first)
-    if not whole["kinds"].all():
+    whole = _summed(blocks, parts, first) if not blocks.isEmpty() else None
+    if whole is None or not whole["kinds"].all():
         return None
     models, views = {}, None
     for name, columns in ((TEXT, WORDS), (META, SITES)):
@@ -347,36 +409,55 @@ def train(docs, labels, rounds=ROUNDS, max_held=MAX_HELD, sure=SURE, seen=None):
         if seen is not None:
             seen.append({name: count[name].tolist() for name in models})
         each = {name: 0.5 / count[name] for name in models}
-        searches = {name: m.search(count[f"{name} columns"] >= LEAST_ROWS) for name, m in models.items()}
+        usual = {name: count[f"{name} columns"] >= LEAST_ROWS for name in models}
+        searches = {name: m.search(usual[name]) for name, m in models.items()}
         for search in searches.values():
             next(search)
+        sent = context.broadcast(usual)
+
+        def labelled(batches):
+            for _, good, hold, parts in _opened(batches):
+                out = {}
+                for name in (TEXT, META):
+                    own = _labels(name, good, hold, parts, given.value, sure)
+                    ptr, index, dense = _taken(parts[name], ~np.isnan(own))
+                    used = sent.value[name][index]
+                    ptr = np.concatenate(([0], np.cumsum(used)))[ptr]
+                    index = (np.cumsum(sent.value[name]) - 1)[index[used]]
+                    out[name] = (*_packed(ptr, index), dense, own[~np.isnan(own)])
+                yield _block(out)
+
+        path = staging_path(spark, "turn")
+        turned = staged(blocks.mapInArrow(labelled, "block binary"), "turn", path).coalesce(parts)
+        sent.destroy()
         while searches:
-            sent = context.broadcast({name: models[name] for name in searches})
+            sent = context.broadcast({name: models[name].small() for name in searches})
 
-            def sums(key, good, hold, parts):
+            def sums(parts):
                 out = {}
                 for name, model in sent.value.items():
-                    own = _labels(name, good, hold, parts, given.value, sure)
-                    weight = np.where(own == 1, each[name][1], np.where(own == 0, each[name][0], 0.0))
-                    out[name] = model.sums(parts[name], np.nan_to_num(own), weight)
+                    *part, own = parts[name]
+                    out[name] = model.sums(part, own, np.where(own == 1, each[name][1], each[name][0]))
                 return out
 
-            made = _summed(blocks, parts, sums)
+            made = _summed(turned, parts, sums)
             sent.destroy()
             for name in list(searches):
                 try:
                     searches[name].send(made[name])
                 except StopIteration:
                     del searches[name]
+        removed(spark, path)
         sent = context.broadcast(models)
 
-        def held(rows):
-            for row in rows:
-                key, good, hold, parts = pickle.loads(row[0])
-                raw = [sent.value[n].raw(*parts[n])[hold] for n in (TEXT, META)]
-                yield np.column_stack([key[hold].view(np.float64), good[hold], *raw])
+        def held(batches):
+            for key, good, hold, parts in _opened(batches):
+                raw = [sent.value[n].raw(*_taken(parts[n], hold)) for n in (TEXT, META)]
+                columns = [key[hold].view(np.float64), good[hold], *raw]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=list("kgtm"))
 
-        rows = np.concatenate(blocks.rdd.mapPartitions(held).collect())
+        rows = blocks.mapInArrow(held, "k double, g double, t double, m double").toArrow()
+        rows = np.column_stack([c.to_numpy() for c in rows.columns])
         sent.destroy()
         given.destroy()
         rows = rows[np.argsort(rows[:, 0].copy().view(np.int64), kind="stable")]

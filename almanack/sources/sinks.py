@@ -23,14 +23,20 @@ def owned_by_session(spark, path):
     place.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(place)
 
 
-def staged(df, name):
+def removed(spark, path):
+    """Remove a staged table that no later step reads."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def staged(df, name, path=None):
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage before repeated use; unlike cached blocks the copy outlives
     an executor.  It lasts as long as the session.
     """
     spark = df.sparkSession
-    path = staging_path(spark, name)
+    path = path or staging_path(spark, name)
     df.write.parquet(path)
     owned_by_session(spark, path)
     return spark.read.schema(df.schema).parquet(path)
