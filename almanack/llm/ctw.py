@@ -15,8 +15,9 @@ No task holds the trees.  Subtrees under two bytes of context are worked out whe
 has grouped their strings: once for the weight that they hand up, and, when the nodes above
 are known, once for the probability of every string.  Above are at most 255 * 257 nodes,
 whatever the corpus; these alone travel to all tasks.  The documents lie in blocks of about
-``BLOCK_BYTES``; a block's distinct strings and words are joined with their values and meet
-the block's documents again in one task.
+``BLOCK_BYTES``, a row each.  A block's distinct strings go out in a row for each pair of
+bytes, sorted and packed, its words in a row for each range of their hashes; their values
+come back in the same order, in steps of 2^-32, and meet the block's documents in one task.
 
 The text is scored as its words with single spaces between and an end mark, lower-case
 in A-Z.
@@ -27,6 +28,8 @@ training; equal rows get equal scores; with an empty training part all counts ar
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -36,11 +39,16 @@ from almanack.llm.textbytes import SOLID, U, chunks, runs, word_bounds, words
 DEPTH = 7
 VISITS = 2
 TOP = 2
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 48 << 20
 FOLDS, HELD = 7, 2
 END, SPACE = 0x0A, 0x20
 CHUNK = 2 << 20
 HOLD = 2_000_000
+GROUP_KEYS = 1_000_000
+RANGES = 16
+STEP = 2.0**32
+#: groups of words follow those of strings
+WORDS_FROM = 1 << 16
 
 
 def sequences(x, at):
@@ -82,26 +90,36 @@ class _Counter:
     """Sums of counts by key, held sorted; handed on when they are many."""
 
     def __init__(self):
-        self.parts, self.size = [], 0
+        self.parts, self.size, self.limit = [], 0, HOLD
 
     def add(self, keys, counted=True):
         """Count each key once, or only make it known."""
         keys.sort()
         at, n = runs(keys)
-        self.parts.append((keys[at], n if counted else np.zeros(len(at), np.int64)))
+        self.parts.append((keys[at], n.astype(np.int32) if counted else np.zeros(len(at), np.int32)))
         self.size += len(at)
-        if self.size > HOLD:
+        if self.size > self.limit:
             self.merge()
+            self.limit = max(HOLD, self.size * 3 // 2)
 
     def merge(self):
-        if self.parts:
-            keys = np.concatenate([k for k, _ in self.parts])
-            n = np.concatenate([c for _, c in self.parts])
-            order = np.argsort(keys, kind="stable")
-            keys, n = keys[order], n[order]
-            at, _ = runs(keys)
-            self.parts = [(keys[at], np.add.reduceat(n, at) if len(at) else n)]
-            self.size = len(at)
+        """One sorted part of all, range by range of the keys, as whole copies are large."""
+        if len(self.parts) > 1:
+            long = max((k for k, _ in self.parts), key=len)
+            cuts = np.unique(long[:: max(1, -(-len(long) // RANGES))])
+            places = [np.concatenate(([0], np.searchsorted(k, cuts[1:]), [len(k)])) for k, _ in self.parts]
+            made = [self._merged(r, places) for r in range(max(1, len(cuts)))]
+            self.parts = []
+            self.parts = [(np.concatenate([k for k, _ in made]), np.concatenate([n for _, n in made]))]
+            self.size = len(self.parts[0][0])
+
+    def _merged(self, r, places):
+        cut = [(k[at[r] : at[r + 1]], n[at[r] : at[r + 1]]) for (k, n), at in zip(self.parts, places)]
+        keys, n = (np.concatenate(v) for v in zip(*cut))
+        order = np.argsort(keys, kind="stable")
+        keys, n = keys[order], n[order]
+        at, _ = runs(keys)
+        return keys[at], np.add.reduceat(n, at).astype(n.dtype) if len(at) else n
 
     def rows(self, **same):
         """Arrow batches of ``key, n`` after the columns that are the same in every row."""
@@ -121,40 +139,116 @@ WORD, STRING = 0, 1
 
 def _count(batches):
     """text -> partial counts of words and byte strings."""
+    kinds = {WORD: _Counter(), STRING: _Counter()}
     for batch in batches:
-        block, held = pa.array(np.zeros(batch.num_rows, np.int32)), pa.array(np.zeros(batch.num_rows, bool))
-        whole = pa.RecordBatch.from_arrays([block, held, batch.column(0)], names=["block", "held", "text"])
-        for made in _count_blocks([whole], DEPTH):
-            yield made.select(["kind", "key", "n"])
+        for _, _, x, at in chunks(batch.column(0), CHUNK):
+            kinds[WORD].add(words(x, at, SOLID)[0])
+            kinds[STRING].add(strings(*sequences(x, at)))
+            for kind, c in kinds.items():
+                if c.size > HOLD:
+                    yield from c.rows(kind=kind)
+    for kind, c in kinds.items():
+        yield from c.rows(kind=kind)
 
 
-def _count_blocks(batches, depth):
-    """block, held, text -> each block's words and byte strings with their partial counts,
-    to which rows that are held out add nothing."""
-    kinds, now = {WORD: _Counter(), STRING: _Counter()}, None
+def _planes(x):
+    """64-bit numbers by byte planes, packed."""
+    x = np.ascontiguousarray(x, U)
+    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T).tobytes(), "zstd", asbytes=True)
 
-    def flush(least):
-        for kind, c in kinds.items():
-            if c.size > least:
-                yield from c.rows(block=now, kind=kind)
 
-    for batch in batches:
-        blocks = batch.column(0).to_numpy()
-        outside = batch.column(1).to_numpy(zero_copy_only=False)
-        for start, size in zip(*(v.tolist() for v in runs(blocks))):
-            if blocks[start] != now:
-                yield from flush(0)
-                now = int(blocks[start])
-            for first, last, x, at in chunks(batch.column(2).slice(start, size), CHUNK):
-                held = outside[start + first : start + last]
-                h, of_row = words(x, at, SOLID)
-                seq, seq_at = sequences(x, at)
-                for kind, keys, ends in ((WORD, h, of_row), (STRING, strings(seq, seq_at, depth), seq_at)):
-                    out = np.repeat(held, np.diff(ends))
-                    kinds[kind].add(keys[~out])
-                    kinds[kind].add(keys[out], counted=False)
-                yield from flush(HOLD)
-    yield from flush(0)
+def _unplanes(packed, size):
+    flat = pa.decompress(packed, decompressed_size=8 * size, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(flat, np.uint8).reshape(8, size).T).view(U).ravel()
+
+
+def _sorted_keys(packed, size):
+    return np.cumsum(_unplanes(packed, size), dtype=U)
+
+
+def _make_blocks(limit):
+    """doc_id, held_out, text -> rows of whole blocks, packed."""
+
+    def run(batches):
+        held, size, made = [], 0, 0
+
+        def block():
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))) as out:
+                for batch in held:
+                    out.write_batch(batch)
+            number = (TaskContext.get().partitionId() << 32) + made
+            return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "docs"])
+
+        for batch in batches:
+            length = pa.compute.binary_length(batch.column(2)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            cut = np.flatnonzero(np.diff((size + np.cumsum(length)) // limit, prepend=size // limit)) + 1
+            for first, last in zip([0, *cut.tolist()], [*cut.tolist(), len(batch)]):
+                if last > first:
+                    held.append(batch.slice(first, last - first))
+                    size += int(length[first:last].sum())
+                if size >= limit:
+                    yield block()
+                    held, size, made = [], 0, made + 1
+        if held:
+            yield block()
+
+    return run
+
+
+def _rows_of(packed):
+    return pa.ipc.open_stream(packed).read_all().to_batches()
+
+
+def _turned(keys):
+    """Byte strings with the two bytes before the last highest, so that pairs sort together."""
+    return (keys >> U(8) << U(48)) | (keys >> U(24) << U(8)) | (keys & U(255))
+
+
+def _back(keys):
+    """What ``_turned`` was given."""
+    return (keys << U(16) >> U(24) << U(24)) | (keys >> U(48) << U(8)) | (keys & U(255))
+
+
+def _count_blocks(depth):
+    """block, docs -> each block's sorted words and byte strings with their counts, a row for
+    each group; rows that are held out make theirs known and add nothing to counts."""
+
+    def run(batches):
+        for batch in batches:
+            for number, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+                kinds = {WORD: _Counter(), STRING: _Counter()}
+                for rows in _rows_of(packed.as_buffer()):
+                    outside = rows.column(1).to_numpy(zero_copy_only=False)
+                    for first, last, x, at in chunks(rows.column(2), CHUNK):
+                        held = outside[first:last]
+                        h, of_row = words(x, at, SOLID)
+                        seq, seq_at = sequences(x, at)
+                        for kind, keys, ends in ((WORD, h, of_row), (STRING, _turned(strings(seq, seq_at, depth)), seq_at)):
+                            out = np.repeat(held, np.diff(ends))
+                            kinds[kind].add(keys[~out])
+                            kinds[kind].add(keys[out], counted=False)
+                for kind, c in kinds.items():
+                    c.merge()
+                    for keys, n in c.parts:
+                        group = (keys >> U(48 if kind == STRING else 56)).astype(np.int32) + (WORDS_FROM if kind == WORD else 0)
+                        at, size = runs(group)
+                        made = [(group[a], a, a + k) for a, k in zip(at.tolist(), size.tolist())]
+                        plain = _back if kind == STRING else np.array
+                        for a in range(0, len(made), 256):
+                            some = made[a : a + 256]
+                            yield pa.RecordBatch.from_arrays(
+                                [
+                                    pa.array([g for g, _, _ in some], pa.int32()),
+                                    pa.array([number] * len(some), pa.int64()),
+                                    pa.array([j - i for _, i, j in some], pa.int64()),
+                                    pa.array([_planes(np.diff(plain(keys[i:j]), prepend=U(0))) for _, i, j in some], pa.binary()),
+                                    pa.array([_planes(n[i:j]) for _, i, j in some], pa.binary()),
+                                ],
+                                names=["pair", "block", "size", "keys", "counts"],
+                            )
+
+    return run
 
 
 def _log_gamma(x):
@@ -167,9 +261,21 @@ def _log_gamma(x):
     return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + series - np.log(shift)
 
 
+FEW = 1 << 12
+_OF_FEW = {shift: _log_gamma(np.arange(FEW) + shift) for shift in (0.5, 1.0)}
+
+
+def _log_gamma_after(n, shift):
+    """log Gamma(n + shift) of whole numbers; those below ``FEW`` from a table."""
+    out = _OF_FEW[shift][np.minimum(n, FEW - 1).astype(np.int64)]
+    far = np.flatnonzero(n >= FEW)
+    out[far] = _log_gamma(n[far] + shift)
+    return out
+
+
 def log_kt(a, b):
     """Log of the Krichevsky-Trofimov probability of a block with ``a`` 0s and ``b`` 1s."""
-    return _log_gamma(a + 0.5) + _log_gamma(b + 0.5) - np.log(np.pi) - _log_gamma(a + b + 1.0)
+    return _log_gamma_after(a, 0.5) + _log_gamma_after(b, 0.5) - np.log(np.pi) - _log_gamma_after(a + b, 1.0)
 
 
 def _kt(a, b):
@@ -243,9 +349,11 @@ class _Lookup:
     """Places of keys by a table of hashes; those whose slot another has, by search."""
 
     def __init__(self, keys, values):
-        order = np.argsort(keys)
-        self.keys, self.values = keys[order], values[order]
-        self.bits = max(4, int(4 * len(keys)).bit_length())
+        if (keys[1:] < keys[:-1]).any():
+            order = np.argsort(keys)
+            keys, values = keys[order], values[order]
+        self.keys, self.values = keys, values
+        self.bits = max(4, int(2 * len(keys)).bit_length())
         self.slots = np.zeros(1 << self.bits, np.int32)
         self.slots[self._slot(self.keys)] = np.arange(len(keys), dtype=np.int32)
 
@@ -376,17 +484,112 @@ def string_values(counts, depth=DEPTH, visits=VISITS):
     return grouped.mapInArrow(_look_down(sent, depth, visits), "kind int, key long, value double")
 
 
+UP, COUNTED, ALL_WORDS = 0, 1, 2
+
+
+def _summed_keys(rows):
+    """Distinct keys of packed rows with their counts, one row after the other."""
+    c = _Counter()
+    for size, keys, counts in zip(rows.column("size").to_pylist(), rows.column("keys"), rows.column("counts")):
+        c.parts.append((_sorted_keys(keys.as_buffer(), size), _unplanes(counts.as_buffer(), size).view(np.int64)))
+        c.size += size
+        if c.size > c.limit:
+            c.merge()
+            c.limit = max(HOLD, c.size * 3 // 2)
+    c.merge()
+    return c.parts[0]
+
+
+def _packed_groups(batches):
+    """From packed rows sorted by group: (rows, distinct keys, counts, whether strings) of a
+    few whole groups at a time."""
+    for rows, at in whole_groups(batches, ["pair"]):
+        sizes = np.add.reduceat(rows.column("size").to_numpy(), at[:-1])
+        words_from = rows.column("pair").to_numpy()[at[:-1]] >= WORDS_FROM
+        start, total = 0, 0
+        for k in range(len(sizes)):
+            total += int(sizes[k])
+            if k + 1 == len(sizes) or total + sizes[k + 1] > GROUP_KEYS or words_from[k] != words_from[k + 1]:
+                some = rows.slice(at[start], at[k + 1] - at[start])
+                yield some, *_summed_keys(some), not words_from[k]
+                start, total = k + 1, 0
+
+
+def _subtree(keys, n, depth, visits):
+    seen = n > 0
+    keys, n = keys[seen], n[seen].astype(np.float64)
+    return fold_up([nodes(keys, n, d, visits) for d in range(TOP, depth + 1)], TOP)
+
+
+def _sum_up(depth, visits):
+    """What the nodes above must know of each group."""
+
+    def batch(kind, node, a, b, weight):
+        columns = [np.full(len(node), kind, np.int32), node.view(np.int64), a, b, weight]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["kind", "node", "a", "b", "weight"])
+
+    def run(batches):
+        for _, keys, n, string in _packed_groups(batches):
+            if not string:
+                yield batch(ALL_WORDS, np.zeros(1, U), np.array([n.sum()], float), np.array([(n > 0).sum()], float), np.zeros(1))
+                continue
+            _, (low, *values) = _subtree(keys, n, depth, visits)
+            parent, at = np.unique(low & U((1 << (8 * TOP)) - 1), return_inverse=True)
+            yield batch(UP, parent, *(np.bincount(at, v, len(parent)) for v in values))
+            seen = n > 0
+            byte, at = np.unique(keys[seen] & U((1 << (8 * TOP)) - 1), return_inverse=True)
+            none = np.zeros(len(byte))
+            yield batch(COUNTED, byte, np.bincount(at, n[seen], len(byte)), none, none)
+
+    return run
+
+
+def _send_back(sent, depth, visits):
+    """To each block the values of its strings, in steps, and the counts of its words."""
+
+    def run(batches):
+        top, above = sent.value
+        for rows, keys, n, string in _packed_groups(batches):
+            value = n.view(U)
+            if string:
+                below = fold_down(_subtree(keys, n, depth, visits)[0], TOP, above)[0]
+                value = np.concatenate([np.rint(-STEP * log_probabilities([*top, *below], keys[a : a + CHUNK])).astype(U) for a in range(0, len(keys), CHUNK)])
+            for a in range(0, len(rows), 256):
+                some = rows.slice(a, min(256, len(rows) - a))
+                made = [
+                    _planes(value[np.searchsorted(keys, _sorted_keys(k.as_buffer(), size))])
+                    for size, k in zip(some.column("size").to_pylist(), some.column("keys"))
+                ]
+                made = [*(some.column(c).combine_chunks() for c in ("block", "pair", "size", "keys")), pa.array(made, pa.binary())]
+                yield pa.RecordBatch.from_arrays([c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in made], names=["block", "pair", "size", "keys", "values"])
+
+    return run
+
+
 SCORED = "held_out boolean, words long, seen long, bytes long, base double, score double"
 
 
 def _score_block(docs, values, depth):
     """A block's documents with the values of its words and strings."""
-    kind = values.column("kind").to_numpy()
-    keys, value = values.column("key").to_numpy().view(U), values.column("value").to_numpy()
-    word, string = (_Lookup(keys[kind == k], value[kind == k]) for k in (WORD, STRING))
+    values = values.sort_by("pair")
+    pair, size = (values.column(c).to_numpy() for c in ("pair", "size"))
+    found = []
+    for kind, rows in ((STRING, pair < WORDS_FROM), (WORD, pair >= WORDS_FROM)):
+        key, value, start = np.zeros(size[rows].sum(), U), np.zeros(size[rows].sum(), U), 0
+        for r in np.flatnonzero(rows).tolist():
+            stop = start + int(size[r])
+            key[start:stop] = _sorted_keys(values.column("keys")[r].as_buffer(), stop - start)
+            value[start:stop] = _unplanes(values.column("values")[r].as_buffer(), stop - start)
+            start = stop
+        if kind == WORD:
+            found.append(_Lookup(key[value > 0], np.log10(value[value > 0] + 1.0)))
+        else:
+            found.append(_Lookup(_turned(key), value / -STEP))
+    del values
+    string, word = found
     out = []
-    for batch in docs.to_batches():
-        _, ids, held, texts = batch.columns
+    for batch in (b for packed in docs.column("docs") for b in _rows_of(packed.as_buffer())):
+        ids, held, texts = batch.columns
         for first, last, x, at in chunks(texts, CHUNK):
             h, of_row = words(x, at, SOLID)
             tokens = np.diff(of_row)
@@ -394,7 +597,7 @@ def _score_block(docs, values, depth):
             base = np.diff(np.concatenate(([0.0], np.cumsum(count)))[of_row])
             seen = np.diff(np.concatenate(([0], np.cumsum(known)))[of_row])
             seq, seq_at = sequences(x, at)
-            score = np.add.reduceat(string(strings(seq, seq_at, depth))[0], seq_at[:-1])
+            score = np.add.reduceat(string(_turned(strings(seq, seq_at, depth)))[0], seq_at[:-1])
             columns = [tokens.astype(np.int64), seen.astype(np.int64), np.diff(seq_at).astype(np.int64), base, score]
             out.append(
                 pa.RecordBatch.from_arrays(
@@ -402,28 +605,39 @@ def _score_block(docs, values, depth):
                     names=["doc_id", *(c.split()[0] for c in SCORED.split(", "))],
                 )
             )
-    if not out:
-        return docs.select(["doc_id", "held_out"]).append_column("words", pa.array([], pa.int64()))
     return pa.Table.from_batches(out)
 
 
 def score(docs, doc_id="doc_id", text="text", depth=DEPTH, visits=VISITS):
     """One row per row of ``docs``: see the module and the columns of the last select.
     ``depth`` is 2 to 7."""
+    spark = docs.sparkSession
     held = F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == HELD, F.lit(False))
     rows = docs.select(F.col(doc_id).alias("doc_id"), held.alias("held_out"), F.col(text).alias("text"))
     size, trained = rows.agg(F.sum(F.octet_length("text")), F.count_if(~F.col("held_out"))).head()
-    blocks = max(1, -(-(size or 0) // BLOCK_BYTES))
-    block = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int")
-    rows = staged(rows.select(block.alias("block"), "*").repartitionById(blocks, F.col("block")), "blocks")
-    parts = staged(rows.select("block", "held_out", "text").mapInArrow(lambda b: _count_blocks(b, depth), "block int, kind int, key long, n long"), "parts")
-    counts = staged(parts.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
-    known = counts.where((F.col("kind") == WORD) & (F.col("n") > 0))
-    n_words, distinct = known.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).head()
+    tasks = max(spark.sparkContext.defaultParallelism, -(-(size or 0) // BLOCK_BYTES))
+    blocks = staged(rows.coalesce(tasks).mapInArrow(_make_blocks(BLOCK_BYTES * 3 // 2), "block long, docs binary"), "blocks")
+    parts = blocks.mapInArrow(_count_blocks(depth), "pair int, block long, size long, keys binary, counts binary")
+    # read on both ways through the trees; kept until the session's cache is cleared
+    parts = parts.repartition("pair").sortWithinPartitions("pair").persist(StorageLevel.DISK_ONLY)
+    up = parts.mapInArrow(_sum_up(depth, visits), "kind int, node long, a double, b double, weight double")
+    up = up.groupBy("kind", "node").agg(*(F.sum(c).alias(c) for c in ("a", "b", "weight"))).toArrow()
+    up = {c: up.column(c).to_numpy() for c in up.column_names}
+    of = lambda kind, *names: [up[c][up["kind"] == kind] for c in names]
+    n_words, distinct = (int(v.sum()) for v in of(ALL_WORDS, "a", "b"))
     total, distinct = n_words + trained, distinct + (trained > 0)
-    values = known.select("kind", "key", F.log10(F.col("n") + 1.0).alias("value")).union(string_values(counts, depth, visits))
-    values = parts.drop("n").join(values, ["kind", "key"]).select("block", "kind", "key", "value")
-    main = rows.groupBy("block").cogroup(values.groupBy("block")).applyInArrow(
+    node, *below = of(UP, "node", "a", "b", "weight")
+    key, n = of(COUNTED, "node", "a")
+    key = key.view(U)
+    # the first decisions are always known
+    zero, one = np.zeros(256), np.zeros(256)
+    first, a, b = nodes(key, n, 0, visits)
+    zero[first.astype(np.int64)], one[first.astype(np.int64)] = a, b
+    levels = [(np.arange(1, 256, dtype=U), zero[1:], one[1:]), nodes(key, n, 1, visits)]
+    prepared, _ = fold_up(levels, 0, (node.view(U), *below))
+    sent = spark.sparkContext.broadcast(fold_down(prepared))
+    values = parts.mapInArrow(_send_back(sent, depth, visits), "block long, pair int, size long, keys binary, values binary")
+    main = blocks.groupBy("block").cogroup(values.groupBy("block")).applyInArrow(
         lambda d, v: _score_block(d, v, depth), f"doc_id {dict(rows.dtypes)['doc_id']}, {SCORED}"
     )
     tokens = F.col("words") + 1

@@ -372,3 +372,18 @@ def test_classifier_without_labels_keeps_all(spark):
     labels = spark.createDataFrame([(1, None, 1)], "doc_id long, quality int, toxic int")
     assert classify(docs, labels).where("keep AND score = 1").count() == 2
     assert good_only(docs, labels).columns == docs.columns and good_only(docs.limit(0), labels).count() == 0
+
+
+def test_strings_of_a_block_travel_packed(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").selectExpr("doc_id", "false", "text").coalesce(1)
+    blocks = docs.mapInArrow(ctw._make_blocks(1 << 30), "block long, docs binary").cache()
+    rows = blocks.mapInArrow(ctw._count_blocks(ctw.DEPTH), "pair int, block long, size long, keys binary, counts binary").where("pair < 65536")
+    assert blocks.count() == 1
+    row = rows.selectExpr("sum(size) keys", "sum(octet_length(keys) + octet_length(counts)) bytes").head()
+    counts = docs.select("text").mapInArrow(ctw._count, "kind int, key long, n long").where("kind = 1")
+    assert row.keys == counts.select("key").distinct().count() and row.bytes < 6 * row.keys
+    got = rows.toArrow().to_pylist()
+    keys = [ctw._sorted_keys(r["keys"], r["size"]) for r in got]
+    assert all((k[1:] > k[:-1]).all() and ((k >> np.uint64(8)) & np.uint64(65535) == r["pair"]).all() for k, r in zip(keys, got))
+    n = sum(int(ctw._unplanes(r["counts"], r["size"]).sum()) for r in got)
+    assert n == counts.agg({"n": "sum"}).head()[0]
