@@ -43,6 +43,8 @@ BLOCK_BYTES = 48 << 20
 FOLDS, HELD = 7, 2
 END, SPACE = 0x0A, 0x20
 CHUNK = 2 << 20
+#: text that meets a block's values at a time
+SCORED_CHUNK = 1 << 19
 HOLD = 2_000_000
 GROUP_KEYS = 1_000_000
 RANGES = 16
@@ -355,7 +357,9 @@ class _Lookup:
         self.keys, self.values = keys, values
         self.bits = max(4, int(2 * len(keys)).bit_length())
         self.slots = np.zeros(1 << self.bits, np.int32)
-        self.slots[self._slot(self.keys)] = np.arange(len(keys), dtype=np.int32)
+        for a in range(0, len(keys), CHUNK):
+            some = self.keys[a : a + CHUNK]
+            self.slots[self._slot(some)] = np.arange(a, a + len(some), dtype=np.int32)
 
     def _slot(self, keys):
         return (keys * U(0x9E3779B97F4A7C15)) >> U(64 - self.bits)
@@ -571,26 +575,27 @@ SCORED = "held_out boolean, words long, seen long, bytes long, base double, scor
 
 def _score_block(docs, values, depth):
     """A block's documents with the values of its words and strings."""
-    values = values.sort_by("pair")
     pair, size = (values.column(c).to_numpy() for c in ("pair", "size"))
+    order = np.argsort(pair, kind="stable")
     found = []
-    for kind, rows in ((STRING, pair < WORDS_FROM), (WORD, pair >= WORDS_FROM)):
-        key, value, start = np.zeros(size[rows].sum(), U), np.zeros(size[rows].sum(), U), 0
-        for r in np.flatnonzero(rows).tolist():
+    for rows in (order[pair[order] < WORDS_FROM], order[pair[order] >= WORDS_FROM]):
+        key, value, start = np.zeros(size[rows].sum(), U), np.zeros(size[rows].sum()), 0
+        for r in rows.tolist():
             stop = start + int(size[r])
-            key[start:stop] = _sorted_keys(values.column("keys")[r].as_buffer(), stop - start)
-            value[start:stop] = _unplanes(values.column("values")[r].as_buffer(), stop - start)
+            own = _sorted_keys(values.column("keys")[r].as_buffer(), stop - start)
+            made = _unplanes(values.column("values")[r].as_buffer(), stop - start)
+            key[start:stop] = _turned(own) if pair[r] < WORDS_FROM else own
+            value[start:stop] = made / -STEP if pair[r] < WORDS_FROM else made
             start = stop
-        if kind == WORD:
-            found.append(_Lookup(key[value > 0], np.log10(value[value > 0] + 1.0)))
-        else:
-            found.append(_Lookup(_turned(key), value / -STEP))
+        if found:
+            key, value = key[value > 0], np.log10(value[value > 0] + 1.0)
+        found.append(_Lookup(key, value))
     del values
     string, word = found
     out = []
     for batch in (b for packed in docs.column("docs") for b in _rows_of(packed.as_buffer())):
         ids, held, texts = batch.columns
-        for first, last, x, at in chunks(texts, CHUNK):
+        for first, last, x, at in chunks(texts, SCORED_CHUNK):
             h, of_row = words(x, at, SOLID)
             tokens = np.diff(of_row)
             count, known = word(h)
