@@ -43,8 +43,8 @@ BLOCK_BYTES = 48 << 20
 FOLDS, HELD = 7, 2
 END, SPACE = 0x0A, 0x20
 CHUNK = 2 << 20
-#: text that meets a block's values at a time
-SCORED_CHUNK = 1 << 19
+#: text of a block that is taken apart at a time
+BLOCK_CHUNK = 1 << 19
 HOLD = 2_000_000
 GROUP_KEYS = 1_000_000
 RANGES = 16
@@ -222,7 +222,7 @@ def _count_blocks(depth):
                 kinds = {WORD: _Counter(), STRING: _Counter()}
                 for rows in _rows_of(packed.as_buffer()):
                     outside = rows.column(1).to_numpy(zero_copy_only=False)
-                    for first, last, x, at in chunks(rows.column(2), CHUNK):
+                    for first, last, x, at in chunks(rows.column(2), BLOCK_CHUNK):
                         held = outside[first:last]
                         h, of_row = words(x, at, SOLID)
                         seq, seq_at = sequences(x, at)
@@ -595,7 +595,7 @@ def _score_block(docs, values, depth):
     out = []
     for batch in (b for packed in docs.column("docs") for b in _rows_of(packed.as_buffer())):
         ids, held, texts = batch.columns
-        for first, last, x, at in chunks(texts, SCORED_CHUNK):
+        for first, last, x, at in chunks(texts, BLOCK_CHUNK):
             h, of_row = words(x, at, SOLID)
             tokens = np.diff(of_row)
             count, known = word(h)
