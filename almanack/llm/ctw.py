@@ -444,6 +444,11 @@ def learn(counts, positions, depth=DEPTH, least=0.0):
     return weigh([_level(counts, d, visits) for d in range(depth + 1)])
 
 
+def _added(at, values, size):
+    """Sums of ``values`` by place; of none ``np.bincount`` would make whole numbers."""
+    return np.bincount(at, values, size).astype(np.float64)
+
+
 def _subtrees(batches, depth, visits):
     """From strings sorted by the two bytes before theirs: (keys, subtrees, weights handed up)."""
     for rows, _ in whole_groups(batches, ["pair"]):
@@ -457,7 +462,7 @@ def _hand_up(depth, visits):
     def run(batches):
         for _, _, (keys, *values) in _subtrees(batches, depth, visits):
             parent, at = np.unique(keys & U((1 << (8 * TOP)) - 1), return_inverse=True)
-            sums = [pa.array(np.bincount(at, v, len(parent))) for v in values]
+            sums = [pa.array(_added(at, v, len(parent))) for v in values]
             yield pa.RecordBatch.from_arrays([pa.array(parent.view(np.int64)), *sums], names=["node", "a", "b", "weight"])
 
     return run
@@ -539,11 +544,11 @@ def _sum_up(depth, visits):
                 continue
             _, (low, *values) = _subtree(keys, n, depth, visits)
             parent, at = np.unique(low & U((1 << (8 * TOP)) - 1), return_inverse=True)
-            yield batch(UP, parent, *(np.bincount(at, v, len(parent)) for v in values))
+            yield batch(UP, parent, *(_added(at, v, len(parent)) for v in values))
             seen = n > 0
             byte, at = np.unique(keys[seen] & U((1 << (8 * TOP)) - 1), return_inverse=True)
             none = np.zeros(len(byte))
-            yield batch(COUNTED, byte, np.bincount(at, n[seen], len(byte)), none, none)
+            yield batch(COUNTED, byte, _added(at, n[seen], len(byte)), none, none)
 
     return run
 

@@ -322,6 +322,30 @@ def test_scores_match_brute_force_trees(spark):
             assert got[i].n_bytes == len(seq) and math.isclose(got[i].bits_per_byte, -want / math.log10(2) / len(seq), rel_tol=1e-6)
 
 
+def test_scores_of_strings_that_training_never_saw(spark):
+    import zlib
+
+    ids = {held: [i for i in range(200) if (zlib.crc32(str(i).encode()) % 7 == 2) == held] for held in (False, True)}
+    low = lambda t: (" ".join(t.split()) + "\n").encode()
+    texts = [(False, "aa ab"), (True, "xyz zyx"), (False, "ab aa b"), (True, "q\u00e9 7"), (True, "aa xyz")]
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        # so many partitions that some hold strings of held-out rows alone
+        for k, v in zip(old, ("64", "false")):
+            spark.conf.set(k, v)
+        for some in (texts, [t for t in texts if t[0]]):
+            rows = [(ids[held][k], t) for k, (held, t) in enumerate(some)]
+            chance = brute_tree([low(t) for held, t in some if not held], 3)
+            got = {r.doc_id: r for r in ctw.score(spark.createDataFrame(rows, "doc_id long, text string"), depth=3, visits=1).collect()}
+            for i, t in rows:
+                seq = low(t)
+                want = sum(chance((b"\n" * 3 + seq)[k : k + 3], byte) for k, byte in enumerate(seq))
+                assert math.isclose(got[i].score, want, rel_tol=1e-6), t
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_subtrees_by_group_give_the_whole_model(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("text").limit(50)
     counts = docs.mapInArrow(ctw._count, "kind int, key long, n long").groupBy("kind", "key").sum("n").toDF("kind", "key", "n").cache()
