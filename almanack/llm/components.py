@@ -13,13 +13,17 @@ from almanack.llm.base import staged
 
 def _star(links, small):
     """One step: of each node's chosen neighbours, link them to the smallest known."""
-    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    # both ways out of one row: a union would hold the plan of ``links`` twice
+    ways = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"))))
+    both = links.select(ways.alias("way")).select("way.*")
     least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
     least = least.select(F.col("a").alias("node"), "least")
     chosen = both.where("b < a") if small else both.where("b > a")
-    out = chosen.join(least, chosen["a"] == least["node"]).select(F.col("b").alias("a"), F.col("least").alias("b"))
+    linked = F.col("b")
     if small:
-        out = out.union(least.select(F.col("node").alias("a"), F.col("least").alias("b")))
+        # the smallest itself needs no link; its row links the node
+        linked = F.when(F.col("b") == F.col("least"), F.col("a")).otherwise(linked)
+    out = chosen.join(least, chosen["a"] == least["node"]).select(linked.alias("a"), F.col("least").alias("b"))
     return out.where("a != b").distinct()
 
 
@@ -36,4 +40,4 @@ def components(links):
         now = staged(_star(_star(now, small=False), small=True), "links")
     # at rest every link goes from a node to its component's smallest
     pairs = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return pairs.union(now.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
+    return pairs.union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 
 from almanack.llm.bag_minhash import band_keys, classes, keep_one, overlap, shingles, signatures
-from almanack.llm.components import components
+from almanack.llm.components import _star, components
 from almanack.llm.hadamard import hadamard, linked
 from almanack.llm.textbytes import SOLID, U, chunks, mixed, words
 
@@ -154,3 +154,25 @@ def test_links_match_brute_force_with_odd_vectors(spark):
     assert all(got[i] == (0, i) for i in range(len(rows)) if i not in unit)
     tail = len(rows) - 1
     assert got[tail - 1] == (1, tail - 2) and got[tail - 3] == (1, tail - 4)
+
+
+def test_a_round_of_components_reads_its_links_once_a_use(spark):
+    rng = random.Random(11)
+    links = [(i, i + 1) for i in range(40)] + [(1000, k) for k in range(900, 960)] + [(rng.randrange(500, 800), rng.randrange(500, 800)) for _ in range(150)]
+    frame = spark.createDataFrame(links, "a long, b long")
+    plan = _star(_star(frame, small=False), small=True)._jdf.queryExecution().optimizedPlan()
+    # two steps, each with a minimum and a join; with the plan of the first step held six times it was 24
+    assert plan.collectLeaves().size() == 4
+    root = {}
+
+    def find(i):
+        while root.setdefault(i, i) != i:
+            i = root[i]
+        return i
+
+    for a, b in links:
+        if a != b:
+            p, q = find(a), find(b)
+            root[max(p, q)] = min(p, q)
+    got = [tuple(r) for r in components(frame).collect()]
+    assert sorted(got) == sorted((i, find(i)) for i in root)
