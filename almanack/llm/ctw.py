@@ -198,6 +198,12 @@ def _make_blocks(limit):
     return run
 
 
+def _give_back():
+    """Return memory that freed arrays left with the allocators; a worker keeps it else."""
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()
+
+
 def _rows_of(packed):
     return pa.ipc.open_stream(packed).read_all().to_batches()
 
@@ -249,6 +255,8 @@ def _count_blocks(depth):
                                 ],
                                 names=["pair", "block", "size", "keys", "counts"],
                             )
+                kinds = c = keys = n = group = None
+                _give_back()
 
     return run
 
@@ -571,6 +579,7 @@ def _send_back(sent, depth, visits):
                 ]
                 made = [*(some.column(c).combine_chunks() for c in ("block", "pair", "size", "keys")), pa.array(made, pa.binary())]
                 yield pa.RecordBatch.from_arrays([c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in made], names=["block", "pair", "size", "keys", "values"])
+        _give_back()
 
     return run
 
@@ -580,6 +589,7 @@ SCORED = "held_out boolean, words long, seen long, bytes long, base double, scor
 
 def _score_block(docs, values, depth):
     """A block's documents with the values of its words and strings."""
+    _give_back()
     pair, size = (values.column(c).to_numpy() for c in ("pair", "size"))
     order = np.argsort(pair, kind="stable")
     found = []
