@@ -18,6 +18,7 @@ whatever the corpus; these alone travel to all tasks.  The documents lie in bloc
 ``BLOCK_BYTES``, a row each.  A block's distinct strings go out in a row for each pair of
 bytes, sorted and packed, its words in a row for each range of their hashes; their values
 come back in the same order, in steps of 2^-32, and meet the block's documents in one task.
+Both tasks hold the block's text and take its strings share by share of their pairs.
 
 The text is scored as its words with single spaces between and an end mark, lower-case
 in A-Z.
@@ -26,6 +27,8 @@ Defined results: a null or blank text is the end mark alone; rows without an id
 training; equal rows get equal scores; with an empty training part all counts are 0.
 """
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
@@ -46,6 +49,11 @@ CHUNK = 2 << 20
 #: text of a block that is taken apart at a time
 BLOCK_CHUNK = 1 << 19
 HOLD = 2_000_000
+#: strings of a block that are looked up at a time, and places of its text whose strings are counted
+SHARE_KEYS = 1 << 20
+SHARE_PLACES = 1 << 22
+#: end marks before the first row, so that eight bytes end at any place
+LEAD = 7
 GROUP_KEYS = 1_000_000
 RANGES = 16
 STEP = 2.0**32
@@ -76,16 +84,30 @@ def sequences(x, at):
 def strings(seq, at, depth=DEPTH):
     """Each byte with the ``depth`` before it in its row (end marks before the first), as
     a number: the byte lowest, the farthest highest."""
-    out = seq.astype(U)
-    starts = at[:-1]
+    marked, starts = _marked(seq, at, depth)
+    return _strings_at(marked, np.flatnonzero(_unmarked(np.ones(len(marked), bool), starts, depth)), depth)
+
+
+def _marked(seq, at, depth):
+    """(bytes, where rows start): rows with ``depth`` end marks before each, after ``LEAD`` of them."""
+    starts = LEAD + at[:-1] + depth * np.arange(1, len(at))
+    out = np.full(LEAD + len(seq) + depth * (len(at) - 1), END, np.uint8)
+    out[_unmarked(np.ones(len(out), bool), starts, depth)] = seq
+    return out, starts
+
+
+def _unmarked(chosen, starts, depth):
+    """``chosen`` without the end marks that ``_marked`` put before rows."""
+    chosen[:LEAD] = False
     for back in range(1, depth + 1):
-        past = np.full(len(seq), END, np.uint8)
-        past[back:] = seq[:-back] if back < len(seq) else past[back:]
-        for j in range(back):
-            own = starts + j
-            past[own[own < len(seq)]] = END
-        out |= past.astype(U) << U(8 * back)
-    return out
+        chosen[starts - back] = False
+    return chosen
+
+
+def _strings_at(marked, places, depth):
+    """The byte strings that end at ``places``."""
+    eight = np.ndarray(len(marked) - LEAD, ">u8", marked, strides=(1,))
+    return eight[places - LEAD].astype(U) & U((1 << (8 * (depth + 1))) - 1)
 
 
 class _Counter:
@@ -178,7 +200,10 @@ def _make_blocks(limit):
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))) as out:
                 for batch in held:
-                    out.write_batch(batch)
+                    # a reader holds one piece at a time
+                    rows = max(1, len(batch) * CHUNK // max(1, batch.nbytes))
+                    for first in range(0, len(batch), rows):
+                        out.write_batch(batch.slice(first, rows))
             number = (TaskContext.get().partitionId() << 32) + made
             return pa.RecordBatch.from_arrays([pa.array([number]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "docs"])
 
@@ -200,12 +225,15 @@ def _make_blocks(limit):
 
 def _give_back():
     """Return memory that freed arrays left with the allocators; a worker keeps it else."""
-    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
-        pool.release_unused()
+    pa.default_memory_pool().release_unused()
+    # numpy's arrays; the C library has it on Linux alone
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def _rows_of(packed):
-    return pa.ipc.open_stream(packed).read_all().to_batches()
+    return pa.ipc.open_stream(packed)
 
 
 def _turned(keys):
@@ -218,6 +246,68 @@ def _back(keys):
     return (keys << U(16) >> U(24) << U(24)) | (keys >> U(48) << U(8)) | (keys & U(255))
 
 
+def _pairs(marked):
+    """The two bytes before each place from ``LEAD`` on, as a number."""
+    return marked[LEAD - 1 : -1].astype(np.uint16) | marked[LEAD - 2 : -2].astype(np.uint16) << 8
+
+
+def _shares(size, limit):
+    """Of each pair the share it is in: neighbours of about ``limit`` by their ``size``."""
+    return np.unique((np.cumsum(size) - size) // limit, return_inverse=True)[1]
+
+
+def _places(marked, starts, own, depth):
+    """Where the byte strings under the pairs of ``own`` end."""
+    chosen = np.zeros(len(marked), bool)
+    chosen[LEAD:] = own[_pairs(marked)]
+    return np.flatnonzero(_unmarked(chosen, starts, depth))
+
+
+def _counted_strings(texts, depth):
+    """(strings, counts) of ``texts`` (see ``_marked``; and whether rows are held out), sorted,
+    one share of the pairs after the other."""
+    size = sum(np.bincount(_pairs(marked), minlength=1 << 16) for marked, _, _ in texts)
+    share_of = _shares(size, SHARE_PLACES)
+    for share in range(share_of.max() + 1):
+        own, c = share_of == share, _Counter()
+        sides = {True: [], False: []}
+
+        def add(limit):
+            for counted, found in sides.items():
+                if sum(map(len, found)) > limit:
+                    c.add(np.concatenate(found), counted)
+                    found.clear()
+
+        for marked, starts, held in texts:
+            places = _places(marked, starts, own, depth)
+            keys = _turned(_strings_at(marked, places, depth))
+            out = np.repeat(held, np.diff(np.append(starts, len(marked))))[places - starts[0]]
+            sides[True].append(keys[~out])
+            sides[False].append(keys[out])
+            add(SHARE_KEYS)
+        add(0)
+        c.merge()
+        yield from c.parts
+
+
+def _packed_rows(number, group, keys, n):
+    """A row for each group, which are runs of keys."""
+    at, size = runs(group)
+    made = [(group[a], a, a + k) for a, k in zip(at.tolist(), size.tolist())]
+    for a in range(0, len(made), 256):
+        some = made[a : a + 256]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array([g for g, _, _ in some], pa.int32()),
+                pa.array([number] * len(some), pa.int64()),
+                pa.array([j - i for _, i, j in some], pa.int64()),
+                pa.array([_planes(np.diff(keys[i:j], prepend=U(0))) for _, i, j in some], pa.binary()),
+                pa.array([_planes(n[i:j]) for _, i, j in some], pa.binary()),
+            ],
+            names=["pair", "block", "size", "keys", "counts"],
+        )
+
+
 def _count_blocks(depth):
     """block, docs -> each block's sorted words and byte strings with their counts, a row for
     each group; rows that are held out make theirs known and add nothing to counts."""
@@ -225,37 +315,23 @@ def _count_blocks(depth):
     def run(batches):
         for batch in batches:
             for number, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
-                kinds = {WORD: _Counter(), STRING: _Counter()}
+                c, texts = _Counter(), []
                 for rows in _rows_of(packed.as_buffer()):
                     outside = rows.column(1).to_numpy(zero_copy_only=False)
                     for first, last, x, at in chunks(rows.column(2), BLOCK_CHUNK):
-                        held = outside[first:last]
                         h, of_row = words(x, at, SOLID)
-                        seq, seq_at = sequences(x, at)
-                        for kind, keys, ends in ((WORD, h, of_row), (STRING, _turned(strings(seq, seq_at, depth)), seq_at)):
-                            out = np.repeat(held, np.diff(ends))
-                            kinds[kind].add(keys[~out])
-                            kinds[kind].add(keys[out], counted=False)
-                for kind, c in kinds.items():
-                    c.merge()
-                    for keys, n in c.parts:
-                        group = (keys >> U(48 if kind == STRING else 56)).astype(np.int32) + (WORDS_FROM if kind == WORD else 0)
-                        at, size = runs(group)
-                        made = [(group[a], a, a + k) for a, k in zip(at.tolist(), size.tolist())]
-                        plain = _back if kind == STRING else np.array
-                        for a in range(0, len(made), 256):
-                            some = made[a : a + 256]
-                            yield pa.RecordBatch.from_arrays(
-                                [
-                                    pa.array([g for g, _, _ in some], pa.int32()),
-                                    pa.array([number] * len(some), pa.int64()),
-                                    pa.array([j - i for _, i, j in some], pa.int64()),
-                                    pa.array([_planes(np.diff(plain(keys[i:j]), prepend=U(0))) for _, i, j in some], pa.binary()),
-                                    pa.array([_planes(n[i:j]) for _, i, j in some], pa.binary()),
-                                ],
-                                names=["pair", "block", "size", "keys", "counts"],
-                            )
-                kinds = c = keys = n = group = None
+                        out = np.repeat(outside[first:last], np.diff(of_row))
+                        c.add(h[~out])
+                        c.add(h[out], counted=False)
+                        texts.append((*_marked(*sequences(x, at), depth), outside[first:last]))
+                c.merge()
+                for keys, n in c.parts:
+                    yield from _packed_rows(number, (keys >> U(56)).astype(np.int32) + WORDS_FROM, keys, n)
+                rows = c = keys = n = x = h = out = None
+                _give_back()
+                for keys, n in _counted_strings(texts, depth):
+                    yield from _packed_rows(number, (keys >> U(48)).astype(np.int32), _back(keys), n)
+                texts = keys = n = None
                 _give_back()
 
     return run
@@ -375,12 +451,12 @@ class _Lookup:
     def __call__(self, keys):
         """(values, whether known); unknown keys have 0."""
         if not len(self.keys):
-            return np.zeros(len(keys)), np.zeros(len(keys), bool)
+            return np.zeros(len(keys), self.values.dtype), np.zeros(len(keys), bool)
         at = self.slots[self._slot(keys)]
         miss = np.flatnonzero(self.keys[at] != keys)
         at[miss] = np.minimum(np.searchsorted(self.keys, keys[miss]), len(self.keys) - 1)
         known = self.keys[at] == keys
-        return np.where(known, self.values[at], 0.0), known
+        return np.where(known, self.values[at], self.values.dtype.type(0)), known
 
 
 def nodes(keys, n, depth, visits):
@@ -587,45 +663,68 @@ def _send_back(sent, depth, visits):
 SCORED = "held_out boolean, words long, seen long, bytes long, base double, score double"
 
 
+def _unpacked(values, rows):
+    """Keys and values of some rows, one row after the other."""
+    size = values.column("size").to_numpy()[rows]
+    key, value, start = np.zeros(size.sum(), U), np.zeros(size.sum(), U), 0
+    for r, k in zip(rows.tolist(), size.tolist()):
+        key[start : start + k] = _sorted_keys(values.column("keys")[r].as_buffer(), k)
+        value[start : start + k] = _unplanes(values.column("values")[r].as_buffer(), k)
+        start += k
+    return key, value
+
+
+def _string_sums(texts, values, rows, depth):
+    """Of each row of ``texts`` (see ``_marked``) the sum of its strings' values, in steps, so
+    exact in any order.  ``rows`` of values are in order of their pairs; the strings under a
+    few pairs, about ``SHARE_KEYS``, are looked up in the whole block before the next ones."""
+    pair, size = (values.column(c).to_numpy()[rows] for c in ("pair", "size"))
+    share_of = _shares(np.bincount(pair, size, 1 << 16).astype(np.int64), SHARE_KEYS)
+    sums = [np.zeros(len(starts), np.int64) for _, starts in texts]
+    for share in range(share_of.max() + 1):
+        key, value = _unpacked(values, rows[share_of[pair] == share])
+        string = _Lookup(_turned(key), value.view(np.int64))
+        key = value = None
+        own = share_of == share
+        for (marked, starts), total in zip(texts, sums):
+            places = _places(marked, starts, own, depth)
+            found, _ = string(_turned(_strings_at(marked, places, depth)))
+            upto = np.concatenate((np.zeros(1, np.int64), np.cumsum(found)))
+            total += np.diff(upto[np.append(np.searchsorted(places, starts), len(places))])
+        string = None
+    return sums
+
+
 def _score_block(docs, values, depth):
     """A block's documents with the values of its words and strings."""
     _give_back()
-    pair, size = (values.column(c).to_numpy() for c in ("pair", "size"))
+    pair = values.column("pair").to_numpy()
     order = np.argsort(pair, kind="stable")
-    found = []
-    for rows in (order[pair[order] < WORDS_FROM], order[pair[order] >= WORDS_FROM]):
-        key, value, start = np.zeros(size[rows].sum(), U), np.zeros(size[rows].sum()), 0
-        for r in rows.tolist():
-            stop = start + int(size[r])
-            own = _sorted_keys(values.column("keys")[r].as_buffer(), stop - start)
-            made = _unplanes(values.column("values")[r].as_buffer(), stop - start)
-            key[start:stop] = _turned(own) if pair[r] < WORDS_FROM else own
-            value[start:stop] = made / -STEP if pair[r] < WORDS_FROM else made
-            start = stop
-        if found:
-            key, value = key[value > 0], np.log10(value[value > 0] + 1.0)
-        found.append(_Lookup(key, value))
-    del values
-    string, word = found
-    out = []
+    key, n = _unpacked(values, order[pair[order] >= WORDS_FROM])
+    word = _Lookup(key[n > 0], np.log10(n[n > 0] + 1.0))
+    key = n = None
+    parts, texts = [], []
     for batch in (b for packed in docs.column("docs") for b in _rows_of(packed.as_buffer())):
-        ids, held, texts = batch.columns
-        for first, last, x, at in chunks(texts, BLOCK_CHUNK):
+        for first, last, x, at in chunks(batch.column(2), BLOCK_CHUNK):
             h, of_row = words(x, at, SOLID)
             tokens = np.diff(of_row)
             count, known = word(h)
             base = np.diff(np.concatenate(([0.0], np.cumsum(count)))[of_row])
             seen = np.diff(np.concatenate(([0], np.cumsum(known)))[of_row])
             seq, seq_at = sequences(x, at)
-            score = np.add.reduceat(string(_turned(strings(seq, seq_at, depth)))[0], seq_at[:-1])
-            columns = [tokens.astype(np.int64), seen.astype(np.int64), np.diff(seq_at).astype(np.int64), base, score]
-            out.append(
-                pa.RecordBatch.from_arrays(
-                    [v.slice(first, last - first) for v in (ids, held)] + [pa.array(v) for v in columns],
-                    names=["doc_id", *(c.split()[0] for c in SCORED.split(", "))],
-                )
-            )
-    return pa.Table.from_batches(out)
+            texts.append(_marked(seq, seq_at, depth))
+            ids = [v.slice(first, last - first) for v in batch.columns[:2]]
+            parts.append((ids, [tokens.astype(np.int64), seen.astype(np.int64), np.diff(seq_at).astype(np.int64), base]))
+    word = batch = x = h = seq = count = known = None
+    _give_back()
+    sums = _string_sums(texts, values, order[pair[order] < WORDS_FROM], depth)
+    texts = None
+    # the next block arrives before this is called again
+    _give_back()
+    names = ["doc_id", *(c.split()[0] for c in SCORED.split(", "))]
+    return pa.Table.from_batches(
+        [pa.RecordBatch.from_arrays([*ids, *map(pa.array, columns), pa.array(total / -STEP)], names=names) for (ids, columns), total in zip(parts, sums)]
+    )
 
 
 def score(docs, doc_id="doc_id", text="text", depth=DEPTH, visits=VISITS):

@@ -411,3 +411,40 @@ def test_strings_of_a_block_travel_packed(spark):
     assert all((k[1:] > k[:-1]).all() and ((k >> np.uint64(8)) & np.uint64(65535) == r["pair"]).all() for k, r in zip(keys, got))
     n = sum(int(ctw._unplanes(r["counts"], r["size"]).sum()) for r in got)
     assert n == counts.agg({"n": "sum"}).head()[0]
+
+
+def test_memory_of_a_block_does_not_follow_its_strings(spark, monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").selectExpr("doc_id", "false", "text").coalesce(1)
+    blocks = docs.mapInArrow(ctw._make_blocks(1 << 30), "block long, docs binary").toArrow().combine_chunks()
+    for name, value in {"HOLD": 1 << 16, "BLOCK_CHUNK": 1 << 16, "SHARE_KEYS": 1 << 16, "SHARE_PLACES": 1 << 18}.items():
+        monkeypatch.setattr(ctw, name, value, raising=False)
+    tracemalloc.start()
+    try:
+        rows = pa.Table.from_batches(list(ctw._count_blocks(ctw.DEPTH)(blocks.to_batches()))).to_pylist()
+        counted = tracemalloc.get_traced_memory()[1]
+        hashed = lambda k: (k * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(30)
+        for r in rows:
+            keys = ctw._sorted_keys(r["keys"], r["size"])
+            r["values"] = ctw._planes(hashed(keys)) if r["pair"] < 1 << 16 else r["counts"]
+        strings = sum(r["size"] for r in rows if r["pair"] < 1 << 16)
+        values = pa.table({c: pa.array([r[c] for r in rows], kind) for c, kind in {"pair": pa.int32(), "size": pa.int64(), "keys": pa.binary(), "values": pa.binary()}.items()})
+        del rows
+        before = tracemalloc.get_traced_memory()[0]
+        tracemalloc.reset_peak()
+        got = ctw._score_block(blocks, values, ctw.DEPTH)
+        scored = tracemalloc.get_traced_memory()[1] - before
+    finally:
+        tracemalloc.stop()
+    text = sum(got["bytes"].to_pylist())
+    assert strings > 500_000
+    for r, score in zip(docs.limit(20).collect(), got["score"].to_pylist()):
+        seq, at = ctw.sequences(np.frombuffer(re.sub("[A-Z]", lambda m: m[0].lower(), r.text).encode(), np.uint8), np.array([0, len(r.text.encode())]))
+        past = b"\n" * ctw.DEPTH + seq.tobytes()
+        keys = [int.from_bytes(past[i : i + ctw.DEPTH + 1], "big") for i in range(len(seq))]
+        assert score == -int(hashed(np.array(keys, np.uint64)).sum()) / ctw.STEP
+    # counting once took 35.6 MB
+    assert counted < 2 * text + (6 << 20) and scored < 2 * text + (6 << 20)
