@@ -432,31 +432,44 @@ def log_probabilities(model, keys):
 
 
 class _Lookup:
-    """Places of keys by a table of hashes; those whose slot another has, by search."""
+    """Places of keys by a table of hashes; those whose slot another has, by a second one
+    with another hash, then by search."""
 
     def __init__(self, keys, values):
         if (keys[1:] < keys[:-1]).any():
             order = np.argsort(keys)
             keys, values = keys[order], values[order]
         self.keys, self.values = keys, values
-        self.bits = max(4, int(2 * len(keys)).bit_length())
-        self.slots = np.zeros(1 << self.bits, np.int32)
-        for a in range(0, len(keys), CHUNK):
-            some = self.keys[a : a + CHUNK]
-            self.slots[self._slot(some)] = np.arange(a, a + len(some), dtype=np.int32)
-
-    def _slot(self, keys):
-        return (keys * U(0x9E3779B97F4A7C15)) >> U(64 - self.bits)
+        self.tables, left = [], np.arange(len(keys), dtype=np.int32)
+        for odd in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
+            bits = max(4, int(2 * len(left)).bit_length())
+            slots, lost = np.zeros(1 << bits, np.int32), []
+            parts = [left[a : a + CHUNK] for a in range(0, len(left), CHUNK)]
+            for some in parts:
+                slots[self._slot(keys[some], odd, bits)] = some
+            for some in parts:
+                lost.append(some[slots[self._slot(keys[some], odd, bits)] != some])
+            left = np.concatenate([*lost, left[:0]])
+            self.tables.append((odd, bits, slots))
+
+    def _slot(self, keys, odd, bits):
+        return (keys * U(odd)) >> U(64 - bits)
 
     def __call__(self, keys):
         """(values, whether known); unknown keys have 0."""
+        known = np.ones(len(keys), bool)
         if not len(self.keys):
-            return np.zeros(len(keys), self.values.dtype), np.zeros(len(keys), bool)
-        at = self.slots[self._slot(keys)]
+            return np.zeros(len(keys), self.values.dtype), ~known
+        (*one, slots), (*two, more) = self.tables
+        at = slots[self._slot(keys, *one)]
         miss = np.flatnonzero(self.keys[at] != keys)
+        at[miss] = more[self._slot(keys[miss], *two)]
+        miss = miss[self.keys[at[miss]] != keys[miss]]
         at[miss] = np.minimum(np.searchsorted(self.keys, keys[miss]), len(self.keys) - 1)
-        known = self.keys[at] == keys
-        return np.where(known, self.values[at], self.values.dtype.type(0)), known
+        known[miss] = self.keys[at[miss]] == keys[miss]
+        found = self.values[at]
+        found[~known] = 0
+        return found, known
 
 
 def nodes(keys, n, depth, visits):
