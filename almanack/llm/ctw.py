@@ -47,10 +47,10 @@ FOLDS, HELD = 7, 2
 END, SPACE = 0x0A, 0x20
 CHUNK = 2 << 20
 #: text of a block that is taken apart at a time
-BLOCK_CHUNK = 1 << 19
+BLOCK_CHUNK = 1 << 18
 HOLD = 2_000_000
 #: strings of a block that are looked up at a time, and places of its text whose strings are counted
-SHARE_KEYS = 1 << 20
+SHARE_KEYS = 1 << 19
 SHARE_PLACES = 1 << 22
 #: end marks before the first row, so that eight bytes end at any place
 LEAD = 7
