@@ -189,13 +189,15 @@ def search_of_all(binned, grid, max_starts=S.MAX_STARTS, rank_by="precision", se
 
 def save_stage(binned, kind, model, place, rate=0.04):
     """All of a stage below ``place``: encoder, cuts, series, and the trees of every series
-    (of peaks: fitted with the same settings for all)."""
+    (of peaks: fitted with the same settings for all).  The series hold their number of bags,
+    as there may be no tree: bags without a peak have no rows."""
     spark = binned.rows.sparkSession
     binned.matrix.save(spark, f"{place}/encoder")
     binned.cuts.write.parquet(f"{place}/cuts")
     start = model[0] if kind == "counts" else [0.0] * len(binned.series)
-    rows = [(i, s, float(start[i]), binned.years) for i, s in enumerate(binned.series)]
-    spark.createDataFrame(rows, "model int, series string, start double, years boolean").write.parquet(f"{place}/series")
+    bags = 1 if kind == "counts" else len(model.done) // max(1, len(binned.series))
+    rows = [(i, s, float(start[i]), binned.years, bags) for i, s in enumerate(binned.series)]
+    spark.createDataFrame(rows, "model int, series string, start double, years boolean, bags int").write.parquet(f"{place}/series")
     trees = trees_table(spark, model[1], rate) if kind == "counts" else model.table(spark)
     trees.write.parquet(f"{place}/trees")
 
@@ -206,7 +208,7 @@ class StoredStage:
     def __init__(self, spark, place):
         rows = spark.read.parquet(f"{place}/series").orderBy("model").collect()
         self.series, self.start = [r["series"] for r in rows], [r["start"] for r in rows]
-        self.years = any(r["years"] for r in rows)
+        self.years, self.bags = any(r["years"] for r in rows), max((r["bags"] for r in rows), default=0)
         self.matrix = Matrix.load(spark, f"{place}/encoder")
         self.cuts = spark.read.parquet(f"{place}/cuts")
         self.trees = spark.read.schema(STORED).parquet(f"{place}/trees")
@@ -220,11 +222,10 @@ class StoredStage:
         return scored.select(*KEY, "prediction", "outcome")
 
     def peaks(self, frame):
-        models = self.trees.agg(F.max("model")).first()[0] + 1
-        bags = models // len(self.series)
-        bags_of = [range(i * bags, (i + 1) * bags) for i in range(len(self.series))]
+        bags_of = [range(i * self.bags, (i + 1) * self.bags) for i in range(len(self.series))]
+        stumps = Stumps.of_table(self.trees, self.bags * len(self.series))
         asked = self.binned(frame).withColumn("ensemble", F.col("model"))
-        return bag_votes(asked, Stumps.of_table(self.trees, models), bags_of).select(*KEY, "prediction", "peak", "outcome")
+        return bag_votes(asked, stumps, bags_of).select(*KEY, "prediction", "peak", "outcome")
 
 
 def selection_forest(kind, trees=2000, depth=16, seed=42, least=1):

@@ -94,6 +94,18 @@ def test_stored_stages_predict_the_same(spark, frame, binned, tmp_path):
     assert fc.StoredStage(spark, f"{tmp_path}/c").counts(late).exceptAll(counts).isEmpty()
 
 
+@pytest.mark.parametrize("quiet", [["a"], ["a", "b"]])
+def test_stored_stages_predict_the_same_where_no_day_is_a_peak(spark, frame, tmp_path, quiet):
+    flat = frame.withColumn("peak", F.when(~F.col("series").isin(quiet), F.col("peak")).otherwise(0))
+    own = fc.Binned(flat, CUT)
+    peaks, stumps = fc.peaks_of_all(own, params={s: {"rounds": 3, "bags": 3} for s in "ab"})
+    fc.save_stage(own, "peaks", stumps, f"{tmp_path}/p")
+    late = flat.where(F.col("date") >= F.lit(CUT))
+    stored = fc.StoredStage(spark, f"{tmp_path}/p").peaks(late)
+    assert stored.count() == late.count() and stored.exceptAll(peaks).isEmpty()
+    assert stored.where(F.col("series").isin(quiet) & ~F.col("prediction").eqNullSafe(0)).isEmpty()
+
+
 def test_search_covers_starts_folds_and_settings(frame):
     binned = fc.Binned(frame, CUT, years=True)
     assert binned.names[-1] == "year"
